@@ -1,0 +1 @@
+"""Intentionally empty: every input of the toolkit is a batch (daily runs)."""
