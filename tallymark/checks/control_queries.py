@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallymark import fixed_values as fv
 from tallymark.checks import inputs as i
 from tallymark.checks.registry import query
-from tallymark.operators.shape import as_text, pick, to_layout
+from tallymark.operators.shape import pick, to_layout
 from tallymark.plans import customer_flags as flags
 from tallymark.plans import hierarchy as tree
 from tallymark.plans import reconciliation as recon
 from tallymark.runs.reports import full_history, latest_report
-from tallymark import fixed_values as fv
 
 CODES_SQL = "('PROMO','SMALL')"
 ACTIVITY_SQL = "LEFT JOIN svc_count p ON a.OBJECT_ID=p.svc_customer LEFT JOIN ord_count o ON a.OBJECT_ID=o.ord_customer"
@@ -22,15 +22,7 @@ LAYOUT_SQL = """NameSF, crm_tax_id AS BI_No_Identificador_fiscal__c, crm_parent_
  ord_customer AS PARENT_ID_ORD, n_ord AS Cant_Prod_Orders"""
 
 
-def _customer_flags(spark, sf):
-    control = flags.CustomerFlags(i.accounts(spark, sf), i.services(spark, sf), i.FLAG_CODES)
-    return control.compute()
-
-
-@query(
-    "active_services",
-    "SELECT * FROM svc",
-)
+@query("active_services", "SELECT * FROM svc")
 def active_services(spark, sf):
     return flags.active_services(i.services(spark, sf))
 
@@ -41,7 +33,11 @@ def active_services(spark, sf):
  WHERE a.TAX_IDENT_NUMBER LIKE 'ACCT%' AND s.PRODUCT_CODE_TOP NOT IN {CODES_SQL}""",
 )
 def flag_svc_mismatch(spark, sf):
-    return _customer_flags(spark, sf)["flagged_without_flag_services"]
+    return flags.flagged_without_flag_services(
+        flags.flagged_accounts(i.accounts(spark, sf)),
+        flags.active_services(i.services(spark, sf)),
+        i.FLAG_CODES,
+    )
 
 
 @query(
@@ -50,7 +46,11 @@ def flag_svc_mismatch(spark, sf):
  WHERE (a.TAX_IDENT_NUMBER IS NULL OR a.TAX_IDENT_NUMBER NOT LIKE 'ACCT%') AND s.PRODUCT_CODE_TOP IN {CODES_SQL}""",
 )
 def unflag_svc_mismatch(spark, sf):
-    return _customer_flags(spark, sf)["unflagged_with_flag_services"]
+    return flags.unflagged_with_flag_services(
+        flags.unflagged_accounts(i.accounts(spark, sf)),
+        flags.active_services(i.services(spark, sf)),
+        i.FLAG_CODES,
+    )
 
 
 @query(
@@ -59,7 +59,8 @@ def unflag_svc_mismatch(spark, sf):
  HAVING sum(CASE WHEN PRODUCT_CODE_TOP IN {CODES_SQL} THEN 1 ELSE 0 END)>0 AND sum(CASE WHEN PRODUCT_CODE_TOP NOT IN {CODES_SQL} THEN 1 ELSE 0 END)>0)""",
 )
 def shared_customers(spark, sf):
-    return _customer_flags(spark, sf)["shared_customers"]
+    control = flags.CustomerFlags(i.accounts(spark, sf), i.services(spark, sf), i.FLAG_CODES)
+    return control.compute()["shared_customers"]
 
 
 @query("hier_edges", "SELECT NAME, PARENT_ID, REL_CUST FROM edge")
@@ -72,10 +73,7 @@ def distinct_pairs_rel(spark, sf):
     return tree.holding_pairs(i.relations(spark, sf), i.PARENT_OF)
 
 
-@query(
-    "live_accounts",
-    "SELECT * FROM live_account",
-)
+@query("live_accounts", "SELECT * FROM live_account")
 def live_accounts(spark, sf):
     return tree.live_accounts(i.accounts(spark, sf))
 
@@ -177,12 +175,18 @@ def recon_crm_only(spark, sf):
     return _reconciliation(spark, sf).compute()["crm_only"]
 
 
-@query(
-    "recon_acc_only",
-    f"""SELECT a.*,p.*,o.* FROM acc_holding a {ACTIVITY_SQL} WHERE STATUS='Active'
- AND NOT EXISTS (SELECT 1 FROM crm_latest c WHERE a.UNIQUE_GLOBAL_ID=c.crm_global_id)""",
-)
+def _acc_only_sql(accounts: str) -> str:
+    return f"""SELECT a.*,p.*,o.* FROM {accounts} a {ACTIVITY_SQL} WHERE STATUS='Active'
+ AND NOT EXISTS (SELECT 1 FROM crm_latest c WHERE a.UNIQUE_GLOBAL_ID=c.crm_global_id)"""
+
+
+@query("recon_acc_only", _acc_only_sql("acc_latest"))
 def recon_acc_only(spark, sf):
+    return _reconciliation(spark, sf).compute()["account_only"]
+
+
+@query("recon_acc_only_holding", _acc_only_sql("acc_holding"))
+def recon_acc_only_holding(spark, sf):
     return _reconciliation(spark, sf, holdings=True).compute()["account_only"]
 
 

@@ -362,5 +362,5 @@ fragment(
 
 fragment(
     "fx_presence",
-    """SELECT DISTINCT CAST(ts AS DATE) AS "day", unnest(list_filter(['event_id','user',CASE WHEN dayofyear(ts)<20 THEN 'event_type' ELSE 'kind' END,CASE WHEN dayofyear(ts)%3<>0 THEN 'value' END], x -> x IS NOT NULL)) AS col FROM events""",
+    """SELECT DISTINCT CAST(ts AS DATE) AS "day", unnest(list_filter(['event_id','user',CASE WHEN dayofyear(ts)<20 THEN 'event_type' ELSE 'kind' END,CASE WHEN dayofyear(ts)%3<>0 THEN 'value' END], lambda x: x IS NOT NULL)) AS col FROM events""",
 )

@@ -54,7 +54,7 @@ def text_cleanup(spark, sf):
 @query(
     "account_labels",
     """SELECT OBJECT_ID, s AS status, CASE CUST_TYPE WHEN 101 THEN 'Holding' WHEN 102 THEN 'Legal Entity' WHEN 103 THEN 'Customer Country' ELSE CAST(CUST_TYPE AS VARCHAR) END AS type_name,
- split_part(concat('a.',NAME),'.',-1) AS last_part FROM cleaned_account""",
+ split_part('a.' || NAME,'.',-1) AS last_part FROM cleaned_account""",
 )
 def account_labels(spark, sf):
     return i.accounts(spark, sf).select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ def plain_status(status: Column) -> Column:
     return result
 
 
+def decorated(status: Column) -> Column:
+    """Status with a known decoration; all others have no plain label."""
+    return reduce(lambda a, b: a | b, [status.endswith(ending) for ending, _, _ in fv.STATUS_RULES])
+
+
 def type_label(type_id: Column, labels: Mapping[int, str] = fv.TYPE_LABELS) -> Column:
     """Label of a known type id; an unknown id passes through as text."""
     result = type_id.cast("string")

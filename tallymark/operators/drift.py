@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,34 +79,34 @@ def snapshot_union(new: DataFrame, history: DataFrame) -> DataFrame:
 def drift_by_day(presence: DataFrame, day: str, column: str) -> DataFrame:
     """Added and removed columns of each day against all days before it.
 
-    `presence` holds one row per day and column present that day, so it is
-    small. A column is added on its first day (not on the first day of all)
-    and removed on each later day it is absent.
+    `presence` holds one row per day and column present that day. That is
+    schema information, small whatever the data, and is gathered into one row
+    so that it is read once. A column is added on its first day (not on the
+    first day of all) and removed on each later day it is absent.
     """
-    days = presence.select(quoted(day).alias("day")).distinct()
-    first_day = days.agg(F.min("day")).scalar()
-    known = presence.groupBy(quoted(column).alias("column")).agg(F.min(quoted(day)).alias("since"))
-    added = (
-        known.where(F.col("since") > first_day)
-        .groupBy(F.col("since").alias("day"))
-        .agg(F.sort_array(F.collect_list("column")).alias("added"))
+    pair = F.struct(quoted(day).alias("day"), quoted(column).alias("column"))
+    known = presence.agg(F.collect_set(pair).alias("pairs")).withColumn(
+        "days", F.array_sort(F.array_distinct("pairs.day"))
     )
-    seen = presence.select(quoted(day).alias("day"), quoted(column).alias("column"))
-    all_days = days.agg(F.collect_list("day")).scalar()
-    expected = known.select(
-        F.explode(F.filter(all_days, lambda d: d > F.col("since"))).alias("day"), "column"
-    )
-    removed = (
-        expected.join(seen, ["day", "column"], "left_anti")
-        .groupBy("day")
-        .agg(F.sort_array(F.collect_list("column")).alias("removed"))
+    daily = known.select("pairs", F.explode("days").alias("day"), F.col("days")[0].alias("first_day"))
+
+    def names(kept) -> Column:
+        return F.transform(F.filter("pairs", kept), lambda p: p["column"])
+
+    compared = daily.select(
+        "day",
+        "first_day",
+        names(lambda p: p["day"] == F.col("day")).alias("today"),
+        F.array_distinct(names(lambda p: p["day"] < F.col("day"))).alias("before"),
     )
-    names = F.array().cast("array<string>")
-    report = days.join(added, "day", "left").join(removed, "day", "left")
-    report = report.select(
+    added = F.array_sort(F.array_except("today", "before"))
+    removed = F.array_sort(F.array_except("before", "today"))
+    report = compared.select(
         "day",
-        F.coalesce("added", names).alias("added"),
-        F.coalesce("removed", names).alias("removed"),
+        F.when(F.col("day") > F.col("first_day"), added)
+        .otherwise(F.array().cast("array<string>"))
+        .alias("added"),
+        removed.alias("removed"),
     )
     code = F.when(F.size("added") > 0, ADDED).otherwise(UNCHANGED) + F.when(
         F.size("removed") > 0, REMOVED

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.predicates import quoted
-from tallymark.session import shared_folder
+from tallymark.session import written_once
 
 # monotonically_increasing_id keeps the partition above bit 33.
 POSITION_BITS = 33
@@ -27,19 +27,14 @@ def dense_keys(
     A global row_number would sort everything in one task. Here the rows are
     range partitioned and sorted, each row notes partition and position, and
     only the row count of each partition (one row per partition) is summed up
-    and sent back. The noted positions are cut off with a reliable checkpoint:
-    evaluating the range partitioning twice may draw other boundaries.
+    and sent back. The noted positions are written out once: evaluating the
+    range partitioning twice may draw other boundaries.
     """
     spark = df.sparkSession
-    shared_folder(spark)
     columns = [quoted(c) for c in order]
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        df.repartitionByRange(partitions, *columns)
-        .sortWithinPartitions(*columns)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    ranged = df.repartitionByRange(partitions, *columns).sortWithinPartitions(*columns)
+    placed = written_once(ranged.withColumn("_place", F.monotonically_increasing_id()), "keys")
     part = F.shiftright(F.col("_place"), POSITION_BITS)
     position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))

@@ -4,9 +4,10 @@ Keys of different types are both compared as text: under ANSI rules a mixed
 text/number comparison would fail on the first id that is not a number.
 Columns must not overlap; give one side a role suffix first.
 
-No side is ever marked for broadcast here. Spark broadcasts by size on its own
-and AQE splits skewed partitions of a single join; `match_hot` salts the keys
-of a side where few keys may hold much of the data.
+No side is ever marked for broadcast here: Spark broadcasts by size on its own.
+AQE splits skewed partitions of a single join, but not where a second join
+follows on the same key; `match_hot` salts the few keys that hold much of the
+data.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from tallymark.functions.predicates import quoted
 
 HOT_SHARE = 64
 HOT_SALTS = 64
+# Sketch size; its error is far below the share of a hot key.
+TRACKED_KEYS = 8192
 
 
 def _no_overlap(left: DataFrame, right: DataFrame) -> None:
@@ -110,17 +113,17 @@ def match_either(
     return by_first.unionByName(_equi(left, only_second, left_key, second_key, "inner"))
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> Column:
-    """Array of the keys that each hold at least 1/`share` of the rows.
+def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
+    """Keys that each hold at least 1/`share` of the rows, counted now.
 
-    At most `share` keys can, so the array is bounded whatever the data. It is
-    a scalar subquery: counted at run time, nothing passes through the driver
-    program.
+    At most `share` keys can, so the list is bounded whatever the data. A
+    frequent-items sketch finds them in one pass without a shuffle by key.
     """
-    counts = df.where(quoted(key).isNotNull()).groupBy(quoted(key).alias("k")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    hot = counts.where(F.col("n") * share >= total).agg(F.collect_list("k"))
-    return hot.scalar()
+    keyed = df.select(quoted(key).alias("k")).where("k IS NOT NULL")
+    top = keyed.select(
+        F.expr(f"approx_top_k(k, {share}, {TRACKED_KEYS})").alias("top"), F.count("k").alias("n")
+    ).first()
+    return [item["item"] for item in top["top"] if item["count"] * share >= top["n"]]
 
 
 def match_hot(
@@ -129,25 +132,30 @@ def match_hot(
     hot_key: str,
     other_key: str,
     how: str = "inner",
-    hot: Column | None = None,
+    hot: list | None = None,
     salts: int = HOT_SALTS,
 ) -> DataFrame:
     """Equi-join whose left side may have hot keys; exact for inner and left.
 
     Rows of a hot key get a salt from their content and the few matching rows
-    of the other side are repeated once per salt. Other keys are untouched.
-    `hot` is the array of hot keys where it is known already.
+    of the other side are repeated once per salt. Other keys are untouched,
+    and without hot keys this is the plain join. `hot` is the list of hot keys
+    where it is known already; else the left side is counted, so it should be
+    a stored table.
     """
     _no_overlap(hot_side, other)
     hot = hot_keys(hot_side, hot_key) if hot is None else hot
+    if not hot:
+        return _equi(hot_side, other, hot_key, other_key, how)
+    left_col, right_col = _keys(hot_side, other, hot_key, other_key)
+    same_type = hot_side.schema[hot_key].dataType == other.schema[other_key].dataType
+    values = hot if same_type else [str(value) for value in hot]
     salt = F.when(
-        F.array_contains(hot, quoted(hot_key)),
-        F.pmod(F.xxhash64(*map(quoted, hot_side.columns)), F.lit(salts)).cast("int"),
+        left_col.isin(values), F.pmod(F.xxhash64(*map(quoted, hot_side.columns)), F.lit(salts)).cast("int")
     ).otherwise(F.lit(0))
-    all_salts = F.when(
-        F.array_contains(hot, quoted(other_key).cast(hot_side.schema[hot_key].dataType)),
-        F.sequence(F.lit(0), F.lit(salts - 1)),
-    ).otherwise(F.array(F.lit(0)))
+    all_salts = F.when(right_col.isin(values), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
+    )
     left = hot_side.withColumn("_salt", salt)
     right = other.withColumn("_salt_r", F.explode(all_salts))
     left_col, right_col = _keys(left, right, hot_key, other_key)

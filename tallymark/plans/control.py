@@ -35,7 +35,7 @@ class Control(abc.ABC):
 
     @abc.abstractmethod
     def compute(self) -> dict[str, DataFrame]:
-        """Results by name; nothing runs yet."""
+        """Results by name; at most inputs they share are written before."""
 
     def publish(self, store: Store, run_ts: dt.datetime | None = None) -> dict[str, int]:
         """Write every result and return the run keys by name."""

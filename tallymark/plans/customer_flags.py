@@ -14,6 +14,7 @@ from tallymark.operators.matching import match_hot, match_inner, match_semi
 from tallymark.operators.shape import pick
 from tallymark.operators.versions import on_both_sides, rows_per
 from tallymark.plans.control import Control, target
+from tallymark.session import written_once
 
 ACCOUNT_COLUMNS = ["NAME", "OBJECT_ID", "CUST_CATEGORY", "TAX_IDENT_NUMBER", "CUSTOMER_ACCNUM"]
 SERVICE_KEYS = ["NAME_TOP", "CUSTOMER_ACCOUNT_TOP", "PRODUCT_CODE_TOP"]
@@ -74,6 +75,7 @@ def shared_customers(
     """All services of customers that hold both kinds of products.
 
     The customers are narrowed down first, then joined to the services once.
+    The services are read three times, so they should be a stored table.
     """
     both = on_both_sides(services, "CUSTOMER_ACCOUNT_TOP", _is_flag_product(codes))
     customers = match_semi(named, both, "OBJECT_ID", "CUSTOMER_ACCOUNT_TOP")
@@ -105,15 +107,17 @@ class CustomerFlags(Control):
         self.services = active_services(services, count)
 
     def compute(self) -> dict[str, DataFrame]:
+        """Results by name; the grouped services are written once for all of them."""
         accounts, columns = self.accounts, self.columns
+        services = written_once(self.services, "services")
         return {
             "flagged_without_flag_services": flagged_without_flag_services(
-                flagged_accounts(accounts, columns), self.services, self.codes
+                flagged_accounts(accounts, columns), services, self.codes
             ),
             "unflagged_with_flag_services": unflagged_with_flag_services(
-                unflagged_accounts(accounts, columns), self.services, self.codes
+                unflagged_accounts(accounts, columns), services, self.codes
             ),
             "shared_customers": shared_customers(
-                named_accounts(accounts, columns), self.services, self.codes
+                named_accounts(accounts, columns), services, self.codes
             ),
         }

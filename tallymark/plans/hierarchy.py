@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from tallymark import fixed_values as fv
 from tallymark.functions import predicates as p
-from tallymark.functions.text import plain_status
+from tallymark.functions.text import decorated, plain_status
 from tallymark.operators.matching import HOT_SHARE, hot_keys, match_anti, match_hot, match_inner
 from tallymark.operators.shape import as_text, pick, with_role
 from tallymark.plans.control import Control, target
+from tallymark.session import written_once
 
 EDGE_COLUMNS = ["NAME", "PARENT_ID", "REL_CUST"]
 HOLDING_COLUMNS = [
@@ -62,7 +63,7 @@ def holding_pairs(relations: DataFrame, parent_of: int = fv.PARENT_OF) -> DataFr
 
 def live_accounts(accounts: DataFrame) -> DataFrame:
     """Accounts in a decorated live status with a usable name."""
-    cleaned = accounts.select(
+    cleaned = accounts.where(decorated(F.col("STATUS"))).select(
         F.ltrim("NAME").alias("NAME_BUS"),
         F.col("OBJECT_ID").alias("OBJECT_ID_BUS"),
         F.col("CUST_TYPE").alias("CUST_TYPE_BUS"),
@@ -104,7 +105,7 @@ def holding_of_accounts(
     """
     live = live_accounts(accounts)
     typed = match_inner(live, account_types(objects, type_ids), "CUST_TYPE_BUS", "OBJECT_ID_NC")
-    edges = holding_edges(relations, parent_of).select("PARENT_ID", "REL_CUST")
+    edges = written_once(holding_edges(relations, parent_of).select("PARENT_ID", "REL_CUST"), "edges")
     ends = edges.select("PARENT_ID", "REL_CUST", F.explode(_both_ends()).alias("end"))
     ends = ends.select("PARENT_ID", "REL_CUST", "end.role", F.col("end.id").alias("_end_id"))
     # A parent with 1/64 of the edges has 1/128 of the ends: one count serves both joins.
@@ -138,7 +139,7 @@ def holding_pairs_wide(
     )
     side = pick(labelled, columns + ["CUST_TYPE_NAME"])
     parents, children = with_role(side, "HOLDING"), with_role(side, "LE")
-    pairs = holding_pairs(relations, parent_of)
+    pairs = written_once(holding_pairs(relations, parent_of), "pairs")
     with_parent = match_hot(pairs, parents, "PARENT_ID", "OBJECT_ID_HOLDING")
     with_both = match_inner(with_parent, children, "REL_CUST", "OBJECT_ID_LE")
     return pick(with_both, parents.columns + children.columns)

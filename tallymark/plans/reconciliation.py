@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from tallymark import fixed_values as fv
 from tallymark.functions import predicates as p
 from tallymark.functions.flags import differs_or_missing, labelled
-from tallymark.functions.text import last_segment, plain_status, type_label
+from tallymark.functions.text import decorated, last_segment, plain_status, type_label
 from tallymark.operators.matching import match_anti, match_inner, match_left
 from tallymark.operators.shape import as_text, pick
 from tallymark.operators.versions import latest_version, rows_per
 from tallymark.plans.control import Control, target
 from tallymark.runs.reports import of_latest_run
-from tallymark.session import shared_folder
+from tallymark.session import written_once
 
 ACCOUNT_KEYS = [
     "NAME",
@@ -49,7 +49,7 @@ def live_account_versions(accounts: DataFrame, labels: Mapping[int, str] = fv.TY
     }
     if "CUST_TYPE" in accounts.columns:
         changes["CUST_TYPE"] = type_label(F.col("CUST_TYPE"), labels)
-    cleaned = accounts.withColumns(changes)
+    cleaned = accounts.where(decorated(F.col("STATUS"))).withColumns(changes)
     return cleaned.where(p.equals_any(F.col("STATUS"), fv.LIVE_STATUSES))
 
 
@@ -172,14 +172,10 @@ class Reconciliation(Control):
         self.orders = order_counts(orders)
 
     def prepared(self) -> Reconciliation:
-        """Same control over inputs written once to the shared checkpoint folder.
-
-        Publishing evaluates four results over them.
-        """
-        shared_folder(self.accounts.sparkSession)
+        """Same control over inputs written once, for the four results to share."""
         other = object.__new__(Reconciliation)
-        other.accounts, other.crm = self.accounts.checkpoint(), self.crm.checkpoint()
-        other.services, other.orders = self.services.checkpoint(), self.orders.checkpoint()
+        for name in ("accounts", "crm", "services", "orders"):
+            setattr(other, name, written_once(getattr(self, name), name))
         return other
 
     def publish(self, store, run_ts=None) -> dict[str, int]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -50,3 +50,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, name: str) -> str:
     """Unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a parquet table in the shared folder, evaluated once, now.
+
+    For frames that several results use. The table outlives lost executors
+    and a reader takes only the columns it needs.
+    """
+    path = new_work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

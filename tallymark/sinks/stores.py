@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +26,7 @@ class Store(Protocol):
 class FolderStore:
     """Parquet tables below one folder, partitioned by the run key if asked.
 
+    A table with a declared schema is created empty when it is first read.
     With the run key as partition a report of the latest run reads only that
     run, and removing a run touches only its folder.
     """
@@ -41,13 +41,10 @@ class FolderStore:
 
     def read(self, table: str) -> DataFrame:
         schema = self.schemas.get(table)
-        try:
-            reader = self.spark.read.schema(schema) if schema else self.spark.read
-            return reader.parquet(self.path(table))
-        except AnalysisException:
-            if schema is None:
-                raise
-            return self.spark.createDataFrame([], schema)
+        if schema is None:
+            return self.spark.read.parquet(self.path(table))
+        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(table))
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def append(self, df: DataFrame, table: str) -> None:
         writer = df.write.mode("append")

@@ -55,23 +55,30 @@ def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return record_texts(files.select("path", "content"), printable(decoded(F.col("content"))), "path")
 
 
-def typed_records(records: DataFrame, schema: T.StructType | str | None = None, *keep: str) -> DataFrame:
-    """Record texts as columns.
+def written_records(records: DataFrame, *keep: str) -> str:
+    """Write record texts one per line to the shared folder and return the path.
 
-    Without a schema the texts are written once, one per line, to the shared
-    folder and read back with the schema inferred over all of them.
+    A document cannot be split between tasks, its written records can.
     """
-    if schema is None:
-        spark = records.sparkSession
-        path = new_work_path(spark, "records")
-        kept = [F.col(k) for k in keep]
-        writer = records.select(*kept, F.regexp_replace("record", r"[\r\n]", " ").alias("value")).write
-        (writer.partitionBy(*keep) if keep else writer).text(path)
-        return spark.read.options(**PARSE_OPTIONS).json(path)
+    path = new_work_path(records.sparkSession, "records")
+    writer = records.select(*keep, F.col("record").alias("value")).write
+    (writer.partitionBy(*keep) if keep else writer).text(path)
+    return path
+
+
+def typed_records(
+    records: DataFrame, schema: T.StructType | str, *keep: str
+) -> DataFrame:
+    """Record texts as columns of a known schema."""
     parsed = records.select(*keep, F.from_json("record", schema, PARSE_OPTIONS).alias("r"))
     return parsed.select(*keep, "r.*")
 
 
+def inferred_records(spark: SparkSession, path: str) -> DataFrame:
+    """Written records as columns, with the schema inferred over all of them."""
+    return spark.read.options(**PARSE_OPTIONS).json(path)
+
+
 def path_day(path: Column) -> Column:
     """Day named by the folders of a document's path."""
     year, month, day = (F.regexp_extract(path, DAY_PATTERN, i).cast("int") for i in (1, 2, 3))
@@ -100,9 +107,11 @@ def read_days(
     time of day of `as_of`.
     """
     paths = [day_path(base, table, day) for day in days_back(as_of.date(), days)]
-    records = read_records(spark, paths).select(path_day(F.col("path")).alias("_day"), "record")
+    texts = read_records(spark, paths).select(path_day(F.col("path")).alias("_day"), "record")
+    path = written_records(texts, "_day")
+    records = spark.read.text(path).select(F.col("value").alias("record"), F.col("_day").cast("date"))
     drift = drift_by_day(column_presence(records, "_day"), "_day", "column")
-    frame = typed_records(records, schema, "_day")
+    frame = inferred_records(spark, path) if schema is None else typed_records(records, schema, "_day")
     age = F.datediff(F.lit(as_of.date()), F.col("_day").cast("date"))
     stamped = frame.withColumn(stamp, F.lit(as_of) - F.make_dt_interval(age))
     return stamped.drop("_day"), drift
