@@ -148,7 +148,8 @@ def crm_latest_versions(spark, sf):
 
 @query("account_latest_versions", "SELECT * FROM acc_holding")
 def account_latest_versions(spark, sf):
-    return _reconciliation(spark, sf, holdings=True).accounts
+    live = recon.live_account_versions(i.account_versions(spark, sf), i.TYPE_LABELS)
+    return recon.with_latest_holding(recon.latest_accounts(live), i.holdings(spark, sf))
 
 
 @query(
@@ -219,8 +220,7 @@ FLAG_LABELS = {"R1_1": (1, 0), "R1_2": (1, 0), "R1_3": (1, 0), "R1_4": (1, 0)}
  FROM acc_latest a JOIN crm_latest c ON a.UNIQUE_GLOBAL_ID=c.crm_global_id""",
 )
 def recon_flags(spark, sf):
-    control = _reconciliation(spark, sf)
-    joined = recon.matched(control.accounts, control.crm, "UNIQUE_GLOBAL_ID", "crm_global_id")
+    joined = _reconciliation(spark, sf).compute()["matched_by_global_id"]
     flagged = recon.report_flags(joined, FLAG_LABELS)
     return pick(flagged, ["OBJECT_ID", "crm_ext_id", *FLAG_LABELS, "has_flag"])
 
@@ -231,13 +231,12 @@ def _report_sql(latest: bool) -> str:
  CASE WHEN crm_ext_id<>OBJECT_ID OR crm_ext_id IS NULL OR OBJECT_ID IS NULL THEN 'SiR1_1' ELSE 'NoR1_1' END AS R1_1,
  CASE WHEN crm_ext_id=OBJECT_ID THEN 'SiR1_2' ELSE 'NoR1_2' END AS R1_2, CASE WHEN NameSF<>NAME THEN 'SiR1_3' ELSE 'NoR1_3' END AS R1_3,
  CASE WHEN record_type<>CUST_TYPE THEN 'SiR1_4' ELSE 'NoR1_4' END AS R1_4, CASE WHEN TAX_IDENT_NUMBER LIKE 'ACCT%' THEN 'Yes' ELSE 'No' END AS has_flag
- FROM (SELECT a.*,c.*,CAST(year(c.last_activity) AS BIGINT) AS run_key FROM acc_latest a JOIN crm_latest c ON a.UNIQUE_GLOBAL_ID=c.crm_global_id) b
+ FROM (SELECT a.*,c.*,p.*,o.*,CAST(year(c.last_activity) AS BIGINT) AS run_key FROM acc_latest a JOIN crm_latest c ON a.UNIQUE_GLOBAL_ID=c.crm_global_id {ACTIVITY_SQL}) b
  JOIN fx_year_run r ON b.run_key=r.run_key{only}"""
 
 
 def _reported(spark, sf):
-    control = _reconciliation(spark, sf)
-    joined = recon.matched(control.accounts, control.crm, "UNIQUE_GLOBAL_ID", "crm_global_id")
+    joined = _reconciliation(spark, sf).compute()["matched_by_global_id"]
     return joined.withColumn("run_key", F.year("last_activity").cast("long"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallymark import fixed_values as fv
 from tallymark.functions.predicates import not_both, quoted
+from tallymark.operators.matching import anti_on
 
 RULE_COLUMNS = ["attr1", "val1", "attr2", "val2"]
 # Up to this many rules become one expression; more are joined as a table.
@@ -99,13 +100,9 @@ def suppress(df: DataFrame, rules: DataFrame, inline_rules: int = INLINE_RULES)
 
 
 def _drop_on(df: DataFrame, pairs: list[tuple[Column, str]], values: DataFrame) -> DataFrame:
-    """Anti join on text keys; a null key drops nothing."""
-    keyed = df.withColumns({f"_k{i}": key for i, (key, _) in enumerate(pairs)})
-    distinct = values.select(*[F.col(v).alias(f"_v{i}") for i, (_, v) in enumerate(pairs)]).distinct()
-    condition = reduce(
-        lambda a, b: a & b, [keyed[f"_k{i}"] == distinct[f"_v{i}"] for i in range(len(pairs))]
-    )
-    return keyed.join(distinct, condition, "left_anti").drop(*[f"_k{i}" for i in range(len(pairs))])
+    """Drop rows agreeing with some rule; a null key drops nothing."""
+    distinct = values.select(*[v for _, v in pairs]).distinct()
+    return anti_on(df, distinct, [(key, F.col(v)) for key, v in pairs])
 
 
 def _suppress_single(df: DataFrame, column: str, rules: DataFrame) -> DataFrame:

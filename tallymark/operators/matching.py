@@ -12,6 +12,9 @@ data.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,23 +64,33 @@ def pick_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def match_anti(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left rows without a match; a null left key never matches and is kept.
+    """Left rows without a match; a null left key never matches and is kept."""
+    if left.schema[left_key].dataType != right.schema[right_key].dataType:
+        return anti_on(left, right, [(quoted(left_key).cast("string"), quoted(right_key).cast("string"))])
+    return anti_on(left, right, [(quoted(left_key), quoted(right_key))])
+
 
-    Null keys may be a large part of the left side. They would all hash to one
-    partition, so they get a second key that spreads them; on the right that
+def anti_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, Column]]) -> DataFrame:
+    """Left rows for which no right row agrees on every pair of expressions.
+
+    Null keys may be most of the left side. They would all hash to one
+    partition, so they get one more key that spreads them; on the right that
     key is always 0 and no null exists there.
     """
-    spread = F.when(
-        quoted(left_key).isNull(), F.pmod(F.xxhash64(*map(quoted, left.columns)), F.lit(HOT_SALTS))
-    ).otherwise(F.lit(0).cast("long"))
-    left = left.withColumn("_spread", spread)
-    right = pick_key(right, right_key).where(quoted(right_key).isNotNull())
-    right = right.withColumn("_spread_r", F.pmod(F.xxhash64(quoted(right_key)), F.lit(1)))
-    left_col, right_col = _keys(left, right, left_key, right_key)
-    joined = left.join(
-        right, (left_col == right_col) & (left["_spread"] == right["_spread_r"]), "left_anti"
+    names = [f"_k{n}" for n in range(len(pairs))]
+    keyed = left.withColumns({name: pair[0] for name, pair in zip(names, pairs)})
+    has_null = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
+    content = F.xxhash64(*map(quoted, left.columns))
+    keyed = keyed.withColumn(
+        "_spread", F.when(has_null, F.pmod(content, F.lit(HOT_SALTS))).otherwise(F.lit(0))
     )
-    return joined.drop("_spread")
+    values = [f"_v{n}" for n in range(len(pairs))]
+    right = right.select(*[pair[1].alias(value) for value, pair in zip(values, pairs)]).dropna()
+    right = right.withColumn("_zero", F.pmod(F.xxhash64(*values), F.lit(1)))
+    agree = [keyed[name] == right[value] for name, value in zip(names, values)]
+    agree.append(keyed["_spread"] == right["_zero"])
+    joined = keyed.join(right, reduce(lambda a, b: a & b, agree), "left_anti")
+    return joined.drop(*names, "_spread")
 
 
 def match_anti_where(

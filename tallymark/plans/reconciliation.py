@@ -11,7 +11,7 @@ from tallymark import fixed_values as fv
 from tallymark.functions import predicates as p
 from tallymark.functions.flags import differs_or_missing, labelled
 from tallymark.functions.text import decorated, last_segment, plain_status, type_label
-from tallymark.operators.matching import match_anti, match_inner, match_left
+from tallymark.operators.matching import match_anti, match_hot, match_left
 from tallymark.operators.shape import as_text, pick
 from tallymark.operators.versions import latest_version, rows_per
 from tallymark.plans.control import Control, target
@@ -100,9 +100,13 @@ def with_activity(accounts: DataFrame, services: DataFrame, orders: DataFrame) -
     return match_left(served, orders, "OBJECT_ID", "ord_customer")
 
 
-def matched(accounts: DataFrame, crm: DataFrame, account_key: str, crm_key: str) -> DataFrame:
-    """Accounts found in both systems. A null key never matches."""
-    return match_inner(accounts, crm, account_key, crm_key)
+def matched(crm: DataFrame, accounts: DataFrame, crm_key: str, account_key: str) -> DataFrame:
+    """Accounts found in both systems. A null key never matches.
+
+    Many CRM accounts may claim one id, so its hot keys are counted: `crm`
+    should be a stored table.
+    """
+    return match_hot(crm, accounts, crm_key, account_key)
 
 
 def crm_only(crm: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -112,8 +116,8 @@ def crm_only(crm: DataFrame, accounts: DataFrame) -> DataFrame:
 
 def account_only(accounts: DataFrame, crm: DataFrame) -> DataFrame:
     """Active accounts whose global id the CRM does not have."""
-    missing = match_anti(accounts, crm, "UNIQUE_GLOBAL_ID", "crm_global_id")
-    return missing.where(F.col("STATUS") == fv.ACTIVE_STATUS)
+    active = accounts.where(F.col("STATUS") == fv.ACTIVE_STATUS)
+    return match_anti(active, crm, "UNIQUE_GLOBAL_ID", "crm_global_id")
 
 
 def report_flags(
@@ -166,28 +170,21 @@ class Reconciliation(Control):
         crm_keys: Sequence[str] = CRM_KEYS,
     ):
         latest = latest_accounts(live_account_versions(accounts, labels), account_keys)
-        self.accounts = latest if holdings is None else with_latest_holding(latest, holdings)
+        if holdings is not None:
+            latest = with_latest_holding(latest, holdings)
+        self.accounts = with_activity(latest, service_counts(services), order_counts(orders))
         self.crm = latest_crm(crm, crm_keys)
-        self.services = service_counts(services)
-        self.orders = order_counts(orders)
-
-    def prepared(self) -> Reconciliation:
-        """Same control over inputs written once, for the four results to share."""
-        other = object.__new__(Reconciliation)
-        for name in ("accounts", "crm", "services", "orders"):
-            setattr(other, name, written_once(getattr(self, name), name))
-        return other
-
-    def publish(self, store, run_ts=None) -> dict[str, int]:
-        return super(Reconciliation, self.prepared()).publish(store, run_ts)
 
     def compute(self) -> dict[str, DataFrame]:
-        by_global = matched(self.accounts, self.crm, "UNIQUE_GLOBAL_ID", "crm_global_id")
-        by_external = matched(self.accounts, self.crm, "OBJECT_ID", "crm_ext_id")
-        left_over = account_only(self.accounts, self.crm)
+        """Results by name; both prepared sides are written once for all of them.
+
+        Activity is attached to the accounts before they are matched: accounts
+        are unique there, while a matched account may repeat very often.
+        """
+        accounts, crm = written_once(self.accounts, "accounts"), written_once(self.crm, "crm")
         return {
-            "matched_by_global_id": with_activity(by_global, self.services, self.orders),
-            "crm_only": crm_only(self.crm, self.accounts),
-            "account_only": with_activity(left_over, self.services, self.orders),
-            "matched_by_external_id": with_activity(by_external, self.services, self.orders),
+            "matched_by_global_id": matched(crm, accounts, "crm_global_id", "UNIQUE_GLOBAL_ID"),
+            "crm_only": crm_only(crm, accounts),
+            "account_only": account_only(accounts, crm),
+            "matched_by_external_id": matched(crm, accounts, "crm_ext_id", "OBJECT_ID"),
         }

@@ -40,8 +40,16 @@ def with_run_day(
 def latest_report(
     results: DataFrame, run_log: DataFrame, order: Sequence[str | Column], key: str = "run_key", **names: str
 ) -> DataFrame:
-    """Rows of the latest run, ordered."""
-    return with_run_day(of_latest_run(results, key), run_log, key, **names).orderBy(*order)
+    """Rows of the latest run, ordered.
+
+    All of them share one run key, so a shuffle by key would put them in one
+    task. The log is cut down to that run as well: keys are unique in it, so
+    this is one row and safe to broadcast.
+    """
+    log_key = names.get("log_key", "run_key")
+    latest = results.agg(F.max(quoted(key))).scalar()
+    one_run = F.broadcast(run_log.where(quoted(log_key) == latest))
+    return with_run_day(of_latest_run(results, key), one_run, key, **names).orderBy(*order)
 
 
 def full_history(
