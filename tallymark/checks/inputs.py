@@ -133,23 +133,20 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 fragment(
     "fx_relation",
     """SELECT concat('rel ',CAST(c_custkey AS VARCHAR)) AS NAME, c_custkey AS OBJECT_ID,
- CAST(CASE WHEN c_custkey%10=0 THEN 2 ELSE 1 END AS BIGINT) AS REL_TYPE, c_custkey//3 AS PARENT_ID, c_custkey AS REL_CUST
- FROM customer WHERE c_custkey>0""",
+ CAST(CASE WHEN c_custkey%10=0 THEN 2 ELSE 1 END AS BIGINT) AS REL_TYPE, CASE WHEN c_custkey>0 THEN c_custkey//3 END AS PARENT_ID, c_custkey AS REL_CUST
+ FROM customer""",
 )
 
 
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree with three children per account; the top account has no parent."""
-    return (
-        table(spark, sf_dir, "customer")
-        .where("c_custkey > 0")
-        .select(
-            F.concat(F.lit("rel "), text("c_custkey")).alias("NAME"),
-            F.col("c_custkey").alias("OBJECT_ID"),
-            F.when(every("c_custkey", 10), 2).otherwise(PARENT_OF).cast("long").alias("REL_TYPE"),
-            F.floor(F.col("c_custkey") / 3).alias("PARENT_ID"),
-            F.col("c_custkey").alias("REL_CUST"),
-        )
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("rel "), text("c_custkey")).alias("NAME"),
+        key.alias("OBJECT_ID"),
+        F.when(every("c_custkey", 10), 2).otherwise(PARENT_OF).cast("long").alias("REL_TYPE"),
+        F.when(key > 0, F.floor(key / 3)).alias("PARENT_ID"),
+        key.alias("REL_CUST"),
     )
 
 
@@ -308,6 +305,11 @@ def relation_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Size text of a number of bytes `b`, as SQL.
+PRETTY_SQL = """CASE WHEN b<10240 THEN concat(CAST(b AS VARCHAR),' bytes') WHEN b//512<20479 THEN concat(CAST((b//512+1)//2 AS VARCHAR),' kB')
+ WHEN b//524288<20479 THEN concat(CAST((b//524288+1)//2 AS VARCHAR),' MB') WHEN b//536870912<20479 THEN concat(CAST((b//536870912+1)//2 AS VARCHAR),' GB')
+ ELSE concat(CAST((b//549755813888+1)//2 AS VARCHAR),' TB') END"""
+
 # Blocks shared by several SQL twins.
 fragment(
     "cleaned_account",

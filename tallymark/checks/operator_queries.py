@@ -11,8 +11,8 @@ from tallymark.functions import predicates as p
 from tallymark.functions import sizes, text
 from tallymark.operators import drift, exception_rules, matching, shape, tables, versions
 from tallymark.operators.keys import dense_keys, next_key
-
-CATEGORY_TEXT = "BUILDING"
+from tallymark.plans.customer_flags import named_accounts
+from tallymark.plans.reconciliation import order_counts
 
 
 @query(
@@ -133,14 +133,9 @@ def size_parse(spark, sf):
     return sized.select("l_orderkey", "x", sizes.size_in_kb(size).alias("kb"), sizes.size_in_gb(size).alias("gb"))
 
 
-PRETTY_SQL = """CASE WHEN b<10240 THEN concat(CAST(b AS VARCHAR),' bytes') WHEN b//512<20479 THEN concat(CAST((b//512+1)//2 AS VARCHAR),' kB')
- WHEN b//524288<20479 THEN concat(CAST((b//524288+1)//2 AS VARCHAR),' MB') WHEN b//536870912<20479 THEN concat(CAST((b//536870912+1)//2 AS VARCHAR),' GB')
- ELSE concat(CAST((b//549755813888+1)//2 AS VARCHAR),' TB') END"""
-
-
 @query(
     "pretty_sizes",
-    f"SELECT l_orderkey, b, {PRETTY_SQL} AS pretty FROM (SELECT l_orderkey, l_orderkey*l_partkey*l_suppkey*l_linenumber AS b FROM lineitem) q",
+    f"SELECT l_orderkey, b, {i.PRETTY_SQL} AS pretty FROM (SELECT l_orderkey, l_orderkey*l_partkey*l_suppkey*l_linenumber AS b FROM lineitem) q",
 )
 def pretty_sizes(spark, sf):
     product = F.col("l_orderkey") * F.col("l_partkey") * F.col("l_suppkey") * F.col("l_linenumber")
@@ -185,8 +180,6 @@ def semi_neq_many(spark, sf):
     "SELECT a.OBJECT_ID, o.ord_customer, o.n_ord FROM fx_account a LEFT JOIN ord_count o ON CAST(a.OBJECT_ID AS VARCHAR)=o.ord_customer",
 )
 def left_match(spark, sf):
-    from tallymark.plans.reconciliation import order_counts
-
     accounts = i.accounts(spark, sf).select("OBJECT_ID")
     return matching.match_left(accounts, order_counts(i.orders(spark, sf)), "OBJECT_ID", "ord_customer")
 
@@ -196,8 +189,6 @@ def left_match(spark, sf):
     "SELECT OBJECT_ID, PARENT_ID FROM fx_order f WHERE EXISTS (SELECT 1 FROM named_account a WHERE a.OBJECT_ID=f.PARENT_ID)",
 )
 def semi_match(spark, sf):
-    from tallymark.plans.customer_flags import named_accounts
-
     return matching.match_semi(i.orders(spark, sf), named_accounts(i.accounts(spark, sf)), "PARENT_ID", "OBJECT_ID")
 
 
@@ -206,8 +197,6 @@ def semi_match(spark, sf):
     "SELECT OBJECT_ID, PARENT_ID FROM fx_order f WHERE NOT EXISTS (SELECT 1 FROM named_account a WHERE a.OBJECT_ID=f.PARENT_ID)",
 )
 def anti_match(spark, sf):
-    from tallymark.plans.customer_flags import named_accounts
-
     return matching.match_anti(i.orders(spark, sf), named_accounts(i.accounts(spark, sf)), "PARENT_ID", "OBJECT_ID")
 
 
@@ -344,15 +333,16 @@ def exc_mark_many(spark, sf):
 
 @query(
     "snapshot_append",
-    """SELECT event_id,event_type,CAST(NULL AS DOUBLE) AS value FROM events WHERE CAST(ts AS DATE)=DATE '2024-01-02'
- UNION ALL SELECT event_id,CAST(NULL AS VARCHAR),value FROM events WHERE CAST(ts AS DATE)=DATE '2024-01-03'""",
+    """SELECT event_id,event_type,CAST(NULL AS DOUBLE) AS value FROM events WHERE CAST(ts AS DATE)=(SELECT max(CAST(ts AS DATE)) FROM events)
+ UNION ALL SELECT event_id,CAST(NULL AS VARCHAR),value FROM events WHERE CAST(ts AS DATE)<(SELECT max(CAST(ts AS DATE)) FROM events)""",
 )
 def snapshot_append(spark, sf):
-    events = i.table(spark, sf, "events")
-    day = F.col("ts").cast("date")
-    old = events.where(day == "2024-01-02").select("event_id", "event_type")
-    new = events.where(day == "2024-01-03").select("event_id", "value")
-    return drift.snapshot_union(old, new)
+    """The last day ahead of all days before it, whose columns differ."""
+    events = i.table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    last = events.agg(F.max("day")).scalar()
+    new = events.where(F.col("day") == last).select("event_id", "event_type")
+    history = events.where(F.col("day") < last).select("event_id", "value")
+    return drift.snapshot_union(new, history)
 
 
 @query(

@@ -13,6 +13,8 @@ from tallymark.checks.registry import query
 from tallymark.functions.text import printable
 from tallymark.operators.drift import drift_by_day
 from tallymark.operators.shape import to_logical
+from tallymark.plans.operations import Operations
+from tallymark.plans.reconciliation import latest_crm
 from tallymark.runs import monitoring, publish, reports
 from tallymark.session import new_work_path
 from tallymark.sinks.exports import export_csv, refresh_history, snapshot
@@ -101,23 +103,16 @@ def control_run_days(spark, sf):
  WHERE control NOT LIKE '%arning%' AND control NOT LIKE 'Historico!_%' ESCAPE '!' GROUP BY 1""",
 )
 def operations_status(spark, sf):
-    from tallymark.plans.operations import Operations
-
     control = Operations(
         _tables_by_name(spark, sf), i.runs(spark, sf), i.relation_sizes(spark, sf), "results", i.AS_OF
     )
     return control.compute()["run_status"]
 
 
-PRETTY_SQL = """CASE WHEN b<10240 THEN concat(CAST(b AS VARCHAR),' bytes') WHEN b//512<20479 THEN concat(CAST((b//512+1)//2 AS VARCHAR),' kB')
- WHEN b//524288<20479 THEN concat(CAST((b//524288+1)//2 AS VARCHAR),' MB') WHEN b//536870912<20479 THEN concat(CAST((b//536870912+1)//2 AS VARCHAR),' GB')
- ELSE concat(CAST((b//549755813888+1)//2 AS VARCHAR),' TB') END"""
-
-
 @query(
     "schema_size",
     f"""SELECT CASE WHEN p LIKE '%TB' THEN n*1024 WHEN p LIKE '%GB' THEN n WHEN p LIKE '%MB' THEN n//1024 WHEN p LIKE '%kB' THEN n//1048576 ELSE n//1073741824 END AS size_gb
- FROM (SELECT p, CAST(split_part(p,' ',1) AS BIGINT) AS n FROM (SELECT {PRETTY_SQL} AS p FROM (SELECT CAST(sum(bytes) AS BIGINT) AS b FROM fx_relation_size WHERE "schema"='results') x) y) z""",
+ FROM (SELECT p, CAST(split_part(p,' ',1) AS BIGINT) AS n FROM (SELECT {i.PRETTY_SQL} AS p FROM (SELECT CAST(sum(bytes) AS BIGINT) AS b FROM fx_relation_size WHERE "schema"='results') x) y) z""",
 )
 def schema_size(spark, sf):
     return monitoring.schema_size(i.relation_sizes(spark, sf), "results")
@@ -126,7 +121,7 @@ def schema_size(spark, sf):
 @query(
     "table_sizes",
     f"""SELECT p AS size, CASE WHEN p LIKE '%TB' THEN n*1073741824 WHEN p LIKE '%GB' THEN n*1048576 WHEN p LIKE '%MB' THEN n*1024 WHEN p LIKE '%kB' THEN n ELSE n//1024 END AS size_kb, relation AS name
- FROM (SELECT relation, p, CAST(split_part(p,' ',1) AS BIGINT) AS n FROM (SELECT relation, {PRETTY_SQL} AS p FROM (SELECT relation, bytes AS b FROM fx_relation_size
+ FROM (SELECT relation, p, CAST(split_part(p,' ',1) AS BIGINT) AS n FROM (SELECT relation, {i.PRETTY_SQL} AS p FROM (SELECT relation, bytes AS b FROM fx_relation_size
  WHERE "schema" NOT IN ('pg_catalog','information_schema') AND "schema" NOT LIKE 'pg_toast%' AND kind<>'i') x) y) z
  WHERE relation IN (SELECT concat(p_name,'_',CAST(p_partkey AS VARCHAR)) FROM part WHERE p_type<>'PROMO')""",
 )
@@ -222,8 +217,6 @@ def pipe_file(spark, sf):
 @query("crm_parquet", "SELECT * FROM crm_latest")
 def crm_parquet(spark, sf):
     """CRM extract under its physical column names, stored as parquet and reconciled."""
-    from tallymark.plans.reconciliation import latest_crm
-
     base = new_work_path(spark, "crm")
     extract = i.crm(spark, sf).withColumnsRenamed(fv.CRM_COLUMNS)
     extract.write.parquet(f"{base}/Account.parquet")

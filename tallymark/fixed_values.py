@@ -136,3 +136,9 @@ RECONCILIATION_LAYOUT = {
     "ord_customer": "PARENT_ID_ORD",
     "n_ord": "Cant_Prod_Orders",
 }
+
+# Physical column names of the other results, by logical name.
+SERVICE_RESULT_COLUMNS = {"n_services": "NumVecesServAsocAlCustomer_TOP"}
+STATUS_COLUMNS = {"status": "OKNOK", "control": "ControlName"}
+SCHEMA_SIZE_COLUMNS = {"size_gb": "SizeDBInGB"}
+TABLE_SIZE_COLUMNS = {"size": "DSSize", "size_kb": "DSSizekBytes", "name": "DSName"}

@@ -22,9 +22,14 @@ def with_role(df: DataFrame, role: str, columns: Iterable[str] | None = None) ->
     return df.withColumnsRenamed({c: f"{c}_{role}" for c in (columns or df.columns)})
 
 
+def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Rename columns by exact, case-sensitive name; others stay."""
+    return df.select(*[quoted(c).alias(names.get(c, c)) for c in df.columns])
+
+
 def to_logical(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename physical columns to logical ones (`names`: logical -> physical)."""
-    return df.withColumnsRenamed({physical: logical for logical, physical in names.items()})
+    return renamed(df, {physical: logical for logical, physical in names.items()})
 
 
 def to_layout(df: DataFrame, layout: Mapping[str, str]) -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymark import fixed_values as fv
 from tallymark.functions.predicates import quoted
+from tallymark.operators.shape import renamed, to_logical
 from tallymark.sources.jdbc import Connection, quoted_table, read_relation
 
 
@@ -114,3 +116,35 @@ class JdbcStore:
             .mode("append")
             .save()
         )
+
+
+@dataclass(frozen=True)
+class NamedTable:
+    """Existing table behind a logical one, with its column names."""
+
+    table: str
+    columns: Mapping[str, str]
+
+
+@dataclass(frozen=True)
+class NamedStore:
+    """Another store whose tables and columns carry the names already in use."""
+
+    store: Store
+    tables: Mapping[str, NamedTable]
+
+    @property
+    def spark(self) -> SparkSession:
+        return self.store.spark
+
+    def _named(self, table: str) -> NamedTable:
+        known = self.tables.get(table, NamedTable(table, {}))
+        return NamedTable(known.table, {"run_key": fv.RUN_LOG_COLUMNS["run_key"], **known.columns})
+
+    def read(self, table: str) -> DataFrame:
+        named = self._named(table)
+        return to_logical(self.store.read(named.table), named.columns)
+
+    def append(self, df: DataFrame, table: str) -> None:
+        named = self._named(table)
+        self.store.append(renamed(df, named.columns), named.table)

@@ -13,7 +13,7 @@ from tallymark.plans.control import Control, Target
 from tallymark.plans.operations import Operations, dataset_size_history
 from tallymark.runs import monitoring, publish, reports
 from tallymark.session import new_work_path
-from tallymark.sinks.stores import CatalogStore, FolderStore
+from tallymark.sinks.stores import CatalogStore, FolderStore, NamedStore, NamedTable
 
 NOON = dt.datetime(2024, 5, 2, 12)
 
@@ -108,6 +108,29 @@ def test_a_control_publishes_each_result(spark, store):
     assert rows(store.read(publish.RUN_LOG).select("control_type", "row_count")) == Counter([(1, 2), (2, 3)])
 
 
+def test_tables_under_the_names_in_use(spark):
+    folder = FolderStore(spark, new_work_path(spark, "store"))
+    log_columns = [(fv.RUN_LOG_COLUMNS[f.name], f.dataType) for f in publish.RUN_LOG_SCHEMA]
+    empty_log = spark.createDataFrame([], publish.RUN_LOG_SCHEMA).toDF(*[name for name, _ in log_columns])
+    folder.append(empty_log, "EjecucionControl")
+    claims = spark.createDataFrame([], publish.RUN_CLAIM_SCHEMA).withColumnRenamed("run_key", "ClEjecControl")
+    folder.append(claims, publish.RUN_CLAIM)
+    store = NamedStore(
+        folder,
+        {
+            publish.RUN_LOG: NamedTable("EjecucionControl", fv.RUN_LOG_COLUMNS),
+            publish.STATUS_HISTORY: NamedTable("HistoricoEjecucionControlOKNOK", fv.STATUS_COLUMNS),
+        },
+    )
+    publish.publish_status(store, True, "MyControl", NOON)
+    written = folder.read("HistoricoEjecucionControlOKNOK")
+    assert sorted(written.columns) == ["ClEjecControl", "ControlName", "OKNOK"]
+    log_row = folder.read("EjecucionControl").first()
+    assert (log_row.ClEjecControl, log_row.ClTipControl, log_row.NumRegistros, log_row.Fecha) == (0, 39, 1, NOON)
+    report = reports.full_history(store.read(publish.STATUS_HISTORY), store.read(publish.RUN_LOG), ["control"])
+    assert rows(report.select("status", "control", "run_day")) == Counter([("OK", "MyControl", NOON.date())])
+
+
 def log(spark, data):
     return spark.createDataFrame(data, "run_key long, run_ts timestamp_ntz")
 
