@@ -12,6 +12,7 @@ from tallymark.plans import customer_flags as flags
 from tallymark.plans import hierarchy as tree
 from tallymark.plans import reconciliation as recon
 from tallymark.runs.reports import full_history, latest_report
+from tallymark.session import written_once
 
 CODES_SQL = "('PROMO','SMALL')"
 ACTIVITY_SQL = "LEFT JOIN svc_count p ON a.OBJECT_ID=p.svc_customer LEFT JOIN ord_count o ON a.OBJECT_ID=o.ord_customer"
@@ -173,7 +174,8 @@ def recon_r2(spark, sf):
     "SELECT * FROM crm_latest c WHERE NOT EXISTS (SELECT 1 FROM acc_latest a WHERE a.UNIQUE_GLOBAL_ID=c.crm_global_id)",
 )
 def recon_crm_only(spark, sf):
-    return _reconciliation(spark, sf).compute()["crm_only"]
+    live = recon.live_account_versions(i.account_versions(spark, sf), i.TYPE_LABELS)
+    return recon.crm_only(recon.latest_crm(i.crm(spark, sf)), recon.latest_accounts(live))
 
 
 def _acc_only_sql(accounts: str) -> str:
@@ -236,8 +238,9 @@ def _report_sql(latest: bool) -> str:
 
 
 def _reported(spark, sf):
+    """Stored results; the year of the last activity stands for the run."""
     joined = _reconciliation(spark, sf).compute()["matched_by_global_id"]
-    return joined.withColumn("run_key", F.year("last_activity").cast("long"))
+    return written_once(joined.withColumn("run_key", F.year("last_activity").cast("long")), "results")
 
 
 @query("recon_report_latest", _report_sql(latest=True))

@@ -13,6 +13,7 @@ from tallymark.operators import drift, exception_rules, matching, shape, tables,
 from tallymark.operators.keys import dense_keys, next_key
 from tallymark.plans.customer_flags import named_accounts
 from tallymark.plans.reconciliation import order_counts
+from tallymark.session import written_once
 
 
 @query(
@@ -216,7 +217,7 @@ def anti_match_where(spark, sf):
 )
 def hot_match(spark, sf):
     """Join on a column with a handful of values, every one of them hot."""
-    services = i.services(spark, sf).select("CUSTOMER_ACCOUNT", "PRODUCT_CODE")
+    services = written_once(i.services(spark, sf).select("CUSTOMER_ACCOUNT", "PRODUCT_CODE"), "services")
     totals = versions.rows_per(services, ["PRODUCT_CODE"], "n_accounts")
     totals = totals.withColumnRenamed("PRODUCT_CODE", "type_id")
     return matching.match_hot(services, totals, "PRODUCT_CODE", "type_id", "left")

@@ -71,8 +71,20 @@ def _inline(rules: DataFrame, limit: int) -> list[Row] | None:
 
 
 def _attribute_pairs(rules: DataFrame) -> list[Row]:
-    """Distinct tested columns; bounded by the columns of the tested frame."""
-    return rules.select("attr1", "attr2").distinct().collect()
+    """Distinct tested columns and which of their values may be null.
+
+    Bounded by the columns of the tested frame.
+    """
+    no_first, no_second = F.col("val1").isNull(), F.col("val2").isNull()
+    return (
+        rules.groupBy("attr1", "attr2")
+        .agg(
+            F.bool_or(no_first).alias("null_first"),
+            F.bool_or(no_second).alias("null_second"),
+            F.bool_or(no_first & no_second).alias("null_both"),
+        )
+        .collect()
+    )
 
 
 def _of_pair(rules: DataFrame, pair: Row) -> DataFrame:
@@ -92,44 +104,47 @@ def suppress(df: DataFrame, rules: DataFrame, inline_rules: int = INLINE_RULES)
     if few is not None:
         return df.where(reduce(lambda a, b: a & b, map(_miss, few))) if few else df
     for pair in _attribute_pairs(rules):
-        if pair.attr2 is None:
-            df = _suppress_single(df, pair.attr1, _of_pair(rules, pair))
-        else:
-            df = _suppress_double(df, pair.attr1, pair.attr2, _of_pair(rules, pair))
+        apply = _suppress_single if pair.attr2 is None else _suppress_double
+        df = apply(df, pair, _of_pair(rules, pair))
     return df
 
 
-def _drop_on(df: DataFrame, pairs: list[tuple[Column, str]], values: DataFrame) -> DataFrame:
-    """Drop rows agreeing with some rule; a null key drops nothing."""
-    distinct = values.select(*[v for _, v in pairs]).distinct()
-    return anti_on(df, distinct, [(key, F.col(v)) for key, v in pairs])
+def _suppress_single(df: DataFrame, pair: Row, rules: DataFrame) -> DataFrame:
+    if pair.null_first:
+        return df.where(F.lit(False))
+    tested = df.where(quoted(pair.attr1).isNotNull())
+    return anti_on(tested, rules.distinct(), [(_text(pair.attr1), F.col("val1"))])
 
 
-def _suppress_single(df: DataFrame, column: str, rules: DataFrame) -> DataFrame:
-    null_rule = rules.agg(F.bool_or(F.col("val1").isNull())).scalar()
-    df = df.where(quoted(column).isNotNull() & ~null_rule)
-    return _drop_on(df, [(_text(column), "val1")], rules)
-
-
-def _suppress_double(df: DataFrame, first: str, second: str, rules: DataFrame) -> DataFrame:
+def _suppress_double(df: DataFrame, pair: Row, rules: DataFrame) -> DataFrame:
     """Drop rows where some rule is true or unknown on both of its columns."""
-    a, b = _text(first), _text(second)
-    free_first = rules.where("val1 IS NULL")
-    free_second = rules.where("val2 IS NULL")
-    any_null_first = rules.agg(F.bool_or(F.col("val1").isNull())).scalar()
-    any_null_second = rules.agg(F.bool_or(F.col("val2").isNull())).scalar()
-    any_null_both = rules.agg(F.bool_or(F.col("val1").isNull() & F.col("val2").isNull())).scalar()
-    df = df.where(
-        ~any_null_both
-        & ~(a.isNull() & b.isNull())
-        & ~(a.isNull() & any_null_second)
-        & ~(b.isNull() & any_null_first)
+    if pair.null_both:
+        return df.where(F.lit(False))
+    first, second = _text(pair.attr1), _text(pair.attr2)
+    df = df.where(first.isNotNull() | second.isNotNull())
+    if pair.null_first:
+        free = rules.where("val1 IS NULL").distinct()
+        df = anti_on(df.where(second.isNotNull()), free, [(second, F.col("val2"))])
+    if pair.null_second:
+        free = rules.where("val2 IS NULL").distinct()
+        df = anti_on(df.where(first.isNotNull()), free, [(first, F.col("val1"))])
+    # A rule hits rows with both its values, and rows with one of them where
+    # the other column is null: three keys per rule, one key per row.
+    keys = F.explode(
+        F.array(
+            F.struct(F.lit("both").alias("kind"), F.col("val1").alias("x"), F.col("val2").alias("y")),
+            F.struct(F.lit("first").alias("kind"), F.col("val1").alias("x"), F.lit("").alias("y")),
+            F.struct(F.lit("second").alias("kind"), F.lit("").alias("x"), F.col("val2").alias("y")),
+        )
+    )
+    wanted = rules.dropna().select(keys.alias("key")).select("key.*").distinct()
+    kind = F.when(second.isNull(), "first").when(first.isNull(), "second").otherwise("both")
+    blank = F.lit("")
+    return anti_on(
+        df,
+        wanted,
+        [(kind, F.col("kind")), (F.coalesce(first, blank), F.col("x")), (F.coalesce(second, blank), F.col("y"))],
     )
-    df = _drop_on(df, [(a, "val1"), (b, "val2")], rules)
-    df = _drop_on(df, [(F.when(a.isNull(), b), "val2")], rules)
-    df = _drop_on(df, [(F.when(b.isNull(), a), "val1")], rules)
-    df = _drop_on(df, [(b, "val2")], free_first)
-    return _drop_on(df, [(a, "val1")], free_second)
 
 
 def mark_duplicates(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.predicates import quoted, since
+from tallymark.sinks.stores import Store
 
 REPORT_DAYS = 180
 
@@ -81,3 +82,9 @@ def recent_schema_sizes(
     recent = run_log.where(since(F.col("run_ts"), as_of, days))
     dated = with_run_day(sizes, recent)
     return dated.select(quoted(size).cast("int").alias(size), "run_day").distinct().orderBy("run_day")
+
+
+def register_views(store: Store, tables: Sequence[str]) -> None:
+    """Make result tables and the run log available to `spark.sql` by name."""
+    for table in tables:
+        store.read(table).createOrReplaceTempView(table)

@@ -156,6 +156,18 @@ def test_latest_report_reads_one_partition(spark, store):
     assert "PartitionFilters: [isnotnull(run_key" in plan
 
 
+def test_dashboard_sql_over_views(spark, store):
+    for n in (2, 3):
+        publish.publish_run(store, spark.range(n), "results", 1, run_ts=NOON)
+    reports.register_views(store, ["results", publish.RUN_LOG])
+    got = spark.sql(
+        """SELECT t.*, date(r.run_ts) AS run_day FROM results t JOIN run_log r ON t.run_key = r.run_key
+        WHERE t.run_key = (SELECT max(run_key) FROM results) ORDER BY t.id"""
+    )
+    report = reports.latest_report(store.read("results"), store.read(publish.RUN_LOG), ["id"])
+    assert got.collect() == report.collect() and got.count() == 3
+
+
 def test_run_status(spark):
     controls = spark.createDataFrame([("never",), ("yesterday",), ("today",), ("warning_x",)], "control string")
     days = spark.createDataFrame(
