@@ -33,7 +33,8 @@ def _no_overlap(left: DataFrame, right: DataFrame) -> None:
 
 
 def _keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> tuple[Column, Column]:
-    left_col, right_col = left[f"`{left_key}`"], right[f"`{right_key}`"]
+    """Both keys, for sides aliased as l and r; by name, so one frame may be both."""
+    left_col, right_col = F.col(f"l.`{left_key}`"), F.col(f"r.`{right_key}`")
     if left.schema[left_key].dataType != right.schema[right_key].dataType:
         return left_col.cast("string"), right_col.cast("string")
     return left_col, right_col
@@ -42,9 +43,8 @@ def _keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> t
 def _equi(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
     if how not in ("left_semi", "left_anti"):
         _no_overlap(left, right)
-    left, right = left.alias("l"), right.alias("r")
     left_col, right_col = _keys(left, right, left_key, right_key)
-    return left.join(right, left_col == right_col, how)
+    return left.alias("l").join(right.alias("r"), left_col == right_col, how)
 
 
 def match_inner(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -87,8 +87,8 @@ def anti_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, Col
     values = [f"_v{n}" for n in range(len(pairs))]
     right = right.select(*[pair[1].alias(value) for value, pair in zip(values, pairs)]).dropna()
     right = right.withColumn("_zero", F.pmod(F.xxhash64(*values), F.lit(1)))
-    agree = [keyed[name] == right[value] for name, value in zip(names, values)]
-    agree.append(keyed["_spread"] == right["_zero"])
+    agree = [F.col(name) == F.col(value) for name, value in zip(names, values)]
+    agree.append(F.col("_spread") == F.col("_zero"))
     joined = keyed.join(right, reduce(lambda a, b: a & b, agree), "left_anti")
     return joined.drop(*names, "_spread")
 
@@ -163,14 +163,12 @@ def match_hot(
     left_col, right_col = _keys(hot_side, other, hot_key, other_key)
     same_type = hot_side.schema[hot_key].dataType == other.schema[other_key].dataType
     values = hot if same_type else [str(value) for value in hot]
-    salt = F.when(
-        left_col.isin(values), F.pmod(F.xxhash64(*map(quoted, hot_side.columns)), F.lit(salts)).cast("int")
-    ).otherwise(F.lit(0))
+    content = F.xxhash64(*map(quoted, hot_side.columns))
+    salt = F.when(left_col.isin(values), F.pmod(content, F.lit(salts)).cast("int")).otherwise(F.lit(0))
     all_salts = F.when(right_col.isin(values), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
-    left = hot_side.withColumn("_salt", salt)
-    right = other.withColumn("_salt_r", F.explode(all_salts))
-    left_col, right_col = _keys(left, right, hot_key, other_key)
-    joined = left.join(right, (left_col == right_col) & (left["_salt"] == right["_salt_r"]), how)
-    return joined.drop("_salt", "_salt_r")
+    left = hot_side.alias("l").withColumn("_salt", salt)
+    right = other.alias("r").withColumn("_salt_r", F.explode(all_salts))
+    agree = (left_col == right_col) & (F.col("_salt") == F.col("_salt_r"))
+    return left.alias("l").join(right.alias("r"), agree, how).drop("_salt", "_salt_r")

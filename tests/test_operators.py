@@ -46,6 +46,14 @@ def test_self_join_by_role(spark):
     assert rows(joined) == Counter([(1, 2, 2, 3)])
 
 
+def test_one_frame_on_both_sides(spark):
+    df = frame(spark, [(1, 2), (2, 3)], "parent int, child int")
+    assert rows(matching.match_semi(df, df, "child", "parent")) == Counter([(1, 2)])
+    assert rows(matching.match_anti(df, df, "parent", "child")) == Counter([(1, 2)])
+    renamed = shape.with_role(df, "x")
+    assert rows(matching.match_hot(df, renamed, "child", "parent_x", hot=[2])) == Counter([(1, 2, 2, 3)])
+
+
 def test_null_left_keys(spark):
     left = frame(spark, [(None, 1), (1, 2), (2, 3)], "k int, n int")
     right = frame(spark, [(1,), (None,)], "r int")

@@ -112,20 +112,20 @@ def test_tables_under_the_names_in_use(spark):
     folder = FolderStore(spark, new_work_path(spark, "store"))
     log_columns = [(fv.RUN_LOG_COLUMNS[f.name], f.dataType) for f in publish.RUN_LOG_SCHEMA]
     empty_log = spark.createDataFrame([], publish.RUN_LOG_SCHEMA).toDF(*[name for name, _ in log_columns])
-    folder.append(empty_log, "EjecucionControl")
+    folder.append(empty_log, "RunTable")
     claims = spark.createDataFrame([], publish.RUN_CLAIM_SCHEMA).withColumnRenamed("run_key", "ClEjecControl")
     folder.append(claims, publish.RUN_CLAIM)
     store = NamedStore(
         folder,
         {
-            publish.RUN_LOG: NamedTable("EjecucionControl", fv.RUN_LOG_COLUMNS),
-            publish.STATUS_HISTORY: NamedTable("HistoricoEjecucionControlOKNOK", fv.STATUS_COLUMNS),
+            publish.RUN_LOG: NamedTable("RunTable", fv.RUN_LOG_COLUMNS),
+            publish.STATUS_HISTORY: NamedTable("StatusTable", fv.STATUS_COLUMNS),
         },
     )
     publish.publish_status(store, True, "MyControl", NOON)
-    written = folder.read("HistoricoEjecucionControlOKNOK")
+    written = folder.read("StatusTable")
     assert sorted(written.columns) == ["ClEjecControl", "ControlName", "OKNOK"]
-    log_row = folder.read("EjecucionControl").first()
+    log_row = folder.read("RunTable").first()
     assert (log_row.ClEjecControl, log_row.ClTipControl, log_row.NumRegistros, log_row.Fecha) == (0, 39, 1, NOON)
     report = reports.full_history(store.read(publish.STATUS_HISTORY), store.read(publish.RUN_LOG), ["control"])
     assert rows(report.select("status", "control", "run_day")) == Counter([("OK", "MyControl", NOON.date())])
