@@ -239,10 +239,10 @@ def dataset_history(spark, sf):
     return refresh_history(spark, snapshot(datasets, i.AS_OF), first, second)
 
 
-def _store(spark):
-    return FolderStore(
-        spark, new_work_path(spark, "store"), publish.RUN_SCHEMAS, {"orders": "run_key"}
-    )
+def _store(spark, **partitions):
+    store = FolderStore(spark, new_work_path(spark, "store"), partitions)
+    publish.create_run_tables(store)
+    return store
 
 
 @query(
@@ -251,7 +251,7 @@ def _store(spark):
 )
 def published_run(spark, sf):
     """Two runs of a control, and the report of the latest."""
-    store = _store(spark)
+    store = _store(spark, orders="run_key")
     orders = i.orders(spark, sf)
     publish.publish_run(store, orders.where("PARENT_ID IS NULL"), "orders", 53, run_ts=RUN_TS)
     publish.publish_run(store, orders, "orders", 53, attribute_keys=[11, 2], run_ts=RUN_TS)
@@ -269,7 +269,7 @@ def published_run(spark, sf):
 )
 def published_rows(spark, sf):
     """A run row for every result row."""
-    store = FolderStore(spark, new_work_path(spark, "store"), publish.RUN_SCHEMAS)
+    store = _store(spark)
     publish.publish_rows(store, i.orders(spark, sf), "orders", 7, ["OBJECT_ID"], RUN_TS)
     log = store.read(publish.RUN_LOG).select(F.col("run_key").alias("logged"), "control_type")
     return store.read("orders").join(log, F.col("run_key") == F.col("logged")).drop("logged")

@@ -45,6 +45,12 @@ STATUS_SCHEMA = T.StructType(
 RUN_SCHEMAS = {RUN_LOG: RUN_LOG_SCHEMA, RUN_CLAIM: RUN_CLAIM_SCHEMA}
 
 
+def create_run_tables(store: Store) -> None:
+    """Create the run log and the claims where they do not exist yet."""
+    for table, schema in RUN_SCHEMAS.items():
+        store.create(table, schema)
+
+
 class IncompleteWrite(RuntimeError):
     """The store does not hold exactly the rows of the run."""
 

@@ -16,9 +16,15 @@ from tallymark.operators.shape import renamed, to_logical
 from tallymark.sources.jdbc import Connection, quoted_table, read_relation
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
 class Store(Protocol):
     spark: SparkSession
 
+    def create(self, table: str, schema: T.StructType) -> None: ...
+
     def read(self, table: str) -> DataFrame: ...
 
     def append(self, df: DataFrame, table: str) -> None: ...
@@ -28,25 +34,22 @@ class Store(Protocol):
 class FolderStore:
     """Parquet tables below one folder, partitioned by the run key if asked.
 
-    A table with a declared schema is created empty when it is first read.
     With the run key as partition a report of the latest run reads only that
     run, and removing a run touches only its folder.
     """
 
     spark: SparkSession
     root: str
-    schemas: Mapping[str, T.StructType] = field(default_factory=dict)
     partitions: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def create(self, table: str, schema: T.StructType) -> None:
+        empty_frame(self.spark, schema).write.mode("ignore").parquet(self.path(table))
+
     def read(self, table: str) -> DataFrame:
-        schema = self.schemas.get(table)
-        if schema is None:
-            return self.spark.read.parquet(self.path(table))
-        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(table))
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        return self.spark.read.parquet(self.path(table))
 
     def append(self, df: DataFrame, table: str) -> None:
         writer = df.write.mode("append")
@@ -66,6 +69,9 @@ class CatalogStore:
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 
+    def create(self, table: str, schema: T.StructType) -> None:
+        empty_frame(self.spark, schema).write.mode("ignore").saveAsTable(self.name(table))
+
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
@@ -90,33 +96,42 @@ class CatalogStore:
 
 @dataclass(frozen=True)
 class JdbcStore:
-    """Tables of a database; arrays are stored as JSON text.
+    """Tables of a database.
 
     Each task commits its own rows. If a task is repeated after its commit its
     rows arrive twice, so `publish_run` compares the stored count before the
-    run becomes visible.
+    run becomes visible. PostgreSQL takes arrays as they are; for databases
+    without arrays they are stored as JSON text.
     """
 
     spark: SparkSession
     connection: Connection
     writers: int = 8
+    arrays_as_text: bool = False
 
-    def read(self, table: str) -> DataFrame:
-        return read_relation(self.spark, self.connection, quoted_table(table))
-
-    def append(self, df: DataFrame, table: str) -> None:
+    def _save(self, df: DataFrame, table: str, mode: str) -> None:
         arrays = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
-        df = df.withColumns({c: F.to_json(quoted(c)) for c in arrays}) if arrays else df
+        if arrays and self.arrays_as_text:
+            df = df.withColumns({c: F.to_json(quoted(c)) for c in arrays})
         (
             df.write.format("jdbc")
             .option("url", self.connection.url)
             .option("dbtable", quoted_table(table))
             .option("numPartitions", self.writers)
             .options(**self.connection.properties)
-            .mode("append")
+            .mode(mode)
             .save()
         )
 
+    def create(self, table: str, schema: T.StructType) -> None:
+        self._save(empty_frame(self.spark, schema), table, "ignore")
+
+    def read(self, table: str) -> DataFrame:
+        return read_relation(self.spark, self.connection, quoted_table(table))
+
+    def append(self, df: DataFrame, table: str) -> None:
+        self._save(df, table, "append")
+
 
 @dataclass(frozen=True)
 class NamedTable:
@@ -141,6 +156,11 @@ class NamedStore:
         known = self.tables.get(table, NamedTable(table, {}))
         return NamedTable(known.table, {"run_key": fv.RUN_LOG_COLUMNS["run_key"], **known.columns})
 
+    def create(self, table: str, schema: T.StructType) -> None:
+        named = self._named(table)
+        fields = [T.StructField(named.columns.get(f.name, f.name), f.dataType, f.nullable) for f in schema]
+        self.store.create(named.table, T.StructType(fields))
+
     def read(self, table: str) -> DataFrame:
         named = self._named(table)
         return to_logical(self.store.read(named.table), named.columns)

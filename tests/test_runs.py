@@ -24,7 +24,9 @@ def rows(df):
 
 @pytest.fixture
 def store(spark):
-    return FolderStore(spark, new_work_path(spark, "store"), publish.RUN_SCHEMAS, {"results": "run_key"})
+    made = FolderStore(spark, new_work_path(spark, "store"), {"results": "run_key"})
+    publish.create_run_tables(made)
+    return made
 
 
 def test_first_run_has_key_zero_and_counts_rows(spark, store):
@@ -60,7 +62,8 @@ def test_rows_that_do_not_arrive_keep_the_run_hidden(spark):
         def append(self, df, table):
             super().append(df.where("id > 0") if table == "results" else df, table)
 
-    store = Lossy(spark, new_work_path(spark, "store"), publish.RUN_SCHEMAS)
+    store = Lossy(spark, new_work_path(spark, "store"))
+    publish.create_run_tables(store)
     with pytest.raises(publish.IncompleteWrite):
         publish.publish_run(store, spark.range(3), "results", 52)
     assert store.read(publish.RUN_LOG).count() == 0
@@ -91,6 +94,7 @@ def test_catalog_store(spark):
         catalog.append(spark.createDataFrame([(1, 0), (2, 1)], "x int, run_key int"), "results")
         catalog.append(spark.createDataFrame([(2, 9)], "run_key int, x int"), "results")
         assert rows(catalog.read("results").select("x", "run_key")) == Counter([(1, 0), (2, 1), (9, 2)])
+        catalog.create("results", publish.RUN_CLAIM_SCHEMA)
         catalog.drop_run("results", 1)
         assert rows(catalog.read("results").select("x", "run_key")) == Counter([(1, 0), (9, 2)])
     finally:
@@ -110,11 +114,6 @@ def test_a_control_publishes_each_result(spark, store):
 
 def test_tables_under_the_names_in_use(spark):
     folder = FolderStore(spark, new_work_path(spark, "store"))
-    log_columns = [(fv.RUN_LOG_COLUMNS[f.name], f.dataType) for f in publish.RUN_LOG_SCHEMA]
-    empty_log = spark.createDataFrame([], publish.RUN_LOG_SCHEMA).toDF(*[name for name, _ in log_columns])
-    folder.append(empty_log, "RunTable")
-    claims = spark.createDataFrame([], publish.RUN_CLAIM_SCHEMA).withColumnRenamed("run_key", "ClEjecControl")
-    folder.append(claims, publish.RUN_CLAIM)
     store = NamedStore(
         folder,
         {
@@ -122,6 +121,8 @@ def test_tables_under_the_names_in_use(spark):
             publish.STATUS_HISTORY: NamedTable("StatusTable", fv.STATUS_COLUMNS),
         },
     )
+    publish.create_run_tables(store)
+    publish.create_run_tables(store)
     publish.publish_status(store, True, "MyControl", NOON)
     written = folder.read("StatusTable")
     assert sorted(written.columns) == ["ClEjecControl", "ControlName", "OKNOK"]

@@ -197,7 +197,7 @@ def test_jdbc_hash_predicates_cover_every_row(spark):
     assert sum(df.where(c).count() for c in conditions) == df.count()
 
 
-def test_jdbc_append_serialises_arrays(spark, monkeypatch):
+def test_jdbc_append(spark, monkeypatch):
     df = spark.createDataFrame([([1, 2], "x")], "a array<int>, b string")
     io, types = FakeIO(), []
 
@@ -207,5 +207,8 @@ def test_jdbc_append_serialises_arrays(spark, monkeypatch):
 
     monkeypatch.setattr(type(df), "write", property(write))
     JdbcStore(spark, CONNECTION, 4).append(df, "run_log")
+    assert types == [("a", "array<int>"), ("b", "string")]
+    types.clear()
+    JdbcStore(spark, CONNECTION, 4, arrays_as_text=True).append(df, "run_log")
     assert types == [("a", "string"), ("b", "string")]
     assert io.call["dbtable"] == '"run_log"' and io.call["mode"] == "append" and io.call["numPartitions"] == 4
