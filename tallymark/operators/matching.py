@@ -63,32 +63,46 @@ def pick_key(df: DataFrame, key: str) -> DataFrame:
     return df.select(quoted(key))
 
 
-def match_anti(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left rows without a match; a null left key never matches and is kept."""
+def match_anti(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot: Sequence = ()
+) -> DataFrame:
+    """Left rows without a match; a null left key never matches and is kept.
+
+    `hot` lists left keys that hold much of the data, see `hot_keys`.
+    """
+    left_col, right_col = quoted(left_key), quoted(right_key)
     if left.schema[left_key].dataType != right.schema[right_key].dataType:
-        return anti_on(left, right, [(quoted(left_key).cast("string"), quoted(right_key).cast("string"))])
-    return anti_on(left, right, [(quoted(left_key), quoted(right_key))])
+        left_col, right_col, hot = left_col.cast("string"), right_col.cast("string"), list(map(str, hot))
+    return anti_on(left, right, [(left_col, right_col)], hot)
 
 
-def anti_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, Column]]) -> DataFrame:
+def anti_on(
+    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Column, Column]], hot: Sequence = ()
+) -> DataFrame:
     """Left rows for which no right row agrees on every pair of expressions.
 
-    Null keys may be most of the left side. They would all hash to one
-    partition, so they get one more key that spreads them; on the right that
-    key is always 0 and no null exists there.
+    Null keys may be most of the left side, and would all hash to one
+    partition. They get one more key, taken from the row's content, that
+    spreads them; so do rows whose first key is `hot`. On the right that key
+    is 0, or every possible value for a hot key.
     """
-    names = [f"_k{n}" for n in range(len(pairs))]
+    names, values = [f"_k{n}" for n in range(len(pairs))], [f"_v{n}" for n in range(len(pairs))]
     keyed = left.withColumns({name: pair[0] for name, pair in zip(names, pairs)})
-    has_null = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
-    content = F.xxhash64(*map(quoted, left.columns))
-    keyed = keyed.withColumn(
-        "_spread", F.when(has_null, F.pmod(content, F.lit(HOT_SALTS))).otherwise(F.lit(0))
-    )
-    values = [f"_v{n}" for n in range(len(pairs))]
+    spread = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
+    if hot:
+        spread = spread | F.col(names[0]).isin(list(hot))
+    content = F.pmod(F.xxhash64(*map(quoted, left.columns)), F.lit(HOT_SALTS))
+    keyed = keyed.withColumn("_spread", F.when(spread, content).otherwise(F.lit(0)))
     right = right.select(*[pair[1].alias(value) for value, pair in zip(values, pairs)]).dropna()
-    right = right.withColumn("_zero", F.pmod(F.xxhash64(*values), F.lit(1)))
+    # Not a plain 0: a constant would not be used as a join key.
+    zero = F.pmod(F.xxhash64(*values), F.lit(1))
+    if hot:
+        every = F.sequence(F.lit(0), F.lit(HOT_SALTS - 1)).cast("array<long>")
+        right = right.distinct()
+        zero = F.explode(F.when(F.col(values[0]).isin(list(hot)), every).otherwise(F.array(zero)))
+    right = right.withColumn("_spread_r", zero)
     agree = [F.col(name) == F.col(value) for name, value in zip(names, values)]
-    agree.append(F.col("_spread") == F.col("_zero"))
+    agree.append(F.col("_spread") == F.col("_spread_r"))
     joined = keyed.join(right, reduce(lambda a, b: a & b, agree), "left_anti")
     return joined.drop(*names, "_spread")
 

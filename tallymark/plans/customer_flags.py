@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallymark import fixed_values as fv
 from tallymark.functions import predicates as p
 from tallymark.functions.text import service_label
-from tallymark.operators.matching import match_hot, match_inner, match_semi
+from tallymark.operators.matching import hot_keys, match_hot, match_semi
 from tallymark.operators.shape import pick
 from tallymark.operators.versions import on_both_sides, rows_per
 from tallymark.plans.control import Control, target
@@ -52,35 +52,47 @@ def _is_flag_product(codes: Sequence[str]) -> Column:
     return p.equals_any(F.col("PRODUCT_CODE_TOP"), codes)
 
 
+def _with_services(customers: DataFrame, services: DataFrame, hot: Sequence) -> DataFrame:
+    """Customers with their services; `hot` are customers holding much of them."""
+    joined = match_hot(services, customers, "CUSTOMER_ACCOUNT_TOP", "OBJECT_ID", hot=list(hot))
+    return pick(joined, customers.columns + services.columns)
+
+
 def flagged_without_flag_services(
-    flagged: DataFrame, services: DataFrame, codes: Sequence[str] = fv.FLAG_PRODUCT_CODES
+    flagged: DataFrame,
+    services: DataFrame,
+    codes: Sequence[str] = fv.FLAG_PRODUCT_CODES,
+    hot: Sequence = (),
 ) -> DataFrame:
     """Flagged customers with services of other products; unknown products go."""
     others = services.where(p.outside(F.col("PRODUCT_CODE_TOP"), codes))
-    return match_inner(flagged, others, "OBJECT_ID", "CUSTOMER_ACCOUNT_TOP")
+    return _with_services(flagged, others, hot)
 
 
 def unflagged_with_flag_services(
-    unflagged: DataFrame, services: DataFrame, codes: Sequence[str] = fv.FLAG_PRODUCT_CODES
+    unflagged: DataFrame,
+    services: DataFrame,
+    codes: Sequence[str] = fv.FLAG_PRODUCT_CODES,
+    hot: Sequence = (),
 ) -> DataFrame:
     """Unflagged customers with services of flag products."""
-    return match_inner(
-        unflagged, services.where(_is_flag_product(codes)), "OBJECT_ID", "CUSTOMER_ACCOUNT_TOP"
-    )
+    return _with_services(unflagged, services.where(_is_flag_product(codes)), hot)
 
 
 def shared_customers(
-    named: DataFrame, services: DataFrame, codes: Sequence[str] = fv.FLAG_PRODUCT_CODES
+    named: DataFrame,
+    services: DataFrame,
+    codes: Sequence[str] = fv.FLAG_PRODUCT_CODES,
+    hot: Sequence = (),
 ) -> DataFrame:
     """All services of customers that hold both kinds of products.
 
     The customers are narrowed down first, then joined to the services once.
-    The services are read three times, so they should be a stored table.
+    The services are read twice, so they should be a stored table.
     """
     both = on_both_sides(services, "CUSTOMER_ACCOUNT_TOP", _is_flag_product(codes))
     customers = match_semi(named, both, "OBJECT_ID", "CUSTOMER_ACCOUNT_TOP")
-    joined = match_hot(services, customers, "CUSTOMER_ACCOUNT_TOP", "OBJECT_ID")
-    return pick(joined, customers.columns + services.columns)
+    return _with_services(customers, services, hot)
 
 
 class CustomerFlags(Control):
@@ -108,16 +120,17 @@ class CustomerFlags(Control):
 
     def compute(self) -> dict[str, DataFrame]:
         """Results by name; the grouped services are written once for all of them."""
-        accounts, columns = self.accounts, self.columns
         services = written_once(self.services, "services")
+        hot = hot_keys(services, "CUSTOMER_ACCOUNT_TOP")
+        accounts, columns = self.accounts, self.columns
         return {
             "flagged_without_flag_services": flagged_without_flag_services(
-                flagged_accounts(accounts, columns), services, self.codes
+                flagged_accounts(accounts, columns), services, self.codes, hot
             ),
             "unflagged_with_flag_services": unflagged_with_flag_services(
-                unflagged_accounts(accounts, columns), services, self.codes
+                unflagged_accounts(accounts, columns), services, self.codes, hot
             ),
             "shared_customers": shared_customers(
-                named_accounts(accounts, columns), services, self.codes
+                named_accounts(accounts, columns), services, self.codes, hot
             ),
         }

@@ -45,14 +45,15 @@ def holding_edges(relations: DataFrame, parent_of: int = fv.PARENT_OF) -> DataFr
     """Parent to grandchild, and root parent to child; duplicates are kept."""
     edges = parent_edges(relations, parent_of)
     upper, lower = with_role(edges, "R1"), with_role(edges, "R2")
-    # A parent with very many children is hot among the lower edges.
-    hops = match_hot(lower, upper, "PARENT_ID_R2", "REL_CUST_R1")
+    # A parent with very many children is hot on both sides.
+    hot = hot_keys(edges, "PARENT_ID")
+    hops = match_hot(lower, upper, "PARENT_ID_R2", "REL_CUST_R1", hot=hot)
     grandchildren = hops.select(
         F.col("NAME_R1").alias("NAME"),
         F.col("PARENT_ID_R1").alias("PARENT_ID"),
         F.col("REL_CUST_R2").alias("REL_CUST"),
     )
-    children = match_anti(upper, lower, "PARENT_ID_R1", "REL_CUST_R2")
+    children = match_anti(upper, lower, "PARENT_ID_R1", "REL_CUST_R2", hot)
     return grandchildren.union(children.select("NAME_R1", "PARENT_ID_R1", "REL_CUST_R1"))
 
 
@@ -78,9 +79,15 @@ def live_accounts(accounts: DataFrame) -> DataFrame:
 
 
 def account_types(objects: DataFrame, type_ids: Iterable[int] = tuple(fv.TYPE_LABELS)) -> DataFrame:
-    """The account types among all objects."""
+    """The account types among all objects.
+
+    One row per type id, so safe to broadcast; a shuffle by type would leave
+    all accounts to as many tasks as there are types.
+    """
     kept = objects.where(p.equals_any(F.col("OBJECT_ID"), type_ids))
-    return kept.select(F.col("OBJECT_ID").alias("OBJECT_ID_NC"), F.col("NAME").alias("NAME_NC"))
+    return F.broadcast(
+        kept.select(F.col("OBJECT_ID").alias("OBJECT_ID_NC"), F.col("NAME").alias("NAME_NC"))
+    )
 
 
 def _both_ends() -> Column:
@@ -134,9 +141,9 @@ def holding_pairs_wide(
     """
     columns = list(columns)
     types = objects.select(F.col("OBJECT_ID").alias("_type_id"), F.col("NAME").alias("CUST_TYPE_NAME"))
-    labelled = accounts.select(*map(p.quoted, columns), F.col("CUST_TYPE").alias("_cust_type")).join(
-        types, F.col("_cust_type") == F.col("_type_id"), "left"
-    )
+    kept = accounts.select(*map(p.quoted, columns), F.col("CUST_TYPE").alias("_cust_type"))
+    # Few types for all accounts: every one of them is a hot key.
+    labelled = match_hot(kept, types, "_cust_type", "_type_id", "left")
     side = pick(labelled, columns + ["CUST_TYPE_NAME"])
     parents, children = with_role(side, "HOLDING"), with_role(side, "LE")
     pairs = written_once(holding_pairs(relations, parent_of), "pairs")

@@ -11,7 +11,7 @@ from tallymark import fixed_values as fv
 from tallymark.functions import predicates as p
 from tallymark.functions.flags import differs_or_missing, labelled
 from tallymark.functions.text import decorated, last_segment, plain_status, type_label
-from tallymark.operators.matching import match_anti, match_hot, match_left
+from tallymark.operators.matching import hot_keys, match_anti, match_hot, match_left
 from tallymark.operators.shape import as_text, pick
 from tallymark.operators.versions import latest_version, rows_per
 from tallymark.plans.control import Control, target
@@ -100,18 +100,20 @@ def with_activity(accounts: DataFrame, services: DataFrame, orders: DataFrame) -
     return match_left(served, orders, "OBJECT_ID", "ord_customer")
 
 
-def matched(crm: DataFrame, accounts: DataFrame, crm_key: str, account_key: str) -> DataFrame:
+def matched(
+    crm: DataFrame, accounts: DataFrame, crm_key: str, account_key: str, hot: list | None = None
+) -> DataFrame:
     """Accounts found in both systems. A null key never matches.
 
-    Many CRM accounts may claim one id, so its hot keys are counted: `crm`
-    should be a stored table.
+    Many CRM accounts may claim one id. Unless its hot keys are given they are
+    counted, so `crm` should be a stored table.
     """
-    return match_hot(crm, accounts, crm_key, account_key)
+    return match_hot(crm, accounts, crm_key, account_key, hot=hot)
 
 
-def crm_only(crm: DataFrame, accounts: DataFrame) -> DataFrame:
+def crm_only(crm: DataFrame, accounts: DataFrame, hot: Sequence = ()) -> DataFrame:
     """CRM accounts whose global id no account has, null ids included."""
-    return match_anti(crm, accounts, "crm_global_id", "UNIQUE_GLOBAL_ID")
+    return match_anti(crm, accounts, "crm_global_id", "UNIQUE_GLOBAL_ID", hot)
 
 
 def account_only(accounts: DataFrame, crm: DataFrame) -> DataFrame:
@@ -182,9 +184,10 @@ class Reconciliation(Control):
         are unique there, while a matched account may repeat very often.
         """
         accounts, crm = written_once(self.accounts, "accounts"), written_once(self.crm, "crm")
+        hot = hot_keys(crm, "crm_global_id")
         return {
-            "matched_by_global_id": matched(crm, accounts, "crm_global_id", "UNIQUE_GLOBAL_ID"),
-            "crm_only": crm_only(crm, accounts),
+            "matched_by_global_id": matched(crm, accounts, "crm_global_id", "UNIQUE_GLOBAL_ID", hot),
+            "crm_only": crm_only(crm, accounts, hot),
             "account_only": account_only(accounts, crm),
             "matched_by_external_id": matched(crm, accounts, "crm_ext_id", "OBJECT_ID"),
         }

@@ -38,6 +38,11 @@ def with_run_day(
     return joined.select(*columns, F.col("_day").alias(day))
 
 
+def _ordered(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Sorted as asked; ties by content, so that a frequent value can be split between tasks."""
+    return df.orderBy(*order, F.xxhash64(*map(quoted, df.columns)))
+
+
 def latest_report(
     results: DataFrame, run_log: DataFrame, order: Sequence[str | Column], key: str = "run_key", **names: str
 ) -> DataFrame:
@@ -50,14 +55,14 @@ def latest_report(
     log_key = names.get("log_key", "run_key")
     latest = results.agg(F.max(quoted(key))).scalar()
     one_run = F.broadcast(run_log.where(quoted(log_key) == latest))
-    return with_run_day(of_latest_run(results, key), one_run, key, **names).orderBy(*order)
+    return _ordered(with_run_day(of_latest_run(results, key), one_run, key, **names), order)
 
 
 def full_history(
     results: DataFrame, run_log: DataFrame, order: Sequence[str | Column], key: str = "run_key", **names: str
 ) -> DataFrame:
     """Rows of every run, ordered."""
-    return with_run_day(results, run_log, key, **names).orderBy(*order)
+    return _ordered(with_run_day(results, run_log, key, **names), order)
 
 
 def recent_history(
@@ -72,7 +77,7 @@ def recent_history(
 ) -> DataFrame:
     """Rows of the runs of the last days, ordered."""
     recent = run_log.where(since(quoted(run_ts), as_of, days))
-    return with_run_day(results, recent, key, run_ts=run_ts, **names).orderBy(*order)
+    return _ordered(with_run_day(results, recent, key, run_ts=run_ts, **names), order)
 
 
 def recent_schema_sizes(

@@ -107,6 +107,16 @@ def test_hot_join_equals_the_plain_join(spark, left, right, how):
     assert rows(got) == rows(a.join(b, a.k == b.r, how))
 
 
+@slow
+@given(st.lists(small_key, max_size=12), st.lists(small_key, max_size=8))
+def test_hot_anti_join_equals_the_plain_one(spark, left, right):
+    a = frame(spark, [(k, n) for n, k in enumerate(left)], "k int, n int")
+    b = frame(spark, [(k,) for k in right], "r int")
+    assert rows(matching.match_anti(a, b, "k", "r", hot=[0, 3])) == rows(a.join(b, a.k == b.r, "left_anti"))
+    as_text = b.select(F.col("r").cast("string").alias("r"))
+    assert rows(matching.match_anti(a, as_text, "k", "r", hot=[0])) == rows(a.join(b, a.k == b.r, "left_anti"))
+
+
 def test_hot_join_across_types(spark):
     a = frame(spark, [(1, n) for n in range(9)] + [(2, 9)], "k long, n int")
     b = frame(spark, [("1", "one"), ("2", "two"), ("x", "none")], "r string, m string")
@@ -132,6 +142,9 @@ def test_hot_rows_are_spread(spark):
         joined = matching.match_hot(third, other, "k", "r").withColumn("task", F.spark_partition_id())
         per_task = joined.where("k = -1").groupBy("task").count().collect()
         assert len(per_task) == 4 and sum(r[1] for r in per_task) == 3000
+        kept = matching.match_anti(third, other.where("r = 4"), "k", "r", hot=[-1]).withColumn("task", F.spark_partition_id())
+        per_task = kept.where("k = -1").groupBy("task").count().collect()
+        assert len(per_task) == 4 and sum(r[1] for r in per_task) == 3000
         nulls = spark.range(4000).select(F.lit(None).cast("long").alias("k"), "id")
         kept = matching.match_anti(nulls, other, "k", "r").withColumn("task", F.spark_partition_id())
         per_task = kept.groupBy("task").count().collect()
