@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallymark import fixed_values as fv
 from tallymark.checks import inputs as i

@@ -22,7 +22,9 @@ def rows_for_insert(source: DataFrame, target_columns: Sequence[str], by_positio
     return source.select(*map(quoted, target_columns))
 
 
-def joined_table(left: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: Mapping[str, str]) -> DataFrame:
+def joined_table(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: Mapping[str, str]
+) -> DataFrame:
     """Rows for a table made from two tables.
 
     `columns` maps each output column to `left.name` or `right.name`, since a

@@ -16,7 +16,7 @@ from tallymark.operators.shape import as_text, pick
 from tallymark.operators.versions import latest_version, rows_per
 from tallymark.plans.control import Control, target
 from tallymark.runs.reports import of_latest_run
-from tallymark.session import written_once
+from tallymark.session import written_together
 
 ACCOUNT_KEYS = [
     "NAME",
@@ -183,7 +183,7 @@ class Reconciliation(Control):
         Activity is attached to the accounts before they are matched: accounts
         are unique there, while a matched account may repeat very often.
         """
-        accounts, crm = written_once(self.accounts, "accounts"), written_once(self.crm, "crm")
+        accounts, crm = written_together(accounts=self.accounts, crm=self.crm)
         hot = hot_keys(crm, "crm_global_id")
         return {
             "matched_by_global_id": matched(crm, accounts, "crm_global_id", "UNIQUE_GLOBAL_ID", hot),

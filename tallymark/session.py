@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 ADAPTIVE_SETTINGS = {
@@ -61,3 +63,11 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     path = new_work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_together(**frames: DataFrame) -> list[DataFrame]:
+    """Several independent frames written at the same time, in the given order."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        session = next(iter(frames.values())).sparkSession
+        write = inheritable_thread_target(session)(written_once)
+        return list(pool.map(lambda item: write(item[1], item[0]), frames.items()))
