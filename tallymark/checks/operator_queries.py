@@ -88,7 +88,9 @@ def back_conversion(spark, sf):
         "l_orderkey",
         "l_linenumber",
         cal.epoch_minus_years(seconds).alias("legacy"),
-        cal.instant(F.col("l_orderkey")).cast("timestamp_ntz").alias("instant"),
+        F.convert_timezone(
+            None, F.lit("UTC"), cal.instant(F.col("l_orderkey")).cast("timestamp_ntz")
+        ).alias("instant"),
     )
 
 

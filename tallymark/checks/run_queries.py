@@ -21,7 +21,7 @@ from tallymark.sinks.stores import FolderStore
 from tallymark.sources.files import read_crm_parquet, read_delimited, read_pipe
 from tallymark.sources.json_documents import column_presence, record_texts, typed_records
 
-RUN_TS = dt.datetime(2001, 8, 1, 3, 3)
+RUN_TS = dt.datetime(2001, 8, 1, 12, 0)
 RECENT_SQL = "r.run_ts>=DATE '2001-08-01' - INTERVAL '180' DAY"
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark import fixed_values as fv
 from tallymark.functions.predicates import quoted
 
 RUN_LOG_ONLY = ["attribute_key", "row_count", "run_ts", "control_type"]
@@ -49,7 +50,7 @@ def with_null(df: DataFrame, name: str, type_name: str) -> DataFrame:
 
 def without_run_columns(df: DataFrame) -> DataFrame:
     """Drop run-log columns, where present, before writing results."""
-    return df.drop(*RUN_LOG_ONLY)
+    return df.drop(*RUN_LOG_ONLY, *[fv.RUN_LOG_COLUMNS[c] for c in RUN_LOG_ONLY])
 
 
 def sorted_columns(df: DataFrame) -> DataFrame:

@@ -13,12 +13,9 @@ def read_delimited(
     sep: str = ";",
     schema: T.StructType | str | None = None,
     header: bool = True,
-    skip_malformed: bool = False,
 ) -> DataFrame:
     """UTF-8 delimited text. Without a schema Spark reads the data once more to infer it."""
     reader = spark.read.option("sep", sep).option("header", header).option("encoding", "UTF-8")
-    if skip_malformed:
-        reader = reader.option("mode", "DROPMALFORMED")
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
@@ -39,8 +36,15 @@ def read_crm_parquet(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Comma-separated history, skipping lines that do not fit the schema."""
-    return read_delimited(spark, path, ",", schema, skip_malformed=True)
+    """Comma-separated history without its malformed lines.
+
+    A line with too many fields is skipped. A short line stays, its missing
+    fields null, and so does a line with a cell that does not fit its type.
+    """
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    surplus = T.StructType([*wanted.fields, T.StructField("_surplus", T.StringType())])
+    lines = read_delimited(spark, path, ",", surplus)
+    return lines.where(F.col("_surplus").isNull()).drop("_surplus")
 
 
 def dated_pipe_path(base: str, day: str, table: str, prefix: str) -> str:

@@ -106,6 +106,8 @@ def read_days(
     with different types over the days is widened to text. The stamp keeps the
     time of day of `as_of`.
     """
+    if days < 2:
+        raise ValueError("days counts today, which is not read: give at least 2")
     paths = [day_path(base, table, day) for day in days_back(as_of.date(), days)]
     texts = read_records(spark, paths).select(path_day(F.col("path")).alias("_day"), "record")
     path = written_records(texts, "_day")

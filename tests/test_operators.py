@@ -228,7 +228,7 @@ def test_drift_by_day(spark):
 
 
 def test_run_columns_are_dropped_only_where_present(spark):
-    df = frame(spark, [(1, 2, 3)], "a int, row_count int, control_type int")
+    df = frame(spark, [(1, 2, 3, 4)], "a int, row_count int, control_type int, Fecha int")
     assert shape.without_run_columns(df).columns == ["a"]
 
 

@@ -28,9 +28,10 @@ def test_delimited_files(spark, tmp_path):
 
 
 def test_history_skips_lines_that_do_not_fit(spark, tmp_path):
-    (tmp_path / "h.csv").write_text("a,b\n1,x\n2,y,z\n3\nq,w\n4,v\n")
+    (tmp_path / "h.csv").write_text('a,b\n1,x\n2,y,z\n3\nq,w\n5,"u,v"\n6,y,z,z\n4,v\n')
     got = files.read_history(spark, str(tmp_path / "h.csv"), "a int, b string")
-    assert rows(got) == Counter([(1, "x"), (4, "v")])
+    assert rows(got) == Counter([(1, "x"), (3, None), (None, "w"), (5, "u,v"), (4, "v")])
+    assert got.select("a").count() == 5
 
 
 def test_pipe_file_is_named_by_position(spark, tmp_path):
@@ -118,6 +119,8 @@ def test_days_with_drift(spark, tmp_path):
 
 
 def test_a_missing_day_is_an_error(spark, tmp_path):
+    with pytest.raises(ValueError, match="at least 2"):
+        docs.read_days(spark, str(tmp_path), "Account", 1, dt.datetime(2024, 3, 2))
     write_day(tmp_path, dt.date(2024, 3, 1), [{"Id": "a"}])
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         docs.read_days(spark, str(tmp_path), "Account", 3, dt.datetime(2024, 3, 2))
