@@ -319,7 +319,7 @@ def exc_filter_many(spark, sf):
     """A rule per part, tested on orders some of which have no customer."""
     orders = i.orders(spark, sf).select("PARENT_ID")
     accounts = i.accounts(spark, sf).select("OBJECT_ID", "CUST_CATEGORY")
-    tested = matching.match_left(orders, accounts, "PARENT_ID", "OBJECT_ID").drop("OBJECT_ID")
+    tested = matching.match_hot(orders, accounts, "PARENT_ID", "OBJECT_ID", "left").drop("OBJECT_ID")
     tested = tested.withColumnRenamed("PARENT_ID", "OBJECT_ID")
     return exception_rules.suppress(tested, i.part_rules(spark, sf))
 

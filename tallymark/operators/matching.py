@@ -72,7 +72,8 @@ def match_anti(
     """
     left_col, right_col = quoted(left_key), quoted(right_key)
     if left.schema[left_key].dataType != right.schema[right_key].dataType:
-        left_col, right_col, hot = left_col.cast("string"), right_col.cast("string"), list(map(str, hot))
+        left_col, right_col = left_col.cast("string"), right_col.cast("string")
+        hot = [str(value) for value in hot if value is not None]
     return anti_on(left, right, [(left_col, right_col)], hot)
 
 
@@ -89,17 +90,16 @@ def anti_on(
     names, values = [f"_k{n}" for n in range(len(pairs))], [f"_v{n}" for n in range(len(pairs))]
     keyed = left.withColumns({name: pair[0] for name, pair in zip(names, pairs)})
     spread = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
-    if hot:
-        spread = spread | F.col(names[0]).isin(list(hot))
     content = F.pmod(F.xxhash64(*map(quoted, left.columns)), F.lit(HOT_SALTS))
+    spread = spread | _is_hot(F.col(names[0]), hot)
     keyed = keyed.withColumn("_spread", F.when(spread, content).otherwise(F.lit(0)))
     right = right.select(*[pair[1].alias(value) for value, pair in zip(values, pairs)]).dropna()
     # Not a plain 0: a constant would not be used as a join key.
     zero = F.pmod(F.xxhash64(*values), F.lit(1))
-    if hot:
+    if any(value is not None for value in hot):
         every = F.sequence(F.lit(0), F.lit(HOT_SALTS - 1)).cast("array<long>")
         right = right.distinct()
-        zero = F.explode(F.when(F.col(values[0]).isin(list(hot)), every).otherwise(F.array(zero)))
+        zero = F.explode(F.when(_is_hot(F.col(values[0]), hot), every).otherwise(F.array(zero)))
     right = right.withColumn("_spread_r", zero)
     agree = [F.col(name) == F.col(value) for name, value in zip(names, values)]
     agree.append(F.col("_spread") == F.col("_spread_r"))
@@ -141,16 +141,19 @@ def match_either(
 
 
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
-    """Keys that each hold at least 1/`share` of the rows, counted now.
+    """Keys, null included, that each hold at least 1/`share` of the rows, counted now.
 
     At most `share` keys can, so the list is bounded whatever the data. A
     frequent-items sketch finds them in one pass without a shuffle by key.
     """
-    keyed = df.select(quoted(key).alias("k")).where("k IS NOT NULL")
-    top = keyed.select(
-        F.expr(f"approx_top_k(k, {share}, {TRACKED_KEYS})").alias("top"), F.count("k").alias("n")
-    ).first()
-    return [item["item"] for item in top["top"] if item["count"] * share >= top["n"]]
+    top = F.expr(f"approx_top_k(k, {share}, {TRACKED_KEYS})").alias("top")
+    row = df.select(quoted(key).alias("k")).select(top, F.count("*").alias("n")).first()
+    return [item["item"] for item in row["top"] if item["count"] * share >= row["n"]]
+
+
+def _is_hot(key: Column, hot: Sequence, as_text: bool = False) -> Column:
+    known = [str(value) if as_text else value for value in hot if value is not None]
+    return key.isin(known) if known else F.lit(False)
 
 
 def match_hot(
@@ -159,7 +162,7 @@ def match_hot(
     hot_key: str,
     other_key: str,
     how: str = "inner",
-    hot: list | None = None,
+    hot: Sequence | None = None,
     salts: int = HOT_SALTS,
 ) -> DataFrame:
     """Equi-join whose left side may have hot keys; exact for inner and left.
@@ -168,21 +171,22 @@ def match_hot(
     of the other side are repeated once per salt. Other keys are untouched,
     and without hot keys this is the plain join. `hot` is the list of hot keys
     where it is known already; else the left side is counted, so it should be
-    a stored table.
+    a stored table. A hot null matters to a left join only.
     """
     _no_overlap(hot_side, other)
     hot = hot_keys(hot_side, hot_key) if hot is None else hot
-    if not hot:
+    hot_null = how == "left" and None in hot
+    if not hot_null and all(value is None for value in hot):
         return _equi(hot_side, other, hot_key, other_key, how)
     left_col, right_col = _keys(hot_side, other, hot_key, other_key)
-    same_type = hot_side.schema[hot_key].dataType == other.schema[other_key].dataType
-    values = hot if same_type else [str(value) for value in hot]
-    content = F.xxhash64(*map(quoted, hot_side.columns))
-    salt = F.when(left_col.isin(values), F.pmod(content, F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    all_salts = F.when(right_col.isin(values), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    left = hot_side.alias("l").withColumn("_salt", salt)
-    right = other.alias("r").withColumn("_salt_r", F.explode(all_salts))
+    as_text = hot_side.schema[hot_key].dataType != other.schema[other_key].dataType
+    salted = _is_hot(left_col, hot, as_text) | (left_col.isNull() if hot_null else F.lit(False))
+    content = F.pmod(F.xxhash64(*map(quoted, hot_side.columns)), F.lit(salts)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    # Not a plain 0: a constant would not be used as a join key.
+    zero = F.pmod(F.xxhash64(right_col), F.lit(1)).cast("int")
+    repeated = F.when(_is_hot(right_col, hot, as_text), every).otherwise(F.array(zero))
+    left = hot_side.alias("l").withColumn("_salt", F.when(salted, content).otherwise(F.lit(0)))
+    right = other.alias("r").withColumn("_salt_r", F.explode(repeated))
     agree = (left_col == right_col) & (F.col("_salt") == F.col("_salt_r"))
     return left.alias("l").join(right.alias("r"), agree, how).drop("_salt", "_salt_r")

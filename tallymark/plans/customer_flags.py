@@ -54,7 +54,7 @@ def _is_flag_product(codes: Sequence[str]) -> Column:
 
 def _with_services(customers: DataFrame, services: DataFrame, hot: Sequence) -> DataFrame:
     """Customers with their services; `hot` are customers holding much of them."""
-    joined = match_hot(services, customers, "CUSTOMER_ACCOUNT_TOP", "OBJECT_ID", hot=list(hot))
+    joined = match_hot(services, customers, "CUSTOMER_ACCOUNT_TOP", "OBJECT_ID", hot=hot)
     return pick(joined, customers.columns + services.columns)
 
 

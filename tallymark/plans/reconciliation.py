@@ -101,7 +101,7 @@ def with_activity(accounts: DataFrame, services: DataFrame, orders: DataFrame) -
 
 
 def matched(
-    crm: DataFrame, accounts: DataFrame, crm_key: str, account_key: str, hot: list | None = None
+    crm: DataFrame, accounts: DataFrame, crm_key: str, account_key: str, hot: Sequence | None = None
 ) -> DataFrame:
     """Accounts found in both systems. A null key never matches.
 

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tallymark.operators.exception_rules import mark_duplicates, suppress
 
 RULE = "attr1 string, val1 string, attr2 string, val2 string"
-slow = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+slow = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 cell = st.one_of(st.none(), st.sampled_from(["p", "q"]))
 rule = st.one_of(
     st.tuples(st.just("a"), cell, st.none(), st.none()),
