@@ -36,7 +36,10 @@ class Operations(Control):
         spark = self.run_log.sparkSession
         keyed = {name: df for name, df in self.results.items() if "run_key" in df.columns}
         controls = spark.createDataFrame([(name,) for name in keyed], "control string")
-        days = run_days(result_run_keys(keyed), self.run_log)
+        # Past days only matter when an empty history is filled.
+        today = F.col("run_ts").cast("date") == F.lit(self.as_of)
+        log = self.run_log if self.first_run else self.run_log.where(today)
+        days = run_days(result_run_keys(keyed), log)
         names = self.relations.where(F.col("schema") == self.schema).select(F.col("relation").alias("name"))
         return {
             "run_status": run_status(

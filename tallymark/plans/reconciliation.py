@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymark import fixed_values as fv
 from tallymark.functions import predicates as p
@@ -37,6 +38,14 @@ CRM_KEYS = [
     "active",
 ]
 HOLDING_ATTACHED = ["OBJECT_ID_BUS", "NAME_NC", "NAME_HOLDING", "OBJECT_ID_HOLDING"]
+# Columns of the stored result that are not text.
+RESULT_TYPES = {
+    "PARENT_ID": T.LongType(),
+    "OBJECT_ID_HOLDING": T.LongType(),
+    "MODIFIED_WHEN": T.TimestampType(),
+    "n_svc": T.LongType(),
+    "n_ord": T.LongType(),
+}
 ACCOUNT_VERSION = "MODIFIED_WHEN"
 CRM_VERSION = "last_activity"
 
@@ -122,6 +131,16 @@ def account_only(accounts: DataFrame, crm: DataFrame) -> DataFrame:
     return match_anti(active, crm, "UNIQUE_GLOBAL_ID", "crm_global_id")
 
 
+def result_schema() -> T.StructType:
+    """Layout of the stored result: run key, then the columns under the names in use."""
+    key = T.StructField(fv.RUN_LOG_COLUMNS["run_key"], T.LongType(), False)
+    columns = [
+        T.StructField(physical, RESULT_TYPES.get(logical, T.StringType()))
+        for logical, physical in fv.RECONCILIATION_LAYOUT.items()
+    ]
+    return T.StructType([key, *columns])
+
+
 def report_flags(
     results: DataFrame,
     labels: Mapping[str, tuple] = fv.REPORT_LABELS,

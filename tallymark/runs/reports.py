@@ -39,8 +39,13 @@ def with_run_day(
 
 
 def _ordered(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """Sorted as asked; ties by content, so that a frequent value can be split between tasks."""
-    return df.orderBy(*order, F.xxhash64(*map(quoted, df.columns)))
+    """Sorted as asked, nulls last for names, as the dashboards' database does.
+
+    Ties are broken by content, so that a frequent value can be split between
+    tasks.
+    """
+    wanted = [quoted(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    return df.orderBy(*wanted, F.xxhash64(*map(quoted, df.columns)))
 
 
 def latest_report(

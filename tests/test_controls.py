@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark import fixed_values as fv
 from tallymark.operators.shape import to_layout, to_logical
+from tallymark.operators.tables import conform
 from tallymark.plans import customer_flags as flags
 from tallymark.plans import hierarchy as tree
 from tallymark.plans import reconciliation as recon
@@ -237,6 +238,12 @@ def test_reconciliation(spark):
     assert rows(results["account_only"].select("OBJECT_ID", "n_svc", "n_ord")) == Counter([("3", None, 1)])
     layout = to_layout(results["matched_by_global_id"], fv.RECONCILIATION_LAYOUT)
     assert len(layout.columns) == 24
+    schema = recon.result_schema()
+    stored = conform(layout.withColumn("ClEjecControl", F.lit(7)), schema)
+    assert [(f.name, f.dataType) for f in stored.schema] == [(f.name, f.dataType) for f in schema]
+    assert stored.dtypes[0] == ("ClEjecControl", "bigint") and len(stored.columns) == 25
+    row = stored.first()
+    assert row["max(Last_Account_Activity__c)"] == "2024-01-02 00:00:00" and row["Cant_Prod_Orders"] == 1
 
 
 def test_matched_and_unmatched_rows_partition_each_side(spark, sf_dir):

@@ -45,7 +45,7 @@ def test_two_nights(spark, sf_dir):
     assert latest.count() == row.row_count and row.attribute_keys == fv.RECONCILIATION_ATTRIBUTES
     assert [r[0] for r in latest.select("run_day").distinct().collect()] == [NIGHT.date()]
     names = [r.NAME for r in latest.collect()]
-    assert names == sorted(names, key=lambda n: (n is not None, n or ""))
+    assert names == sorted(names, key=lambda n: (n is None, n or ""))
     assert {"R1_1", "R1_2", "R1_3", "R1_4", "has_flag"} <= set(report_flags(latest).columns)
     history = reports.full_history(store.read("matched_by_global_id"), log, ["NAME"])
     assert history.count() == 2 * latest.count()

@@ -142,6 +142,8 @@ def test_reports(spark):
     latest = reports.latest_report(results, runs, ["x"]).collect()
     assert [tuple(r) for r in latest] == [("a", 2, dt.date(2024, 6, 30)), ("c", 2, dt.date(2024, 6, 30))]
     assert [r.x for r in reports.full_history(results, runs, [F.desc("x")]).collect()] == ["c", "b", "a"]
+    unnamed = results.union(spark.createDataFrame([(None, 1)], results.schema))
+    assert [r.x for r in reports.full_history(unnamed, runs, ["x"]).collect()] == ["a", "b", "c", None]
     recent = reports.recent_history(results, runs, dt.date(2024, 7, 1), ["x"])
     assert [r.x for r in recent.collect()] == ["a", "c"]
     unlogged = reports.latest_report(results, log(spark, [(1, NOON)]), ["x"])
