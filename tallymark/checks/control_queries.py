@@ -121,6 +121,15 @@ def holding_pairs_wide(spark, sf):
     )
 
 
+@query(
+    "holding_pairs_table",
+    "SELECT " + ", ".join(f"{a} AS {b}" for a, b in fv.HOLDING_PAIRS_LAYOUT.items()) + f" FROM ({_wide_sql()}) w",
+)
+def holding_pairs_table(spark, sf):
+    """The pairs under the column names in use."""
+    return to_layout(holding_pairs_wide(spark, sf), fv.HOLDING_PAIRS_LAYOUT)
+
+
 def _reconciliation(spark, sf, holdings=False):
     return recon.Reconciliation(
         i.account_versions(spark, sf),

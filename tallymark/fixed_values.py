@@ -142,3 +142,21 @@ SERVICE_RESULT_COLUMNS = {"n_services": "NumVecesServAsocAlCustomer_TOP"}
 STATUS_COLUMNS = {"status": "OKNOK", "control": "ControlName"}
 SCHEMA_SIZE_COLUMNS = {"size_gb": "SizeDBInGB"}
 TABLE_SIZE_COLUMNS = {"size": "DSSize", "size_kb": "DSSizekBytes", "name": "DSName"}
+
+# Physical column names of the wide holding pairs, in order.
+HOLDING_PAIRS_LAYOUT = {
+    "OBJECT_ID_HOLDING": "SC_HOLDING_OBJECT_ID",
+    "NAME_HOLDING": "DS_HOLDING_NAME",
+    "STATUS_HOLDING": "DS_HOLDING_STATUS",
+    "IS_MNC_HOLDING": "DS_HOLDING_IS_MNC",
+    "IS_OTT_HOLDING": "DS_HOLDING_IS_OTT",
+    "ACRONYM_HOLDING": "DS_HOLDING_ACRONYM",
+    "CUST_TYPE_NAME_HOLDING": "DS_HOLDING_CUST_TYPE",
+    "OBJECT_ID_LE": "SC_LE_OBJECT_ID",
+    "NAME_LE": "DS_LE_NAME",
+    "STATUS_LE": "DS_LE_STATUS",
+    "IS_MNC_LE": "DS_LE_IS_MNC",
+    "IS_OTT_LE": "DS_LE_IS_OTT",
+    "ACRONYM_LE": "DS_LE_ACRONYM",
+    "CUST_TYPE_NAME_LE": "DS_LE_CUST_TYPE",
+}

@@ -192,6 +192,26 @@ def test_jdbc_table_is_quoted():
     assert jdbc.read_table(FakeSession(), CONNECTION, "DB.My Table")["dbtable"] == '"DB"."My Table"'
 
 
+def test_jdbc_split_covers_the_actual_range(monkeypatch):
+    asked = []
+
+    class OneRow:
+        def __init__(self, row):
+            self.row = row
+
+        def first(self):
+            return self.row
+
+    def answer(row):
+        return lambda spark, connection, query: asked.append(query) or OneRow(row)
+
+    monkeypatch.setattr(jdbc, "read_query", answer((3, 90)))
+    assert jdbc.split_on(None, CONNECTION, "T", "ID", 8) == jdbc.Split('"ID"', 3, 90, 8)
+    assert asked == ['SELECT MIN("ID") AS lo, MAX("ID") AS hi FROM "T"']
+    monkeypatch.setattr(jdbc, "read_query", answer((None, None)))
+    assert jdbc.split_on(None, CONNECTION, "T", "ID", 8) is None
+
+
 def test_jdbc_hash_predicates_cover_every_row(spark):
     conditions = jdbc.hash_predicates("k", 3)
     got = jdbc.read_table(FakeSession(), CONNECTION, "t", predicates=conditions)
