@@ -28,12 +28,12 @@ def dense_keys(
     range partitioned and sorted, each row notes partition and position, and
     only the row count of each partition (one row per partition) is summed up
     and sent back. The noted positions are written out once: evaluating the
-    range partitioning twice may draw other boundaries.
+    range partitioning twice may draw other boundaries. Without `partitions`
+    AQE merges small ranges.
     """
-    spark = df.sparkSession
     columns = [quoted(c) for c in order]
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(partitions, *columns).sortWithinPartitions(*columns)
+    ranged = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
+    ranged = ranged.sortWithinPartitions(*columns)
     placed = written_once(ranged.withColumn("_place", F.monotonically_increasing_id()), "keys")
     part = F.shiftright(F.col("_place"), POSITION_BITS)
     position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
