@@ -8,8 +8,10 @@ import pytest
 from comparison import connect, spark_multiset, sql_multiset
 
 import __spark_entry__ as entry
+from tallymark.checks.registry import ORACLES as TWINS
+from tallymark.checks.registry import QUERIES
 
-QUERIES, TWINS = entry.queries(), entry.oracle_sql()
+# Queries of llm have their own tests.
 # One-row scalars and the log of a single run are the only broadcasts by hint.
 SLOW_PLANS = re.compile("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython")
 
