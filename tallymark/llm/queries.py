@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import line_dedup, near_duplicates
+from tallymark.llm import decontamination, line_dedup, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": near_duplicates.op4_near_duplicates,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_decontamination": decontamination.op10_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op4_near_duplicates": near_duplicates.SQL,
     "op9_line_dedup": line_dedup.SQL,
+    "op10_decontamination": decontamination.SQL,
 }
