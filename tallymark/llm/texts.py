@@ -108,6 +108,11 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def hashes_of(ids: np.ndarray) -> np.ndarray:
+    """64-bit hash of integer ids, for bit filters."""
+    return mix(ids.astype(np.int64).view(np.uint64))
+
+
 @dataclass
 class Words:
     """Word spans of a block; the words of document i are first[i]:first[i + 1]."""
