@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontamination, language_id, line_dedup, near_duplicates, quality_rules, toxicity
+from tallymark.llm import decontamination, language_id, line_dedup, near_duplicates, packing, quality_rules, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_token_files": token_files.op2_token_files,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_near_duplicates": near_duplicates.op4_near_duplicates,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op8_packing": packing.op8_packing,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_decontamination": decontamination.op10_decontamination,
 }
