@@ -13,6 +13,14 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 KEPT_PIECES = 1_000_000
 BEFORE_SPACE = re.compile(r"\s ")
+# A word of Latin letters with or without a space before and a mark after it.
+PLAIN = re.compile(r"( ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([.,]?)")
+PROBES = [" the", "Word", " Straße", " naïveté", " QUEREÈ", "µ", " aÿª", " internationalization", " Ñandú"]
+# Byte-level vocabularies write each byte as one character: printable ones as they are,
+# the others in order from 256 on.
+_printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_others = iter(range(256, 512))
+BYTE_CHARACTERS = {b: chr(b) if b in _printable else chr(next(_others)) for b in range(256)}
 _open: dict[str, Encoder] = {}
 
 
@@ -29,8 +37,31 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        self.model = self.tokenizer.model
+        self.form = next((f for f in (self._bytes, self._bare) if all(self._word(p, f) == self._full(p) for p in PROBES)), None)
+        self.marks = {m: self._full(m) for m in ("", ".", ",")}
         self._forget()
 
+    @staticmethod
+    def _bytes(word: str) -> str:
+        return word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+
+    @staticmethod
+    def _bare(word: str) -> str:
+        return Encoder._bytes(word.lstrip(" ").lower())
+
+    def _word(self, word: str, form) -> list[int]:
+        return [t.id for t in self.model.tokenize(form(word))]
+
+    def _full(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of new pieces."""
+        out: list = [PLAIN.fullmatch(p) if self.form else None for p in pieces]
+        rest = iter(self.tokenizer.encode_batch_fast([p for p, m in zip(pieces, out, strict=True) if not m], add_special_tokens=False))
+        return [next(rest).ids if m is None else self._word(m[1], self.form) + self.marks[m[2]] for m in out]
+
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids = np.zeros(0, np.uint32)
@@ -48,15 +79,14 @@ class Encoder:
             self._forget()
         number, new, at, ends = self.number, [], [], [0]
         for text in texts:
-            for piece in self._pieces(text):
-                place = number.get(piece)
-                if place is None:
-                    place = number[piece] = len(number)
-                    new.append(piece)
-                at.append(place)
+            pieces = self._pieces(text)
+            for piece in set(pieces).difference(number):
+                number[piece] = len(number)
+                new.append(piece)
+            at += map(number.__getitem__, pieces)
             ends.append(len(at))
         if new:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            found = self._encoded(new)
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in found])])
             self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32)])
         chosen = np.array(at, np.int64)
