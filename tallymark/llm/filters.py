@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.llm import texts as T
+
 # 8 MB whatever the number of hashes; a fuller filter only lets more through.
 FILTER_BITS = 26
 
@@ -28,3 +33,24 @@ def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each unsigned 64-bit hash may have been put in."""
     bit = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
     return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def _id_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(T.signed(T.hashes_of(batch.column("doc_id").to_numpy())))], names=["hash"])
+
+
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose doc_id may be among the non-null ones of `ids`.
+
+    Few others pass, so a join that follows moves little more than its result.
+    """
+    bits = bit_filter(ids.select("doc_id").mapInArrow(_id_hashes, "hash long"), "hash")
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = passes(shared.value, T.hashes_of(batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)))
+            yield batch.filter(pa.array(known))
+
+    return docs.mapInArrow(run, docs.schema)

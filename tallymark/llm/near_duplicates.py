@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm import texts as T
 from tallymark.llm.components import components
+from tallymark.llm.filters import likely
 from tallymark.session import written_once
 
 BANDS, ROWS, BITS = 40, 5, 2
@@ -142,6 +143,21 @@ def estimate(left: Column, right: Column) -> Column:
     return (1 - apart / float(BANDS * ROWS) - chance) / (1 - chance)
 
 
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose packed bits don't rule the threshold out."""
+    left = classes.select(F.col("doc_id").alias("a"), F.col("packed").alias("pa"))
+    right = classes.select(F.col("doc_id").alias("b"), F.col("packed").alias("pb"))
+    near = estimate(F.col("pa"), F.col("pb")) >= percent / 100 - SLACK
+    return pairs.join(left, "a").join(right, "b").filter(near).select("a", "b").distinct()
+
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(doc_id, shingles) of the wanted documents, which alone are shuffled."""
+    wanted = written_once(wanted, "wanted")
+    sets = likely(docs, wanted).mapInArrow(_sets(size), "doc_id long, shingles array<long>")
+    return written_once(sets.join(wanted, "doc_id", "left_semi"), "sets")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets reach the threshold."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
@@ -186,13 +202,13 @@ def _rest(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
     named = open_rows.select(F.col("a").alias("doc_id"), "component").distinct()
     clusters = components(open_rows.select("a", "b")).withColumnsRenamed({"node": "doc_id", "component": "cluster"})
     named = named.join(clusters, "doc_id", "left").withColumn("cluster", F.coalesce("cluster", "doc_id"))
-    sets = docs.join(named.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, shingles array<long>")
+    sets = _sets_of(docs, named.select("doc_id").distinct(), size)
     full = written_once(named.join(sets, "doc_id").withColumn("n", F.size("shingles")), "clusters")
     # shingles that only this class of the cluster has can't be part of a link
     spread = full.select("cluster", "doc_id", F.explode("shingles").alias("shingle"))
     shared = spread.groupBy("cluster", "shingle").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("times"))
     lone = shared.filter("low = high").groupBy(F.col("low").alias("doc_id")).agg(F.sum("times").alias("lone"))
-    smallest = full.groupBy("cluster").agg(F.min("n").alias("smallest"))
+    smallest = written_once(full.groupBy("cluster").agg(F.min("n").alias("smallest")), "smallest")
     fit = full.join(lone, "doc_id", "left").join(smallest, "cluster")
     usable = F.col("n") - F.coalesce("lone", F.lit(0))
     partner = F.greatest(F.col("smallest"), F.ceil(F.col("n") * percent / 100))
@@ -207,7 +223,7 @@ def _rest(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
     )
     blocks = lambda volume: F.ceil(F.col(volume) / BLOCK_SHINGLES).cast("int")
     by_cluster = by_cluster.filter("parts > 1").select("cluster", "largest", blocks("smaller").alias("nx"), blocks("volume").alias("ny"))
-    fit = fit.join(by_cluster, "cluster")
+    fit = fit.join(written_once(by_cluster, "volumes"), "cluster")
     own = lambda count: F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     keys = ["cluster", "bx", "by"]
@@ -230,13 +246,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     classes = written_once(
         real.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("packed", "bands"))), "classes"
     )
-    banded = classes.select("doc_id", "packed", F.explode("bands").alias("band"))
-    least = banded.groupBy("band").agg(F.min_by(F.struct("doc_id", "packed"), "doc_id").alias("least"), F.count("*").alias("docs"))
-    least = least.filter("docs > 1").select("band", F.col("least.doc_id").alias("a"), F.col("least.packed").alias("pa"))
-    buckets = written_once(banded.join(least, "band").withColumn("near", estimate(F.col("packed"), F.col("pa")) >= percent / 100 - SLACK).select("band", "doc_id", "a", "near"), "buckets")
-    pairs = written_once(buckets.filter("near and a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = written_once(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(shingle_words), "doc_id long, shingles array<long>"), "sets")
+    banded = classes.select("doc_id", F.explode("bands").alias("band"))
+    least = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("docs")).filter("docs > 1").drop("docs")
+    buckets = written_once(banded.join(least, "band"), "buckets")
+    pairs = written_once(_near(buckets.filter("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct(), classes, percent), "pairs")
+    sets = _sets_of(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), shingle_words)
     links = written_once(_confirmed(pairs, sets, percent), "confirmed")
     found = components(links)
     members = buckets.select("band", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import texts as T
-from tallymark.llm.filters import bit_filter, passes
+from tallymark.llm.filters import likely
 from tallymark.llm.ngrams import ngram_indices
 from tallymark.session import written_once
 
@@ -52,21 +52,6 @@ def places(text: str, wanted: np.ndarray | None = None) -> np.ndarray:
     return seen
 
 
-def _possible(bits) -> object:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
-            known = passes(bits.value, T.hashes_of(ids.fill_null(-1).to_numpy(zero_copy_only=False)))
-            yield batch.filter(pa.array(known))
-
-    return run
-
-
-def _id_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(T.signed(T.hashes_of(batch.column("doc_id").to_numpy())))], names=["hash"])
-
-
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(place, toxic, other): documents of a partition with the n-gram; place -1 has all."""
     found = np.zeros((2, 1 << BITS), np.int64)
@@ -129,9 +114,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     context = docs.sparkSession.sparkContext
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn)
     marks = written_once(marks.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")), "marks")
-    bits = context.broadcast(bit_filter(marks.select("doc_id").mapInArrow(_id_hashes, "hash long"), "hash"))
-    texts = docs.select("doc_id", "text")
-    rows = written_once(texts.mapInArrow(_possible(bits), texts.schema).join(marks, "doc_id"), "labelled")
+    rows = written_once(likely(docs.select("doc_id", "text"), marks).join(marks, "doc_id"), "labelled")
     tallied = rows.select("text", "toxic").mapInArrow(_tally, "place long, toxic long, other long").groupBy("place")
     tallied = tallied.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()
     place, toxic, other = (tallied.column(c).to_numpy() for c in ("place", "toxic", "other"))
