@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontamination, language_id, language_model, line_dedup, near_duplicates, packing, quality_rules, token_files, toxicity
+from tallymark.llm import decontamination, language_id, language_model, line_dedup, near_duplicates, packing, quality_rules, repeated_bytes, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_near_duplicates": near_duplicates.op4_near_duplicates,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_repeated_bytes": repeated_bytes.op6_repeated_bytes,
     "op7_language_model": language_model.op7_language_model,
     "op8_packing": packing.op8_packing,
     "op9_line_dedup": line_dedup.op9_line_dedup,
