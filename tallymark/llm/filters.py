@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,7 @@ from tallymark.llm import texts as T
 
 # 8 MB whatever the number of hashes; a fuller filter only lets more through.
 FILTER_BITS = 26
+Batches = Iterator[pa.RecordBatch]
 
 
 def bit_filter(hashes: DataFrame, column: str) -> np.ndarray:
@@ -35,22 +36,25 @@ def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def _id_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _id_hashes(batches: Batches) -> Batches:
     for batch in batches:
         yield pa.RecordBatch.from_arrays([pa.array(T.signed(T.hashes_of(batch.column("doc_id").to_numpy())))], names=["hash"])
 
 
-def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def likely(docs: DataFrame, ids: DataFrame, then: Callable[[Batches], Batches] | None = None, shape: str | None = None) -> DataFrame:
     """Documents whose doc_id may be among the non-null ones of `ids`.
 
     Few others pass, so a join that follows moves little more than its result.
+    `then` and its output `shape` run on them in the same task and worker.
     """
     bits = bit_filter(ids.select("doc_id").mapInArrow(_id_hashes, "hash long"), "hash")
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passing(batches: Batches) -> Batches:
         for batch in batches:
             known = passes(shared.value, T.hashes_of(batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)))
             yield batch.filter(pa.array(known))
 
-    return docs.mapInArrow(run, docs.schema)
+    if then is None:
+        return docs.mapInArrow(passing, docs.schema)
+    return docs.mapInArrow(lambda batches: then(passing(batches)), shape)

@@ -154,7 +154,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(doc_id, shingles) of the wanted documents, which alone are shuffled."""
     wanted = written_once(wanted, "wanted")
-    sets = likely(docs, wanted).mapInArrow(_sets(size), "doc_id long, shingles array<long>")
+    sets = likely(docs, wanted, _sets(size), "doc_id long, shingles array<long>")
     return written_once(sets.join(wanted, "doc_id", "left_semi"), "sets")
 
 

@@ -24,6 +24,7 @@ empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -61,10 +62,13 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     starts = np.flatnonzero(left >= LENGTH)
     # the last gram of each string with that hash: walk back over the few candidates
     best = least[starts]
-    possible = np.zeros(len(hashes), bool)
-    for i in range(span):
-        possible[starts + i] |= hashes[starts + i] == best
-    candidates = np.flatnonzero(possible)
+    highest = np.zeros(len(hashes) + span - 1, np.uint64)
+    highest[starts + span - 1] = best
+    width = 1
+    while 2 * width <= span:
+        highest, width = np.maximum(highest[:-width], highest[width:]), 2 * width
+    highest = np.maximum(highest[: len(highest) - (span - width)], highest[span - width :])
+    candidates = np.flatnonzero(highest == hashes)
     chosen = np.searchsorted(candidates, starts + span - 1, "right") - 1
     wrong = np.flatnonzero(hashes[candidates[chosen]] != best)
     while len(wrong):
@@ -77,8 +81,16 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return places, hashes[places], starts[first], starts[np.append(first[1:], len(starts)) - 1]
 
 
-def _per_document(places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    return np.diff(np.searchsorted(places, offsets))
+def distinct_anchors(places: np.ndarray, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First anchor of each hash in each document: which, how many per document, and the first for every anchor."""
+    owner = np.searchsorted(offsets, places, "right") - 1
+    keys = hashes ^ T.mix(owner.astype(np.uint64) + np.uint64(1))
+    _, first, again = np.unique(keys, return_index=True, return_inverse=True)
+    rank = np.empty(len(first), np.int64)
+    order = np.argsort(first, kind="stable")
+    rank[order] = np.arange(len(first))
+    first = first[order]
+    return first, np.bincount(owner[first], minlength=len(offsets) - 1), rank[again]
 
 
 def _chunks(ranges: int):
@@ -107,8 +119,9 @@ def _chunks(ranges: int):
                 rows = slice(block.rows.start, block.rows.stop)
                 ids += batch.column("doc_id")[rows].to_pylist()
                 versions += batch.column("version")[rows].to_pylist()
-                counts += _per_document(places, block.offsets).tolist()
-                hashes.append(found)
+                firsts, each, _ = distinct_anchors(places, found, block.offsets)
+                counts += each.tolist()
+                hashes.append(found[firsts])
                 size += len(block.data)
                 if size >= CHUNK:
                     yield row()
@@ -158,9 +171,9 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in T.blocks(batch):
             rows = slice(block.rows.start, block.rows.stop)
             places, hashes, first, last = anchors(block.data, block.offsets)
-            counts = _per_document(places, block.offsets)
+            _, counts, again = distinct_anchors(places, hashes, block.offsets)
             bits = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(batch.column("bits")[rows].to_pylist(), counts, strict=True)]
-            wanted = np.flatnonzero(np.concatenate([np.zeros(0, np.uint8), *bits]))
+            wanted = np.flatnonzero(np.concatenate([np.zeros(0, np.uint8), *bits])[again])
             owner = np.searchsorted(block.offsets, first[wanted], "right") - 1
             raw = block.data.tobytes()
             regions = [raw[a : b + LENGTH] for a, b in zip(first[wanted], last[wanted], strict=True)]
@@ -178,26 +191,38 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _least_documents(rows: pd.DataFrame) -> pd.DataFrame:
-    """For every region of a shard, the least document of each of its strings."""
-    regions = rows["region"].map(bytes).to_list()
-    order, shared, row_end = suffix_order(regions)
-    sizes = np.array([len(r) for r in regions])
-    ends = np.cumsum(sizes + 1) - 1
-    long = row_end[order] - order >= LENGTH
-    # a neighbour that shares LENGTH bytes is long itself: groups are unbroken
-    new = shared < LENGTH
-    docs = rows["least"].to_numpy()[np.searchsorted(ends, order)]
-    group = np.cumsum(new) - 1
-    begins = np.flatnonzero(new)
-    least = np.minimum.reduceat(docs, begins)[group] if len(order) else docs
-    answers = np.zeros(int(ends[-1]) + 1, np.int64)
-    answers[order[long]] = least[long]
-    found = [answers[e - n : e - LENGTH + 1] for e, n in zip(ends, sizes, strict=True)]
-    return pd.DataFrame({"anchor": rows["anchor"], "region": rows["region"], "leasts": found})
+    """For the regions of a shard, the least document of each of their strings.
+
+    An anchor's only region holds all that its strings can equal, so its own least
+    document is the answer. Regions in which no document comes too late are left out.
+    """
+    variants = rows.groupby("anchor")["least"].transform("size").to_numpy()
+    alone = rows[(variants == 1) & (rows["least"] < rows["most"]).to_numpy()]
+    out = [pd.DataFrame({"anchor": alone["anchor"], "region": alone["region"], "leasts": [[x] for x in alone["least"]]})]
+    rows = rows[variants > 1]
+    if len(rows):
+        regions = rows["region"].map(bytes).to_list()
+        order, shared, row_end = suffix_order(regions)
+        sizes = np.array([len(r) for r in regions])
+        ends = np.cumsum(sizes + 1) - 1
+        # a neighbour that shares LENGTH bytes is that long itself: groups are unbroken
+        begins = np.flatnonzero(shared < LENGTH)
+        docs = rows["least"].to_numpy()[np.searchsorted(ends, order)]
+        least = np.repeat(np.minimum.reduceat(docs, begins), np.diff(np.append(begins, len(order))))
+        answers = np.zeros(int(ends[-1]) + 1, np.int64)
+        answers[order] = least
+        found = [answers[e - n : e - LENGTH + 1] for e, n in zip(ends, sizes, strict=True)]
+        late = [f.min() < m for f, m in zip(found, rows["most"], strict=True)]
+        rows = rows.assign(leasts=[f if f.min() < f.max() else f[:1] for f in found])[late]
+        out.append(rows[["anchor", "region", "leasts"]])
+    return pd.concat(out)
 
 
 def _answered(unique: DataFrame) -> DataFrame:
-    """(anchor, region, leasts) of all different regions."""
+    """(anchor, region, leasts) of the regions in which some document comes late.
+
+    leasts has a value per string, or one for all of them.
+    """
     volume = unique.agg(F.sum(F.octet_length("region"))).first()[0] or 0
     shards = max(1, -(-volume // SHARD))
     crowded = written_once(unique.groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor"), "crowded")
@@ -207,8 +232,9 @@ def _answered(unique: DataFrame) -> DataFrame:
     strings = unique.join(crowded, "anchor", "left_semi").select("*", F.explode(F.sequence(F.lit(0), F.octet_length("region") - LENGTH)).alias("o"))
     strings = strings.withColumn("string", F.expr(f"substring(region, o + 1, {LENGTH})"))
     earliest = strings.groupBy("string").agg(F.min("least").alias("earliest"))
-    cut = strings.join(earliest, "string").groupBy("anchor", "region").agg(F.sort_array(F.collect_list(F.struct("o", "earliest"))).alias("s"))
-    return sorted_out.unionByName(cut.select("anchor", "region", F.col("s.earliest").alias("leasts")))
+    cut = strings.join(earliest, "string").groupBy("anchor", "region").agg(F.max("most").alias("most"), F.sort_array(F.collect_list(F.struct("o", "earliest"))).alias("s"))
+    cut = cut.select("anchor", "region", "most", F.col("s.earliest").alias("leasts")).filter(F.array_min("leasts") < F.col("most"))
+    return sorted_out.unionByName(cut.drop("most"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -223,17 +249,22 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     answers = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("range", "bits"))).alias("b"))
     full = chunks.drop("asked").join(answers.select("chunk", F.col("b.bits").alias("bits")), "chunk")
     marks = written_once(full.mapInArrow(_marks, "doc_id long, version long, bits binary").dropDuplicates(KEY), "marks")
+    del asked, answers, full
+    free_scratch(chunks)
     texts = likely(docs, marks).join(marks, KEY)
     records = texts.mapInArrow(_regions, "doc_id long, version long, at long, anchor long, region binary")
     records = written_once(records, "regions")
+    del texts
+    free_scratch()
     unique = written_once(records.groupBy("anchor", "region").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "unique")
-    answered = _answered(unique.drop("most"))
+    free_scratch()
     name = [F.xxhash64("anchor", "region").alias("r1"), F.xxhash64(F.lit(1), "region", "anchor").alias("r2")]
-    # only regions with a string that some document before one of their own has
-    useful = answered.join(unique.select("anchor", "region", "most"), ["anchor", "region"]).filter(F.array_min("leasts") < F.col("most"))
-    useful = written_once(useful.select(*name, "leasts"), "answers")
-    rows = records.select(*KEY, "at", *name).join(useful, ["r1", "r2"])
-    found = F.filter(F.transform("leasts", lambda x, i: F.when(x < F.col("doc_id"), i.cast("long"))), lambda x: x.isNotNull())
+    useful = written_once(_answered(unique).select(*name, "leasts"), "answers")
+    free_scratch(unique)
+    rows = records.select(*KEY, "at", (F.octet_length("region") - LENGTH + 1).alias("n"), *name).join(useful, ["r1", "r2"])
+    every = F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1)
+    late = F.filter(F.transform("leasts", lambda x, i: F.when(x < F.col("doc_id"), i.cast("long"))), lambda x: x.isNotNull())
+    found = F.when(F.size("leasts") > 1, late).when(F.col("leasts")[0] < F.col("doc_id"), every)
     rows = rows.withColumn("o", found).filter(F.size("o") > 0)
     # strings in a row become one span
     begins = F.filter("o", lambda x, i: (i == 0) | (x != F.col("o")[i - 1] + 1))
@@ -242,6 +273,21 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return rows.select(*KEY, span.alias("s")).groupBy(*KEY).agg(F.flatten(F.collect_list("s")).alias("spans"))
 
 
+def free_scratch(*tables: DataFrame) -> None:
+    """Give back the shuffle files of frames that are gone, and the files of written tables.
+
+    Spark removes shuffle files once the driver's garbage collector has found their
+    frames unused, by default every half hour: too late for steps this large.
+    """
+    session = SparkSession.active()
+    for table in tables:
+        for file in table.inputFiles()[:1]:
+            folder = session._jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
+    gc.collect()
+    session._jvm.System.gc()
+
+
 def merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of overlapping or touching spans."""
     order = np.argsort(starts, kind="stable")
