@@ -41,7 +41,7 @@ from tallymark.llm.suffix_sort import suffix_order
 from tallymark.session import written_once
 
 LENGTH, GRAM = 50, 20
-CHUNK, RANGE, SHARD, CROWD = 1 << 24, 1 << 21, 1 << 22, 20_000
+CHUNK, RANGE, SHARD, CROWD, BLOCK = 1 << 24, 1 << 21, 1 << 22, 20_000, 1 << 18
 KEY = ["doc_id", "version"]
 
 
@@ -114,7 +114,7 @@ def _chunks(ranges: int):
             return T.arrow(schema, [[v] for v in (part + number, ids, versions, counts, of.tobytes(), asked)])
 
         for batch in batches:
-            for block in T.blocks(batch):
+            for block in T.blocks(batch, most=BLOCK):
                 places, found, _, _ = anchors(block.data, block.offsets)
                 rows = slice(block.rows.start, block.rows.stop)
                 ids += batch.column("doc_id")[rows].to_pylist()
@@ -168,7 +168,7 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, version, at, anchor, region) around every marked anchor."""
     for batch in batches:
-        for block in T.blocks(batch):
+        for block in T.blocks(batch, most=BLOCK):
             rows = slice(block.rows.start, block.rows.stop)
             places, hashes, first, last = anchors(block.data, block.offsets)
             _, counts, again = distinct_anchors(places, hashes, block.offsets)
