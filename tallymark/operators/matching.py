@@ -56,7 +56,7 @@ def match_left(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
 
 
 def match_semi(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    return _equi(left, pick_key(right, right_key), left_key, right_key, "left_semi")
+    return _equi(left, pick_key(right, right_key).distinct(), left_key, right_key, "left_semi")
 
 
 def pick_key(df: DataFrame, key: str) -> DataFrame:
@@ -93,7 +93,7 @@ def anti_on(
     content = F.pmod(F.xxhash64(*map(quoted, left.columns)), F.lit(HOT_SALTS))
     spread = spread | _is_hot(F.col(names[0]), hot)
     keyed = keyed.withColumn("_spread", F.when(spread, content).otherwise(F.lit(0)))
-    right = right.select(*[pair[1].alias(value) for value, pair in zip(values, pairs)]).dropna()
+    right = right.select(*[pair[1].alias(value) for value, pair in zip(values, pairs)]).dropna().distinct()
     # Not a plain 0: a constant would not be used as a join key.
     zero = F.pmod(F.xxhash64(*values), F.lit(1))
     if any(value is not None for value in hot):

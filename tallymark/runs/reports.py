@@ -51,16 +51,18 @@ def _ordered(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
 def latest_report(
     results: DataFrame, run_log: DataFrame, order: Sequence[str | Column], key: str = "run_key", **names: str
 ) -> DataFrame:
-    """Rows of the latest run, ordered.
+    """Rows of the latest run that the log holds, ordered; a broken later run is passed over.
 
     All of them share one run key, so a shuffle by key would put them in one
     task. The log is cut down to that run as well: keys are unique in it, so
     this is one row and safe to broadcast.
     """
     log_key = names.get("log_key", "run_key")
-    latest = results.agg(F.max(quoted(key))).scalar()
+    logged = run_log.select(quoted(log_key).alias("_log_key")).distinct()
+    complete = results.select(quoted(key)).distinct().join(logged, quoted(key) == F.col("_log_key"), "left_semi")
+    latest = complete.agg(F.max(quoted(key))).scalar()
     one_run = F.broadcast(run_log.where(quoted(log_key) == latest))
-    return _ordered(with_run_day(of_latest_run(results, key), one_run, key, **names), order)
+    return _ordered(with_run_day(results.where(quoted(key) == latest), one_run, key, **names), order)
 
 
 def full_history(

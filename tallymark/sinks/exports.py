@@ -9,22 +9,13 @@ from tallymark.functions.calendar import short_day
 from tallymark.operators.drift import snapshot_union
 from tallymark.sources.files import read_history
 
-# A result up to this many rows is exported as one file, a larger one as several.
-SINGLE_FILE_ROWS = 1_000_000
-
-
-def export_csv(
-    df: DataFrame, path: str, rows: int | None = None, single_file_rows: int = SINGLE_FILE_ROWS
-) -> None:
+def export_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
     """Append `;` CSV with header; empty text is written as NULL, null stays empty.
 
-    One file as long as one task can reasonably write it; every file of a
-    larger export carries the header. `rows` saves the count where it is known.
+    Every file carries the header. `one_file` moves the finished rows to one
+    task; the work before that stays parallel.
     """
-    if rows is None:
-        rows = df.limit(single_file_rows + 1).count()
-    small = rows <= single_file_rows
-    out = df.coalesce(1) if small else df
+    out = df.repartition(1) if one_file else df
     (
         out.write.mode("append")
         .option("sep", ";")

@@ -147,7 +147,7 @@ def test_reports(spark):
     recent = reports.recent_history(results, runs, dt.date(2024, 7, 1), ["x"])
     assert [r.x for r in recent.collect()] == ["a", "c"]
     unlogged = reports.latest_report(results, log(spark, [(1, NOON)]), ["x"])
-    assert unlogged.count() == 0
+    assert [r.run_key for r in unlogged.collect()] == [1]
 
 
 def test_latest_report_reads_one_partition(spark, store):
@@ -217,3 +217,9 @@ def test_dataset_size_history(spark, tmp_path):
     assert rows(got) == Counter([("n", "i", "SPICE", 5, "2/5/2024"), ("n", "i", "SPICE", 5, "1/5/2024")])
     with pytest.raises(ValueError, match="overwrite"):
         dataset_size_history(spark, datasets, dt.date(2024, 5, 2), first, first + "/")
+
+
+def test_a_broken_last_run_does_not_hide_the_last_good_one(spark):
+    results = spark.createDataFrame([(1, "good"), (2, "broken")], "run_key long, name string")
+    log = spark.createDataFrame([(1, dt.datetime(2024, 3, 1))], "run_key long, run_ts timestamp")
+    assert [r.name for r in reports.latest_report(results, log, ["name"]).collect()] == ["good"]

@@ -128,13 +128,13 @@ def test_a_missing_day_is_an_error(spark, tmp_path):
 
 def test_export(spark, tmp_path):
     df = spark.createDataFrame([("", None), ("a", "b")], "x string, y string").repartition(3)
-    export_csv(df, str(tmp_path / "one"))
+    export_csv(df, str(tmp_path / "one"), one_file=True)
     parts = list((tmp_path / "one").glob("part-*"))
     assert len(parts) == 1
     assert sorted(parts[0].read_text().splitlines()) == ["NULL;", "a;b", "x;y"]
-    export_csv(df, str(tmp_path / "one"))
+    export_csv(df, str(tmp_path / "one"), one_file=True)
     assert len(list((tmp_path / "one").glob("part-*"))) == 2
-    export_csv(df, str(tmp_path / "many"), single_file_rows=1)
+    export_csv(df, str(tmp_path / "many"))
     lines = [line for part in (tmp_path / "many").glob("part-*") for line in part.read_text().splitlines()]
     assert Counter(line for line in lines if line != "x;y") == Counter(["NULL;", "a;b"])
     assert lines.count("x;y") >= 2
