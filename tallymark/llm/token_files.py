@@ -67,14 +67,19 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         chosen = np.sort(distinct[frequent])
         rank = np.empty(len(chosen), np.int32)
         rank[np.searchsorted(chosen, distinct[frequent])] = np.arange(len(frequent))
-        at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
-        ranks = np.where(chosen[at] == pairs, rank[at], np.int32(len(chosen)))
+        half = np.uint64(32) if pairs.dtype == np.uint64 else np.uint32(16)
+        made = distinct[frequent]
+        made = np.stack([made >> half, made & ((made.dtype.type(1) << half) - made.dtype.type(1))], 1).astype(np.uint32)
+        begins, ends = np.zeros((2, nonterminal), bool)  # symbols of chosen pairs: few others need a search
+        begins[made[:, 0]] = ends[made[:, 1]] = True
+        place = np.flatnonzero(begins[row[:-1]] & ends[row[1:]])
+        at = np.minimum(np.searchsorted(chosen, pairs[place]), len(chosen) - 1)
         worst = np.int32(len(chosen))
+        ranks = np.full(len(pairs), worst)
+        ranks[place] = np.where(chosen[at] == pairs[place], rank[at], worst)
         left, right = np.append(worst, ranks[:-1]), np.append(ranks[1:], worst)
         take = np.flatnonzero((ranks < worst) & (ranks < left) & (ranks <= right))
-        half = np.uint64(32) if pairs.dtype == np.uint64 else np.uint32(16)
-        made = distinct[frequent]
-        rules.append(np.stack([made >> half, made & ((made.dtype.type(1) << half) - made.dtype.type(1))], 1).astype(np.uint32))
+        rules.append(made)
         row[take] = nonterminal + ranks[take].astype(np.uint32)
         row = np.delete(row, take + 1)
         nonterminal += len(frequent)

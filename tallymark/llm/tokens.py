@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -12,10 +13,9 @@ from tokenizers import Tokenizer
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 KEPT_PIECES = 1_000_000
-BEFORE_SPACE = re.compile(r"\s ")
-# A word of Latin letters with or without a space before and a mark after it.
-PLAIN = re.compile(r"( ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([.,]?)")
-PROBES = [" the", "Word", " Straße", " naïveté", " QUEREÈ", "µ", " aÿª", " internationalization", " Ñandú"]
+BEFORE_SPACE = re.compile(r" (?<=\s )")  # looks back from spaces, which are quick to find
+LATIN = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+")
+PROBES = [" the", "Word", " Straße.", " naïveté,", " QUEREÈ", "µ", " aÿª", " internationalization", " Ñandú", " es.\nThon", "a,\nß\nC."]
 # Byte-level vocabularies write each byte as one character: printable ones as they are,
 # the others in order from 256 on.
 _printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -32,63 +32,94 @@ class Encoder:
     there, and the pieces (a word with the space before it) are encoded by the
     tokenizer and kept for later texts, up to KEPT_PIECES. A text in which white
     space comes before a space is encoded as one piece.
+
+    A piece of Latin words, one a line, each with or without a mark after it, is put
+    together from the model's ids of the words; PROBES show whether a tokenizer allows it.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
         self.model = self.tokenizer.model
-        self.form = next((f for f in (self._bytes, self._bare) if all(self._word(p, f) == self._full(p) for p in PROBES)), None)
-        self.marks = {m: self._full(m) for m in ("", ".", ",")}
+        self.marks = {mark + end: self._full(mark + end) for mark in ("", ".", ",") for end in ("", "\n")}
+        self.form = next(filter(self._suits, (self._bytes, self._bare)), None)
         self._forget()
 
+    def _suits(self, form) -> bool:
+        self.words: dict[str, list[int]] = {}
+        return all(self._plain(p, form) == self._full(p) for p in PROBES)
+
     @staticmethod
     def _bytes(word: str) -> str:
+        if word.isascii():  # letters stand for themselves
+            return word.replace(" ", BYTE_CHARACTERS[32])
         return word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
 
     @staticmethod
     def _bare(word: str) -> str:
         return Encoder._bytes(word.lstrip(" ").lower())
 
-    def _word(self, word: str, form) -> list[int]:
-        return [t.id for t in self.model.tokenize(form(word))]
+    def _line(self, line: str, end: str, form) -> list[int] | None:
+        mark = line[-1:] if line.endswith((".", ",")) else ""
+        word = line[:-1] if mark else line
+        ids = self.words.get(word)
+        if ids is None:
+            bare = word[1:] if word.startswith(" ") else word
+            if not bare.isalpha() or not (bare.isascii() or LATIN.fullmatch(bare)):
+                return None
+            ids = self.words[word] = [t.id for t in self.model.tokenize(form(word))]
+        return ids + self.marks[mark + end] if mark or end else ids
+
+    def _plain(self, piece: str, form) -> list[int] | None:
+        """Ids of Latin words with their marks and line ends, None for any other piece."""
+        if "\n" not in piece:
+            return self._line(piece, "", form)
+        if "\n " in piece:
+            return None
+        *lines, last = piece.split("\n")
+        found = [self._line(line, "\n", form) for line in lines] + [self._line(last, "", form)]
+        return None if None in found else [i for ids in found for i in ids]
 
     def _full(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _encoded(self, pieces: list[str]) -> list[list[int]]:
         """Ids of new pieces."""
-        out: list = [PLAIN.fullmatch(p) if self.form else None for p in pieces]
-        rest = iter(self.tokenizer.encode_batch_fast([p for p, m in zip(pieces, out, strict=True) if not m], add_special_tokens=False))
-        return [next(rest).ids if m is None else self._word(m[1], self.form) + self.marks[m[2]] for m in out]
+        out = [self._plain(p, self.form) if self.form else None for p in pieces]
+        rest = iter(self.tokenizer.encode_batch_fast([p for p, ids in zip(pieces, out, strict=True) if ids is None], add_special_tokens=False))
+        return [next(rest).ids if ids is None else ids for ids in out]
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[str | tuple[str], int] = {}
+        self.words = {}
         self.ids = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
 
-    def _pieces(self, text: str) -> list[str]:
+    def _pieces(self, text: str) -> list[str | tuple[str]]:
+        """Pieces after a space without it; the first, or the whole text, as a tuple."""
         if BEFORE_SPACE.search(text):
-            return [text]
-        head, *rest = text.split(" ")
-        return [head, *(" " + piece for piece in rest)]
+            return [(text,)]
+        pieces: list = text.split(" ")
+        pieces[0] = (pieces[0],)
+        return pieces
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and offsets."""
         if len(self.number) > KEPT_PIECES:
             self._forget()
-        number, new, at, ends = self.number, [], [], [0]
+        number, at, ends = self.number, [], [0]
+        new: list[str] = []
         for text in texts:
             pieces = self._pieces(text)
             for piece in set(pieces).difference(number):
                 number[piece] = len(number)
-                new.append(piece)
+                new.append(" " + piece if isinstance(piece, str) else piece[0])
             at += map(number.__getitem__, pieces)
             ends.append(len(at))
         if new:
             found = self._encoded(new)
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in found])])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.uint32)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
         chosen = np.array(at, np.int64)
         sizes = self.first[chosen + 1] - self.first[chosen]
         stops = np.cumsum(sizes)
