@@ -11,7 +11,7 @@ from tallymark.operators.shape import pick, to_layout
 from tallymark.plans import customer_flags as flags
 from tallymark.plans import hierarchy as tree
 from tallymark.plans import reconciliation as recon
-from tallymark.runs.reports import full_history, latest_report
+from tallymark.runs.reports import full_history, latest_report, of_latest_run
 from tallymark.session import written_once
 
 CODES_SQL = "('PROMO','SMALL')"
@@ -162,6 +162,18 @@ def account_latest_versions(spark, sf):
     return recon.with_latest_holding(recon.latest_accounts(live), i.holdings(spark, sf))
 
 
+@query(
+    "holdings_of_complete_run",
+    """SELECT * FROM fx_holding WHERE run_key = (SELECT max(run_key) FROM fx_year_run
+ WHERE run_key < (SELECT max(run_key) FROM fx_year_run))""",
+)
+def holdings_of_complete_run(spark, sf):
+    """The last run is not in the log yet, so the one before it counts."""
+    runs = i.year_runs(spark, sf)
+    logged = runs.where(F.col("run_key") < runs.agg(F.max("run_key")).scalar())
+    return of_latest_run(i.holdings(spark, sf), run_log=logged)
+
+
 @query(
     "recon_r1",
     f"""SELECT a.*,c.*,p.*,o.* FROM acc_latest a JOIN crm_latest c ON a.UNIQUE_GLOBAL_ID=c.crm_global_id {ACTIVITY_SQL}""",

@@ -64,7 +64,13 @@ def printable(text: Column) -> Column:
 def decoded(content: Column) -> Column:
     """Bytes as text; bytes that are not UTF-8 are dropped.
 
-    Invalid bytes are first marked with U+FFFD, so a genuine U+FFFD in the
-    input is dropped as well.
+    Invalid bytes are marked with U+FFFD and the marks dropped. Genuine ones are
+    written as an escape meanwhile, a control character and a digit.
     """
-    return F.replace(F.make_valid_utf8(content.cast("string")), F.lit("�"), F.lit(""))
+    text = content.cast("string")
+    for found, escape in [("\x01", "\x010"), ("\ufffd", "\x011")]:
+        text = F.replace(text, F.lit(found), F.lit(escape))
+    text = F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
+    for found, escape in [("\ufffd", "\x011"), ("\x01", "\x010")]:
+        text = F.replace(text, F.lit(escape), F.lit(found))
+    return text

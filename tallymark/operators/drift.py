@@ -79,34 +79,28 @@ def snapshot_union(new: DataFrame, history: DataFrame) -> DataFrame:
 def drift_by_day(presence: DataFrame, day: str, column: str) -> DataFrame:
     """Added and removed columns of each day against all days before it.
 
-    `presence` holds one row per day and column present that day. That is
-    schema information, small whatever the data, and is gathered into one row
-    so that it is read once. A column is added on its first day (not on the
-    first day of all) and removed on each later day it is absent.
+    `presence` holds one row per day and column present that day. Only the list
+    of days goes into one row; columns are grouped each by itself. A column is
+    added on its first day (not on the first day of all) and removed on each
+    later day it is absent.
     """
-    pair = F.struct(quoted(day).alias("day"), quoted(column).alias("column"))
-    known = presence.agg(F.collect_set(pair).alias("pairs")).withColumn(
-        "days", F.array_sort(F.array_distinct("pairs.day"))
+    pairs = presence.select(quoted(day).alias("day"), quoted(column).alias("column"))
+    days = pairs.agg(F.array_sort(F.collect_set("day")).alias("days")).scalar()
+    seen = pairs.groupBy("column").agg(F.collect_set("day").alias("present"), F.min("day").alias("first"))
+    seen = seen.withColumn("days", days)
+    absent = F.array_except(F.filter("days", lambda d: d > F.col("first")), F.col("present"))
+    added = seen.where(F.col("first") > F.col("days")[0]).select(
+        F.col("first").alias("day"), F.col("column").alias("new"), F.lit(None).cast("string").alias("gone")
     )
-    daily = known.select("pairs", F.explode("days").alias("day"), F.col("days")[0].alias("first_day"))
-
-    def names(kept) -> Column:
-        return F.transform(F.filter("pairs", kept), lambda p: p["column"])
-
-    compared = daily.select(
-        "day",
-        "first_day",
-        names(lambda p: p["day"] == F.col("day")).alias("today"),
-        F.array_distinct(names(lambda p: p["day"] < F.col("day"))).alias("before"),
+    removed = seen.select(
+        F.explode(absent).alias("day"), F.lit(None).cast("string").alias("new"), F.col("column").alias("gone")
+    )
+    changes = added.union(removed).groupBy("day").agg(
+        F.array_sort(F.collect_list("new")).alias("added"), F.array_sort(F.collect_list("gone")).alias("removed")
     )
-    added = F.array_sort(F.array_except("today", "before"))
-    removed = F.array_sort(F.array_except("before", "today"))
-    report = compared.select(
-        "day",
-        F.when(F.col("day") > F.col("first_day"), added)
-        .otherwise(F.array().cast("array<string>"))
-        .alias("added"),
-        removed.alias("removed"),
+    none = F.array().cast("array<string>")
+    report = pairs.select("day").distinct().join(changes, "day", "left").select(
+        "day", F.coalesce("added", none).alias("added"), F.coalesce("removed", none).alias("removed")
     )
     code = F.when(F.size("added") > 0, ADDED).otherwise(UNCHANGED) + F.when(
         F.size("removed") > 0, REMOVED

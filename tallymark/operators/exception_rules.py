@@ -11,13 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tallymark import fixed_values as fv
 from tallymark.functions.predicates import not_both, quoted
 from tallymark.operators.matching import anti_on
+from tallymark.session import written_once
 
 RULE_COLUMNS = ["attr1", "val1", "attr2", "val2"]
-# Up to this many rules become one expression; more are joined as a table.
-INLINE_RULES = 200
 
 
 def rules_for(
@@ -64,16 +62,14 @@ def _miss(rule: Row) -> Column:
     return not_both(first, _text(rule.attr2) == F.lit(rule.val2).cast("string"))
 
 
-def _inline(rules: DataFrame, limit: int) -> list[Row] | None:
-    """The rules on the driver when there are few, else None."""
-    head = rules.select(*RULE_COLUMNS).limit(limit + 1).collect()
-    return head if len(head) <= limit else None
+def _as_text(rules: DataFrame) -> DataFrame:
+    return rules.select(*[F.col(name).cast("string") for name in RULE_COLUMNS])
 
 
 def _attribute_pairs(rules: DataFrame) -> list[Row]:
     """Distinct tested columns and which of their values may be null.
 
-    Bounded by the columns of the tested frame.
+    Bounded by the pairs of columns that rules name.
     """
     no_first, no_second = F.col("val1").isNull(), F.col("val2").isNull()
     return (
@@ -93,16 +89,19 @@ def _of_pair(rules: DataFrame, pair: Row) -> DataFrame:
     ).select("val1", "val2")
 
 
-def suppress(df: DataFrame, rules: DataFrame, inline_rules: int = INLINE_RULES) -> DataFrame:
+def suppress(df: DataFrame, rules: DataFrame, inline: bool = False) -> DataFrame:
     """Rows that match no rule for certain.
 
     As with SQL NOT, a comparison with null is unknown and the row goes: a
     null in the tested column drops the row, a null rule value drops every
-    row. No rules leave the frame as it is.
+    row. No rules leave the frame as it is. Rules are joined as a table, written
+    once; with `inline`, for a caller with few rules, they become one expression.
     """
-    few = _inline(rules, inline_rules)
-    if few is not None:
+    rules = _as_text(rules)
+    if inline:
+        few = rules.collect()
         return df.where(reduce(lambda a, b: a & b, map(_miss, few))) if few else df
+    rules = written_once(rules, "rules")
     for pair in _attribute_pairs(rules):
         apply = _suppress_single if pair.attr2 is None else _suppress_double
         df = apply(df, pair, _of_pair(rules, pair))
@@ -148,11 +147,12 @@ def _suppress_double(df: DataFrame, pair: Row, rules: DataFrame) -> DataFrame:
 
 
 def mark_duplicates(
-    df: DataFrame, rules: DataFrame, mark: str = "isDuplicate", inline_rules: int = INLINE_RULES
+    df: DataFrame, rules: DataFrame, mark: str = "isDuplicate", inline: bool = False
 ) -> DataFrame:
-    """Set the mark to 1 on rows that match any rule; other rows keep theirs."""
-    few = _inline(rules, inline_rules)
-    if few is not None:
+    """Set the mark to 1 on rows that match any rule; other rows keep theirs. `inline` as in `suppress`."""
+    rules = _as_text(rules)
+    if inline:
+        few = rules.collect()
         if not few:
             return df
         return df.withColumn(
@@ -160,7 +160,11 @@ def mark_duplicates(
         )
     columns = df.columns
     hits = []
-    for i, pair in enumerate(_attribute_pairs(rules)):
+    rules = written_once(rules, "rules")
+    pairs = _attribute_pairs(rules)
+    if not pairs:
+        return df
+    for i, pair in enumerate(pairs):
         values = _of_pair(rules, pair)
         keys = [(pair.attr1, "val1")] + ([] if pair.attr2 is None else [(pair.attr2, "val2")])
         distinct = values.select(*[F.col(v).alias(f"_{v}{i}") for _, v in keys]).distinct()
@@ -170,8 +174,3 @@ def mark_duplicates(
         hits.append(F.col(f"_hit{i}").isNotNull())
     marked = df.withColumn(mark, F.when(reduce(lambda a, b: a | b, hits), 1).otherwise(quoted(mark)))
     return marked.select(*[quoted(c) for c in columns])
-
-
-def forced_duplicate_rules(rules: DataFrame) -> DataFrame:
-    """Rules of the exception type that forces the duplicate mark."""
-    return rules.where(F.col("exception_type") == fv.FORCED_DUPLICATE_EXCEPTION)

@@ -62,13 +62,18 @@ def live_account_versions(accounts: DataFrame, labels: Mapping[int, str] = fv.TY
     return cleaned.where(p.equals_any(F.col("STATUS"), fv.LIVE_STATUSES))
 
 
-def with_latest_holding(latest: DataFrame, holdings: DataFrame, key: str = "run_key") -> DataFrame:
+def with_latest_holding(
+    latest: DataFrame, holdings: DataFrame, key: str = "run_key", run_log: DataFrame | None = None
+) -> DataFrame:
     """Attach each distinct holding that the latest holding run found for an account.
 
+    With the run log a run that broke off before its log row is passed over.
+
     Grouping the account versions first and joining the distinct holdings gives
     the same rows as joining first, with far fewer rows in the join.
     """
-    found = as_text(pick(of_latest_run(holdings, key), HOLDING_ATTACHED), "OBJECT_ID_BUS").distinct()
+    run = of_latest_run(holdings, key, run_log)
+    found = as_text(pick(run, HOLDING_ATTACHED), "OBJECT_ID_BUS").distinct()
     return match_left(latest, found, "OBJECT_ID", "OBJECT_ID_BUS")
 
 
@@ -171,7 +176,8 @@ class Reconciliation(Control):
     """Accounts against the CRM: two matching rules and both remainders.
 
     `accounts` holds account versions, `crm` CRM rows under their logical
-    names, `holdings` the published holding results.
+    names, `holdings` the published holding results and `run_log` the log of
+    their runs.
     """
 
     targets = {
@@ -189,10 +195,11 @@ class Reconciliation(Control):
         labels: Mapping[int, str] = fv.TYPE_LABELS,
         account_keys: Sequence[str] = ACCOUNT_KEYS,
         crm_keys: Sequence[str] = CRM_KEYS,
+        run_log: DataFrame | None = None,
     ):
         latest = latest_accounts(live_account_versions(accounts, labels), account_keys)
         if holdings is not None:
-            latest = with_latest_holding(latest, holdings)
+            latest = with_latest_holding(latest, holdings, run_log=run_log)
         self.accounts = with_activity(latest, service_counts(services), order_counts(orders))
         self.crm = latest_crm(crm, crm_keys)
 

@@ -14,13 +14,24 @@ from tallymark.sinks.stores import Store
 REPORT_DAYS = 180
 
 
-def of_latest_run(results: DataFrame, key: str = "run_key") -> DataFrame:
-    """Rows of the latest run in the table.
+def _latest_key(results: DataFrame, run_log: DataFrame | None, key: str, log_key: str) -> Column:
+    """Key of the latest run, of those in the log where one is given; a scalar subquery."""
+    if run_log is not None:
+        logged = run_log.select(quoted(log_key).alias("_log_key")).distinct()
+        keys = results.select(quoted(key)).distinct()
+        results = keys.join(logged, quoted(key) == F.col("_log_key"), "left_semi")
+    return results.agg(F.max(quoted(key))).scalar()
+
+
+def of_latest_run(
+    results: DataFrame, key: str = "run_key", run_log: DataFrame | None = None, log_key: str = "run_key"
+) -> DataFrame:
+    """Rows of the latest run in the table; with a run log, of the latest complete run.
 
     The key is a scalar subquery, so a table partitioned by run reads only
     that run.
     """
-    return results.where(quoted(key) == results.agg(F.max(quoted(key))).scalar())
+    return results.where(quoted(key) == _latest_key(results, run_log, key, log_key))
 
 
 def with_run_day(
@@ -58,9 +69,7 @@ def latest_report(
     this is one row and safe to broadcast.
     """
     log_key = names.get("log_key", "run_key")
-    logged = run_log.select(quoted(log_key).alias("_log_key")).distinct()
-    complete = results.select(quoted(key)).distinct().join(logged, quoted(key) == F.col("_log_key"), "left_semi")
-    latest = complete.agg(F.max(quoted(key))).scalar()
+    latest = _latest_key(results, run_log, key, log_key)
     one_run = F.broadcast(run_log.where(quoted(log_key) == latest))
     return _ordered(with_run_day(results.where(quoted(key) == latest), one_run, key, **names), order)
 

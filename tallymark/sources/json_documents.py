@@ -17,7 +17,8 @@ from tallymark.functions.text import decoded, printable
 from tallymark.operators.drift import drift_by_day
 from tallymark.session import new_work_path
 
-PARSE_OPTIONS = {"allowUnquotedControlChars": "true"}
+# A broken document or a value that does not fit its type fails the job.
+PARSE_OPTIONS = {"allowUnquotedControlChars": "true", "mode": "FAILFAST"}
 DAY_PATTERN = r"/(\d{4})/(\d{1,2})/(\d{1,2})/[^/]+$"
 
 
@@ -32,18 +33,25 @@ def days_back(as_of: dt.date, days: int) -> list[dt.date]:
 
 
 def read_document(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
-    """Records of well-formed documents, one row each."""
-    reader = spark.read.option("multiLine", True)
+    """Records of documents, one row each; a broken document fails the job."""
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     if schema is not None:
         wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         reader = reader.schema(T.StructType([T.StructField("records", T.ArrayType(wanted))]))
-    return reader.json(path).select(F.explode("records").alias("r")).select("r.*")
+    return reader.json(path).select(F.explode(_present("records")).alias("r")).select("r.*")
+
+
+def _present(records: Column | str) -> Column:
+    return F.coalesce(records, F.raise_error(F.lit("document without records")))
 
 
 def record_texts(documents: DataFrame, content: Column, *keep: str) -> DataFrame:
-    """One JSON text per record of each document, next to the columns kept."""
+    """One JSON text per record of each document, next to the columns kept.
+
+    A truncated document, or one without `records`, fails the job.
+    """
     parsed = F.from_json(content, "records array<string>", PARSE_OPTIONS)
-    return documents.select(*keep, F.explode(parsed["records"]).alias("record"))
+    return documents.select(*keep, F.explode(_present(parsed["records"])).alias("record"))
 
 
 def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -69,7 +77,7 @@ def written_records(records: DataFrame, *keep: str) -> str:
 def typed_records(
     records: DataFrame, schema: T.StructType | str, *keep: str
 ) -> DataFrame:
-    """Record texts as columns of a known schema."""
+    """Record texts as columns of a known schema; a value of another type fails the job."""
     parsed = records.select(*keep, F.from_json("record", schema, PARSE_OPTIONS).alias("r"))
     return parsed.select(*keep, "r.*")
 

@@ -47,7 +47,7 @@ def test_suppress_both_ways(spark, data, rules):
         (a, b, n) for n, (a, b) in enumerate(data) if kept({"a": a, "b": b}, rules)
     )
     assert rows(suppress(df, rule_frame)) == expected
-    assert rows(suppress(df, rule_frame, inline_rules=0)) == expected
+    assert rows(suppress(df, rule_frame, inline=True)) == expected
 
 
 @slow
@@ -65,16 +65,16 @@ def test_mark_both_ways(spark, data, rules):
 
     expected = Counter((a, b, hit({"a": a, "b": b})) for a, b in data)
     assert rows(mark_duplicates(df, rule_frame)) == expected
-    assert rows(mark_duplicates(df, rule_frame, inline_rules=0)) == expected
+    assert rows(mark_duplicates(df, rule_frame, inline=True)) == expected
 
 
 def test_null_rule_value_drops_everything(spark):
     df = spark.createDataFrame([("p",), ("q",), (None,)], "a string")
     rules = spark.createDataFrame([("a", None, None, None)], RULE)
-    assert suppress(df, rules).count() == suppress(df, rules, inline_rules=0).count() == 0
+    assert suppress(df, rules).count() == suppress(df, rules, inline=True).count() == 0
 
 
-@pytest.mark.parametrize("inline", [200, 0])
+@pytest.mark.parametrize("inline", [False, True])
 def test_suppress_is_idempotent_and_compares_as_text(spark, inline):
     df = spark.createDataFrame([(1, "x"), (2, "y")], "a long, b string")
     rules = spark.createDataFrame([("a", "2", None, None), ("a", "abc", "b", "x")], RULE)
@@ -92,3 +92,11 @@ def test_every_marking_rule_counts(spark):
     df = spark.createDataFrame([("p", 0), ("q", 0), ("r", 1)], "a string, isDuplicate int")
     rules = spark.createDataFrame([("a", "p", None, None), ("a", "q", None, None)], RULE)
     assert rows(mark_duplicates(df, rules)) == Counter([("p", 1), ("q", 1), ("r", 1)])
+
+
+@pytest.mark.parametrize("inline", [False, True])
+def test_numeric_rule_values_are_compared_as_text(spark, inline):
+    df = spark.createDataFrame([("a", 0), ("5", 0)], "a string, isDuplicate int")
+    rules = spark.createDataFrame([("a", 5, None, None), ("a", 5, None, None)], "attr1 string, val1 int, attr2 string, val2 int")
+    assert rows(suppress(df, rules, inline)) == Counter([("a", 0)])
+    assert rows(mark_duplicates(df, rules, inline=inline)) == Counter([("a", 0), ("5", 1)])

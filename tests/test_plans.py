@@ -77,9 +77,9 @@ def test_null_spread_is_a_join_key(stored, no_broadcast):
 
 def test_few_rules_add_no_join(spark, stored):
     rules = spark.createDataFrame(i.RULES, i.RULE_SCHEMA)
-    assert "Join" not in plan(exception_rules.suppress(stored["accounts"], rules))
+    assert "Join" not in plan(exception_rules.suppress(stored["accounts"], rules, inline=True))
 
 
 def test_many_rules_are_one_join_per_pair_of_columns(spark, sf_dir, stored, no_broadcast):
-    text = plan(exception_rules.suppress(stored["accounts"], i.part_rules(spark, sf_dir), inline_rules=0))
+    text = plan(exception_rules.suppress(stored["accounts"], i.part_rules(spark, sf_dir)))
     assert len(re.findall("SortMergeJoin", text)) == 2

@@ -9,6 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tallymark.functions.text import decoded
 from tallymark.sinks.exports import export_csv
 from tallymark.sinks.stores import JdbcStore
 from tallymark.sources import files, jdbc
@@ -235,3 +236,22 @@ def test_jdbc_append(spark, monkeypatch):
     JdbcStore(spark, CONNECTION, 4, arrays_as_text=True).append(df, "run_log")
     assert types == [("a", "string"), ("b", "string")]
     assert io.call["dbtable"] == '"run_log"' and io.call["mode"] == "append" and io.call["numPartitions"] == 4
+
+
+@pytest.mark.parametrize("text", ['{"records": [{"a": 1}, {"a": 2}, {"a"', '{"rows": [{"a": 1}]}', '{"records": null}'])
+def test_broken_documents_fail(spark, tmp_path, text):
+    (tmp_path / "d.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED|document without records"):
+        docs.read_records(spark, str(tmp_path / "d.json")).collect()
+
+
+def test_a_misfit_record_fails(spark):
+    records = spark.createDataFrame([('{"a": "abc"}',)], "record string")
+    with pytest.raises(Exception, match="MALFORMED"):
+        docs.typed_records(records, "a long").collect()
+
+
+def test_genuine_replacement_characters_stay(spark):
+    raw = "x�y\x01z\x011".encode() + b"\xff\xc3("
+    got = spark.createDataFrame([(raw,)], "b binary").select(decoded(F.col("b"))).first()[0]
+    assert got == "x�y\x01z\x011("
