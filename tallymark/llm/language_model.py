@@ -10,9 +10,12 @@ number of words.
 The network (recurrent.py) knows the `WORDS` most frequent training tokens; all others are
 one class, in which a token's share is (c + 0.1) / (n + 0.1 * (v + 1)) with n tokens and v
 distinct ones of the class in training and c the token's own count. All probabilities
-of a place sum to 1. It is trained on about `SAMPLE` whole training documents drawn by a
-hash of the doc_id, and scores every document whole, its state going from window to
-window.
+of a place sum to 1. It is trained on all training documents, `EPOCHS` times: in each round
+every task runs truncated backpropagation over a part of its own documents from the
+shared weights, and the tasks' weights are averaged, each row by the number of tokens it
+learned from. Rounds of a pass take the parts between `CUTS`, small ones first, while the
+weights are still far from each other. Only weights, in rows of fixed size, leave a task.
+It scores every document whole, its state going from window to window.
 
 A null text is empty: the end token alone. With nothing to learn from, every token has
 the base share of an unknown one. Rows without a doc_id teach nothing. Repeated rows get
@@ -31,10 +34,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm import texts as T
-from tallymark.llm.recurrent import Network
+from tallymark.llm.recurrent import EPOCHS, Memory, Network
 from tallymark.session import written_once
 
-CHUNK, RANGE, WORDS, SAMPLE = 1 << 21, 1 << 21, 2048, 1000
+CHUNK, RANGE, WORDS = 1 << 21, 1 << 21, 2048
+CUTS = (0, 1 / 16, 1 / 4, 1 / 2, 1)
+PIECE = 256  # rows of weights that travel together
+WEIGHTS = "name string, at int, uses binary, values binary"
 END = np.uint64(0x5EED0F0E4D)
 ADD = 0.1
 
@@ -117,25 +123,75 @@ def _replies(rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def _trained(words: np.ndarray):
-    """Fit the network on the gathered sample."""
-    order = np.argsort(words)
+def _weights(rows: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    schema = pa.schema([("name", pa.string()), ("at", pa.int32()), ("uses", pa.binary()), ("values", pa.binary())])
+    columns = [[k[0] for k in rows], [k[1] for k in rows], [u.astype("<f8").tobytes() for u, _ in rows.values()], [v.astype("<f4").tobytes() for _, v in rows.values()]]
+    return T.arrow(schema, columns)
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        network = Network(len(words))
-        rows = rows.sort_values("doc_id", kind="stable")
-        docs = []
-        for text in rows["text"]:
-            raw = (text or "").encode()
-            hashes, _ = tokens(T.Block(np.zeros(1), np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), slice(0, 1)))
-            docs.append(symbols(hashes, words, order))
-        network.train(docs)
-        names = list(network.weights)
-        return pd.DataFrame({"name": names, "values": [network.weights[n].astype("<f4").tobytes() for n in names]})
+
+def _trained(shared, low: float, high: float, epoch: int):
+    """A task's weights after training on the documents of its chunks that lie between two cuts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, words = shared.value
+        network = network.copy()
+        memory, order = Memory(network), np.argsort(words)
+        tokens = np.zeros(len(words) + 1, np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                sizes, hashes, places = np.array(row["sizes"]), np.frombuffer(row["words"], "<u8"), np.frombuffer(row["places"], "<u4")
+                share = T.hashes_of(row["chunk"] + np.arange(len(sizes)) * (1 << 40)) / 2.0**64
+                known, ends = symbols(hashes, words, order), np.cumsum(sizes)
+                chosen = np.flatnonzero(np.array(row["learn"]) & (share >= low) & ((share < high) | (high == 1)))
+                docs = [known[places[ends[d] - sizes[d] : ends[d]]].astype(np.int32) for d in chosen]
+                network.train(docs, epoch, memory)
+                for doc in docs:
+                    tokens += np.bincount(doc, minlength=len(tokens))
+        if memory.rounds:
+            uses = network.uses(tokens)
+            yield _weights({(n, at): (uses[n][at : at + PIECE], w[at : at + PIECE]) for n, w in network.weights.items() for at in range(0, len(w), PIECE)})
 
     return run
 
 
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mean of each row of weights over the tasks, by the tokens it learned from; as many rows as the network has pieces."""
+    sums: dict[tuple[str, int], list[np.ndarray]] = {}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            name, at, uses, values = (batch.column(c)[i].as_py() for c in ("name", "at", "uses", "values"))
+            uses = np.frombuffer(uses, "<f8")
+            values = np.frombuffer(values, "<f4").reshape(len(uses), -1) * uses[:, None]
+            if (name, at) in sums:
+                sums[name, at][0] += uses
+                sums[name, at][1] += values
+            else:
+                sums[name, at] = [uses.copy(), values]
+    if sums:
+        yield _weights({k: (u, v / np.maximum(u, 1)[:, None]) for k, (u, v) in sums.items()})
+
+
+def trained(chunks: DataFrame, words: np.ndarray) -> tuple[Network, list[int]]:
+    """The network after EPOCHS passes over all training documents, and the tokens of each round."""
+    context = chunks.sparkSession.sparkContext
+    network, tokens = Network(len(words)), []
+    for epoch in range(EPOCHS if len(words) else 0):
+        for low, high in zip(CUTS[:-1], CUTS[1:], strict=True):
+            shared = context.broadcast((network, words))
+            found = chunks.select("chunk", "learn", "sizes", "words", "places").mapInArrow(_trained(shared, low, high, epoch), WEIGHTS)
+            network = network.copy()
+            tokens.append(0)
+            for row in found.repartition("name", "at").mapInArrow(_averaged, WEIGHTS).collect():
+                uses, old = np.frombuffer(row["uses"], "<f8"), network.weights[row["name"]]
+                part = old[row["at"] : row["at"] + len(uses)]
+                part[uses > 0] = np.frombuffer(row["values"], "<f4").reshape(part.shape)[uses > 0]
+                if row["name"] == "state" and row["at"] == 0:
+                    tokens[-1] = int(uses[0])
+            shared.unpersist()
+    return network, tokens
+
+
 def symbols(hashes: np.ndarray, words: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Network symbols: rank among the known words, or their number for others."""
     if not len(words):
@@ -177,8 +233,7 @@ def language_model_scores(docs: DataFrame, learn: Column) -> DataFrame:
     docs = docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("learn"))
     shape = "chunk long, doc_ids array<long>, learn array<boolean>, sizes array<long>, n_words long, words binary, counts binary, places binary"
     chunks = written_once(docs.mapInArrow(_chunks, shape), "chunks")
-    sums = chunks.agg(F.sum("n_words"), F.sum(F.size(F.filter("learn", lambda x: x)))).first()
-    ranges, train_docs = max(1, -(-(sums[0] or 0) // RANGE)), sums[1] or 0
+    ranges = max(1, -(-(chunks.agg(F.sum("n_words")).first()[0] or 0) // RANGE))
     requests = chunks.select("chunk", "words", "counts").mapInArrow(_requests(ranges), "range long, chunk long, words binary, counts binary")
     shape = "range long, chunk long, counts binary, n long, v long, top_words array<long>, top_counts array<long>"
     replies = written_once(requests.groupBy("range").applyInPandas(_replies, shape), "replies")
@@ -187,12 +242,7 @@ def language_model_scores(docs: DataFrame, learn: Column) -> DataFrame:
     top = heads.select(F.explode(F.arrays_zip("top_words", "top_counts")).alias("t")).select("t.*")
     top = top.orderBy(F.desc("top_counts"), "top_words").limit(WORDS).collect()
     words = np.array([r["top_words"] for r in top], np.int64).view(np.uint64)
-    network = Network(len(words))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.filter(F.col("learn") & (draw < SAMPLE / max(1, train_docs))).select("doc_id", "text")
-    if len(words):
-        for row in sample.groupBy().applyInPandas(_trained(words), "name string, values binary").collect():
-            network.weights[row["name"]] = np.frombuffer(row["values"], "<f4").reshape(network.weights[row["name"]].shape)
+    network, _ = trained(chunks, words)
     model = (network, words, n, v, n - sum(r["top_counts"] for r in top), v - len(top))
     back = replies.filter("chunk <> -1").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("range", "counts"))).alias("r"))
     back = back.select("chunk", F.col("r.counts").alias("counts"))

@@ -17,6 +17,15 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+class Memory:
+    """Running moments of the slopes, of one task's training."""
+
+    def __init__(self, network: Network):
+        self.first = {k: np.zeros_like(v) for k, v in network.weights.items()}
+        self.second = {k: np.zeros_like(v) for k, v in network.weights.items()}
+        self.rounds = 0
+
+
 class Network:
     """Predicts the next symbol from all before it.
 
@@ -41,11 +50,15 @@ class Network:
         # places of the last real class that no word holds
         self.weights["word_bias"][words:] = -1e4
 
+    def copy(self) -> Network:
+        other = Network(self.words)
+        other.weights = {k: v.copy() for k, v in self.weights.items()}
+        return other
+
     def step(self, inputs: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
-        w = self.weights
-        x, g = w["inputs"][inputs], h @ w["state"]
-        z = _sigmoid(x[:, :HIDDEN] + g[:, :HIDDEN])
-        r = _sigmoid(x[:, HIDDEN : 2 * HIDDEN] + g[:, HIDDEN : 2 * HIDDEN])
+        x, g = self.weights["inputs"][inputs], h @ self.weights["state"]
+        zr = _sigmoid(x[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])
+        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
         inner = g[:, 2 * HIDDEN :]
         n = np.tanh(x[:, 2 * HIDDEN :] + r * inner)
         return n + z * (h - n), (inputs, h, z, r, inner, n)
@@ -91,8 +104,8 @@ class Network:
                 back[rows] += off @ w["word"][span]
         return back
 
-    def train(self, docs: list[np.ndarray]) -> None:
-        """Truncated backpropagation: windows of WINDOW steps, the state carried from one to the next."""
+    def train(self, docs: list[np.ndarray], epoch: int, memory: Memory) -> None:
+        """One pass of truncated backpropagation: windows of WINDOW steps, the state carried from one to the next."""
         if not docs:
             return
         streams: list[list[np.ndarray]] = [[] for _ in range(min(STREAMS, len(docs)))]
@@ -102,8 +115,8 @@ class Network:
             streams[at].append(doc)
             load[at] += len(doc)
         steps = -(-int(load.max()) // WINDOW) * WINDOW
-        targets = np.full((steps, len(streams)), self.words, np.int64)
-        inputs = np.full((steps, len(streams)), self.words + 1, np.int64)
+        targets = np.full((steps, len(streams)), self.words, np.int32)
+        inputs = np.full((steps, len(streams)), self.words + 1, np.int32)
         real = np.zeros((steps, len(streams)), bool)
         for s, parts in enumerate(streams):
             at = 0
@@ -112,24 +125,30 @@ class Network:
                 inputs[at + 1 : at + len(doc), s] = doc[:-1]
                 real[at : at + len(doc), s] = True
                 at += len(doc)
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        rounds = 0
-        for epoch in range(EPOCHS):
-            h = np.zeros((len(streams), HIDDEN), np.float32)
-            for at in range(0, steps, WINDOW):
-                rounds += 1
-                span = slice(at, at + WINDOW)
-                h, slopes = self._window(h, inputs[span], targets[span], real[span])
-                norm = np.sqrt(sum(float((s * s).sum()) for s in slopes.values()))
-                for k, slope in slopes.items():
-                    slope *= min(1.0, CLIP / (norm + 1e-9))
-                    first[k] += 0.1 * (slope - first[k])
-                    second[k] += 0.01 * (slope * slope - second[k])
-                    scale = np.sqrt(second[k] / (1 - 0.99**rounds)) + 1e-8
-                    self.weights[k] -= RATE / (1 + epoch) * first[k] / (1 - 0.9**rounds) / scale
+        h = np.zeros((len(streams), HIDDEN), np.float32)
+        for at in range(0, steps, WINDOW):
+            memory.rounds += 1
+            span = slice(at, at + WINDOW)
+            h, slopes = self._window(h, inputs[span], targets[span], real[span])
+            norm = np.sqrt(sum(float(np.vdot(s, s)) for s in slopes.values()))
+            first, second = memory.first, memory.second
+            for k, slope in slopes.items():
+                slope *= min(1.0, CLIP / (norm + 1e-9))
+                first[k] += 0.1 * (slope - first[k])
+                second[k] += 0.01 * (slope * slope - second[k])
+                scale = np.sqrt(second[k] / (1 - 0.99**memory.rounds)) + 1e-8
+                self.weights[k] -= RATE / (1 + epoch) * first[k] / (1 - 0.9**memory.rounds) / scale
         self.weights["word_bias"][self.words :] = -1e4
 
+    def uses(self, tokens: np.ndarray) -> dict[str, np.ndarray]:
+        """How many of the tokens, counted by symbol, each row of the weights learned from."""
+        kinds = np.append(np.add.reduceat(tokens[: self.words], np.arange(0, self.words, CLASS_WORDS)), tokens[self.words])
+        rows = {k: np.full(len(v), float(tokens.sum())) for k, v in self.weights.items()}
+        rows["inputs"] = np.append(tokens, tokens.sum()).astype(float)
+        rows["word"] = rows["word_bias"] = np.repeat(kinds, CLASS_WORDS).astype(float)
+        rows["class_bias"] = np.full(self.classes, float(tokens.sum()))
+        return rows
+
     def _window(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, dict]:
         w = self.weights
         slopes = {k: np.zeros_like(v) for k, v in w.items()}
@@ -140,16 +159,21 @@ class Network:
             hidden.append(h)
         back = self._output_slopes(np.concatenate(hidden), targets.ravel(), real.ravel(), slopes)
         back = back.reshape(len(inputs), -1, HIDDEN)
-        later = np.zeros_like(h)
+        later, into, states, throughs = np.zeros_like(h), [], [], []
         for t in range(len(inputs) - 1, -1, -1):
             x, before, z, r, inner, n = kept[t]
             d = back[t] + later
             dz, dn = d * (before - n) * z * (1 - z), d * (1 - z) * (1 - n * n)
             dr = dn * inner * r * (1 - r)
-            np.add.at(slopes["inputs"], x, np.concatenate([dz, dr, dn], 1))
+            into.append(np.concatenate([dz, dr, dn], 1))
             through = np.concatenate([dz, dr, dn * r], 1)
-            slopes["state"] += before.T @ through
+            states.append(before)
+            throughs.append(through)
             later = (d * z + through @ w["state"].T) * (x != self.words + 1)[:, None]
+        slopes["state"] += np.concatenate(states).T @ np.concatenate(throughs)
+        order = np.argsort(inputs.ravel(), kind="stable")
+        found, first = np.unique(inputs.ravel()[order], return_index=True)
+        slopes["inputs"][found] = np.add.reduceat(np.concatenate(into[::-1])[order], first)
         return h, slopes
 
     def score(self, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
