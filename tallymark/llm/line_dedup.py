@@ -11,6 +11,11 @@ the first by (doc_id, line) stays, and every line covered by a later one goes.
 Overlapping windows of one document count, so of one line many times in a row the
 first stays.
 
+With `words`, a run of fewer lines counts too if it holds more words than that: windows
+of 1 to `lines` - 1 lines with so many words go the same way, each compared with windows
+of as many lines. The pipeline's stage asks for this with `WORDS`; the query keeps to the
+windows of `LINES` lines that its SQL twin defines.
+
 No group is gathered: grouping takes minima and counts, combined before the shuffle,
 and windows of a frequent fingerprint are joined with its one row, which adaptive
 execution can split.
@@ -27,24 +32,30 @@ from pyspark.sql import functions as F
 
 from tallymark.session import written_once
 
-LINES = 3
+LINES, WORDS = 3, 50
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _lines(text: Column) -> Column:
-    """Lines with a word: place among all lines, and two hashes."""
+def _lines(text: Column, counted: bool) -> Column:
+    """Lines with a word: place among all lines, two hashes, and the number of words if asked."""
+    n_words = lambda x: [F.regexp_count(x, F.lit(HAS_WORD + "+")).alias("words")] if counted else []
     place = F.transform(
         F.split(text, "\n", -1),
-        lambda x, i: F.when(x.rlike(HAS_WORD), F.struct(i.alias("i"), F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))),
+        lambda x, i: F.when(x.rlike(HAS_WORD), F.struct(i.alias("i"), F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"), *n_words(x))),
     )
     return F.filter(place, lambda x: x.isNotNull())
 
 
-def _windows(docs: DataFrame, size: int) -> DataFrame:
+def _windows(docs: DataFrame, size: int, words: int | None) -> DataFrame:
     """A row per window: its first line, its fingerprint, its place and its lines' hashes."""
-    lines = docs.select("doc_id", F.xxhash64("text").alias("version"), _lines(F.col("text")).alias("l")).filter(F.size("l") >= size)
-    rows = lines.select("doc_id", "version", "l", F.explode(F.sequence(F.lit(0), F.size("l") - size)).alias("s"))
+    fewest = size if words is None else 1
+    lines = docs.select("doc_id", F.xxhash64("text").alias("version"), _lines(F.col("text"), words is not None).alias("l")).filter(F.size("l") >= fewest)
+    rows = lines.select("doc_id", "version", "l", F.explode(F.sequence(F.lit(0), F.size("l") - fewest)).alias("s"))
     rows = rows.withColumn("w", F.slice("l", F.col("s") + 1, size)).drop("l")
+    if words is not None:
+        held = lambda n: sum((F.get("w", F.lit(i))["words"] for i in range(1, n)), F.get("w", F.lit(0))["words"])
+        shorter = [F.when(held(n) > words, F.slice("w", 1, n)) for n in range(1, size)]  # null past the end
+        rows = rows.withColumn("w", F.explode(F.array_compact(F.array(*shorter, F.when(F.size("w") == size, F.col("w"))))))
     least = F.array_min(F.transform("w", lambda x, j: F.struct(x["a"].alias("hash"), (-j).alias("back"))))
     rows = rows.withColumn("least", least)
     return rows.select(
@@ -57,50 +68,52 @@ def _windows(docs: DataFrame, size: int) -> DataFrame:
     )
 
 
-def repeated_windows(docs: DataFrame, size: int = LINES) -> DataFrame:
-    """(doc_id, version, starts): first lines of windows that occur earlier."""
+def repeated_windows(docs: DataFrame, size: int = LINES, words: int | None = None) -> DataFrame:
+    """(doc_id, version, removed, n_runs): lines of windows that occur earlier, and their maximal runs."""
     named = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    windows = written_once(_windows(named, size), "windows")
+    windows = written_once(_windows(named, size, words), "windows")
     fingerprints = windows.groupBy("fingerprint").agg(F.min("place").alias("low"), F.max("place").alias("high"))
     shared = windows.drop("place").join(fingerprints.filter("low < high").select("fingerprint"), "fingerprint")
     shared = written_once(shared.select("window", "k1", "k2", "lines"), "shared")
     first = shared.groupBy("k1", "k2").agg(F.min("window").alias("first"), F.max("window").alias("last")).filter("first < last")
     later = shared.join(first.drop("last"), ["k1", "k2"]).filter("window > first")
-    found = later.groupBy("window.doc_id", "window.version").agg(F.array_sort(F.collect_set(F.struct("window.s", "lines"))).alias("found"))
-    lines = F.array_distinct(F.flatten(F.col("found.lines")))
-    return found.select("doc_id", "version", F.col("found.s").alias("starts"), lines.alias("removed"))
+    found = later.groupBy("window.doc_id", "window.version").agg(F.collect_set(F.struct("window.s", "lines")).alias("found"))
+    # places among the lines with a word: a run begins after one that stays
+    places = F.transform("found", lambda x: F.sequence(x["s"], x["s"] + F.size(x["lines"]) - 1))
+    found = found.select("doc_id", "version", F.array_distinct(F.flatten(F.col("found.lines"))).alias("removed"), F.array_distinct(F.flatten(places)).alias("at"))
+    inner = F.size(F.array_intersect("at", F.transform("at", lambda x: x + 1)))
+    return found.select("doc_id", "version", "removed", (F.size("at") - inner).alias("n_runs"))
 
 
-def cut_lines(docs: DataFrame, size: int = LINES) -> DataFrame:
+def cut_lines(docs: DataFrame, size: int = LINES, words: int | None = None) -> DataFrame:
     """All rows and columns, with `kept_text`, `n_lines`, `n_removed` and `n_runs` added.
 
     n_lines counts lines with a word, n_removed those that go, n_runs the maximal
     runs of these. Columns with those names are replaced.
     """
     docs = docs.drop("kept_text", "n_lines", "n_removed", "n_runs")
-    found = repeated_windows(docs, size).withColumnsRenamed({"doc_id": "_doc", "version": "_version", "starts": "_starts", "removed": "_removed"})
+    found = repeated_windows(docs, size, words).withColumnsRenamed({"doc_id": "_doc", "version": "_version", "removed": "_removed", "n_runs": "_runs"})
     # split before the join: a lambda after it then reads the array, not the split
     rows = docs.withColumn("_lines", F.split("text", "\n", -1)).withColumn("_text", F.xxhash64("text"))
     rows = rows.join(found, (F.col("doc_id") == F.col("_doc")) & (F.col("_text") == F.col("_version")), "left")
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_removed")
     kept = F.array_join(F.transform(left, lambda i: F.col("_lines")[i]), "\n")
-    begins = F.filter("_starts", lambda s, i: (i == 0) | (s > F.col("_starts")[i - 1] + size))
     return rows.select(
         *(docs[c] for c in docs.columns),
         F.when(F.col("_removed").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
         F.coalesce(F.size(F.filter("_lines", lambda x: x.rlike(HAS_WORD))), F.lit(0)).cast("long").alias("n_lines"),
         F.when(F.col("_removed").isNull(), 0).otherwise(F.size("_removed")).cast("long").alias("n_removed"),
-        F.when(F.col("_removed").isNull(), 0).otherwise(F.size(begins)).cast("long").alias("n_runs"),
+        F.when(F.col("_removed").isNull(), 0).otherwise(F.col("_runs")).cast("long").alias("n_runs"),
     )
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """Documents with their own columns and the later runs cut out of their text.
+    """Documents with their own columns and the later runs, of LINES lines or of over WORDS words, cut out of their text.
 
     n_chars, where there is one, follows the text. A document that loses all its
     lines goes; one that had none before stays.
     """
-    cut = cut_lines(docs).filter("n_removed = 0 or n_removed < n_lines").withColumn("text", F.col("kept_text"))
+    cut = cut_lines(docs, words=WORDS).filter("n_removed = 0 or n_removed < n_lines").withColumn("text", F.col("kept_text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
