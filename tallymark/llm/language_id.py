@@ -3,11 +3,16 @@
 A text becomes the vector of its character n-grams (1 to 3 characters, lower-cased, hashed
 to 2 ** `BITS` places), with logarithmic counts weighted by inverse document frequency
 and scaled to length 1. Document frequencies count every training document. Per
-language, about `SAMPLE` training documents (all, if there are fewer; drawn by a hash of
-the doc_id) are clustered by cosine into `CLUSTERS` centroids. A text gets the
-language of the nearest centroid; ties go to the language first in order. It is rejected
-where its similarity lies below the centroid's floor: `FLOOR` times the similarity that
-99 of 100 of the centroid's own documents reach.
+language, about `SAMPLE` training documents (drawn by a hash of the doc_id; at most `SHARE`
+of them, all below `LEAST`) are clustered by cosine into `CLUSTERS` centroids. A text gets
+the language of the nearest centroid; ties go to the language first in order.
+
+A text is rejected where its similarity lies below the floor for its language and length
+(powers of two of its n-grams): the similarity that `PASS` of the training documents
+outside the draw reach, all of them counted. Where a language has fewer than `LEAST` such
+documents of that length, up to two neighbouring lengths are taken in, then all languages,
+then further lengths. Only with fewer than `LEAST` documents held back in all, the floor
+is `FLOOR` times the similarity that 99 of 100 of the centroid's own documents reach.
 
 A null text or one without a letter is `und`, score 0, rejected; so is every text where
 nothing was learned. Rows with null lang, text or doc_id teach nothing. Repeated rows
@@ -16,6 +21,7 @@ get equal results; other columns pass through untouched.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +37,9 @@ from tallymark.session import written_once
 
 BITS, SIZES = 13, (1, 2, 3)
 SAMPLE, CLUSTERS, ROUNDS, FLOOR = 600, 4, 12, 0.25
+PASS, SHARE, LEAST = 0.99, 0.75, 100
+LENGTHS, STEPS = 40, 1000  # lengths and similarities told apart in the floors
+TOGETHER = 64  # texts whose vectors are in memory at a time
 UNKNOWN = "und"
 
 
@@ -39,7 +48,7 @@ class Model:
     idf: np.ndarray
     languages: list[str]  # of each centroid
     centroids: np.ndarray  # one row each
-    floors: np.ndarray
+    floors: np.ndarray  # a row for each centroid, a column for each length
 
 
 def counts(text: str) -> np.ndarray:
@@ -104,8 +113,51 @@ def _cluster(idf: np.ndarray):
     return run
 
 
+def lengths(counted: np.ndarray) -> np.ndarray:
+    """Length class of each row of counts: powers of two of the number of n-grams."""
+    return np.minimum(np.log2(counted.sum(1) + 1).astype(np.int64), LENGTHS - 1)
+
+
+def _held_back(shared):
+    """(lang, length, step, docs): similarities of documents the centroids have not seen."""
+    shape = pa.schema([("lang", pa.string()), ("length", pa.int64()), ("step", pa.int64()), ("docs", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, languages, centroids = shared.value
+        found: Counter = Counter()
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                texts = [t for t in batch.column("text")[at : at + TOGETHER].to_pylist() if any(map(str.isalpha, t))]
+                if not texts:
+                    continue
+                counted = np.stack([counts(t) for t in texts])
+                near = unit_rows(counted, idf) @ centroids.T
+                steps = (near.max(1).clip(0, 1) * STEPS).astype(np.int64)
+                found.update(zip((languages[c] for c in near.argmax(1)), lengths(counted).tolist(), steps.tolist(), strict=True))
+        yield T.arrow(shape, [*([k[i] for k in found] for i in range(3)), list(found.values())])
+
+    return run
+
+
+def floors_of(found: pa.Table, languages: list[str]) -> np.ndarray | None:
+    """Floor of each language and length; None with fewer than LEAST documents in all."""
+    docs = np.zeros((len(languages), LENGTHS, STEPS + 1), np.int64)
+    for row in found.to_pylist():
+        docs[languages.index(row["lang"]), row["length"], row["step"]] += row["docs"]
+    if docs.sum() < LEAST:
+        return None
+    around = lambda rows, at, k: rows[max(0, at - k) : at + k + 1].sum(0)
+    floors = np.zeros((len(languages), LENGTHS))
+    for i, own in enumerate(docs):
+        for at in range(LENGTHS):
+            tried = [(own, k) for k in range(3)] + [(docs.sum(0), k) for k in range(LENGTHS)]
+            chosen = next(c for c in (around(rows, at, k) for rows, k in tried) if c.sum() >= LEAST)
+            floors[i, at] = np.flatnonzero(np.cumsum(chosen) > (1 - PASS) * chosen.sum())[0] / STEPS
+    return floors
+
+
 def train(docs: DataFrame, learn: Column) -> Model:
-    """Fit on the rows where `learn` holds; only vectors of a fixed length reach the driver."""
+    """Fit on the rows where `learn` holds; only vectors and tables of a fixed size reach the driver."""
     known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     tallied = known.select("text").mapInArrow(_frequencies, "place long, docs long").groupBy("place").agg(F.sum("docs").alias("docs")).toArrow()
     by_place = dict(zip(tallied.column("place").to_pylist(), tallied.column("docs").to_pylist(), strict=True))
@@ -113,44 +165,50 @@ def train(docs: DataFrame, learn: Column) -> Model:
     found = np.zeros(1 << BITS)
     found[list(by_place)] = list(by_place.values())
     idf = np.log((1 + docs_seen) / (1 + found)).astype(np.float32) + np.float32(1)
-    rates = known.groupBy("lang").agg(F.least(F.lit(1.0), SAMPLE / F.count("*")).alias("rate"))
+    rates = known.groupBy("lang").agg(F.when(F.count("*") < LEAST, 1.0).otherwise(F.least(F.lit(SHARE), SAMPLE / F.count("*"))).alias("rate"))
     rates = written_once(rates, "rates").withColumnRenamed("lang", "_lang")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.withColumn("draw", draw).join(rates, F.col("lang") == F.col("_lang")).filter("draw < rate")
-    sample = sample.select("lang", "doc_id", "text").mapInArrow(_sampled, "lang string, doc_id long, places array<int>, counts array<long>")
+    drawn = known.withColumn("draw", draw).join(rates, F.col("lang") == F.col("_lang"))
+    sample = drawn.filter("draw < rate").select("lang", "doc_id", "text")
+    sample = sample.mapInArrow(_sampled, "lang string, doc_id long, places array<int>, counts array<long>")
     fitted = sample.groupBy("lang").applyInPandas(_cluster(idf), "lang string, floor double, centroid array<float>").toArrow().to_pylist()
     fitted.sort(key=lambda r: r["lang"])
-    return Model(
-        idf,
-        [r["lang"] for r in fitted],
-        np.array([r["centroid"] for r in fitted], np.float32).reshape(len(fitted), 1 << BITS),
-        np.array([r["floor"] for r in fitted]),
-    )
+    languages = [r["lang"] for r in fitted]
+    centroids = np.array([r["centroid"] for r in fitted], np.float32).reshape(len(fitted), 1 << BITS)
+    floors = np.repeat(np.array([r["floor"] for r in fitted], float).reshape(-1, 1), LENGTHS, 1)
+    if fitted:
+        shared = docs.sparkSession.sparkContext.broadcast((idf, languages, centroids))
+        seen = drawn.filter("draw >= rate").select("text").mapInArrow(_held_back(shared), "lang string, length long, step long, docs long")
+        names = sorted(set(languages))
+        own = floors_of(seen.groupBy("lang", "length", "step").agg(F.sum("docs").alias("docs")).toArrow(), names)
+        if own is not None:
+            floors = own[[names.index(g) for g in languages]]
+    return Model(idf, languages, centroids, floors)
 
 
 def _predict(model, extra: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted: Model = model.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
                 langs, scores, rejected = [], [], []
                 texts = part.column("text").to_pylist()
                 lettered = [bool(fitted.languages) and any(map(str.isalpha, t or "")) for t in texts]
                 counted = [counts(t) for t, has in zip(texts, lettered, strict=True) if has]
                 near = unit_rows(np.stack(counted), fitted.idf) @ fitted.centroids.T if counted else np.zeros((0, 1))
-                rows = iter(near)
+                rows = iter(zip(near, lengths(np.stack(counted)), strict=True) if counted else ())
                 for has in lettered:
                     if not has:
                         langs.append(UNKNOWN)
                         scores.append(0.0)
                         rejected.append(True)
                         continue
-                    row = next(rows)
+                    row, length = next(rows)
                     best = int(row.argmax())
                     langs.append(fitted.languages[best])
                     scores.append(float(min(1.0, max(0.0, row[best]))))
-                    rejected.append(bool(row[best] < fitted.floors[best]))
+                    rejected.append(bool(row[best] < fitted.floors[best, length]))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in extra), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                     names=[*extra, "lang_pred", "score", "rejected"],
