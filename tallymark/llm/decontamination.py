@@ -33,12 +33,12 @@ from tallymark.session import written_once
 WINDOW, SHINGLE = 10, 3
 
 
-def _words(block: T.Block) -> tuple[T.Words, np.ndarray, np.ndarray]:
-    """Words, their hashes, and a hash of each whole text."""
+def _words(block: T.Block) -> tuple[T.Words, np.ndarray]:
+    """Words and their hashes."""
     data = T.LOWER[block.data]
     words = T.words(data, block.offsets, T.ALNUM)
     sums = T.prefix_sums(data)
-    return words, T.span_hashes(sums, words.starts, words.ends), T.span_hashes(T.prefix_sums(block.data), block.offsets[:-1], block.offsets[1:])
+    return words, T.span_hashes(sums, words.starts, words.ends)
 
 
 def _tokens(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
@@ -51,7 +51,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(item_id, words) of every window of a block of items."""
     for batch in batches:
         for block in T.blocks(batch, "item_id"):
-            words, hashes, _ = _words(block)
+            words, hashes = _words(block)
             at, rows = [], []
             for i, (a, n) in enumerate(zip(words.first[:-1], words.counts, strict=True)):
                 size = min(n, WINDOW)
@@ -90,7 +90,7 @@ def _counts(bits: np.ndarray, sizes: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in T.blocks(batch):
-                words, hashes, _ = _words(block)
+                words, hashes = _words(block)
                 for size in sizes:
                     tokens = _tokens(hashes, words.first, size)
                     found, times = np.unique(tokens[passes(bits, tokens) & (tokens != 0)], return_counts=True)
@@ -106,7 +106,7 @@ def _places(bits: np.ndarray, sizes: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in T.blocks(batch):
-                words, hashes, versions = _words(block)
+                words, hashes = _words(block)
                 at, size_of, token_of = [], [], []
                 for size in sizes:
                     tokens = _tokens(hashes, words.first, size)
@@ -136,7 +136,7 @@ def _places(bits: np.ndarray, sizes: list[int]):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[block.rows.start : block.rows.stop],
-                        pa.array(T.signed(versions)),
+                        batch.column("version")[block.rows.start : block.rows.stop],
                         pa.array(words.counts.astype(np.int64)),
                         pa.ListArray.from_arrays(pa.array(each, pa.int32()), places),
                     ],
@@ -166,7 +166,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     the items with one, sorted as text.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
     kind = benchmark.schema["item_id"].dataType.simpleString()
     windows = benchmark.select("item_id", "text").mapInArrow(_windows, f"item_id {kind}, words array<long>")
     windows = written_once(windows.select(F.col("item_id").cast("string").alias("item_id"), "words").distinct(), "windows")
@@ -203,9 +203,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents with all their columns in which no window of the benchmark occurs."""
-    gone = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """Documents with all their columns in which no window of the benchmark occurs.
+
+    Rows go by doc_id and text, so clean texts stay that share the doc_id, or the
+    want of one, with a contaminated text.
+    """
+    gone = contamination(docs, benchmark).filter("contaminated")
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("version").alias("_version")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_version"]), "left_anti")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

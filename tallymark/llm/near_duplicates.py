@@ -20,8 +20,9 @@ Links are looked for in two steps that never list all pairs of a bucket:
    links come out of them.
 
 Null and wordless texts have an empty set and link with nothing. Rows without a
-doc_id link with nothing and have no component. Repeated rows get equal results.
-Other columns are ignored.
+doc_id link with nothing and have no component. Repeated rows get equal results; rows
+that repeat a doc_id with another text are documents of their own: inside, a hash of
+doc_id and text (`node`) stands for a document. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ BANDS, ROWS, BITS = 40, 5, 2
 SLACK = 0.2
 LANES = 64 // BITS
 BLOCK_SHINGLES = 1_000_000
-FEATURES = "doc_id long, n_shingles long, h1 long, h2 long, packed array<long>, bands array<long>"
+FEATURES = "own long, doc_id long, n_shingles long, h1 long, h2 long, packed array<long>, bands array<long>"
 
 
 def _functions() -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +71,7 @@ def shingle_sets(block: T.Block, size: int) -> tuple[np.ndarray, np.ndarray]:
 def _features(size: int):
     xors, odds = _functions()
     schema = pa.schema(
-        [("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_shingles", "h1", "h2"))]
+        [(n, pa.int64()) for n in ("own", "doc_id", "n_shingles", "h1", "h2")]
         + [(n, pa.list_(pa.int64())) for n in ("packed", "bands")]
     )
 
@@ -103,7 +104,7 @@ def _features(size: int):
                 yield T.arrow(
                     schema,
                     [
-                        pa.array(batch.column("doc_id")[block.rows.start : block.rows.stop], pa.int64()),
+                        *(pa.array(batch.column(c)[block.rows.start : block.rows.stop], pa.int64()) for c in ("own", "doc_id")),
                         np.diff(offsets),
                         *T.signed(sums),
                         T.list_array(T.signed(packed).ravel(), np.concatenate([[0], np.cumsum(has * words)])),
@@ -233,23 +234,27 @@ def _rest(members: DataFrame, docs: DataFrame, size: int, percent: int) -> DataF
     return xs.union(ys).groupBy(*keys).applyInPandas(_links_between(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row.
+def _node(docs: DataFrame) -> Column:
+    """A document's key: its doc_id with its text; null without a doc_id."""
+    return F.when(docs["doc_id"].isNotNull(), F.xxhash64(docs["doc_id"], F.xxhash64(docs["text"])))
 
-    Documents link where 100 * common >= percent * all distinct shingles;
-    component_id is the smallest doc_id reachable over links, kept marks it.
-    """
-    docs = docs.select("doc_id", "text")
-    rows = written_once(docs.mapInArrow(_features(shingle_words), FEATURES), "signatures")
+
+def _groups(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """(doc_id, node, n_shingles, component_id, kept) for every row."""
+    # the steps below call a document's node its doc_id
+    nodes = docs.select(_node(docs).alias("doc_id"), "text", F.col("doc_id").alias("own"))
+    rows = written_once(nodes.mapInArrow(_features(shingle_words), FEATURES), "signatures")
     real = rows.filter("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "h1", "h2"]
+    least = F.min(F.struct("own", "doc_id")).alias("least")
     classes = written_once(
-        real.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("packed", "bands"))), "classes"
+        real.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), least, *(F.first(c).alias(c) for c in ("packed", "bands"))), "classes"
     )
     banded = classes.select("doc_id", F.explode("bands").alias("band"))
-    least = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("docs")).filter("docs > 1").drop("docs")
-    buckets = written_once(banded.join(least, "band"), "buckets")
+    firsts = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count("*").alias("docs")).filter("docs > 1").drop("docs")
+    buckets = written_once(banded.join(firsts, "band"), "buckets")
     pairs = written_once(_near(buckets.filter("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct(), classes, percent), "pairs")
+    docs = nodes.filter("doc_id is not null").drop("own")
     sets = _sets_of(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), shingle_words)
     links = written_once(_confirmed(pairs, sets, percent), "confirmed")
     found = components(links)
@@ -257,18 +262,36 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80)
     more = _rest(members.withColumn("component", F.coalesce("component", "doc_id")), docs, shingle_words, percent)
     if more is not None:
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    reached = classes.select(*key, "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    reached = reached.select(*key, F.coalesce("component", "doc_id").alias("component_id"))
-    out = rows.filter("doc_id is not null").select("doc_id", *key).join(reached, key, "left")
-    out = out.unionByName(rows.filter("doc_id is null").select("doc_id", *key), allowMissingColumns=True)
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    reached = classes.select(*key, "doc_id", "least").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    reached = written_once(reached.select(*key, "least", F.coalesce("component", "doc_id").alias("component")), "reached")
+    # of a component stays the least doc_id, and of its texts one
+    heads = reached.groupBy("component").agg(F.min("least").alias("head"))
+    reached = reached.drop("least").join(heads, "component").select(*key, "head")
+    out = rows.filter("doc_id is not null").select("own", "doc_id", *key).join(reached, key, "left")
+    out = out.unionByName(rows.filter("doc_id is null").select("own", "doc_id", *key), allowMissingColumns=True)
+    linked = F.col("n_shingles") > 0
+    return out.select(
+        F.col("own").alias("doc_id"),
+        F.col("doc_id").alias("node"),
+        "n_shingles",
+        F.when(linked, F.col("head.own")).otherwise(F.col("own")).alias("component_id"),
+        F.coalesce(~linked | (F.col("head.doc_id") == F.col("doc_id")), F.lit(True)).alias("kept"),
+    )
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row.
+
+    Documents link where 100 * common >= percent * all distinct shingles;
+    component_id is the smallest doc_id reachable over links, kept marks it.
+    """
+    return _groups(docs, shingle_words, percent).drop("node")
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """Documents with all their columns, one of each group of near duplicates."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    gone = _groups(docs, 5, 80).filter("not kept").select(F.col("node").alias("_gone")).distinct()
+    return docs.join(gone, _node(docs) == gone["_gone"], "left_anti")
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
