@@ -5,8 +5,8 @@ stand between them and are never compared or removed. Each window of `lines`
 consecutive lines selects its least line hash, the rightmost of equal ones. Two
 documents that share a run of at least `lines` lines select the same fingerprint
 there, so only positions whose fingerprint occurs elsewhere are looked at further.
-Such a match is extended both ways through all windows that selected the
-fingerprint, by 128 bits of their lines' hashes: windows of equal lines are grouped,
+Windows that selected such a fingerprint are grouped by 128 bits of all their
+lines' hashes, in place of extending matches line by line: of windows of equal lines
 the first by (doc_id, line) stays, and every line covered by a later one goes.
 Overlapping windows of one document count, so of one line many times in a row the
 first stays.
