@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontamination, language_id, language_model, line_dedup, near_duplicates, packing, quality_rules, repeated_bytes, token_files, toxicity
+from tallymark.llm import (
+    centroid_clusters,
+    decontamination,
+    language_id,
+    language_model,
+    line_dedup,
+    near_duplicates,
+    packing,
+    quality_rules,
+    repeated_bytes,
+    repeated_words,
+    token_alignment,
+    token_files,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -19,9 +33,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8_packing,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_decontamination": decontamination.op10_decontamination,
+    "op11_repeated_words": repeated_words.op11_repeated_words,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_centroid_clusters": centroid_clusters.op13_centroid_clusters,
 }
 ORACLES: dict[str, str] = {
     "op4_near_duplicates": near_duplicates.SQL,
     "op9_line_dedup": line_dedup.SQL,
     "op10_decontamination": decontamination.SQL,
+    "op11_repeated_words": repeated_words.SQL,
+    "op13_centroid_clusters": centroid_clusters.SQL,
 }
