@@ -44,6 +44,7 @@ from tallymark.session import written_once
 
 WINDOW, GRAM = 13, 5
 HOT, BUCKET = 4096, 1 << 22
+STRING = 128  # bytes a super-k-mer takes, about; only the number of buckets follows from it
 KEY = ["doc_id", "version"]
 Batches = Iterator[pa.RecordBatch]
 
@@ -69,6 +70,11 @@ class Windows:
         return self.starts + np.lib.stride_tricks.sliding_window_view(order, self.span)[self.starts].argmin(1)
 
 
+def _turned(hashes: np.ndarray) -> np.ndarray:
+    """The same bits in another order, for a second filter."""
+    return hashes << np.uint64(26) | hashes >> np.uint64(38)
+
+
 def _minimisers(window: int, gram: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -95,7 +101,7 @@ def _super_kmers(window: int, gram: int, shared, hot):
                 w = Windows(block, window, gram)
                 if not len(w.starts):
                     continue
-                travels = passes(shared.value, w.minimisers)
+                travels = passes(shared.value[0], w.minimisers) & passes(shared.value[1], _turned(w.minimisers))
                 if not travels.any():
                     continue
                 order = w.grams >> np.uint64(1)
@@ -115,7 +121,7 @@ def _super_kmers(window: int, gram: int, shared, hot):
                         batch.column("version").take(take),
                         pa.array(begin - w.words.first[owner]),
                         pa.array(end - begin - window + 1),
-                        pa.array(T.signed(w.grams[places[first]])),
+                        pa.array((w.grams[places[first]] >> np.uint64(33)).astype(np.int32)),
                         pa.array(packed, pa.binary()),
                     ],
                     names=[*KEY, "at", "n", "minimiser", "packed"],
@@ -142,9 +148,9 @@ def window_numbers(words: np.ndarray, window: int) -> np.ndarray:
 def _least_documents(window: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         """For the super-k-mers of a bucket, the least document of each of their windows."""
-        words = b" ".join(rows["packed"]).split(b" ")
+        words = b" ".join(map(bytes, rows["packed"])).split(b" ")
         numbers = window_numbers(pd.factorize(np.array(words, object))[0].astype(np.int64), window)
-        sizes = rows["n"].to_numpy()
+        sizes = rows["packed"].map(lambda p: bytes(p).count(b" ")).to_numpy() - window + 2
         first = np.cumsum(sizes + window - 1) - (sizes + window - 1)
         row = np.repeat(np.arange(len(rows)), sizes)
         numbers = numbers[first[row] + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)]
@@ -156,7 +162,7 @@ def _least_documents(window: int):
         found = np.split(least, np.cumsum(sizes)[:-1])
         late = [f.min() < m for f, m in zip(found, rows["most"], strict=True)]
         rows = rows.assign(leasts=[f if f.min() < f.max() else f[:1] for f in found])[late]
-        return rows[["r1", "r2", "leasts"]]
+        return rows[["minimiser", "packed", "leasts"]]
 
     return run
 
@@ -169,19 +175,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     counted = written_once(counted.groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1"), "minimisers")
     total = counted.agg(F.sum("n"), F.max("n")).first()
     least_hot = max(HOT, (total[0] or 0) >> 23)
-    shared = context.broadcast(bit_filter(counted, "hash"))
+    turned = counted.select(F.expr("shiftleft(hash, 26) | shiftrightunsigned(hash, 38)").alias("hash"))
+    shared = context.broadcast((bit_filter(counted, "hash"), bit_filter(turned, "hash")))
     hot = context.broadcast(bit_filter(counted.filter(F.col("n") > least_hot), "hash")) if (total[1] or 0) > least_hot else None
-    shape = "doc_id long, version long, at long, n long, minimiser long, packed binary"
-    records = docs.mapInArrow(_super_kmers(window, gram, shared, hot), shape)
-    name = [F.xxhash64("minimiser", "packed").alias("r1"), F.xxhash64(F.lit(1), "packed", "minimiser").alias("r2")]
-    records = written_once(records.select("*", *name), "super-k-mers")
-    unique = records.groupBy("minimiser", "packed", "n", "r1", "r2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    unique = written_once(unique, "unique")
-    volume = unique.agg(F.sum(F.octet_length("packed"))).first()[0] or 0
-    buckets = max(1, -(-volume // BUCKET))
-    dealt = unique.withColumn("bucket", F.pmod(F.xxhash64("minimiser"), F.lit(buckets)))
-    answers = written_once(dealt.groupBy("bucket").applyInPandas(_least_documents(window), "r1 long, r2 long, leasts array<long>"), "answers")
-    rows = records.select(*KEY, "at", "n", "r1", "r2").join(answers, ["r1", "r2"])
+    # made twice, for the buckets and for the way back: that is cheaper than keeping the strings
+    records = docs.mapInArrow(_super_kmers(window, gram, shared, hot), "doc_id long, version long, at long, n long, minimiser int, packed binary")
+    unique = records.groupBy("minimiser", "packed").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    buckets = max(1, -(-(total[0] or 0) * STRING // BUCKET))
+    dealt = unique.groupBy(F.pmod(F.xxhash64("minimiser"), F.lit(buckets)).alias("bucket"))
+    answers = dealt.applyInPandas(_least_documents(window), "minimiser int, packed binary, leasts array<long>")
+    name = F.xxhash64("packed").alias("name")  # with the minimiser's 31 bits
+    answers = written_once(answers.select("minimiser", name, "leasts"), "answers")
+    rows = records.select(*KEY, "at", "n", "minimiser", name).join(answers, ["minimiser", "name"])
     every = F.sequence(F.lit(0).cast("long"), F.col("n") - 1)
     late = F.filter(F.transform("leasts", lambda x, i: F.when(x < F.col("doc_id"), i.cast("long"))), lambda x: x.isNotNull())
     rows = rows.withColumn("o", F.when(F.size("leasts") > 1, late).when(F.col("leasts")[0] < F.col("doc_id"), every)).filter(F.size("o") > 0)
