@@ -18,17 +18,18 @@ document costs one row a chunk, and no table of all pairs is sent anywhere.
 
 Null and empty texts have no tokens. Every row is a document; rows that repeat a doc_id, or
 have none, count each. Pairs tied for the highest count of their A id are all best. A longer
-text makes a chunk of its own; the links of a slice are held as distinct pairs with
-multiplicities. An empty table gives an empty table; other columns are ignored.
+text makes a chunk of its own, so memory follows the longest text and its links. An empty
+table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from dataclasses import dataclass
+from itertools import accumulate, chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -52,39 +53,45 @@ COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 Batches = Iterator[pa.RecordBatch]
 
 
-class Alignment:
-    """Group text, counts of A's and B's tokens, groups and links, and distinct pairs with multiplicities."""
+@dataclass
+class Aligned:
+    """Pieces aligned: whether tokens spell the piece, its group text, counts of A's and B's tokens, groups and links, and its linked pairs, a repeated pair again."""
 
-    __slots__ = ("text", "counts", "pairs", "times")
+    spelt: np.ndarray
+    texts: list[bytes]
+    counts: np.ndarray  # a row of four per piece
+    first: np.ndarray  # len(texts) + 1, into pairs
+    pairs: np.ndarray
 
-    def __init__(self, a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]):
-        ends_a = dict(zip(accumulate(len(a_bytes[i]) for i in a), range(1, len(a) + 1), strict=True))
-        ends_b = dict(zip(accumulate(len(b_bytes[i]) for i in b), range(1, len(b) + 1), strict=True))
-        common = sorted(ends_a.keys() & ends_b.keys())
-        links: Counter[int] = Counter()
-        groups, from_a, from_b, n_links = [], 0, 0, 0
-        for end in common:
-            to_a, to_b = ends_a[end], ends_b[end]
-            in_a, in_b = a[from_a:to_a], b[from_b:to_b]
-            groups.append(f"{','.join(map(str, in_a))}|{','.join(map(str, in_b))}")
-            n_links += len(in_a) * len(in_b)
-            if len(in_a) * len(in_b) == 1:
-                links[in_a[0] << B_BITS | in_b[0]] += 1
-            else:
-                times_b = Counter(in_b)
-                for x, m in Counter(in_a).items():
-                    for y, n in times_b.items():
-                        links[x << B_BITS | y] += m * n
-            from_a, from_b = to_a, to_b
-        self.text = ";".join(groups).encode()
-        self.counts = (len(a), len(b), len(common), n_links)
-        self.pairs, self.times = list(links), list(links.values())
+    def and_then(self, other: Aligned) -> Aligned:
+        return Aligned(
+            np.concatenate([self.spelt, other.spelt]), self.texts + other.texts, np.concatenate([self.counts, other.counts]),
+            np.concatenate([self.first, self.first[-1] + other.first[1:]]), np.concatenate([self.pairs, other.pairs]),
+        )
+
+    def only(self, chosen: np.ndarray) -> Aligned:
+        sizes = np.diff(self.first)[chosen]
+        at, _ = spread(self.first[:-1][chosen], sizes)
+        return Aligned(self.spelt[chosen], [self.texts[i] for i in chosen.tolist()], self.counts[chosen], np.append(0, np.cumsum(sizes)), self.pairs[at])
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every place of runs of `sizes` from `starts`, and the run of each place."""
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(run)) + (starts - (np.cumsum(sizes) - sizes))[run], run
+
+
+def linked(a: np.ndarray, b: np.ndarray, starts_a: np.ndarray, starts_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of an A and a B token in one slice, and the slice of each."""
+    at, of = spread(np.zeros(len(n_a), np.int64), n_a * n_b)
+    return a[starts_a[of] + at // n_b[of]] << B_BITS | b[starts_b[of] + at % n_b[of]], of
 
 
 class Aligner:
     """Aligns whole texts; one a process."""
 
     def __init__(self, path_a: str, path_b: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
@@ -94,8 +101,14 @@ class Aligner:
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := RAW_BYTE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
+        self.a_sizes, self.b_sizes = ([len(x) for x in side] for side in (self.a_bytes, self.b_bytes))
+        self.a_names, self.b_names = ([str(i) for i in range(len(side))] for side in (self.a_bytes, self.b_bytes))
         self.b_space = [self.b.piece_to_id("▁")]
-        self.kept: dict[str, Alignment | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.kept = Aligned(np.zeros(0, bool), [], np.zeros((0, 4), np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64))
         self.once: set[str] = set()
 
     @staticmethod
@@ -105,40 +118,68 @@ class Aligner:
             return BORDER.split(" " + text)
         return [" " + p for p in text.split(" ")]
 
-    def _aligned(self, pieces: list[str]) -> list[Alignment | None]:
-        """None where a side's tokens don't spell the piece."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, list[list[int]], list[list[int]]]:
+        """Whether both sides spell each piece, and both sides' ids, none where one doesn't."""
+        a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
         # B adds the piece's space; of nothing it would make nothing
-        b_ids = [ids or self.b_space for ids in self.b.encode([p[1:] for p in pieces], num_threads=1)]
-        out: list[Alignment | None] = []
-        for piece, a, b in zip(pieces, a_ids, b_ids, strict=True):
-            raw = piece.encode()
-            spelt = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
-            out.append(Alignment(a, b, self.a_bytes, self.b_bytes) if spelt else None)
-        return out
-
-    def align(self, texts: list[str]) -> tuple[list[list[str]], dict[str, Alignment | None]]:
-        """The pieces of each text, and the alignments of all of them.
-
-        A piece is kept for later texts from its second text on.
+        b = [ids or self.b_space for ids in self.b.encode([p[1:] for p in pieces], num_threads=1)]
+        spelt = np.ones(len(pieces), bool)
+        for ids, spelling in ((a, self.a_bytes), (b, self.b_bytes)):
+            if b"".join([spelling[i] for x in ids for i in x]) != "".join(pieces).encode():
+                spelt &= [b"".join([spelling[i] for i in x]) == p.encode() for x, p in zip(ids, pieces, strict=True)]
+        if not spelt.all():
+            a, b = ([x if ok else [] for x, ok in zip(ids, spelt.tolist(), strict=True)] for ids in (a, b))
+        return spelt, a, b
+
+    def aligned(self, pieces: list[str]) -> Aligned:
+        """The pieces laid end to end and aligned; both sides end where a piece does."""
+        spelt, a, b = self._encoded(pieces)
+        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a, b))
+        a, b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+        ends_a = dict(zip(accumulate(map(self.a_sizes.__getitem__, a)), count(1), strict=False))
+        ends_b = dict(zip(accumulate(map(self.b_sizes.__getitem__, b)), count(1), strict=False))
+        common = sorted(ends_a.keys() & ends_b.keys())
+        to_a, to_b = (list(map(ends.__getitem__, common)) for ends in (ends_a, ends_b))
+        names_a, names_b = list(map(self.a_names.__getitem__, a)), list(map(self.b_names.__getitem__, b))
+        slices = zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)
+        groups = [f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}" for i, j, k, m in slices]
+        stops_a, stops_b = np.array(to_a, np.int64), np.array(to_b, np.int64)
+        starts_a, starts_b = np.append(0, stops_a)[:-1], np.append(0, stops_b)[:-1]
+        size_a, size_b = stops_a - starts_a, stops_b - starts_b
+        pairs, of = linked(np.array(a, np.int64), np.array(b, np.int64), starts_a, starts_b, size_a, size_b)
+        # the piece of a group is that of its last A token
+        piece = np.repeat(np.arange(len(pieces)), n_a)[stops_a - 1] if common else np.zeros(0, np.int64)
+        n_groups = np.bincount(piece, minlength=len(pieces))
+        n_links = np.bincount(piece[of], minlength=len(pieces))
+        ends = np.cumsum(n_groups).tolist()
+        texts = [";".join(groups[i:j]).encode() for i, j in zip([0, *ends], ends, strict=False)]
+        return Aligned(spelt, texts, np.stack([n_a, n_b, n_groups, n_links], 1), np.append(0, np.cumsum(n_links)), pairs)
+
+    def align(self, texts: list[str]) -> tuple[Aligned, np.ndarray, np.ndarray]:
+        """Different pieces aligned; the pieces of all texts end to end, by number, and where each text's end.
+
+        A piece that occurs again, here or in a later call, is kept from then on.
         """
         rows = [self.pieces(t) if t else [] for t in texts]
-        kept, found, new, again = self.kept, {}, set(), []
-        for row in rows:
-            unknown = set(row).difference(kept)
-            again += unknown & new
-            new |= unknown
-        again += new & self.once
-        listed = list(new)
-        found = dict(zip(listed, self._aligned(listed), strict=True)) if listed else {}
-        if len(kept) + len(again) > KEPT:
-            kept = self.kept = {p: kept[p] for row in rows for p in row if p in kept}
-        every = found | {p: kept[p] for row in rows for p in set(row).intersection(kept)}
-        for p in again[:KEPT]:
-            if len(p) <= SHORT:
-                kept[p] = found[p]
-        self.once = (set() if len(self.once) > KEPT else self.once) | {p for p in new.difference(again) if len(p) <= SHORT}
-        return rows, every
+        ends = np.append(0, np.cumsum([len(r) for r in rows], dtype=np.int64))
+        rows = list(chain.from_iterable(rows))
+        new = list(set(rows).difference(self.number))
+        if len(self.number) > KEPT:
+            self._forget()
+            new = list(set(rows))
+        n_kept = len(self.number)
+        self.number.update(zip(new, count(n_kept), strict=False))
+        at = np.fromiter(map(self.number.__getitem__, rows), np.int64, len(rows))
+        found = self.aligned(new)
+        every = self.kept.and_then(found)
+        again = np.bincount(at, minlength=n_kept + len(new))[n_kept:] > 1
+        stay = np.array([len(p) <= SHORT and (ok or p in self.once) for p, ok in zip(new, again.tolist(), strict=True)], bool)
+        for p in new:
+            del self.number[p]
+        self.number.update(zip([p for p, ok in zip(new, stay.tolist(), strict=True) if ok], count(n_kept), strict=False))
+        self.kept = self.kept.and_then(found.only(np.flatnonzero(stay)))
+        self.once = (set() if len(self.once) > KEPT else self.once) | {p for p in new if len(p) <= SHORT}
+        return every, at, ends
 
 
 _open: dict[tuple[str, str], Aligner] = {}
@@ -162,37 +203,27 @@ def _unpacked(raw: bytes) -> np.ndarray:
 
 def chunk_row(texts: list[str], side: Aligner) -> dict:
     """Counts and digests of a chunk's documents, its distinct pairs, and each document's pairs among them."""
-    rows, every = side.align(texts)
-    digests, numbers, listed = [], {}, []
-    at, ends = [], [0]
-    for row in rows:
-        entries = list(map(every.__getitem__, row))
-        if None in entries:
-            row = entries = []
-        digests.append(hashlib.sha256(b";".join([e.text for e in entries])).hexdigest() if row else "")
-        for p in set(row).difference(numbers):
-            numbers[p] = len(numbers)
-            listed.append(every[p])
-        at += map(numbers.__getitem__, row)
-        ends.append(len(at))
-    at, ends = np.array(at, np.int64), np.array(ends)
-    totals = np.array([e.counts for e in listed], np.int64).reshape(-1, 4)
+    every, at, ends = side.align(texts)
+    owner = np.repeat(np.arange(len(texts)), np.diff(ends))
+    whole = np.ones(len(texts), bool)
+    whole[owner[~every.spelt[at]]] = False
+    digests = []
+    for i, j, ok in zip(ends[:-1].tolist(), ends[1:].tolist(), whole.tolist(), strict=True):
+        digests.append(hashlib.sha256(b";".join([every.texts[p] for p in at[i:j].tolist()])).hexdigest() if ok and i < j else "")
+    at, owner = at[whole[owner]], owner[whole[owner]]
     sums = np.zeros((len(at) + 1, 4), np.int64)
-    np.cumsum(totals[at], axis=0, out=sums[1:])
+    np.cumsum(every.counts[at], axis=0, out=sums[1:])
+    ends = np.searchsorted(owner, np.arange(len(texts) + 1))
     counts = sums[ends[1:]] - sums[ends[:-1]]
     # each document's pieces with their numbers, then its pairs
-    owner = np.repeat(np.arange(len(rows)), np.diff(ends))
-    held, often = np.unique(owner * max(1, len(listed)) + at, return_counts=True)
-    owner, piece = held // max(1, len(listed)), held % max(1, len(listed))
-    sizes = np.array([len(e.pairs) for e in listed], np.int64)
-    first = np.cumsum(sizes) - sizes
-    distinct, number = np.unique(np.array([x for e in listed for x in e.pairs], np.int64), return_inverse=True)
-    times = np.array([x for e in listed for x in e.times], np.int64)
-    grown = sizes[piece] if len(piece) else np.zeros(0, np.int64)
-    place = np.repeat(first[piece] - (np.cumsum(grown) - grown), grown) + np.arange(grown.sum()) if len(piece) else np.zeros(0, np.int64)
-    key = np.repeat(owner, grown) * max(1, len(distinct)) + number[place]
+    pieces = max(1, len(every.texts))
+    held, often = np.unique(owner * pieces + at, return_counts=True)
+    owner, piece = held // pieces, held % pieces
+    place, of = spread(every.first[piece], np.diff(every.first)[piece])
+    distinct, number = np.unique(every.pairs[place], return_inverse=True)
+    key = owner[of] * max(1, len(distinct)) + number
     order = np.argsort(key, kind="stable")
-    key, weight = key[order], (times[place] * np.repeat(often, grown))[order]
+    key, weight = key[order], often[of][order]
     new = np.flatnonzero(np.append(True, np.diff(key) > 0)) if len(key) else np.zeros(0, np.int64)
     links = np.add.reduceat(weight, new) if len(key) else weight
     owner, pair = key[new] // max(1, len(distinct)), key[new] % max(1, len(distinct))
@@ -201,7 +232,7 @@ def chunk_row(texts: list[str], side: Aligner) -> dict:
         "digests": digests,
         "pairs": distinct,
         "documents": np.bincount(pair, minlength=len(distinct)),
-        "sizes": np.bincount(owner, minlength=len(rows)),
+        "sizes": np.bincount(owner, minlength=len(texts)),
         "links": _packed(links),
         "places": _packed(pair),
     }

@@ -124,9 +124,8 @@ def test_kept_pieces_change_nothing(monkeypatch):
     for n in range(6):
         texts = [" ".join(f"w{i % (n + 3)} again" for i in range(30)), SPELLINGS[n]]
         got, want = token_alignment.chunk_row(texts, side), token_alignment.chunk_row(texts, token_alignment.Aligner(*files))
-        order = [np.argsort(x["pairs"]).tolist() for x in (got, want)]
-        assert order[0] == order[1] and all(np.array_equal(got[k], want[k]) for k in want)
-        assert len(side.kept) <= 10
+        assert all(np.array_equal(got[k], want[k]) for k in want)
+        assert len(side.number) == len(side.kept.texts) <= 20
 
 
 def clusters_by_hand(rows, k, rounds):
