@@ -44,7 +44,7 @@ from tallymark.llm.tokens import BYTE_BPE, BYTE_CHARACTERS, path
 from tallymark.session import written_once
 
 PIECE_BPE = "piece_bpe_32k.model"
-CHUNK, KEPT, SHORT = 1 << 22, 200_000, 64  # bytes, pieces, characters of a kept piece
+CHUNK, KEPT, SHORT, RUN = 1 << 22, 200_000, 64, 100  # bytes, pieces, characters of a kept piece, pieces encoded together
 BORDER = re.compile(r"(?<=\S)(?= )")
 SPACE_RUN = re.compile(r"\s (?<=\s )")
 RAW_BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -118,38 +118,62 @@ class Aligner:
             return BORDER.split(" " + text)
         return [" " + p for p in text.split(" ")]
 
-    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, list[list[int]], list[list[int]]]:
-        """Whether both sides spell each piece, and both sides' ids, none where one doesn't."""
-        a = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-        # B adds the piece's space; of nothing it would make nothing
-        b = [ids or self.b_space for ids in self.b.encode([p[1:] for p in pieces], num_threads=1)]
-        spelt = np.ones(len(pieces), bool)
-        for ids, spelling in ((a, self.a_bytes), (b, self.b_bytes)):
-            if b"".join([spelling[i] for x in ids for i in x]) != "".join(pieces).encode():
-                spelt &= [b"".join([spelling[i] for i in x]) == p.encode() for x, p in zip(ids, pieces, strict=True)]
-        if not spelt.all():
-            a, b = ([x if ok else [] for x, ok in zip(ids, spelt.tolist(), strict=True)] for ids in (a, b))
-        return spelt, a, b
+    def _ids(self, texts: list[str]) -> list[tuple[list[int], list[int], bool]]:
+        """Both sides' ids of texts that begin with a space, and whether both spell the text."""
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # B adds the space; of nothing it would make nothing
+        b = [ids or self.b_space for ids in self.b.encode([t[1:] for t in texts], num_threads=1)]
+        spell = lambda ids, spelling: b"".join(map(spelling.__getitem__, ids))
+        return [(x, y, spell(x, self.a_bytes) == t.encode() == spell(y, self.b_bytes)) for x, y, t in zip(a, b, texts, strict=True)]
+
+    def _encoded(self, pieces: list[str]) -> Iterator[tuple[int, int, list[int], list[int]]]:
+        """Runs of pieces that both sides spell, as first, last and both sides' ids.
+
+        Pieces are encoded together, up to RUN or to one that ends with white space.
+        """
+        runs, at = [], 0
+        while at < len(pieces):
+            stop = at + 1
+            while stop < min(at + RUN, len(pieces)) and not pieces[stop - 1][-1].isspace():
+                stop += 1
+            runs.append((at, stop))
+            at = stop
+        for (at, stop), (a, b, spelt) in zip(runs, self._ids(["".join(pieces[i:j]) for i, j in runs]), strict=True):
+            if spelt:
+                yield at, stop, a, b
+            else:
+                yield from ((i, i + 1, a, b) for i, (a, b, alone) in enumerate(self._ids(pieces[at:stop]), at) if alone)
 
     def aligned(self, pieces: list[str]) -> Aligned:
         """The pieces laid end to end and aligned; both sides end where a piece does."""
-        spelt, a, b = self._encoded(pieces)
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a, b))
-        a, b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
-        ends_a = dict(zip(accumulate(map(self.a_sizes.__getitem__, a)), count(1), strict=False))
-        ends_b = dict(zip(accumulate(map(self.b_sizes.__getitem__, b)), count(1), strict=False))
-        common = sorted(ends_a.keys() & ends_b.keys())
-        to_a, to_b = (list(map(ends.__getitem__, common)) for ends in (ends_a, ends_b))
-        names_a, names_b = list(map(self.a_names.__getitem__, a)), list(map(self.b_names.__getitem__, b))
-        slices = zip([0, *to_a], to_a, [0, *to_b], to_b, strict=False)
-        groups = [f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}" for i, j, k, m in slices]
-        stops_a, stops_b = np.array(to_a, np.int64), np.array(to_b, np.int64)
+        sizes = np.array([len(p.encode()) for p in pieces], np.int64)
+        spelt, offset = np.zeros(len(pieces), bool), 0
+        all_a, all_b, to_a, to_b, groups, common = [], [], [], [], [], [np.zeros(0, np.int64)]
+        for at, stop, a, b in self._encoded(pieces):
+            ends_a = dict(zip(accumulate(map(self.a_sizes.__getitem__, a)), count(1), strict=False))
+            ends_b = dict(zip(accumulate(map(self.b_sizes.__getitem__, b)), count(1), strict=False))
+            ends = sorted(ends_a.keys() & ends_b.keys())
+            cut_a, cut_b = (list(map(x.__getitem__, ends)) for x in (ends_a, ends_b))
+            names_a, names_b = list(map(self.a_names.__getitem__, a)), list(map(self.b_names.__getitem__, b))
+            groups += [f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}" for i, j, k, m in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b, strict=False)]
+            to_a.append(np.array(cut_a, np.int64) + len(all_a))
+            to_b.append(np.array(cut_b, np.int64) + len(all_b))
+            common.append(np.array(ends, np.int64) + offset)
+            all_a += a
+            all_b += b
+            spelt[at:stop] = True
+            offset += ends[-1]
+        common = np.concatenate(common)
+        a, b = np.array(all_a, np.int64), np.array(all_b, np.int64)
+        stops_a, stops_b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (to_a, to_b))
         starts_a, starts_b = np.append(0, stops_a)[:-1], np.append(0, stops_b)[:-1]
         size_a, size_b = stops_a - starts_a, stops_b - starts_b
-        pairs, of = linked(np.array(a, np.int64), np.array(b, np.int64), starts_a, starts_b, size_a, size_b)
-        # the piece of a group is that of its last A token
-        piece = np.repeat(np.arange(len(pieces)), n_a)[stops_a - 1] if common else np.zeros(0, np.int64)
-        n_groups = np.bincount(piece, minlength=len(pieces))
+        pairs, of = linked(a, b, starts_a, starts_b, size_a, size_b)
+        # groups up to each piece's end; a piece that isn't spelt has none
+        last = np.searchsorted(common, np.cumsum(np.where(spelt, sizes, 0)), "right")
+        n_groups = np.diff(last, prepend=0)
+        n_a, n_b = (np.diff(np.append(0, x)[last], prepend=0) for x in (stops_a, stops_b))
+        piece = np.repeat(np.arange(len(pieces)), n_groups)
         n_links = np.bincount(piece[of], minlength=len(pieces))
         ends = np.cumsum(n_groups).tolist()
         texts = [";".join(groups[i:j]).encode() for i, j in zip([0, *ends], ends, strict=False)]

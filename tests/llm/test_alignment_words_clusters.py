@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallymark.llm import centroid_clusters, repeated_words, token_alignment
@@ -109,7 +110,7 @@ SPELLINGS = [
 def test_alignment_by_hand(spark, sf_dir, most, monkeypatch):
     if most == 200:
         monkeypatch.setattr(token_alignment, "KEPT", 40)  # in this process only; workers keep theirs
-    rows = [(r.doc_id, r.text) for r in T.documents(spark, sf_dir).limit(40).collect()]
+    rows = [(r.doc_id, r.text) for r in T.documents(spark, sf_dir).orderBy(F.length("text")).limit(150).collect()[::12]]
     rows += [*enumerate(SPELLINGS, 1000), (None, "plain words here"), (1, "plain words"), (1, "plain words"), (2, None), (3, "")]
     got, known = token_alignment.alignments(spark.createDataFrame(rows, "doc_id long, text string"), most=most)
     assert Counter(map(tuple, got.collect())) == aligned_by_hand(rows)
