@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from tallymark import fixed_values as fv
@@ -272,3 +274,51 @@ def published_rows(spark, sf):
     publish.publish_rows(store, i.orders(spark, sf), "orders", 7, ["OBJECT_ID"], RUN_TS)
     log = store.read(publish.RUN_LOG).select(F.col("run_key").alias("logged"), "control_type")
     return store.read("orders").join(log, F.col("run_key") == F.col("logged")).drop("logged")
+
+
+@query(
+    "concurrent_claims",
+    """SELECT OBJECT_ID, CAST(OBJECT_ID%4 AS INT) AS slice, CASE WHEN OBJECT_ID%4=3 THEN NULL ELSE count(*) OVER (PARTITION BY OBJECT_ID%4) END AS row_count,
+ CAST(0 AS BIGINT) AS low_key, (SELECT 2+count(*) FROM fx_order WHERE OBJECT_ID%4=3) AS high_key, (SELECT 3+count(*) FROM fx_order WHERE OBJECT_ID%4=3) AS n_keys FROM fx_order""",
+)
+def concurrent_claims(spark, sf):
+    """Four publishers at once, three with a key a run and one with a key a row.
+
+    Whoever comes first, the keys of all are distinct and have no gap.
+    """
+    store = _store(spark, orders="run_key")
+    orders = i.orders(spark, sf).withColumn("slice", (F.col("OBJECT_ID") % 4).cast("int"))
+
+    def publisher(n):
+        rows = orders.where(F.col("slice") == n)
+        if n < 3:
+            return publish.publish_run(store, rows, "orders", 53, run_ts=RUN_TS)
+        return publish.publish_rows(store, rows, "order_rows", 7, ["OBJECT_ID"], RUN_TS)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(inheritable_thread_target(spark)(publisher), range(4)))
+    log = store.read(publish.RUN_LOG)
+    facts = {"low_key": F.min("run_key"), "high_key": F.max("run_key"), "n_keys": F.count_distinct("run_key")}
+    columns = ["OBJECT_ID", "slice", F.col("run_key").cast("long").alias("run_key")]
+    rows = store.read("orders").select(*columns).union(store.read("order_rows").select(*columns))
+    rows = rows.join(log.select("run_key", "row_count"), "run_key").drop("run_key")
+    return rows.withColumns({name: log.agg(fact).scalar() for name, fact in facts.items()})
+
+
+@query(
+    "replaced_run",
+    """SELECT OBJECT_ID, coalesce(PARENT_ID,-1) AS PARENT_ID, CAST(1 AS BIGINT) AS run_key, (SELECT count(*) FROM fx_order) AS row_count FROM fx_order
+ UNION ALL SELECT OBJECT_ID, PARENT_ID, CAST(2 AS BIGINT), (SELECT count(*) FROM fx_order WHERE PARENT_ID IS NULL) FROM fx_order WHERE PARENT_ID IS NULL""",
+)
+def replaced_run(spark, sf):
+    """Three runs; the second is replaced by a corrected one, the first is dropped."""
+    store = _store(spark, orders="run_key")
+    orders = i.orders(spark, sf)
+    publish.publish_run(store, orders, "orders", 53, run_ts=RUN_TS)
+    key = publish.publish_run(store, orders.where("PARENT_ID IS NOT NULL"), "orders", 53, run_ts=RUN_TS)
+    publish.publish_run(store, orders.where("PARENT_ID IS NULL"), "orders", 53, run_ts=RUN_TS)
+    publish.replace_run(store, orders.withColumn("PARENT_ID", F.coalesce("PARENT_ID", F.lit(-1))), "orders", key)
+    store.drop_run("orders", 0)
+    log = store.read(publish.RUN_LOG).select("run_key", "row_count")
+    rows = store.read("orders").withColumn("run_key", F.col("run_key").cast("long"))
+    return rows.join(log, "run_key").select("OBJECT_ID", "PARENT_ID", "run_key", "row_count")

@@ -2,7 +2,9 @@
 
 Order of writes: claim the key, write the results, write the run row. Reports
 join the run log, so a run shows only when it is complete; a run that died
-half-way leaves a claim, and its key is never given out again.
+half-way leaves a claim, and its key is never given out again. Any number of
+publishers may work at once: claims are files that one of them can create
+(claims.py).
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from pyspark.sql import types as T
 from tallymark import fixed_values as fv
 from tallymark.operators.keys import dense_keys, next_key
 from tallymark.operators.shape import without_run_columns
-from tallymark.sinks.stores import Store
+from tallymark.runs.claims import claim
+from tallymark.sinks.stores import FolderStore, Store
 
 RUN_LOG = "run_log"
 RUN_CLAIM = "run_claim"
@@ -58,12 +61,13 @@ class IncompleteWrite(RuntimeError):
 def _claim(store: Store, control_type: int, width: int = 1) -> int:
     """Reserve `width` keys and return the first; the only place keys are made.
 
-    Only the last key of the range is claimed, which is enough for max + 1.
+    The claim is entered in the claims table as well, where queries and older
+    publishers see it: the last key of the range, which is enough for max + 1.
     """
     keys = store.read(RUN_LOG).select("run_key").union(store.read(RUN_CLAIM).select("run_key"))
-    first = next_key(keys, "run_key").first()[0]
-    claim = [(first + width - 1, control_type)]
-    store.append(store.spark.createDataFrame(claim, RUN_CLAIM_SCHEMA), RUN_CLAIM)
+    least = next_key(keys, "run_key").first()[0]
+    first = claim(store.claims(), control_type, width, least)
+    store.append(store.spark.createDataFrame([(first + width - 1, control_type)], RUN_CLAIM_SCHEMA), RUN_CLAIM)
     return first
 
 
@@ -159,6 +163,27 @@ def publish_rows(
     return first
 
 
+def replace_run(store: FolderStore, results: DataFrame, table: str, key: int) -> int:
+    """Put corrected results in the place of a run's, under its key; returns their number.
+
+    The table has to be partitioned by the run key. Other runs' files stay as they are, and
+    the run keeps its day; its row count follows when the results are in place.
+    """
+    log = store.read(RUN_LOG).where(F.col("run_key") == key)
+    if log.isEmpty():
+        raise ValueError(f"no complete run {key} to replace")
+    counted = Observation("replaced")
+    tagged = without_run_columns(results).withColumn("run_key", F.lit(key).cast("long"))
+    store.replace_run(tagged.observe(counted, F.count(F.lit(1)).alias("n")), table)
+    written = counted.get["n"]
+    if written == 0:  # an empty frame has no run folder to put in place
+        store.drop_run(table, key)
+    else:
+        _verify(store.read(table).where(F.col("run_key") == key), written)
+    store.update(RUN_LOG, F.col("run_key") == key, {"row_count": F.lit(written).cast("long")})
+    return written
+
+
 def publish_status(store: Store, ok: bool, control: str, run_ts: dt.datetime | None = None) -> int:
     """Record that a named control went well or not."""
     row = store.spark.createDataFrame([("OK" if ok else "NOK", control)], STATUS_SCHEMA)
