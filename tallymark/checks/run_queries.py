@@ -13,14 +13,17 @@ from tallymark.checks import inputs as i
 from tallymark.checks.registry import query
 from tallymark.functions.text import printable
 from tallymark.operators.drift import drift_by_day
+from tallymark.operators.nested_drift import nested_drift as nested_drift_report
 from tallymark.operators.shape import to_logical
 from tallymark.plans.operations import Operations
 from tallymark.plans.reconciliation import latest_crm
 from tallymark.runs import monitoring, publish, reports
 from tallymark.session import new_work_path
 from tallymark.sinks.exports import export_csv, refresh_history, snapshot
+from tallymark.sinks.folders import Folder
 from tallymark.sinks.stores import FolderStore
 from tallymark.sources.files import read_crm_parquet, read_delimited, read_pipe
+from tallymark.sources.incremental import Landing
 from tallymark.sources.json_documents import column_presence, record_texts, typed_records
 
 RUN_TS = dt.datetime(2001, 8, 1, 12, 0)
@@ -158,6 +161,7 @@ def _event_documents(spark, sf):
 
 
 EVENT_SCHEMA = "event_id long, event_type string, kind string, value double, user string"
+EVENT_FIELDS = "event_id: long, event_type: string, kind: string, value: double, user: string"
 
 
 @query(
@@ -185,6 +189,69 @@ def json_drift(spark, sf):
     return report.withColumns({c: F.array_join(c, ",") for c in ("added", "removed")})
 
 
+NESTED_RETYPED = "meta.source.id"
+
+
+@query(
+    "nested_drift",
+    f"""WITH e AS (SELECT CAST(ts AS DATE) AS "day", dayofyear(ts) AS n, value FROM events),
+ p AS (SELECT DISTINCT "day", 'meta.source.score' AS col FROM e WHERE n%3<>0 AND value IS NOT NULL UNION SELECT DISTINCT "day", 'meta.tags[].weight' FROM e WHERE n>=20),
+ f AS (SELECT min("day") AS first_day FROM e), s AS (SELECT col, min("day") AS since FROM p GROUP BY 1),
+ t AS (SELECT "day", CASE WHEN late<>lag(late) OVER (ORDER BY "day") THEN '{NESTED_RETYPED}' ELSE '' END AS retyped FROM (SELECT DISTINCT "day", n>=20 AS late FROM e))
+ SELECT d."day", CAST(max(CASE WHEN s.since=d."day" AND s.since>f.first_day THEN 1 ELSE 0 END)+max(CASE WHEN s.since<d."day" AND p.col IS NULL THEN 2 ELSE 0 END) AS INT) AS code,
+ coalesce(string_agg(CASE WHEN s.since=d."day" AND s.since>f.first_day THEN s.col END, ',' ORDER BY s.col),'') AS added,
+ coalesce(string_agg(CASE WHEN s.since<d."day" AND p.col IS NULL THEN s.col END, ',' ORDER BY s.col),'') AS removed, max(t.retyped) AS retyped
+ FROM (SELECT DISTINCT "day" FROM e) d CROSS JOIN f CROSS JOIN s LEFT JOIN p ON p."day"=d."day" AND p.col=s.col JOIN t ON t."day"=d."day" GROUP BY 1""",
+)
+def nested_drift(spark, sf):
+    """Inner fields that come and go, one of an array's elements among them, and one that turns to text."""
+    events = i.table(spark, sf, "events")
+    late, day = F.dayofyear("ts") >= 20, F.col("ts").cast("date")
+    score = F.when(F.dayofyear("ts") % 3 != 0, F.col("value")).alias("score")
+
+    def record(user, *weight):
+        source = F.struct(user.alias("id"), score).alias("source")
+        tags = F.array(F.struct("event_type", *weight)).alias("tags")
+        return F.to_json(F.struct("event_id", F.struct(source, tags).alias("meta")))
+
+    early_record, late_record = record(F.col("user_id")), record(F.col("user_id").cast("string"), F.col("event_id").alias("weight"))
+    records = events.select(day.alias("day"), F.when(late, late_record).otherwise(early_record).alias("record"))
+    lists = ("added", "removed", "retyped")
+    return nested_drift_report(records, "day").withColumns({c: F.array_join(c, ",") for c in lists})
+
+
+def _written_documents(spark, sf) -> tuple[str, list[dt.date]]:
+    """The events' documents as files below year=/month=/day=, and their days.
+
+    Stray bytes: a byte that is no UTF-8 and a control character before each user id.
+    """
+    documents = _event_documents(spark, sf).select("day", F.from_json("content", f"records array<struct<{EVENT_FIELDS}>>").alias("c"))
+    stray = documents.select("day", F.transform("c.records", lambda r: r.withField("user", F.replace(r["user"], F.lit("u"), F.lit("\xe9u")))).alias("records"))
+    parts = {"year": F.year("day"), "month": F.month("day"), "dom": F.dayofmonth("day")}
+    path = new_work_path(spark, "documents")
+    writer = stray.withColumns(parts).drop("day").write.partitionBy(*parts).option("encoding", "ISO-8859-1")
+    writer.option("maxRecordsPerFile", 1).json(path)
+    return path, sorted(r.day for r in documents.select("day").distinct().collect())
+
+
+@query(
+    "json_incremental",
+    """SELECT CAST(ts AS DATE) AS "day", event_id, CASE WHEN dayofyear(ts)<20 THEN event_type END AS event_type, CASE WHEN dayofyear(ts)>=20 THEN event_type END AS kind,
+ CASE WHEN dayofyear(ts)%3<>0 THEN value END AS value, concat('u',CAST(user_id AS VARCHAR)) AS "user",
+ CAST(CASE WHEN CAST(ts AS DATE)=(SELECT max(CAST(ts AS DATE)) FROM events) THEN 1 ELSE 0 END AS BIGINT) AS batch FROM events""",
+)
+def json_incremental(spark, sf):
+    """All days but the last are taken in, then the last one arrives and is taken in by itself."""
+    written, days = _written_documents(spark, sf)
+    base = Folder(spark, new_work_path(spark, "arrived"))
+    landing = Landing(spark, base.root, new_work_path(spark, "landed"), "*.json")
+    for arriving in (days[:-1], days[-1:]):
+        for d in arriving:
+            base.take_in(f"{written}/year={d.year}/month={d.month}/dom={d.day}", f"{d.year}/{d.month}/{d.day}")
+        landing.ingest()
+    return landing.records(EVENT_SCHEMA)
+
+
 @query(
     "crm_csv_export",
     "SELECT c_custkey AS id, c_name AS name, CASE WHEN c_mktsegment='BUILDING' THEN 'NULL' ELSE c_mktsegment END AS segment, CASE WHEN c_acctbal>=0 THEN c_acctbal END AS balance FROM customer",
