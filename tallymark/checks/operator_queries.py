@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallymark.checks import inputs as i
@@ -14,6 +16,7 @@ from tallymark.operators.keys import dense_keys, next_key
 from tallymark.plans.customer_flags import named_accounts
 from tallymark.plans.reconciliation import order_counts
 from tallymark.session import written_once
+from tallymark.sinks.version_state import VersionState
 
 
 @query(
@@ -234,6 +237,22 @@ def latest_with_null_groups(spark, sf):
     return versions.latest_version(accounts, ["UNIQUE_GLOBAL_ID", "CUST_CATEGORY"], "MODIFIED_WHEN", "newest")
 
 
+@query(
+    "versions_merged_daily",
+    "SELECT OBJECT_ID, NAME, STATUS, UNIQUE_GLOBAL_ID, max(MODIFIED_WHEN) AS MODIFIED_WHEN FROM fx_account_version GROUP BY 1,2,3,4",
+)
+def versions_merged_daily(spark, sf):
+    """A state begun empty, into which three extracts are merged; versions come in no order."""
+    versions_of = i.account_versions(spark, sf)
+    describe = ["OBJECT_ID", "NAME", "STATUS", "UNIQUE_GLOBAL_ID"]
+    name = f"account_state_{uuid.uuid4().hex}"
+    state = VersionState(spark, name, describe, "MODIFIED_WHEN", ["OBJECT_ID"], buckets=8)
+    state.create(versions_of.limit(0))
+    for n in range(3):
+        state.merge(versions_of.where(F.dayofyear("MODIFIED_WHEN") % 3 == n))
+    return state.read()
+
+
 @query(
     "products_on_both_sides",
     "SELECT CUSTOMER_ACCOUNT FROM fx_service GROUP BY 1 HAVING sum(CASE WHEN PRODUCT_CODE IN ('PROMO') THEN 1 ELSE 0 END)>0 AND sum(CASE WHEN PRODUCT_CODE NOT IN ('PROMO') THEN 1 ELSE 0 END)>0",

@@ -6,6 +6,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallymark import fixed_values as fv
@@ -21,6 +22,7 @@ from tallymark.runs import monitoring, publish, reports
 from tallymark.session import new_work_path
 from tallymark.sinks.exports import export_csv, refresh_history, snapshot
 from tallymark.sinks.folders import Folder
+from tallymark.sinks.history import History
 from tallymark.sinks.stores import FolderStore
 from tallymark.sources.files import read_crm_parquet, read_delimited, read_pipe
 from tallymark.sources.incremental import Landing
@@ -101,6 +103,22 @@ def control_run_days(spark, sf):
     return monitoring.run_days(keys, i.runs(spark, sf))
 
 
+@query(
+    "missed_days",
+    f"""SELECT c.control, CAST(d."day" AS DATE) AS "day" FROM (SELECT DISTINCT control FROM ({TABLE_DAYS_SQL}) x) c,
+ (SELECT unnest(generate_series((SELECT min(CAST(run_ts AS DATE)) FROM fx_run), (SELECT max(CAST(run_ts AS DATE)) FROM fx_run), INTERVAL 1 DAY)) AS "day") d
+ WHERE dayofweek(d."day") BETWEEN 1 AND 5 AND NOT EXISTS (SELECT 1 FROM ({TABLE_DAYS_SQL}) t WHERE t.control=c.control AND t."day"=CAST(d."day" AS DATE))""",
+)
+def missed_days(spark, sf):
+    """Working days without a run of each control, from bitmaps of two nights' merge."""
+    log = i.runs(spark, sf)
+    days = monitoring.run_days(monitoring.result_run_keys(_tables_by_name(spark, sf)), log)
+    parts = [monitoring.day_bitmaps(days.where(F.dayofmonth("day") % 2 == n)) for n in (0, 1)]
+    run_day = F.col("run_ts").cast("date")
+    span = [log.agg(f(run_day)).scalar() for f in (F.min, F.max)]
+    return monitoring.missed_days(monitoring.merged_bitmaps(*parts), *span, weekdays=True)
+
+
 @query(
     "operations_status",
     f"""SELECT control, CASE WHEN max(CASE WHEN "day"=DATE '2001-08-01' THEN 1 ELSE 0 END)=1 THEN 'OK' ELSE 'NOK' END AS status FROM ({TABLE_DAYS_SQL}) d
@@ -307,6 +325,31 @@ def dataset_history(spark, sf):
     return refresh_history(spark, snapshot(datasets, i.AS_OF), first, second)
 
 
+@query(
+    "history_swap",
+    """SELECT p_name AS Name, p_brand AS Id, p_type AS ImportMode, p_partkey AS Size, d AS Fecha FROM part, (SELECT '1/8/2001' AS d UNION ALL SELECT '30/7/2001') x""",
+)
+def history_swap(spark, sf):
+    """Three refreshes of a history; the second breaks off while it writes."""
+    datasets = i.table(spark, sf, "part").select(
+        F.col("p_name").alias("Name"),
+        F.col("p_brand").alias("Id"),
+        F.col("p_type").alias("ImportMode"),
+        F.col("p_partkey").alias("Size"),
+    )
+    largest = datasets.agg(F.max("Size")).scalar()
+    broken = F.when(F.col("Size") == largest, F.raise_error(F.lit("refresh broke off"))).otherwise(F.col("Size"))
+    history = History(spark, new_work_path(spark, "history"))
+    for back in (2, 1, 0):
+        rows = snapshot(datasets.withColumn("Size", broken) if back == 1 else datasets, i.AS_OF - dt.timedelta(days=back))
+        try:
+            history.refresh(rows)
+        except PySparkException:
+            if back != 1:
+                raise
+    return history.read(rows.schema)
+
+
 def _store(spark, **partitions):
     store = FolderStore(spark, new_work_path(spark, "store"), partitions)
     publish.create_run_tables(store)

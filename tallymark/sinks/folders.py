@@ -109,10 +109,6 @@ class Folder:
             self.remove(staged)
         return True
 
-    def replace(self, name: str, text: str) -> None:
-        """Create or replace a file; a reader sees the old text or the new one."""
-        self._rename(self.at(self._staged(text)), name, "OVERWRITE")
-
     def swap_in(self, path: str, name: str) -> None:
         """Put another file, given by its path, in the place of one of this folder in one step."""
         self._rename(path, name, "OVERWRITE")

@@ -31,9 +31,9 @@ def folder(spark, tmp_path, request):
 def test_a_file_is_created_once(folder):
     assert folder.create_once("a", "first\né") and not folder.create_once("a", "second")
     assert folder.read("a") == "first\né"
-    folder.replace("a", "third")
-    folder.replace("b", "new")
-    assert (folder.read("a"), folder.read("b")) == ("third", "new")
+    assert folder.create_once("b", "new")
+    folder.swap_in(folder.at("b"), "a")
+    assert folder.read("a") == "new" and not folder.exists("b") and folder.create_once("b", "again")
     assert [e.name for e in folder.entries()] == ["a", "b"] and folder.entries("none") == []
     assert folder.remove("a") and not folder.remove("a")
     assert [e.name for e in folder.entries()] == ["b"], "no staged file is left"
