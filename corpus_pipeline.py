@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import decontamination, language_id, line_dedup, near_duplicates, packing
+from tallymark.llm import decontamination, language_id, line_dedup, near_duplicates, packing, texts
 from tallymark.session import written_once
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,6 +19,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language classifier doesn't reject."""
+    texts.small_batches(spark)
     return language_id.of_known_language(docs)
 
 

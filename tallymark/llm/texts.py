@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, BATCH_BYTES = 1 << 20, 8 << 20
 U64 = np.uint64
 
 # Byte classes. Words of most operators end at ASCII white space; words of
@@ -31,7 +31,13 @@ BASE = int(0x9E3779B97F4A7C15 | 5)
 _powers: dict[str, np.ndarray] = {}
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python a few MB at a time; a task holds several copies of a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -12,7 +12,8 @@ from tokenizers import Tokenizer
 # A tokenizer file's place on every machine; a parameter of the operators.
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-KEPT_PIECES = 1_000_000
+# Kept pieces and words: some 200 bytes each, so about 40 MB a process at most.
+KEPT_PIECES, KEPT_WORDS, SHORT = 150_000, 100_000, 64
 BEFORE_SPACE = re.compile(r" (?<=\s )")  # looks back from spaces, which are quick to find
 LATIN = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+")
 PROBES = [" the", "Word", " Straße.", " naïveté,", " QUEREÈ", "µ", " aÿª", " internationalization", " Ñandú", " es.\nThon", "a,\nß\nC."]
@@ -30,8 +31,9 @@ class Encoder:
     The tokenizers used here never join characters on both sides of the border
     between a character that isn't white space and a following space. A text is cut
     there, and the pieces (a word with the space before it) are encoded by the
-    tokenizer and kept for later texts, up to KEPT_PIECES. A text in which white
-    space comes before a space is encoded as one piece.
+    tokenizer. Pieces seen again are kept for later texts, up to KEPT_PIECES of at most
+    SHORT characters. A text in which white space comes before a space is encoded as
+    one piece.
 
     A piece of Latin words, one a line, each with or without a mark after it, is put
     together from the model's ids of the words; PROBES show whether a tokenizer allows it.
@@ -67,6 +69,8 @@ class Encoder:
             bare = word[1:] if word.startswith(" ") else word
             if not bare.isalpha() or not (bare.isascii() or LATIN.fullmatch(bare)):
                 return None
+            if len(self.words) >= KEPT_WORDS:
+                self.words.clear()
             ids = self.words[word] = [t.id for t in self.model.tokenize(form(word))]
         return ids + self.marks[mark + end] if mark or end else ids
 
@@ -91,7 +95,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.number: dict[str | tuple[str], int] = {}
-        self.words = {}
+        self.once: set[str | tuple[str]] = set()
         self.ids = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
 
@@ -107,24 +111,34 @@ class Encoder:
         """Ids of all texts end to end, and offsets."""
         if len(self.number) > KEPT_PIECES:
             self._forget()
-        number, at, ends = self.number, [], [0]
-        new: list[str] = []
-        for text in texts:
-            pieces = self._pieces(text)
-            for piece in set(pieces).difference(number):
-                number[piece] = len(number)
-                new.append(" " + piece if isinstance(piece, str) else piece[0])
-            at += map(number.__getitem__, pieces)
-            ends.append(len(at))
-        if new:
-            found = self._encoded(new)
-            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in found])])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
-        chosen = np.array(at, np.int64)
-        sizes = self.first[chosen + 1] - self.first[chosen]
+        rows = [self._pieces(text) for text in texts]
+        flat = list(chain.from_iterable(rows))
+        number, n_kept = self.number, len(self.number)
+        new = list(set(flat).difference(number))
+        number.update(zip(new, range(n_kept, n_kept + len(new)), strict=True))
+        at = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        found = self._encoded([" " + p if isinstance(p, str) else p[0] for p in new]) if new else []
+        new_first = self.first[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)
+        first = np.concatenate([self.first, new_first])
+        all_ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+        self._keep(new, found, np.bincount(at, minlength=n_kept + len(new))[n_kept:] > 1)
+        sizes = first[at + 1] - first[at]
         stops = np.cumsum(sizes)
-        ids = self.ids[np.repeat(self.first[chosen + 1] - stops, sizes) + np.arange(stops[-1] if len(stops) else 0)]
-        return ids, np.concatenate([[0], stops])[np.array(ends)]
+        ids = all_ids[np.repeat(first[at + 1] - stops, sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        ends = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
+        return ids, np.concatenate([[0], stops])[ends]
+
+    def _keep(self, new: list, found: list[list[int]], again: np.ndarray) -> None:
+        """Of the pieces just numbered keep those seen again, here or since an earlier call."""
+        short = [len(p if isinstance(p, str) else p[0]) <= SHORT for p in new]
+        stay = [i for i, (p, more) in enumerate(zip(new, again.tolist(), strict=True)) if short[i] and (more or p in self.once)]
+        for p in new:
+            del self.number[p]
+        self.number.update(zip([new[i] for i in stay], range(len(self.number), len(self.number) + len(stay)), strict=True))
+        kept = [found[i] for i in stay]
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in kept], dtype=np.int64)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(kept), np.uint32)])
+        self.once = (set() if len(self.once) > KEPT_PIECES else self.once) | {p for p, ok in zip(new, short, strict=True) if ok}
 
 
 def encoder(path: str) -> Encoder:
