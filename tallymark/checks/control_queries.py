@@ -11,6 +11,7 @@ from tallymark.operators.shape import pick, to_layout
 from tallymark.plans import customer_flags as flags
 from tallymark.plans import hierarchy as tree
 from tallymark.plans import reconciliation as recon
+from tallymark.runs.dashboards import Dashboards
 from tallymark.runs.reports import full_history, latest_report, of_latest_run
 from tallymark.session import written_once
 
@@ -138,6 +139,7 @@ def _reconciliation(spark, sf, holdings=False):
         i.orders(spark, sf),
         i.holdings(spark, sf) if holdings else None,
         i.TYPE_LABELS,
+        run_log=i.year_runs(spark, sf) if holdings else None,
     )
 
 
@@ -159,7 +161,7 @@ def crm_latest_versions(spark, sf):
 @query("account_latest_versions", "SELECT * FROM acc_holding")
 def account_latest_versions(spark, sf):
     live = recon.live_account_versions(i.account_versions(spark, sf), i.TYPE_LABELS)
-    return recon.with_latest_holding(recon.latest_accounts(live), i.holdings(spark, sf))
+    return recon.with_latest_holding(recon.latest_accounts(live), i.holdings(spark, sf), i.year_runs(spark, sf))
 
 
 @query(
@@ -270,6 +272,17 @@ def recon_report_latest(spark, sf):
     return recon.report_flags(report)
 
 
+@query("recon_report_sql", _report_sql(latest=True))
+def recon_report_sql(spark, sf):
+    """The report of the latest run through `spark.sql`."""
+    return Dashboards(spark).latest(_reported(spark, sf), i.year_runs(spark, sf))
+
+
+@query("recon_history_sql", _report_sql(latest=False))
+def recon_history_sql(spark, sf):
+    return Dashboards(spark).history(_reported(spark, sf), i.year_runs(spark, sf))
+
+
 @query("recon_report_history", _report_sql(latest=False))
 def recon_report_history(spark, sf):
     report = full_history(_reported(spark, sf), i.year_runs(spark, sf), ["NAME"])

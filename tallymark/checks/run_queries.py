@@ -19,6 +19,7 @@ from tallymark.operators.shape import to_logical
 from tallymark.plans.operations import Operations
 from tallymark.plans.reconciliation import latest_crm
 from tallymark.runs import monitoring, publish, reports
+from tallymark.runs.dashboards import Dashboards
 from tallymark.session import new_work_path
 from tallymark.sinks.exports import export_csv, refresh_history, snapshot
 from tallymark.sinks.folders import Folder
@@ -68,6 +69,16 @@ def schema_size_history(spark, sf):
     return reports.recent_schema_sizes(sizes, log, i.AS_OF)
 
 
+@query(
+    "schema_sizes_sql",
+    f"SELECT DISTINCT CAST(r.run_key%7 AS INT) AS size_gb, CAST(r.run_ts AS DATE) AS run_day FROM fx_run r WHERE {RECENT_SQL}",
+)
+def schema_sizes_sql(spark, sf):
+    log = i.runs(spark, sf)
+    sizes = log.select("run_key", (F.col("run_key") % 7).alias("size_gb"))
+    return Dashboards(spark).schema_sizes(sizes, log, i.AS_OF)
+
+
 @query(
     "run_status",
     """SELECT concat('control_',CAST(k.control_type AS VARCHAR)) AS control, CASE WHEN max(CASE WHEN CAST(r.run_ts AS DATE)=DATE '2001-08-01' THEN 1 ELSE 0 END)=1 THEN 'OK' ELSE 'NOK' END AS status

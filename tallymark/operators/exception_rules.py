@@ -16,6 +16,8 @@ from tallymark.operators.matching import anti_on
 from tallymark.session import written_once
 
 RULE_COLUMNS = ["attr1", "val1", "attr2", "val2"]
+# So many rules at most become one expression; more of them are joined.
+FEW_RULES = 50
 
 
 def rules_for(
@@ -66,6 +68,18 @@ def _as_text(rules: DataFrame) -> DataFrame:
     return rules.select(*[F.col(name).cast("string") for name in RULE_COLUMNS])
 
 
+def _few(rules: DataFrame, inline: bool | None) -> list[Row] | None:
+    """The rules where there are few; FEW_RULES + 1 rows at most are fetched."""
+    if inline is False:
+        return None
+    found = rules.limit(FEW_RULES + 1).collect()
+    if len(found) <= FEW_RULES:
+        return found
+    if inline:
+        raise ValueError(f"more than {FEW_RULES} rules: leave out inline")
+    return None
+
+
 def _attribute_pairs(rules: DataFrame) -> list[Row]:
     """Distinct tested columns and which of their values may be null.
 
@@ -89,17 +103,18 @@ def _of_pair(rules: DataFrame, pair: Row) -> DataFrame:
     ).select("val1", "val2")
 
 
-def suppress(df: DataFrame, rules: DataFrame, inline: bool = False) -> DataFrame:
+def suppress(df: DataFrame, rules: DataFrame, inline: bool | None = None) -> DataFrame:
     """Rows that match no rule for certain.
 
     As with SQL NOT, a comparison with null is unknown and the row goes: a
     null in the tested column drops the row, a null rule value drops every
-    row. No rules leave the frame as it is. Rules are joined as a table, written
-    once; with `inline`, for a caller with few rules, they become one expression.
+    row. No rules leave the frame as it is. Up to FEW_RULES rules become one
+    expression; more are joined as a table, written once. `inline` insists on
+    the one or, False, on the other; the result is the same.
     """
     rules = _as_text(rules)
-    if inline:
-        few = rules.collect()
+    few = _few(rules, inline)
+    if few is not None:
         return df.where(reduce(lambda a, b: a & b, map(_miss, few))) if few else df
     rules = written_once(rules, "rules")
     for pair in _attribute_pairs(rules):
@@ -147,12 +162,12 @@ def _suppress_double(df: DataFrame, pair: Row, rules: DataFrame) -> DataFrame:
 
 
 def mark_duplicates(
-    df: DataFrame, rules: DataFrame, mark: str = "isDuplicate", inline: bool = False
+    df: DataFrame, rules: DataFrame, mark: str = "isDuplicate", inline: bool | None = None
 ) -> DataFrame:
     """Set the mark to 1 on rows that match any rule; other rows keep theirs. `inline` as in `suppress`."""
     rules = _as_text(rules)
-    if inline:
-        few = rules.collect()
+    few = _few(rules, inline)
+    if few is not None:
         if not few:
             return df
         return df.withColumn(

@@ -15,15 +15,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.predicates import quoted
 
-HOT_SHARE = 64
+# A key is hot from a fair partition's share on, within these bounds.
+HOT_SHARE, MOST_SHARES = 64, 4096
 HOT_SALTS = 64
-# Sketch size; its error is far below the share of a hot key.
-TRACKED_KEYS = 8192
+# Sketch size per share; its error is far below the share of a hot key.
+TRACKED_KEYS, TRACKED_PER_SHARE = 8192, 64
 
 
 def _no_overlap(left: DataFrame, right: DataFrame) -> None:
@@ -140,13 +141,25 @@ def match_either(
     return by_first.unionByName(_equi(left, only_second, left_key, second_key, "inner"))
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
+def hot_share(spark: SparkSession) -> int:
+    """One over the share of the rows from which a key is hot: that of a fair shuffle partition.
+
+    With 10,000 partitions a key with a 64th of the rows would be 150 times a fair
+    partition, so the share follows the session's number of partitions.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(HOT_SHARE, min(partitions, MOST_SHARES))
+
+
+def hot_keys(df: DataFrame, key: str, share: int | None = None) -> list:
     """Keys, null included, that each hold at least 1/`share` of the rows, counted now.
 
     At most `share` keys can, so the list is bounded whatever the data. A
     frequent-items sketch finds them in one pass without a shuffle by key.
     """
-    top = F.expr(f"approx_top_k(k, {share}, {TRACKED_KEYS})").alias("top")
+    share = share or hot_share(df.sparkSession)
+    tracked = max(TRACKED_KEYS, share * TRACKED_PER_SHARE)
+    top = F.expr(f"approx_top_k(k, {share}, {tracked})").alias("top")
     row = df.select(quoted(key).alias("k")).select(top, F.count("*").alias("n")).first()
     return [item["item"] for item in row["top"] if item["count"] * share >= row["n"]]
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallymark import fixed_values as fv
 from tallymark.functions import predicates as p
 from tallymark.functions.text import decorated, plain_status
-from tallymark.operators.matching import HOT_SHARE, hot_keys, match_anti, match_hot, match_inner
+from tallymark.operators.matching import hot_keys, hot_share, match_anti, match_hot, match_inner
 from tallymark.operators.shape import as_text, pick, with_role
 from tallymark.plans.control import Control, target
 from tallymark.session import written_once
@@ -115,8 +115,8 @@ def holding_of_accounts(
     edges = written_once(holding_edges(relations, parent_of).select("PARENT_ID", "REL_CUST"), "edges")
     ends = edges.select("PARENT_ID", "REL_CUST", F.explode(_both_ends()).alias("end"))
     ends = ends.select("PARENT_ID", "REL_CUST", "end.role", F.col("end.id").alias("_end_id"))
-    # A parent with 1/64 of the edges has 1/128 of the ends: one count serves both joins.
-    hot = hot_keys(ends, "_end_id", share=2 * HOT_SHARE)
+    # A parent's share of the ends is half its share of the edges: one count serves both joins.
+    hot = hot_keys(ends, "_end_id", share=2 * hot_share(ends.sparkSession))
     both = match_hot(ends, typed, "_end_id", "OBJECT_ID_BUS", hot=hot)
     holders = live.select(
         F.col("NAME_BUS").alias("NAME_HOLDING"),
@@ -148,7 +148,7 @@ def holding_pairs_wide(
     parents, children = with_role(side, "HOLDING"), with_role(side, "LE")
     pairs = written_once(holding_pairs(relations, parent_of), "pairs")
     with_parent = match_hot(pairs, parents, "PARENT_ID", "OBJECT_ID_HOLDING")
-    with_both = match_inner(with_parent, children, "REL_CUST", "OBJECT_ID_LE")
+    with_both = match_hot(with_parent, children, "REL_CUST", "OBJECT_ID_LE", hot=hot_keys(pairs, "REL_CUST"))
     return pick(with_both, parents.columns + children.columns)
 
 

@@ -63,11 +63,12 @@ def live_account_versions(accounts: DataFrame, labels: Mapping[int, str] = fv.TY
 
 
 def with_latest_holding(
-    latest: DataFrame, holdings: DataFrame, key: str = "run_key", run_log: DataFrame | None = None
+    latest: DataFrame, holdings: DataFrame, run_log: DataFrame, key: str = "run_key"
 ) -> DataFrame:
     """Attach each distinct holding that the latest holding run found for an account.
 
-    With the run log a run that broke off before its log row is passed over.
+    The latest run is one that the log holds: one that broke off before its log
+    row is passed over.
 
     Grouping the account versions first and joining the distinct holdings gives
     the same rows as joining first, with far fewer rows in the join.
@@ -199,7 +200,9 @@ class Reconciliation(Control):
     ):
         latest = latest_accounts(live_account_versions(accounts, labels), account_keys)
         if holdings is not None:
-            latest = with_latest_holding(latest, holdings, run_log=run_log)
+            if run_log is None:
+                raise ValueError("holdings need the log of their runs, to pass over one that broke off")
+            latest = with_latest_holding(latest, holdings, run_log)
         self.accounts = with_activity(latest, service_counts(services), order_counts(orders))
         self.crm = latest_crm(crm, crm_keys)
 

@@ -198,6 +198,7 @@ def reconciliation(spark, account_rows, crm_rows, service_rows=(), order_rows=()
         services(spark, list(service_rows)),
         spark.createDataFrame(list(order_rows), "OBJECT_ID long, PARENT_ID long"),
         holdings,
+        run_log=None if holdings is None else holdings.select("run_key").distinct(),
     )
 
 

@@ -30,7 +30,7 @@ def test_two_nights(spark, sf_dir):
         ).publish(store, night)
         Reconciliation(
             versions, i.crm(spark, sf_dir), i.services(spark, sf_dir), i.orders(spark, sf_dir),
-            store.read("holding"), i.TYPE_LABELS,
+            store.read("holding"), i.TYPE_LABELS, run_log=store.read(publish.RUN_LOG),
         ).publish(store, night)
     CustomerFlags(accounts, i.services(spark, sf_dir), i.FLAG_CODES).publish(store, NIGHT)
 
