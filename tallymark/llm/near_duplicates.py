@@ -43,7 +43,7 @@ from tallymark.session import written_once
 BANDS, ROWS, BITS = 40, 5, 2
 SLACK = 0.2
 LANES = 64 // BITS
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES, BLOCK = 1_000_000, 1 << 18
 FEATURES = "own long, doc_id long, n_shingles long, h1 long, h2 long, packed array<long>, bands array<long>"
 
 
@@ -77,7 +77,7 @@ def _features(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in T.blocks(batch):
+            for block in T.blocks(batch, most=BLOCK):
                 flat, offsets = shingle_sets(block, size)
                 full = np.flatnonzero(np.diff(offsets))
                 n = len(full)
@@ -120,7 +120,7 @@ def _sets(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in T.blocks(batch):
+            for block in T.blocks(batch, most=BLOCK):
                 flat, offsets = shingle_sets(block, size)
                 yield T.arrow(schema, [block.ids, T.list_array(T.signed(flat), offsets)])
 

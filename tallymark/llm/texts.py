@@ -37,7 +37,6 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -92,7 +91,7 @@ def powers(base: int, n: int, name: str) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept for later calls."""
     have = _powers.get(name)
     if have is None or len(have) < n:
-        size = max(n, BLOCK_BYTES * 2)
+        size = max(n, BLOCK_BYTES // 2)
         row = np.full(size, base & (2**64 - 1), np.uint64)
         row[0] = 1
         have = np.multiply.accumulate(row, dtype=np.uint64)

@@ -317,4 +317,5 @@ def alignments(docs: DataFrame, path_a: str | None = None, path_b: str | None =
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    T.small_batches(spark)
     return alignments(T.documents(spark, sf_dir))[0]
