@@ -16,13 +16,13 @@ is `FLOOR` times the similarity that 99 of 100 of the centroid's own documents r
 
 A null text or one without a letter is `und`, score 0, rejected; so is every text where
 nothing was learned. Rows with null lang, text or doc_id teach nothing. Repeated rows
-get equal results; other columns pass through untouched.
+get equal results; other columns pass through untouched. A row without doc_id isn't held out.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.functions.predicates import quoted
 from tallymark.llm import texts as T
+from tallymark.llm.columns import unused
 from tallymark.llm.ngrams import ngram_indices
 from tallymark.session import written_once
 
@@ -41,6 +43,7 @@ PASS, SHARE, LEAST = 0.99, 0.75, 100
 LENGTHS, STEPS = 40, 1000  # lengths and similarities told apart in the floors
 TOGETHER = 64  # texts whose vectors are in memory at a time
 UNKNOWN = "und"
+ADDED = ("lang_pred", "score", "rejected")
 
 
 @dataclass
@@ -186,14 +189,14 @@ def train(docs: DataFrame, learn: Column) -> Model:
     return Model(idf, languages, centroids, floors)
 
 
-def _predict(model, extra: list[str]):
+def _predict(model, text: int, extra: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted: Model = model.value
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
                 langs, scores, rejected = [], [], []
-                texts = part.column("text").to_pylist()
+                texts = part.column(text).to_pylist()
                 lettered = [bool(fitted.languages) and any(map(str.isalpha, t or "")) for t in texts]
                 counted = [counts(t) for t, has in zip(texts, lettered, strict=True) if has]
                 near = unit_rows(np.stack(counted), fitted.idf) @ fitted.centroids.T if counted else np.zeros((0, 1))
@@ -211,18 +214,24 @@ def _predict(model, extra: list[str]):
                     rejected.append(bool(row[best] < fitted.floors[best, length]))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in extra), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
-                    names=[*extra, "lang_pred", "score", "rejected"],
+                    names=[*extra, *ADDED],
                 )
 
     return run
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All rows and columns with lang_pred, score and rejected added (replacing such columns)."""
-    docs = docs.drop("lang_pred", "score", "rejected")
+def identify(docs: DataFrame, model: Model, added: Sequence[str] = ADDED) -> DataFrame:
+    """All rows and columns with lang_pred, score and rejected added.
+
+    Columns with those names are replaced; `added` gives other names.
+    """
+    docs = docs.drop(*added)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    shape = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
-    return docs.mapInArrow(_predict(shared, docs.columns), shape)
+    # by number: names with a dot can't be handed to Python
+    rows = docs.toDF(*map(str, range(len(docs.columns))))
+    shape = rows.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
+    found = rows.mapInArrow(_predict(shared, docs.columns.index("text"), rows.columns), shape)
+    return found.toDF(*docs.columns, *added)
 
 
 def learnable(folds: int = 3, held: int = 1) -> Column:
@@ -232,10 +241,11 @@ def learnable(folds: int = 3, held: int = 1) -> Column:
 def of_known_language(docs: DataFrame) -> DataFrame:
     """Documents with all their columns, without those the classifier rejects."""
     model = train(docs, learnable())
-    return identify(docs, model).filter("not rejected").select(*docs.columns)
+    added = unused(docs.columns, *ADDED)
+    return identify(docs, model, added).filter(~F.col(added[-1])).select(*map(quoted, docs.columns))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = T.documents(spark, sf_dir)
     found = identify(docs.select("doc_id", "text"), train(docs, learnable()))
-    return found.select("doc_id", (T.fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+    return found.select("doc_id", F.coalesce(T.fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")

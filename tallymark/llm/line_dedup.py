@@ -22,17 +22,23 @@ execution can split.
 
 Null texts and rows without a doc_id stay as they are. Rows that repeat a doc_id with
 the same text are one document and are cut alike; with another text they are documents
-of their own. An empty table gives an empty table; other columns pass through.
+of their own. An empty table gives an empty table; other columns pass through, whatever
+their names. The query's n_lines of a null text is 0, its kept_sha256 that of empty text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.functions.predicates import quoted
+from tallymark.llm.columns import unused
 from tallymark.session import written_once
 
 LINES, WORDS = 3, 50
+ADDED = ("kept_text", "n_lines", "n_removed", "n_runs")
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -85,26 +91,28 @@ def repeated_windows(docs: DataFrame, size: int = LINES, words: int | None = Non
     return found.select("doc_id", "version", "removed", (F.size("at") - inner).alias("n_runs"))
 
 
-def cut_lines(docs: DataFrame, size: int = LINES, words: int | None = None) -> DataFrame:
+def cut_lines(docs: DataFrame, size: int = LINES, words: int | None = None, added: Sequence[str] = ADDED) -> DataFrame:
     """All rows and columns, with `kept_text`, `n_lines`, `n_removed` and `n_runs` added.
 
     n_lines counts lines with a word, n_removed those that go, n_runs the maximal
-    runs of these. Columns with those names are replaced.
+    runs of these. Columns with those names are replaced; `added` gives other names.
     """
-    docs = docs.drop("kept_text", "n_lines", "n_removed", "n_runs")
-    found = repeated_windows(docs, size, words).withColumnsRenamed({"doc_id": "_doc", "version": "_version", "removed": "_removed", "n_runs": "_runs"})
+    docs = docs.drop(*added)
+    lines, version, doc, of, gone, runs = unused((*docs.columns, *added), "_lines", "_text", "_doc", "_version", "_removed", "_runs")
+    found = repeated_windows(docs, size, words).withColumnsRenamed({"doc_id": doc, "version": of, "removed": gone, "n_runs": runs})
     # split before the join: a lambda after it then reads the array, not the split
-    rows = docs.withColumn("_lines", F.split("text", "\n", -1)).withColumn("_text", F.xxhash64("text"))
-    rows = rows.join(found, (F.col("doc_id") == F.col("_doc")) & (F.col("_text") == F.col("_version")), "left")
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_removed")
-    kept = F.array_join(F.transform(left, lambda i: F.col("_lines")[i]), "\n")
-    return rows.select(
-        *(docs[c] for c in docs.columns),
-        F.when(F.col("_removed").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
-        F.coalesce(F.size(F.filter("_lines", lambda x: x.rlike(HAS_WORD))), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("_removed").isNull(), 0).otherwise(F.size("_removed")).cast("long").alias("n_removed"),
-        F.when(F.col("_removed").isNull(), 0).otherwise(F.col("_runs")).cast("long").alias("n_runs"),
-    )
+    rows = docs.withColumn(lines, F.split("text", "\n", -1)).withColumn(version, F.xxhash64("text"))
+    rows = rows.join(found, (F.col("doc_id") == F.col(doc)) & (F.col(version) == F.col(of)), "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    kept = F.array_join(F.transform(left, lambda i: F.col(lines)[i]), "\n")
+    whole = F.col(gone).isNull()
+    results = [
+        F.when(whole, F.col("text")).otherwise(kept),
+        F.coalesce(F.size(F.filter(lines, lambda x: x.rlike(HAS_WORD))), F.lit(0)).cast("long"),
+        F.when(whole, 0).otherwise(F.size(gone)).cast("long"),
+        F.when(whole, 0).otherwise(F.col(runs)).cast("long"),
+    ]
+    return rows.select(*(quoted(c) for c in docs.columns), *(r.alias(name) for r, name in zip(results, added, strict=True)))
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -113,17 +121,19 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     n_chars, where there is one, follows the text. A document that loses all its
     lines goes; one that had none before stays.
     """
-    cut = cut_lines(docs, words=WORDS).filter("n_removed = 0 or n_removed < n_lines").withColumn("text", F.col("kept_text"))
+    text, n_lines, n_removed, n_runs = unused(docs.columns, *ADDED)
+    cut = cut_lines(docs, words=WORDS, added=(text, n_lines, n_removed, n_runs))
+    cut = cut.filter((F.col(n_removed) == 0) | (F.col(n_removed) < F.col(n_lines))).withColumn("text", F.col(text))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return cut.select(*docs.columns)
+        cut = cut.withColumn("n_chars", F.when(F.col(n_removed) == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+    return cut.select(*map(quoted, docs.columns))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that go from every document, and the hash of what is left."""
     cut = cut_lines(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
 SQL = r"""
@@ -142,7 +152,7 @@ runs AS (
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) t
   LEFT JOIN gone g ON g.doc_id = t.doc_id AND g.i = t.i WHERE g.i IS NULL GROUP BY t.doc_id
 )
-SELECT l.doc_id, len(l.l)::BIGINT AS n_lines, (SELECT count(*) FROM gone g WHERE g.doc_id = l.doc_id)::BIGINT AS n_removed,
+SELECT l.doc_id, coalesce(len(l.l), 0)::BIGINT AS n_lines, (SELECT count(*) FROM gone g WHERE g.doc_id = l.doc_id)::BIGINT AS n_removed,
   coalesce(r.n_runs, 0)::BIGINT AS n_runs, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM l LEFT JOIN runs r USING (doc_id) LEFT JOIN left_over k USING (doc_id)
 """

@@ -8,12 +8,15 @@ above the allowed one, stays below the error level. The first failure ends the
 sequence (so trying many cutoffs costs nothing), and the error level is divided by
 the number of strata and rules (Bonferroni). With probability 1 - `ERROR`, no stratum
 loses more than `RISK` of its good documents to all rules together. A stratum with too
-few labels to prove that gets no cutoff and rejects nothing.
+few labels to prove that gets no cutoff and rejects nothing. The promise is about good
+documents that pass the base rule. A draw is a document: rows that repeat a doc_id, and
+exact copies within a language, count once.
 
 Texts without words are null-safe zeros and fail the base rule. A null language is a
 stratum of its own. A doc_id labelled twice counts as good only if all its labels say so;
 labels without doc_id or quality are ignored. Repeated rows get equal results; other
-columns are ignored.
+columns are ignored. Texts of any length are measured whole; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -88,15 +91,15 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in T.blocks(batch):
             rows = slice(block.rows.start, block.rows.stop)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[rows], batch.column("lang")[rows], *(pa.array(c.astype(np.int64)) for c in _per_document(block))],
-                names=["doc_id", "lang", *COUNTS],
+                [*(batch.column(c)[rows] for c in ("doc_id", "lang", "copy")), *(pa.array(c.astype(np.int64)) for c in _per_document(block))],
+                names=["doc_id", "lang", "copy", *COUNTS],
             )
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, counts, base_failed) of every row."""
-    shape = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS)
-    rows = docs.select("doc_id", "text", "lang").mapInArrow(_measure, shape)
+    """(doc_id, lang, copy, counts, base_failed) of every row; exact copies share `copy`."""
+    shape = "doc_id long, lang string, copy long, " + ", ".join(f"{c} long" for c in COUNTS)
+    rows = docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("copy")).mapInArrow(_measure, shape)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
@@ -130,6 +133,12 @@ def strictest(rejected: np.ndarray, n: int, risk: float, error: float) -> int |
     return chosen
 
 
+def distinct(good: DataFrame) -> DataFrame:
+    """(lang, counts): a row per document, and one of each exact copy within a language."""
+    rows = good.groupBy("doc_id").agg(F.min(F.struct("lang", "copy", *COUNTS)).alias("d"))
+    return rows.groupBy("d.lang", "d.copy").agg(F.min(F.struct(*(F.col(f"d.{c}") for c in COUNTS))).alias("d")).select("lang", "d.*")
+
+
 def cutoffs(good: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """(stratum, one cutoff column per rule, null for none) from measured good documents."""
     steps = [F.struct(F.lit(r).alias("rule"), step(r).alias("step")) for r in RULES]
@@ -152,7 +161,7 @@ def quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float
     rows = written_once(measures(docs), "measures")
     marks = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     good = rows.join(marks.filter("quality = 1"), "doc_id", "left_semi").filter("not base_failed")
-    chosen = written_once(cutoffs(good, risk, error), "cutoffs")
+    chosen = written_once(cutoffs(distinct(good), risk, error), "cutoffs")
     judged = rows.join(chosen, F.col("lang").eqNullSafe(F.col("stratum")), "left")
     rejected = F.lit(False)
     for rule in RULES:
