@@ -9,12 +9,15 @@ trained on at most about `SAMPLE` labelled rows of either class, drawn by a hash
 doc_id; rows are weighted back to the classes' true sizes, so scores are probabilities.
 
 Labelled rows are found by a join; a fixed-size bit filter over the labelled ids first
-drops most other documents inside the scan, before the shuffle.
+drops most other documents inside the scan, before the shuffle. The classes' sizes come
+from a join of ids alone, so one pass over the joined texts both counts n-grams and lets
+the drawn rows through; no labelled text is stored.
 
 Null and empty texts get the score of no features at all. With only one class in the
 labels the score is that class's smoothed share. A doc_id labelled twice is toxic if any
 of its labels says so; labels without doc_id or toxic are ignored. Repeated rows get
-equal results; other columns are ignored.
+equal results; other columns are ignored. A text of any length is read whole, piece by
+piece. An empty table gives an empty table. A row without doc_id isn't held out.
 """
 
 from __future__ import annotations
@@ -52,17 +55,32 @@ def places(text: str, wanted: np.ndarray | None = None) -> np.ndarray:
     return seen
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, toxic, other): documents of a partition with the n-gram; place -1 has all."""
-    found = np.zeros((2, 1 << BITS), np.int64)
-    docs = np.zeros(2, np.int64)
-    for batch in batches:
-        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            found[toxic, places(text or "")] += 1
-            docs[toxic] += 1
-    at = np.flatnonzero(found.sum(0))
-    columns = [np.append(at, -1), np.append(found[1, at], docs[1]), np.append(found[0, at], docs[0])]
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["place", "toxic", "other"])
+def _counted(rates: tuple[float, float]):
+    """A partition's documents by n-gram, and its drawn rows.
+
+    A count is (place, toxic, other), place -1 for all documents; a drawn row is
+    (doc_id, text) with toxic 1 or 0 and a null place.
+    """
+    shape = pa.schema([("place", pa.int64()), ("toxic", pa.int64()), ("other", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((2, 1 << BITS), np.int64)
+        docs = np.zeros(2, np.int64)
+        for batch in batches:
+            toxic = batch.column("toxic").to_numpy()
+            for text, label in zip(batch.column("text").to_pylist(), toxic, strict=True):
+                found[label, places(text or "")] += 1
+                docs[label] += 1
+            drawn = pa.array(batch.column("draw").to_numpy() < np.array(rates)[toxic])
+            rows = batch.filter(drawn)
+            if rows.num_rows:
+                none = pa.nulls(rows.num_rows, pa.int64())
+                yield T.arrow(shape, [none, rows.column("toxic").cast(pa.int64()), none, rows.column("doc_id"), rows.column("text")])
+        at = np.flatnonzero(found.sum(0))
+        columns = [np.append(at, -1), np.append(found[1, at], docs[1]), np.append(found[0, at], docs[0])]
+        yield T.arrow(shape, [*map(pa.array, columns), pa.nulls(len(at) + 1, pa.int64()), pa.nulls(len(at) + 1, pa.string())])
+
+    return run
 
 
 def _vectors(wanted):
@@ -114,11 +132,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     context = docs.sparkSession.sparkContext
     marks = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn)
     marks = written_once(marks.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")), "marks")
-    rows = written_once(likely(docs.select("doc_id", "text"), marks).join(marks, "doc_id"), "labelled")
-    tallied = rows.select("text", "toxic").mapInArrow(_tally, "place long, toxic long, other long").groupBy("place")
-    tallied = tallied.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()
+    known = likely(docs.select("doc_id"), marks).join(marks, "doc_id").groupBy("toxic").count().collect()
+    sizes = np.array([sum(r["count"] for r in known if r["toxic"] == label) for label in (0, 1)])
+    rates = tuple(float(SAMPLE / max(1, n)) for n in sizes)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
+    rows = likely(docs.select("doc_id", "text"), marks).join(marks, "doc_id").withColumn("draw", draw)
+    found = rows.mapInArrow(_counted(rates), "place long, toxic long, other long, doc_id long, text string")
+    found = written_once(found, "counted")
+    tallied = found.filter("place is not null").groupBy("place").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()
     place, toxic, other = (tallied.column(c).to_numpy() for c in ("place", "toxic", "other"))
-    sizes = np.array([other[place == -1].sum(), toxic[place == -1].sum()])
     if sizes.min() == 0:
         share = (sizes[1] + 1) / (sizes.sum() + 2)
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(share / (1 - share))))
@@ -129,8 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
     at, ratios = place[best], ratio[best]
     wanted = np.zeros(1 << BITS, bool)
     wanted[at] = True
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(draw < F.when(F.col("toxic") == 1, SAMPLE / float(sizes[1])).otherwise(SAMPLE / float(sizes[0])))
+    sample = found.filter("place is null").select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
     vectors = sample.mapInArrow(_vectors(context.broadcast(wanted)), "doc_id long, toxic int, places array<int>")
     fitted = vectors.groupBy().applyInPandas(_fit(at, ratios, sizes), "bias double, weights array<double>").first()
     weights = np.zeros(1 << BITS, np.float32)
@@ -160,4 +181,4 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = T.documents(spark, sf_dir)
     learn = T.fold("doc_id", 4) != 2
     found = score(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), learn))
-    return found.select("doc_id", (T.fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+    return found.select("doc_id", F.coalesce(T.fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
