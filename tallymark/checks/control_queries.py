@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallymark import fixed_values as fv
@@ -176,26 +178,26 @@ def holdings_of_complete_run(spark, sf):
     return of_latest_run(i.holdings(spark, sf), run_log=logged)
 
 
-@query(
-    "recon_r1",
-    f"""SELECT a.*,c.*,p.*,o.* FROM acc_latest a JOIN crm_latest c ON a.UNIQUE_GLOBAL_ID=c.crm_global_id {ACTIVITY_SQL}""",
-)
+R1_SQL = f"""SELECT a.*,c.*,p.*,o.* FROM acc_latest a JOIN crm_latest c ON a.UNIQUE_GLOBAL_ID=c.crm_global_id {ACTIVITY_SQL}"""
+
+
+@query("recon_r1", R1_SQL)
 def recon_r1(spark, sf):
     return _reconciliation(spark, sf).compute()["matched_by_global_id"]
 
 
-@query(
-    "recon_r2",
-    f"""SELECT a.*,c.*,p.*,o.* FROM acc_latest a JOIN crm_latest c ON c.crm_ext_id=a.OBJECT_ID {ACTIVITY_SQL}""",
-)
+R2_SQL = f"""SELECT a.*,c.*,p.*,o.* FROM acc_latest a JOIN crm_latest c ON c.crm_ext_id=a.OBJECT_ID {ACTIVITY_SQL}"""
+
+
+@query("recon_r2", R2_SQL)
 def recon_r2(spark, sf):
     return _reconciliation(spark, sf).compute()["matched_by_external_id"]
 
 
-@query(
-    "recon_crm_only",
-    "SELECT * FROM crm_latest c WHERE NOT EXISTS (SELECT 1 FROM acc_latest a WHERE a.UNIQUE_GLOBAL_ID=c.crm_global_id)",
-)
+CRM_ONLY_SQL = "SELECT * FROM crm_latest c WHERE NOT EXISTS (SELECT 1 FROM acc_latest a WHERE a.UNIQUE_GLOBAL_ID=c.crm_global_id)"
+
+
+@query("recon_crm_only", CRM_ONLY_SQL)
 def recon_crm_only(spark, sf):
     live = recon.live_account_versions(i.account_versions(spark, sf), i.TYPE_LABELS)
     return recon.crm_only(recon.latest_crm(i.crm(spark, sf)), recon.latest_accounts(live))
@@ -287,3 +289,32 @@ def recon_history_sql(spark, sf):
 def recon_report_history(spark, sf):
     report = full_history(_reported(spark, sf), i.year_runs(spark, sf), ["NAME"])
     return recon.report_flags(report)
+
+
+def _stored(spark, sf):
+    """Both sides in buckets, the CRM refreshed a second time on its own."""
+    stored = recon.StoredReconciliation.tables(spark, f"recon_{uuid.uuid4().hex}", buckets=8)
+    prepared = _reconciliation(spark, sf)
+    stored.refresh(prepared)
+    stored.refresh(prepared, accounts=False)
+    return stored.compute()
+
+
+@query("recon_r1_stored", R1_SQL)
+def recon_r1_stored(spark, sf):
+    return _stored(spark, sf)["matched_by_global_id"]
+
+
+@query("recon_r2_stored", R2_SQL)
+def recon_r2_stored(spark, sf):
+    return _stored(spark, sf)["matched_by_external_id"]
+
+
+@query("recon_acc_only_stored", _acc_only_sql("acc_latest"))
+def recon_acc_only_stored(spark, sf):
+    return _stored(spark, sf)["account_only"]
+
+
+@query("recon_crm_only_stored", CRM_ONLY_SQL)
+def recon_crm_only_stored(spark, sf):
+    return _stored(spark, sf)["crm_only"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from tallymark.operators.versions import latest_version, rows_per
 from tallymark.plans.control import Control, target
 from tallymark.runs.reports import of_latest_run
 from tallymark.session import written_together
+from tallymark.sinks.match_tables import MatchTables, match_anti_stored, match_stored
 
 ACCOUNT_KEYS = [
     "NAME",
@@ -220,3 +221,39 @@ class Reconciliation(Control):
             "account_only": account_only(accounts, crm),
             "matched_by_external_id": matched(crm, accounts, "crm_ext_id", "OBJECT_ID"),
         }
+
+
+class StoredReconciliation(Control):
+    """The same four results from two stored sides, which no join shuffles.
+
+    `Reconciliation` prepares the sides; each is refreshed by the job that changes it,
+    so a night on which only the CRM moved deals only the CRM to buckets again.
+    """
+
+    targets = Reconciliation.targets
+
+    def __init__(self, accounts: MatchTables, crm: MatchTables):
+        self.accounts, self.crm = accounts, crm
+
+    @classmethod
+    def tables(cls, spark: SparkSession, name: str, **settings) -> StoredReconciliation:
+        """Both sides under names that begin with `name`; `settings` go to `MatchTables`."""
+        accounts = MatchTables(spark, f"{name}_accounts", ("UNIQUE_GLOBAL_ID", "OBJECT_ID"), **settings)
+        return cls(accounts, MatchTables(spark, f"{name}_crm", ("crm_global_id", "crm_ext_id"), **settings))
+
+    def refresh(self, prepared: Reconciliation, accounts: bool = True, crm: bool = True) -> None:
+        """Store the prepared sides that changed."""
+        if accounts:
+            self.accounts.refresh(prepared.accounts)
+        if crm:
+            self.crm.refresh(prepared.crm)
+
+    def compute(self) -> dict[str, DataFrame]:
+        accounts, crm = self.accounts.read(), self.crm.read()
+        alone = match_anti_stored(accounts, crm, "UNIQUE_GLOBAL_ID", "crm_global_id")
+        return {
+            "matched_by_global_id": match_stored(crm, accounts, "crm_global_id", "UNIQUE_GLOBAL_ID"),
+            "crm_only": match_anti_stored(crm, accounts, "crm_global_id", "UNIQUE_GLOBAL_ID"),
+            "account_only": alone.where(F.col("STATUS") == fv.ACTIVE_STATUS),
+            "matched_by_external_id": match_stored(crm, accounts, "crm_ext_id", "OBJECT_ID"),
+        }
