@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import public_tokenizers
@@ -59,20 +59,25 @@ class Encoder:
 
     @staticmethod
     def _bare(word: str) -> str:
-        return Encoder._bytes(word.lstrip(" ").lower())
+        word = word.lstrip(" ").lower()
+        return word if word.isascii() and " " not in word else Encoder._bytes(word)
 
-    def _line(self, line: str, end: str, form) -> list[int] | None:
-        mark = line[-1:] if line.endswith((".", ",")) else ""
-        word = line[:-1] if mark else line
+    def _word(self, word: str, form) -> list[int] | None:
+        """Ids of a Latin word with or without a space before it, None for anything else."""
         ids = self.words.get(word)
         if ids is None:
-            bare = word[1:] if word.startswith(" ") else word
+            bare = word[1:] if word[:1] == " " else word
             if not bare.isalpha() or not (bare.isascii() or LATIN.fullmatch(bare)):
                 return None
             if len(self.words) >= KEPT_WORDS:
                 self.words.clear()
             ids = self.words[word] = [t.id for t in self.model.tokenize(form(word))]
-        return ids + self.marks[mark + end] if mark or end else ids
+        return ids
+
+    def _line(self, line: str, end: str, form) -> list[int] | None:
+        mark = line[-1:] if line.endswith((".", ",")) else ""
+        ids = self._word(line[:-1] if mark else line, form)
+        return ids if ids is None or not (mark or end) else ids + self.marks[mark + end]
 
     def _plain(self, piece: str, form) -> list[int] | None:
         """Ids of Latin words with their marks and line ends, None for any other piece."""
@@ -88,10 +93,24 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _encoded(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of new pieces."""
-        out = [self._plain(p, self.form) if self.form else None for p in pieces]
-        rest = iter(self.tokenizer.encode_batch_fast([p for p, ids in zip(pieces, out, strict=True) if ids is None], add_special_tokens=False))
-        return [next(rest).ids if ids is None else ids for ids in out]
+        """Ids of new pieces. Most are one line, whose words are looked up here without a call."""
+        out: list[list[int] | None] = [None] * len(pieces)
+        words, form, dot, comma = self.words, self.form, self.marks["."], self.marks[","]
+        for i, piece in enumerate(pieces if form else ()):
+            if "\n" in piece:
+                out[i] = self._plain(piece, form)
+                continue
+            last = piece[-1:]
+            if last == "." or last == ",":
+                word = piece[:-1]
+                ids = words.get(word) or self._word(word, form)
+                out[i] = ids and ids + (dot if last == "." else comma)
+            else:
+                out[i] = words.get(piece) or self._word(piece, form)
+        left = [i for i, ids in enumerate(out) if ids is None]
+        for i, found in zip(left, self.tokenizer.encode_batch_fast([pieces[i] for i in left], add_special_tokens=False), strict=True):
+            out[i] = found.ids
+        return out
 
     def _forget(self) -> None:
         self.number: dict[str | tuple[str], int] = {}
@@ -118,27 +137,29 @@ class Encoder:
         number.update(zip(new, range(n_kept, n_kept + len(new)), strict=True))
         at = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
         found = self._encoded([" " + p if isinstance(p, str) else p[0] for p in new]) if new else []
-        new_first = self.first[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)
-        first = np.concatenate([self.first, new_first])
-        all_ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.uint32)])
-        self._keep(new, found, np.bincount(at, minlength=n_kept + len(new))[n_kept:] > 1)
+        new_sizes = np.fromiter(map(len, found), np.int64, len(found))
+        new_ids = np.fromiter(chain.from_iterable(found), np.uint32, int(new_sizes.sum()))
+        first = np.concatenate([self.first, self.first[-1] + np.cumsum(new_sizes)])
+        all_ids = np.concatenate([self.ids, new_ids])
+        self._keep(new, new_ids, new_sizes, np.bincount(at, minlength=n_kept + len(new))[n_kept:] > 1)
         sizes = first[at + 1] - first[at]
         stops = np.cumsum(sizes)
         ids = all_ids[np.repeat(first[at + 1] - stops, sizes) + np.arange(stops[-1] if len(stops) else 0)]
         ends = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
         return ids, np.concatenate([[0], stops])[ends]
 
-    def _keep(self, new: list, found: list[list[int]], again: np.ndarray) -> None:
+    def _keep(self, new: list, ids: np.ndarray, sizes: np.ndarray, again: np.ndarray) -> None:
         """Of the pieces just numbered keep those seen again, here or since an earlier call."""
-        short = [len(p if isinstance(p, str) else p[0]) <= SHORT for p in new]
-        stay = [i for i, (p, more) in enumerate(zip(new, again.tolist(), strict=True)) if short[i] and (more or p in self.once)]
+        short = np.fromiter((len(p if isinstance(p, str) else p[0]) for p in new), np.int64, len(new)) <= SHORT
+        stay = short & (again | np.fromiter(map(self.once.__contains__, new), bool, len(new)))
         for p in new:
             del self.number[p]
-        self.number.update(zip([new[i] for i in stay], range(len(self.number), len(self.number) + len(stay)), strict=True))
-        kept = [found[i] for i in stay]
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in kept], dtype=np.int64)])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(kept), np.uint32)])
-        self.once = (set() if len(self.once) > KEPT_PIECES else self.once) | {p for p, ok in zip(new, short, strict=True) if ok}
+        self.number.update(zip(compress(new, stay.tolist()), range(len(self.number), len(self.number) + int(stay.sum())), strict=True))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes[stay])])
+        self.ids = np.concatenate([self.ids, ids[np.repeat(stay, sizes)]])
+        if len(self.once) > KEPT_PIECES:
+            self.once = set()
+        self.once.update(compress(new, short.tolist()))
 
 
 def encoder(path: str) -> Encoder:
