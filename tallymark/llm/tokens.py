@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import re
-from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from tokenizers import Tokenizer
 
 # A tokenizer file's place on every machine; a parameter of the operators.
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-# Kept pieces and words: some 200 bytes each, so about 40 MB a process at most.
-KEPT_PIECES, KEPT_WORDS, SHORT = 150_000, 100_000, 64
+KEPT_BYTES, SHORT = 16 << 20, 64  # of kept pieces with their ids, and of one piece
+TOGETHER = 64  # pieces joined into one text
 BEFORE_SPACE = re.compile(r" (?<=\s )")  # looks back from spaces, which are quick to find
-LATIN = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+")
-PROBES = [" the", "Word", " Straße.", " naïveté,", " QUEREÈ", "µ", " aÿª", " internationalization", " Ñandú", " es.\nThon", "a,\nß\nC."]
+# In place of a first piece's missing space, and of a text that is not cut.
+FIRST, WHOLE, NUL = "\1", "\2", "\0"
+OWN = re.compile(f"[{FIRST}{WHOLE}]")
 # Byte-level vocabularies write each byte as one character: printable ones as they are,
 # the others in order from 256 on.
 _printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -31,135 +33,93 @@ class Encoder:
     The tokenizers used here never join characters on both sides of the border
     between a character that isn't white space and a following space. A text is cut
     there, and the pieces (a word with the space before it) are encoded by the
-    tokenizer. Pieces seen again are kept for later texts, up to KEPT_PIECES of at most
-    SHORT characters. A text in which white space comes before a space is encoded as
-    one piece.
-
-    A piece of Latin words, one a line, each with or without a mark after it, is put
-    together from the model's ids of the words; PROBES show whether a tokenizer allows it.
+    tokenizer, many joined into one text with a NUL as a word of its own after each. Cut,
+    told apart and looked up as Arrow strings, a piece costs no Python object unless it
+    is new. Pieces of at most SHORT bytes are kept for later texts, up to KEPT_BYTES;
+    beyond that those stay that were seen again. A text in which white space comes before
+    a space, or which holds the two marks used here, is encoded as one piece.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.model = self.tokenizer.model
-        self.marks = {mark + end: self._full(mark + end) for mark in ("", ".", ",") for end in ("", "\n")}
-        self.form = next(filter(self._suits, (self._bytes, self._bare)), None)
+        self.separator = self.tokenizer.encode(" " + NUL, add_special_tokens=False).ids
         self._forget()
 
-    def _suits(self, form) -> bool:
-        self.words: dict[str, list[int]] = {}
-        return all(self._plain(p, form) == self._full(p) for p in PROBES)
-
-    @staticmethod
-    def _bytes(word: str) -> str:
-        if word.isascii():  # letters stand for themselves
-            return word.replace(" ", BYTE_CHARACTERS[32])
-        return word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
-
-    @staticmethod
-    def _bare(word: str) -> str:
-        word = word.lstrip(" ").lower()
-        return word if word.isascii() and " " not in word else Encoder._bytes(word)
-
-    def _word(self, word: str, form) -> list[int] | None:
-        """Ids of a Latin word with or without a space before it, None for anything else."""
-        ids = self.words.get(word)
-        if ids is None:
-            bare = word[1:] if word[:1] == " " else word
-            if not bare.isalpha() or not (bare.isascii() or LATIN.fullmatch(bare)):
-                return None
-            if len(self.words) >= KEPT_WORDS:
-                self.words.clear()
-            ids = self.words[word] = [t.id for t in self.model.tokenize(form(word))]
-        return ids
-
-    def _line(self, line: str, end: str, form) -> list[int] | None:
-        mark = line[-1:] if line.endswith((".", ",")) else ""
-        ids = self._word(line[:-1] if mark else line, form)
-        return ids if ids is None or not (mark or end) else ids + self.marks[mark + end]
-
-    def _plain(self, piece: str, form) -> list[int] | None:
-        """Ids of Latin words with their marks and line ends, None for any other piece."""
-        if "\n" not in piece:
-            return self._line(piece, "", form)
-        if "\n " in piece:
-            return None
-        *lines, last = piece.split("\n")
-        found = [self._line(line, "\n", form) for line in lines] + [self._line(last, "", form)]
-        return None if None in found else [i for ids in found for i in ids]
-
-    def _full(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _encoded(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of new pieces. Most are one line, whose words are looked up here without a call."""
-        out: list[list[int] | None] = [None] * len(pieces)
-        words, form, dot, comma = self.words, self.form, self.marks["."], self.marks[","]
-        for i, piece in enumerate(pieces if form else ()):
-            if "\n" in piece:
-                out[i] = self._plain(piece, form)
-                continue
-            last = piece[-1:]
-            if last == "." or last == ",":
-                word = piece[:-1]
-                ids = words.get(word) or self._word(word, form)
-                out[i] = ids and ids + (dot if last == "." else comma)
-            else:
-                out[i] = words.get(piece) or self._word(piece, form)
-        left = [i for i, ids in enumerate(out) if ids is None]
-        for i, found in zip(left, self.tokenizer.encode_batch_fast([pieces[i] for i in left], add_special_tokens=False), strict=True):
-            out[i] = found.ids
-        return out
-
     def _forget(self) -> None:
-        self.number: dict[str | tuple[str], int] = {}
-        self.once: set[str | tuple[str]] = set()
+        self.keys = pa.array([], pa.large_string())
         self.ids = np.zeros(0, np.uint32)
         self.first = np.zeros(1, np.int64)
-
-    def _pieces(self, text: str) -> list[str | tuple[str]]:
-        """Pieces after a space without it; the first, or the whole text, as a tuple."""
-        if BEFORE_SPACE.search(text):
-            return [(text,)]
-        pieces: list = text.split(" ")
-        pieces[0] = (pieces[0],)
-        return pieces
+        self.times = np.zeros(0, np.int64)
+
+    def _keep(self, stay: np.ndarray) -> None:
+        sizes = np.diff(self.first)
+        self.keys = self.keys.filter(pa.array(stay))
+        self.ids = self.ids[np.repeat(stay, sizes)]
+        self.first = np.concatenate([[0], np.cumsum(sizes[stay])])
+        self.times = self.times[stay]
+
+    def _make_room(self) -> None:
+        held = lambda: self.keys.nbytes + self.ids.nbytes + self.first.nbytes + self.times.nbytes
+        if held() > KEPT_BYTES:
+            self._keep(self.times > 1)
+            self.times[:] = 0
+            if held() > KEPT_BYTES // 2:
+                self._forget()
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts end to end, and their sizes."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.concatenate([np.zeros(0, np.uint32), *(np.array(ids, np.uint32) for ids in found)]), sizes
+
+    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that follow a space, and their sizes; by one call for TOGETHER pieces."""
+        mark = f" {NUL} "
+        ids, _ = self._each([" " + mark.join(pieces[i : i + TOGETHER]) + mark[:2] for i in range(0, len(pieces), TOGETHER)])
+        ends = np.flatnonzero(ids == self.separator[-1]) if self.separator else []
+        if len(ends) != len(pieces):  # not a tokenizer that keeps a NUL apart
+            return self._each([" " + p for p in pieces])
+        ends, width = ends + 1, len(self.separator)
+        sizes = np.diff(ends, prepend=0) - width
+        return np.delete(ids, (ends[:, None] - 1 - np.arange(width)).ravel()), sizes
+
+    def _learn(self, new: pa.Array, texts: list[str]) -> np.ndarray:
+        """Encode new pieces and keep them; the order in which they are kept."""
+        pieces = new.to_pylist()
+        alone = np.fromiter((not p or p[0] <= WHOLE or NUL in p or p[-1].isspace() for p in pieces), bool, len(pieces))
+        order = np.argsort(alone, kind="stable")
+        ids, sizes = self._joined([p for p, a in zip(pieces, alone, strict=True) if not a])
+        given = {FIRST: lambda p: p[1:], WHOLE: lambda p: texts[int(p[1:])]}
+        rest = [pieces[i] for i in order[len(sizes) :]]
+        other, other_sizes = self._each([given.get(p[:1], " {}".format)(p) for p in rest])
+        self.keys = pa.concat_arrays([self.keys, new.take(pa.array(order))])
+        self.ids = np.concatenate([self.ids, ids, other])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate([sizes, other_sizes]))])
+        self.times = np.concatenate([self.times, np.zeros(len(order), np.int64)])
+        return order
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and offsets."""
-        if len(self.number) > KEPT_PIECES:
-            self._forget()
-        rows = [self._pieces(text) for text in texts]
-        flat = list(chain.from_iterable(rows))
-        number, n_kept = self.number, len(self.number)
-        new = list(set(flat).difference(number))
-        number.update(zip(new, range(n_kept, n_kept + len(new)), strict=True))
-        at = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
-        found = self._encoded([" " + p if isinstance(p, str) else p[0] for p in new]) if new else []
-        new_sizes = np.fromiter(map(len, found), np.int64, len(found))
-        new_ids = np.fromiter(chain.from_iterable(found), np.uint32, int(new_sizes.sum()))
-        first = np.concatenate([self.first, self.first[-1] + np.cumsum(new_sizes)])
-        all_ids = np.concatenate([self.ids, new_ids])
-        self._keep(new, new_ids, new_sizes, np.bincount(at, minlength=n_kept + len(new))[n_kept:] > 1)
-        sizes = first[at + 1] - first[at]
+        self._make_room()
+        marked = [f"{WHOLE}{i}" if BEFORE_SPACE.search(t) or OWN.search(t) else FIRST + t for i, t in enumerate(texts)]
+        rows = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        found = rows.flatten().dictionary_encode()
+        number = pc.fill_null(pc.index_in(found.dictionary, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            n_kept = len(self.keys)
+            number[new[self._learn(found.dictionary.take(pa.array(new)), texts)]] = n_kept + np.arange(len(new))
+        at = number[found.indices.to_numpy()]
+        self.times += np.bincount(at, minlength=len(self.times))
+        sizes = self.first[at + 1] - self.first[at]
         stops = np.cumsum(sizes)
-        ids = all_ids[np.repeat(first[at + 1] - stops, sizes) + np.arange(stops[-1] if len(stops) else 0)]
-        ends = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
-        return ids, np.concatenate([[0], stops])[ends]
-
-    def _keep(self, new: list, ids: np.ndarray, sizes: np.ndarray, again: np.ndarray) -> None:
-        """Of the pieces just numbered keep those seen again, here or since an earlier call."""
-        short = np.fromiter((len(p if isinstance(p, str) else p[0]) for p in new), np.int64, len(new)) <= SHORT
-        stay = short & (again | np.fromiter(map(self.once.__contains__, new), bool, len(new)))
-        for p in new:
-            del self.number[p]
-        self.number.update(zip(compress(new, stay.tolist()), range(len(self.number), len(self.number) + int(stay.sum())), strict=True))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes[stay])])
-        self.ids = np.concatenate([self.ids, ids[np.repeat(stay, sizes)]])
-        if len(self.once) > KEPT_PIECES:
-            self.once = set()
-        self.once.update(compress(new, short.tolist()))
+        ids = self.ids[np.repeat(self.first[at + 1] - stops, sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        keys = self.keys
+        stay = pc.less_equal(pc.binary_length(keys), SHORT).to_numpy(zero_copy_only=False) & ~pc.starts_with(keys, WHOLE).to_numpy(zero_copy_only=False)
+        if not stay.all():
+            self._keep(stay)
+        return ids, np.concatenate([[0], stops])[rows.offsets.to_numpy()]
 
 
 def encoder(path: str) -> Encoder:
