@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm import texts as T
 from tallymark.llm.offsets import with_base
-from tallymark.llm.tokens import WORD_BPE, encoder, path, with_end
+from tallymark.llm.tokens import WORD_BPE, ENCODED_BYTES, encoder, path, with_end
 from tallymark.session import written_once
 
 LENGTH, END = 2048, 1
@@ -36,7 +36,7 @@ def _encoded(tokenizer: str, end: int):
         part, placed = TaskContext.get().partitionId(), 0
         encode = encoder(tokenizer).encode
         for batch in batches:
-            for block in T.blocks(batch):
+            for block in T.blocks(batch, most=ENCODED_BYTES):
                 ids, offsets = with_end(*encode([t.decode() for t in block.texts()]), end)
                 raw = ids.astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays(

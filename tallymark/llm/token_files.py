@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tallymark.llm import texts as T
 from tallymark.llm.offsets import with_base
-from tallymark.llm.tokens import BYTE_BPE, encoder, path, with_end
+from tallymark.llm.tokens import BYTE_BPE, ENCODED_BYTES, encoder, path, with_end
 from tallymark.session import new_work_path
 
 END = 2
@@ -148,7 +148,7 @@ def _shards(tokenizer: str, end: int):
             return T.arrow(schema, [[v] for v in values])
 
         for batch in batches:
-            for block in T.blocks(batch):
+            for block in T.blocks(batch, most=ENCODED_BYTES):
                 found, offsets = with_end(*encode([t.decode() for t in block.texts()]), end)
                 ids.append(found)
                 doc_ids += batch.column("doc_id")[block.rows.start : block.rows.stop].to_pylist()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +15,12 @@ from tokenizers import Tokenizer
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 KEPT_BYTES, SHORT = 16 << 20, 64  # of kept pieces with their ids, and of one piece
+ENCODED_BYTES = 2 << 20  # of texts encoded at once
 TOGETHER = 64  # pieces joined into one text
 BEFORE_SPACE = re.compile(r" (?<=\s )")  # looks back from spaces, which are quick to find
 # In place of a first piece's missing space, and of a text that is not cut.
 FIRST, WHOLE, NUL = "\1", "\2", "\0"
+ASCII_LOWER = str.maketrans(ascii_uppercase, ascii_lowercase)
 OWN = re.compile(f"[{FIRST}{WHOLE}]")
 # Byte-level vocabularies write each byte as one character: printable ones as they are,
 # the others in order from 256 on.
@@ -35,7 +38,8 @@ class Encoder:
     there, and the pieces (a word with the space before it) are encoded by the
     tokenizer, many joined into one text with a NUL as a word of its own after each. Cut,
     told apart and looked up as Arrow strings, a piece costs no Python object unless it
-    is new. Pieces of at most SHORT bytes are kept for later texts, up to KEPT_BYTES;
+    is new. A full stop or comma after an ASCII letter is cut off a new piece, and case is
+    dropped, where a tokenizer shows that it allows it. Pieces of at most SHORT bytes are kept for later texts, up to KEPT_BYTES;
     beyond that those stay that were seen again. A text in which white space comes before
     a space, or which holds the two marks used here, is encoded as one piece.
     """
@@ -43,9 +47,18 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.separator = self.tokenizer.encode(" " + NUL, add_special_tokens=False).ids
+        self.separator = self._full(" " + NUL)
+        letters = " ".join(["", *ascii_uppercase, "'S", "A\u0301"])
+        self.same_case = self._full(letters) == self._full(letters.translate(ASCII_LOWER))
+        ends = [self._full(mark) for mark in ".,"]
+        apart = all(len(ids) == 1 and self._full(" ab" + mark) == self._full(" ab") + ids for mark, ids in zip(".,", ends, strict=True))
+        self.marks = [ids[0] for ids in ends] if apart else [0, 0]
+        self.marked = "[a-z][.,]$" if apart else "[^\\s\\S]"  # nothing
         self._forget()
 
+    def _full(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _forget(self) -> None:
         self.keys = pa.array([], pa.large_string())
         self.ids = np.zeros(0, np.uint32)
@@ -73,53 +86,83 @@ class Encoder:
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         return np.concatenate([np.zeros(0, np.uint32), *(np.array(ids, np.uint32) for ids in found)]), sizes
 
-    def _joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that follow a space, and their sizes; by one call for TOGETHER pieces."""
-        mark = f" {NUL} "
-        ids, _ = self._each([" " + mark.join(pieces[i : i + TOGETHER]) + mark[:2] for i in range(0, len(pieces), TOGETHER)])
+        mark, n = f" {NUL} ", len(pieces)
+        cuts = pa.array(np.append(np.arange(0, n, TOGETHER), n), pa.int32())
+        rows = pc.binary_join(pa.ListArray.from_arrays(cuts, pieces), pa.scalar(mark, pa.large_string())).to_pylist()
+        ids, _ = self._each([" " + row + mark[:2] for row in rows])
         ends = np.flatnonzero(ids == self.separator[-1]) if self.separator else []
-        if len(ends) != len(pieces):  # not a tokenizer that keeps a NUL apart
-            return self._each([" " + p for p in pieces])
+        if len(ends) != n:  # not a tokenizer that keeps a NUL apart
+            return self._each([" " + p for p in pieces.to_pylist()])
         ends, width = ends + 1, len(self.separator)
         sizes = np.diff(ends, prepend=0) - width
         return np.delete(ids, (ends[:, None] - 1 - np.arange(width)).ravel()), sizes
 
-    def _learn(self, new: pa.Array, texts: list[str]) -> np.ndarray:
-        """Encode new pieces and keep them; the order in which they are kept."""
-        pieces = new.to_pylist()
-        alone = np.fromiter((not p or p[0] <= WHOLE or NUL in p or p[-1].isspace() for p in pieces), bool, len(pieces))
-        order = np.argsort(alone, kind="stable")
-        ids, sizes = self._joined([p for p, a in zip(pieces, alone, strict=True) if not a])
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """Places among the kept pieces, -1 for a new one."""
+        return pc.fill_null(pc.index_in(pieces, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def _add(self, keys: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.keys = pa.concat_arrays([self.keys, keys])
+        self.ids = np.concatenate([self.ids, ids])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+        self.times = np.concatenate([self.times, np.zeros(len(sizes), np.int64)])
+
+    def _ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of kept pieces end to end, and their sizes."""
+        sizes = self.first[at + 1] - self.first[at]
+        stops = np.cumsum(sizes)
+        return self.ids[np.repeat(self.first[at + 1] - stops, sizes) + np.arange(stops[-1] if len(stops) else 0)], sizes
+
+    def _places(self, pieces: pa.Array, texts: list[str]) -> np.ndarray:
+        """Places of different pieces, after new ones are kept with their ids.
+
+        Of a new word with a mark after it the word is encoded, or is kept already.
+        """
+        marked = np.flatnonzero(pc.match_substring_regex(pieces, self.marked).to_numpy(zero_copy_only=False))
+        words = pc.utf8_slice_codeunits(pieces.take(pa.array(marked)), 0, -1)
+        place = self._numbers(pa.concat_arrays([pieces, words]))  # one pass over all that is kept
+        place, of_word = place[: len(pieces)], place[len(pieces) :]
+        whole = place[marked] < 0
+        marked, words, of_word = marked[whole], words.filter(pa.array(whole)), of_word[whole]
+        plain = place < 0
+        plain[marked] = False
+        new, new_words = pieces.filter(pa.array(plain)), words.filter(pa.array(of_word < 0))
+        kept = len(self.keys)
+        self._learn_words(pa.concat_arrays([new, new_words]).unique(), texts)
+        learned = self.keys.slice(kept)
+        place[plain] = kept + pc.index_in(new, value_set=learned).to_numpy(zero_copy_only=False)
+        of_word[of_word < 0] = kept + pc.index_in(new_words, value_set=learned).to_numpy(zero_copy_only=False)
+        whole = pieces.take(pa.array(marked))
+        ids, sizes = self._ids(of_word)
+        ends = np.where(pc.ends_with(whole, ".").to_numpy(zero_copy_only=False), *self.marks)
+        place[marked] = len(self.keys) + np.arange(len(marked))
+        self._add(whole, np.insert(ids, np.cumsum(sizes), ends.astype(np.uint32)), sizes + 1)
+        return place
+
+    def _learn_words(self, new: pa.Array, texts: list[str]) -> None:
+        alone = pc.or_(pc.match_substring_regex(new, "^$|[\\x00-\\x02]"), pc.not_equal(pc.utf8_rtrim_whitespace(new), new))
+        joined, rest = new.filter(pc.invert(alone)), new.filter(alone)
+        self._add(joined, *self._joined(joined))
         given = {FIRST: lambda p: p[1:], WHOLE: lambda p: texts[int(p[1:])]}
-        rest = [pieces[i] for i in order[len(sizes) :]]
-        other, other_sizes = self._each([given.get(p[:1], " {}".format)(p) for p in rest])
-        self.keys = pa.concat_arrays([self.keys, new.take(pa.array(order))])
-        self.ids = np.concatenate([self.ids, ids, other])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate([sizes, other_sizes]))])
-        self.times = np.concatenate([self.times, np.zeros(len(order), np.int64)])
-        return order
+        self._add(rest, *self._each([given.get(p[:1], " {}".format)(p) for p in rest.to_pylist()]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and offsets."""
         self._make_room()
         marked = [f"{WHOLE}{i}" if BEFORE_SPACE.search(t) or OWN.search(t) else FIRST + t for i, t in enumerate(texts)]
-        rows = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        marked = pa.array(marked, pa.large_string())
+        rows = pc.split_pattern(pc.ascii_lower(marked) if self.same_case else marked, " ")
         found = rows.flatten().dictionary_encode()
-        number = pc.fill_null(pc.index_in(found.dictionary, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            n_kept = len(self.keys)
-            number[new[self._learn(found.dictionary.take(pa.array(new)), texts)]] = n_kept + np.arange(len(new))
-        at = number[found.indices.to_numpy()]
+        at = self._places(found.dictionary, texts)[found.indices.to_numpy()]
         self.times += np.bincount(at, minlength=len(self.times))
-        sizes = self.first[at + 1] - self.first[at]
-        stops = np.cumsum(sizes)
-        ids = self.ids[np.repeat(self.first[at + 1] - stops, sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        ids, sizes = self._ids(at)
         keys = self.keys
         stay = pc.less_equal(pc.binary_length(keys), SHORT).to_numpy(zero_copy_only=False) & ~pc.starts_with(keys, WHOLE).to_numpy(zero_copy_only=False)
         if not stay.all():
             self._keep(stay)
-        return ids, np.concatenate([[0], stops])[rows.offsets.to_numpy()]
+        return ids, np.concatenate([[0], np.cumsum(sizes)])[rows.offsets.to_numpy()]
 
 
 def encoder(path: str) -> Encoder:
