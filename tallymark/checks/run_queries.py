@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -24,8 +25,8 @@ from tallymark.session import new_work_path
 from tallymark.sinks.exports import export_csv, refresh_history, snapshot
 from tallymark.sinks.folders import Folder
 from tallymark.sinks.history import History
-from tallymark.sinks.stores import FolderStore
-from tallymark.sources.files import read_crm_parquet, read_delimited, read_pipe
+from tallymark.sinks.stores import CatalogStore, FolderStore
+from tallymark.sources.files import read_comma, read_crm_parquet, read_delimited, read_pipe
 from tallymark.sources.incremental import Landing
 from tallymark.sources.json_documents import column_presence, record_texts, typed_records
 
@@ -311,6 +312,20 @@ def pipe_file(spark, sf):
     return read_pipe(spark, path, dictionary, "part", ["bigint", "string", "double"])
 
 
+@query(
+    "comma_file",
+    """SELECT c_custkey AS id, concat(c_name,', "',c_mktsegment,'"; ') AS label, CASE WHEN c_acctbal>=0 THEN c_acctbal END AS balance FROM customer""",
+)
+def comma_file(spark, sf):
+    """Comma-separated file whose texts hold commas, quotes and trailing spaces."""
+    path = new_work_path(spark, "comma")
+    label = F.format_string('%s, "%s"; ', "c_name", "c_mktsegment").alias("label")
+    balance = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance")
+    customers = i.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), label, balance)
+    customers.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_comma(spark, path, customers.schema)
+
+
 @query("crm_parquet", "SELECT * FROM crm_latest")
 def crm_parquet(spark, sf):
     """CRM extract under its physical column names, stored as parquet and reconciled."""
@@ -443,3 +458,41 @@ def replaced_run(spark, sf):
     log = store.read(publish.RUN_LOG).select("run_key", "row_count")
     rows = store.read("orders").withColumn("run_key", F.col("run_key").cast("long"))
     return rows.join(log, "run_key").select("OBJECT_ID", "PARENT_ID", "run_key", "row_count")
+
+
+@query(
+    "catalog_run",
+    """SELECT OBJECT_ID, PARENT_ID, CAST(1 AS BIGINT) AS run_key, (SELECT count(*) FROM fx_order) AS row_count FROM fx_order
+ UNION ALL SELECT OBJECT_ID, PARENT_ID, CAST(2 AS BIGINT), (SELECT count(*) FROM fx_order WHERE PARENT_ID IS NULL) FROM fx_order WHERE PARENT_ID IS NULL""",
+)
+def catalog_run(spark, sf):
+    """Three runs in tables of the session catalog, the first of them dropped."""
+    database = f"runs_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_work_path(spark, 'catalog')}'")
+    store = CatalogStore(spark, database, {"orders": "run_key"})
+    publish.create_run_tables(store)
+    orders = i.orders(spark, sf).select("OBJECT_ID", "PARENT_ID")
+    for rows in (orders.where("PARENT_ID IS NOT NULL"), orders, orders.where("PARENT_ID IS NULL")):
+        publish.publish_run(store, rows, "orders", 53, run_ts=RUN_TS)
+    store.drop_run("orders", 0)
+    log = store.read(publish.RUN_LOG).select("run_key", "row_count")
+    return store.read("orders").join(log, "run_key").select("OBJECT_ID", "PARENT_ID", "run_key", "row_count")
+
+
+@query(
+    "status_history",
+    f"""SELECT s.status, s.control, s.run_key, CAST({fv.CONTROL_TYPES["run_status"]} AS INT) AS control_type, CAST(1 AS BIGINT) AS row_count, DATE '2001-08-01' AS run_day FROM (
+ SELECT CASE WHEN EXISTS (SELECT 1 FROM fx_order WHERE OBJECT_ID IS NULL) THEN 'NOK' ELSE 'OK' END AS status, 'orders have ids' AS control, CAST(0 AS BIGINT) AS run_key
+ UNION ALL SELECT CASE WHEN EXISTS (SELECT 1 FROM fx_order WHERE PARENT_ID IS NULL) THEN 'NOK' ELSE 'OK' END, 'orders have customers', CAST(1 AS BIGINT)) s""",
+)
+def status_history(spark, sf):
+    """Two conditions on all orders, each recorded as OK or NOK under a run key."""
+    store = _store(spark)
+    orders = i.orders(spark, sf)
+    for control, column in (("orders have ids", "OBJECT_ID"), ("orders have customers", "PARENT_ID")):
+        publish.publish_status(store, orders.where(F.col(column).isNull()).isEmpty(), control, RUN_TS)
+    log = store.read(publish.RUN_LOG)
+    history = reports.with_run_day(store.read(publish.STATUS_HISTORY), log)
+    facts = log.select(F.col("run_key").alias("logged"), "control_type", "row_count")
+    joined = history.join(facts, F.col("run_key") == F.col("logged"))
+    return joined.select("status", "control", F.col("run_key").cast("long"), "control_type", "row_count", "run_day")
