@@ -166,12 +166,14 @@ def table_sizes(spark, sf):
     return monitoring.table_sizes(i.relation_sizes(spark, sf), names)
 
 
-RECORDS_PER_DOCUMENT = 200
+RECORDS_PER_DOCUMENT = 20_000
 
 
 def _event_documents(spark, sf):
-    """Daily documents made of the events, a bounded number of records in each.
+    """Daily documents made of the events, about RECORDS_PER_DOCUMENT records in each.
 
+    A day's records are dealt to its documents by their content, so the number of documents
+    follows that of the records, in whatever order the ids came.
     The value is left out on every third day and the type renamed from the
     20th day on, so the fields drift; some user ids carry a control byte.
     """
@@ -185,8 +187,11 @@ def _event_documents(spark, sf):
         F.when(F.dayofyear(day) % 3 != 0, F.col("value")).alias("value"),
         F.concat(F.lit("u\x7f"), F.col("user_id").cast("string")).alias("user"),
     )
-    chunk = F.floor(F.col("event_id") / RECORDS_PER_DOCUMENT)
-    grouped = events.groupBy(day.alias("day"), chunk.alias("chunk")).agg(F.collect_list(record).alias("records"))
+    dated = events.select(day.alias("day"), F.xxhash64("event_id", "ts", "user_id", "event_type", "value").alias("content"), record.alias("record"))
+    sizes = events.groupBy(day.alias("_day")).agg(F.ceil(F.count("*") / RECORDS_PER_DOCUMENT).alias("documents"))
+    dealt = dated.join(sizes, F.col("day").eqNullSafe(F.col("_day")))
+    chunk = F.pmod("content", "documents").alias("chunk")
+    grouped = dealt.groupBy("day", chunk).agg(F.collect_list("record").alias("records"))
     return grouped.select("day", F.to_json(F.struct("records")).alias("content"))
 
 

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tallymark.checks import run_queries
 from tallymark.operators import nested_drift as nd
 from tallymark.operators.versions import latest_version
 from tallymark.runs import monitoring
@@ -199,3 +200,18 @@ def test_run_days_as_bits(spark):
     working = {(r.control, r.day) for r in monitoring.missed_days(both, first, last, weekdays=True).collect()}
     assert working == {(c, d) for c, d in missed if d.weekday() < 5}
     assert monitoring.missed_days(both.limit(0), first, last).count() == 0
+
+
+def test_the_number_of_documents_follows_the_records(spark, tmp_path, monkeypatch):
+    """Ids that come in no order of time made a document per 200 ids and day; null times and keys stay, repeated rows too."""
+    day = "case when id % 50 = 0 then null else timestamp'2024-01-01' + make_dt_interval(cast(id % 30 as int)) end"
+    events = spark.range(6000).selectExpr("nullif(id % 3000, 7) event_id", f"{day} ts", "id % 7 user_id", "'view' event_type", "cast(id as double) value", "'' props")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    for records, most in ((20_000, 31), (100, 31 + 6000 // 100)):
+        monkeypatch.setattr(run_queries, "RECORDS_PER_DOCUMENT", records)
+        documents = run_queries._event_documents(spark, str(tmp_path))
+        assert 31 <= documents.count() <= most
+        ids = documents.select("day", F.explode(F.from_json("content", "records array<struct<event_id: long, user: string>>")["records"]).alias("r"))
+        found = ids.select("day", "r.event_id", F.regexp_extract("r.user", r"(\d+)", 1).cast("long").alias("user_id"))
+        wanted = events.select(F.col("ts").cast("date").alias("day"), "event_id", "user_id")
+        assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
