@@ -64,19 +64,18 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         frequent = frequent[np.lexsort((frequent, -times[frequent]))][:RULES]
         if not len(frequent):
             break
-        chosen = np.sort(distinct[frequent])
-        rank = np.empty(len(chosen), np.int32)
-        rank[np.searchsorted(chosen, distinct[frequent])] = np.arange(len(frequent))
         half = np.uint64(32) if pairs.dtype == np.uint64 else np.uint32(16)
         made = distinct[frequent]
         made = np.stack([made >> half, made & ((made.dtype.type(1) << half) - made.dtype.type(1))], 1).astype(np.uint32)
-        begins, ends = np.zeros((2, nonterminal), bool)  # symbols of chosen pairs: few others need a search
-        begins[made[:, 0]] = ends[made[:, 1]] = True
-        place = np.flatnonzero(begins[row[:-1]] & ends[row[1:]])
-        at = np.minimum(np.searchsorted(chosen, pairs[place]), len(chosen) - 1)
-        worst = np.int32(len(chosen))
-        ranks = np.full(len(pairs), worst)
-        ranks[place] = np.where(chosen[at] == pairs[place], rank[at], worst)
+        # a table of the rules' ranks, by first and second symbol; 0 stands for symbols of no rule
+        begins, ends = np.zeros((2, nonterminal), np.int64)
+        firsts, seconds = np.unique(made[:, 0]), np.unique(made[:, 1])
+        begins[firsts] = np.arange(1, len(firsts) + 1) * (len(seconds) + 1)
+        ends[seconds] = np.arange(1, len(seconds) + 1)
+        worst = np.int32(len(made))
+        table = np.full((len(firsts) + 1) * (len(seconds) + 1), worst)
+        table[begins[made[:, 0]] + ends[made[:, 1]]] = np.arange(len(made))
+        ranks = table[begins[row[:-1]] + ends[row[1:]]]
         left, right = np.append(worst, ranks[:-1]), np.append(ranks[1:], worst)
         take = np.flatnonzero((ranks < worst) & (ranks < left) & (ranks <= right))
         rules.append(made)
@@ -86,44 +85,54 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
     return first, np.concatenate(rules), row
 
 
+def _levels(first: int, rules: np.ndarray) -> Iterator[slice]:
+    """Stretches of rules that need only the symbols before them."""
+    at = 0
+    while at < len(rules):
+        late = rules[at:].max(1) >= first + at
+        stop = at + int(late.argmax()) if late.any() else len(rules)
+        yield slice(at, stop)
+        at = stop
+
+
 def expansion_lengths(first: int, rules: np.ndarray) -> np.ndarray:
     """Ids that each rule stands for."""
     lengths = np.ones(first + len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist(), first):
-        lengths[i] = lengths[a] + lengths[b]
+    for some in _levels(first, rules):
+        lengths[first + some.start : first + some.stop] = lengths[rules[some]].sum(1)
     return lengths[first:]
 
 
 class Shard:
-    """A shard read back; any span of its ids can be decoded by itself."""
+    """A shard read back; any span of its ids can be decoded by itself.
+
+    Its rules are expanded once, level by level; a span is then looked up in one step.
+    """
 
     def __init__(self, row: dict):
-        self.first = row["first_rule"]
-        self.rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
-        self.symbols = np.frombuffer(row["symbols"], f"<u{row['width']}").astype(np.int64)
-        lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
-        rule = self.symbols - self.first
-        sizes = np.ones(len(rule), np.int64)
-        sizes[rule >= 0] = lengths[rule[rule >= 0]]
-        self.ends = np.cumsum(sizes)
+        first, rules = row["first_rule"], np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
+        self.symbols = np.frombuffer(row["symbols"], f"<u{row['width']}")
+        self.sizes = np.append(np.ones(first, np.int64), np.frombuffer(row["lengths"], "<u4"))
+        stops = np.cumsum(self.sizes)
+        self.starts = stops - self.sizes
+        self.expanded = np.arange(int(stops[-1]) if len(stops) else 0, dtype=np.uint32)
+        for some in _levels(first, rules):
+            low, high = self.starts[first + some.start], stops[first + some.stop - 1]
+            self.expanded[low:high] = self._expanded(rules[some].ravel())
+        self.ends = np.cumsum(self.sizes[self.symbols])
+
+    def _expanded(self, symbols: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[symbols]
+        stops = np.cumsum(sizes)
+        return self.expanded[np.repeat(self.starts[symbols] - (stops - sizes), sizes) + np.arange(stops[-1])]
 
     def decode(self, start: int, stop: int) -> np.ndarray:
         """Ids start to stop of the shard."""
         if start >= stop:
             return np.zeros(0, np.uint32)
         a, b = np.searchsorted(self.ends, start, "right"), np.searchsorted(self.ends, stop, "left") + 1
-        row = self.symbols[a:b]
         skipped = start - (self.ends[a - 1] if a else 0)
-        while True:
-            inner = row >= self.first
-            if not inner.any():
-                return row[skipped : skipped + stop - start].astype(np.uint32)
-            grown = np.cumsum(np.where(inner, 2, 1))
-            out = np.empty(grown[-1], np.int64)
-            out[grown[~inner] - 1] = row[~inner]
-            pair = self.rules[row[inner] - self.first]
-            out[grown[inner] - 2], out[grown[inner] - 1] = pair[:, 0], pair[:, 1]
-            row = out
+        return self._expanded(self.symbols[a:b])[skipped : skipped + stop - start]
 
 
 def _shards(tokenizer: str, end: int):
