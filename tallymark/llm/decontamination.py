@@ -31,6 +31,7 @@ from tallymark.llm.filters import bit_filter, passes
 from tallymark.session import written_once
 
 WINDOW, SHINGLE = 10, 3
+BLOCK = 1 << 18  # bytes of documents in arrays at once
 
 
 def _words(block: T.Block) -> tuple[T.Words, np.ndarray]:
@@ -89,7 +90,7 @@ def _counts(bits: np.ndarray, sizes: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in T.blocks(batch):
+            for block in T.blocks(batch, most=BLOCK):
                 words, hashes = _words(block)
                 for size in sizes:
                     tokens = _tokens(hashes, words.first, size)
@@ -105,7 +106,7 @@ def _places(bits: np.ndarray, sizes: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in T.blocks(batch):
+            for block in T.blocks(batch, most=BLOCK):
                 words, hashes = _words(block)
                 at, size_of, token_of = [], [], []
                 for size in sizes:

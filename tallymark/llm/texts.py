@@ -63,7 +63,8 @@ def blocks(batch: pa.RecordBatch, key: str = "doc_id", text: str = "text", most:
     """The documents of a batch in blocks of about `most` bytes; null texts are empty.
 
     A longer document makes a block of its own, so memory follows the longest
-    document, not the batch.
+    document, not the batch. What Arrow has freed goes back to the system after each
+    batch: a worker lives on through all later stages.
     """
     n = batch.num_rows
     if not n:
@@ -78,6 +79,7 @@ def blocks(batch: pa.RecordBatch, key: str = "doc_id", text: str = "text", most:
         lo, hi = int(offsets[a]), int(offsets[b])
         yield Block(ids[a:b], data[lo:hi], offsets[a : b + 1] - lo, slice(a, b))
         a = b
+    pa.default_memory_pool().release_unused()
 
 
 def mix(x: np.ndarray) -> np.ndarray:

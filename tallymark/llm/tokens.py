@@ -162,7 +162,10 @@ class Encoder:
         stay = pc.less_equal(pc.binary_length(keys), SHORT).to_numpy(zero_copy_only=False) & ~pc.starts_with(keys, WHOLE).to_numpy(zero_copy_only=False)
         if not stay.all():
             self._keep(stay)
-        return ids, np.concatenate([[0], np.cumsum(sizes)])[rows.offsets.to_numpy()]
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[rows.offsets.to_numpy()]
+        del marked, rows, found, keys
+        pa.default_memory_pool().release_unused()  # some 60 MB a block, which a worker would hold on to
+        return ids, offsets
 
 
 def encoder(path: str) -> Encoder:
