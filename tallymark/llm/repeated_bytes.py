@@ -253,10 +253,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     free_scratch(chunks)
     texts = likely(docs, marks).join(marks, KEY)
     records = texts.mapInArrow(_regions, "doc_id long, version long, at long, anchor long, region binary")
-    records = written_once(records, "regions")
+    records = written_once(records, "regions", "zstd")  # neighbours overlap
     del texts
     free_scratch()
-    unique = written_once(records.groupBy("anchor", "region").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "unique")
+    unique = written_once(records.groupBy("anchor", "region").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "unique", "zstd")
     free_scratch()
     name = [F.xxhash64("anchor", "region").alias("r1"), F.xxhash64(F.lit(1), "region", "anchor").alias("r2")]
     useful = written_once(_answered(unique).select(*name, "leasts"), "answers")
