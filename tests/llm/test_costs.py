@@ -22,7 +22,7 @@ def held():
     return int(open("/proc/self/statm").read().split()[1]) * 4096 / 1e6
 e = encoder(path(WORD_BPE))
 for k in range(3):
-    e.encode([" ".join(f"word{(k * 7 + i * j) % 30011}" for i in range(1000)) for j in range(200)])
+    e.encode([" ".join(f"{(k * 1000 + i) * 7919 + j * 104729:x}" for i in range(300)) for j in range(900)])
 before = held()
 pa.default_memory_pool().release_unused()
 print(before - held())
