@@ -9,7 +9,8 @@ smaller doc_id. Strings never cross documents and are judged on the input.
    Hashes travel as 4 bytes beside the range; a wrong "more than once" costs work only.
 2. Around each anchor found more than once, the strings that selected it make a region
    of bytes. Equal regions become one row with their least doc_id, combined before the
-   shuffle, so thousands of copies arrive as one.
+   shuffle, so thousands of copies arrive as one. Steps 2 and 3 take the regions of one
+   share of the anchors after the other.
 3. Regions are dealt by anchor into shards of about `SHARD` bytes. A task sorts all suffixes
    of a shard by induced sorting with disk-backed queues (suffix_sort.py); neighbours that
    share LENGTH bytes or more are equal strings, and their least doc_id is the answer.
@@ -27,10 +28,12 @@ from __future__ import annotations
 import gc
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +45,9 @@ from tallymark.session import written_once
 
 LENGTH, GRAM = 50, 20
 CHUNK, RANGE, SHARD, CROWD, BLOCK = 1 << 24, 1 << 21, 1 << 22, 20_000, 1 << 18
+TURNS = 2  # in which the regions are answered, each with its share of the anchors, so that less is on disk at once
 KEY = ["doc_id", "version"]
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -51,8 +56,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     if n < LENGTH:
         return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     sums = T.prefix_sums(data)
-    at = np.arange(n - GRAM + 1)
-    hashes = T.span_hashes(sums, at, at + GRAM)
+    hashes = T.gram_hashes(sums, GRAM)
     # least hash of `span` grams from each start on, by doubling
     least, width = hashes, 1
     while 2 * width <= span:
@@ -68,8 +72,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     while 2 * width <= span:
         highest, width = np.maximum(highest[:-width], highest[width:]), 2 * width
     highest = np.maximum(highest[: len(highest) - (span - width)], highest[span - width :])
-    candidates = np.flatnonzero(highest == hashes)
-    chosen = np.searchsorted(candidates, starts + span - 1, "right") - 1
+    hit = highest == hashes
+    candidates = np.flatnonzero(hit)
+    chosen = np.cumsum(hit)[starts + span - 1] - 1
     wrong = np.flatnonzero(hashes[candidates[chosen]] != best)
     while len(wrong):
         chosen[wrong] -= 1
@@ -207,13 +212,15 @@ def _least_documents(rows: pd.DataFrame) -> pd.DataFrame:
         ends = np.cumsum(sizes + 1) - 1
         # a neighbour that shares LENGTH bytes is that long itself: groups are unbroken
         begins = np.flatnonzero(shared < LENGTH)
-        docs = rows["least"].to_numpy()[np.searchsorted(ends, order)]
+        docs = np.repeat(rows["least"].to_numpy(), sizes + 1)[order]
         least = np.repeat(np.minimum.reduceat(docs, begins), np.diff(np.append(begins, len(order))))
         answers = np.zeros(int(ends[-1]) + 1, np.int64)
         answers[order] = least
-        found = [answers[e - n : e - LENGTH + 1] for e, n in zip(ends, sizes, strict=True)]
-        late = [f.min() < m for f, m in zip(found, rows["most"], strict=True)]
-        rows = rows.assign(leasts=[f if f.min() < f.max() else f[:1] for f in found])[late]
+        spans = np.stack([ends - sizes, ends - LENGTH + 1], 1)
+        low, high = (f.reduceat(answers, spans.ravel())[::2] for f in (np.minimum, np.maximum))
+        late = low < rows["most"].to_numpy()
+        spans[low == high, 1] = spans[low == high, 0] + 1
+        rows = rows[late].assign(leasts=[answers[a:b] for a, b in spans[late]])
         out.append(rows[["anchor", "region", "leasts"]])
     return pd.concat(out)
 
@@ -226,6 +233,7 @@ def _answered(unique: DataFrame) -> DataFrame:
     volume = unique.agg(F.sum(F.octet_length("region"))).first()[0] or 0
     shards = max(1, -(-volume // SHARD))
     crowded = written_once(unique.groupBy("anchor").count().filter(F.col("count") > CROWD).select("anchor"), "crowded")
+    free_scratch()
     shape = "anchor long, region binary, leasts array<long>"
     dealt = unique.join(crowded, "anchor", "left_anti").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     sorted_out = dealt.groupBy("shard").applyInPandas(_least_documents, shape)
@@ -256,11 +264,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     records = written_once(records, "regions", "zstd")  # neighbours overlap
     del texts
     free_scratch()
-    unique = written_once(records.groupBy("anchor", "region").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "unique", "zstd")
-    free_scratch()
     name = [F.xxhash64("anchor", "region").alias("r1"), F.xxhash64(F.lit(1), "region", "anchor").alias("r2")]
-    useful = written_once(_answered(unique).select(*name, "leasts"), "answers")
-    free_scratch(unique)
+    answered = []
+    for turn in range(TURNS):
+        some = records.filter(F.pmod("anchor", F.lit(TURNS)) == turn)
+        unique = written_once(some.groupBy("anchor", "region").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "unique", "zstd")
+        free_scratch()
+        answered.append(written_once(_answered(unique).select(*name, "leasts"), "answers"))
+        free_scratch(unique)
+    useful = reduce(DataFrame.unionByName, answered)
     rows = records.select(*KEY, "at", (F.octet_length("region") - LENGTH + 1).alias("n"), *name).join(useful, ["r1", "r2"])
     every = F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1)
     late = F.filter(F.transform("leasts", lambda x, i: F.when(x < F.col("doc_id"), i.cast("long"))), lambda x: x.isNotNull())
@@ -270,7 +282,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     begins = F.filter("o", lambda x, i: (i == 0) | (x != F.col("o")[i - 1] + 1))
     stops = F.filter("o", lambda x, i: (i == F.size("o") - 1) | (x != F.col("o")[i + 1] - 1))
     span = F.zip_with(begins, stops, lambda a, b: F.struct((F.col("at") + a).alias("start"), (F.col("at") + b + LENGTH).alias("stop")))
-    return rows.select(*KEY, span.alias("s")).groupBy(*KEY).agg(F.flatten(F.collect_list("s")).alias("spans"))
+    spans = written_once(rows.select(*KEY, span.alias("s")).groupBy(*KEY).agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    del rows, useful
+    free_scratch(records, *answered)
+    return spans
 
 
 def free_scratch(*tables: DataFrame) -> None:
@@ -306,14 +321,23 @@ def _digest(with_kept: bool, touched: bool, bits):
                 known = passes(bits.value, T.hashes_of(ids.fill_null(-1).to_numpy(zero_copy_only=False)))
                 batch = batch.filter(pa.array(~known | ids.is_null().to_numpy(zero_copy_only=False)))
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
-            spans = batch.column("spans").to_pylist() if touched else [None] * len(texts)
+            spans = batch.column("spans") if touched else pa.nulls(len(texts), SPANS)
+            sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy()
+            found = spans.flatten()
+            starts, stops = (pc.struct_field(found, k).to_numpy() for k in ("start", "stop"))
+            # one row of bytes for all texts, so that all spans are merged at once; a byte between keeps texts apart
+            begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+            shift = np.repeat(begins[:-1], sizes)
+            starts, stops = merged(starts + shift, stops + shift) if len(starts) else (starts, stops)
+            cuts = np.searchsorted(starts, begins)
+            removed = np.diff(np.append(0, np.cumsum(stops - starts))[cuts])
             out = []
-            for text, found in zip(texts, spans, strict=True):
-                a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                if found:
-                    a, b = merged(*(np.array([s[k] for s in found]) for k in ("start", "stop")))
-                kept = b"".join(text[i:j] for i, j in zip(np.append(0, b), np.append(a, len(text)), strict=True))
-                out.append((len(text), int((b - a).sum()), len(a), hashlib.sha256(kept).hexdigest(), kept))
+            for text, begin, c, d, gone in zip(texts, begins.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), removed.tolist(), strict=False):
+                kept = text
+                if c < d:
+                    a, b = (starts[c:d] - begin).tolist(), (stops[c:d] - begin).tolist()
+                    kept = b"".join(text[i:j] for i, j in zip([0, *b], [*a, len(text)], strict=True))
+                out.append((len(text), gone, d - c, hashlib.sha256(kept).hexdigest(), kept))
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][: 4 + with_kept]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(list(c), k) for c, k in zip(columns, kinds, strict=False))], names=names)
@@ -324,7 +348,7 @@ def _digest(with_kept: bool, touched: bool, bits):
 def cut_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every row; kept is binary."""
     docs = docs.select("doc_id", "text")
-    spans = written_once(repeated_spans(docs), "spans")
+    spans = repeated_spans(docs)
     # rows that surely have no spans don't travel
     hashes = spans.select("doc_id").mapInArrow(_hashes, "hash long")
     bits = docs.sparkSession.sparkContext.broadcast(bit_filter(hashes, "hash"))

@@ -23,8 +23,6 @@ import tempfile
 
 import numpy as np
 
-from tallymark.llm import texts as T
-
 MEMORY = 1 << 22
 PACKED = 7  # symbols of 9 bits in one key
 ENTRY = np.dtype([("at", "<i4"), ("shared", "<i4")])
@@ -85,9 +83,7 @@ def _types(text: np.ndarray) -> np.ndarray:
     changes = np.flatnonzero(step)
     small = np.ones(len(text), bool)
     if len(changes):
-        follow = np.searchsorted(changes, np.arange(len(text) - 1))
-        inside = follow < len(changes)
-        small[:-1][inside] = step[changes[follow[inside]]] > 0
+        small[: changes[-1] + 1] = np.repeat(step[changes] > 0, np.diff(changes, prepend=-1))
     small[text == 0] = True
     return small
 
@@ -95,7 +91,24 @@ def _types(text: np.ndarray) -> np.ndarray:
 def _runs(text: np.ndarray) -> np.ndarray:
     """How many equal symbols begin at each place."""
     changes = np.append(np.flatnonzero(np.diff(text)), len(text) - 1)
-    return changes[np.searchsorted(changes, np.arange(len(text)))] - np.arange(len(text)) + 1
+    return np.repeat(changes, np.diff(changes, prepend=-1)) - np.arange(len(text)) + 1
+
+
+def _refined(names: np.ndarray, rows: np.ndarray, key: np.ndarray) -> bool:
+    """Tell rows of equal names apart by a key; whether any were. `rows` holds all of a name or none.
+
+    A name is the number of rows with a smaller one, so the others keep theirs.
+    """
+    old = names[rows]
+    order = np.lexsort((key, old)) if len(names) > len(rows) or old.any() else np.argsort(key)
+    old, key = old[order], key[order]
+    first = np.ones(len(rows), bool)
+    first[1:] = old[1:] != old[:-1]
+    new = first.copy()
+    new[1:] |= key[1:] != key[:-1]
+    place = np.arange(len(rows))
+    names[rows[order]] = old + np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(first, place, 0))
+    return bool((new & ~first).any())
 
 
 def _star_ranks(text: np.ndarray, stars: np.ndarray) -> np.ndarray:
@@ -104,44 +117,45 @@ def _star_ranks(text: np.ndarray, stars: np.ndarray) -> np.ndarray:
     sizes[text[stars] == 0] = 1
     names = np.zeros(len(stars), np.int64)
     for at in range(0, int(sizes.max()), PACKED):
+        # only names of several substrings, one of which goes on, can still be told apart
+        open_ = (np.bincount(names) > 1) & (np.bincount(names, sizes > at) > 0)
+        rows = np.flatnonzero(open_[names])
         # a substring that ends sorts after one that goes on: there its last symbol is of L-type
-        key = np.zeros(len(stars), np.int64)
+        key = np.zeros(len(rows), np.int64)
         for i in range(at, at + PACKED):
-            symbol = text[np.minimum(stars + i, len(text) - 1)].astype(np.int64)
-            key = key << 9 | np.where(i < sizes, symbol, 511)
-        order = np.lexsort((key, names))
-        new = np.ones(len(order), bool)
-        new[1:] = (names[order][1:] != names[order][:-1]) | (key[order][1:] != key[order][:-1])
-        names = np.empty(len(order), np.int64)
-        names[order] = np.cumsum(new) - 1
+            symbol = text[np.minimum(stars[rows] + i, len(text) - 1)].astype(np.int64)
+            key = key << 9 | np.where(i < sizes[rows], symbol, 511)
+        _refined(names, rows, key)
     # doubling over the rows of names; the separator, smallest of all, ends a row
     last = np.flatnonzero(text[stars] == 0)
-    row_end = last[np.searchsorted(last, np.arange(len(stars)))]
-    names[last] = -1
-    ranks, step = names + 1, 1
-    while True:
-        follow = np.arange(len(stars)) + step
-        second = np.where(follow <= row_end, ranks[np.minimum(follow, len(stars) - 1)], 0)
-        found, again = np.unique(ranks * (int(ranks.max()) + 1) + second, return_inverse=True)
-        if len(found) == len(np.unique(ranks)) or step > len(stars):
-            return again
-        ranks, step = again, step * 2
+    row_end = np.repeat(last, np.diff(last, prepend=-1))
+    names += 1
+    names[last] = 0
+    step, told = 1, True
+    while told and step <= len(stars):
+        rows = np.flatnonzero((np.bincount(names) > 1)[names] & (names > 0))
+        follow = rows + step
+        told = _refined(names, rows, np.where(follow <= row_end[rows], names[np.minimum(follow, len(stars) - 1)], 0))
+        step *= 2
+    return names
 
 
 def _shared(text: np.ndarray, left: np.ndarray, right: np.ndarray, row_end: np.ndarray) -> np.ndarray:
     """Length of the common prefix of suffix pairs, up to their separators."""
-    sums = T.prefix_sums(text.astype(np.uint8))  # separators are never inside a compared span
+    # eight bytes from each place on, the first lowest; separators are never inside a compared span
+    data = np.append(text.astype(np.uint64), np.zeros(8, np.uint64))
+    eight = data[:-8].copy()
+    for i in range(1, 8):
+        eight |= data[i : i - 8] << np.uint64(8 * i)
     most = np.minimum(row_end[left] - left, row_end[right] - right)
     found = np.zeros(len(left), np.int64)
-    step = 1 << max(0, int(most.max(initial=0)).bit_length())
-    while step:
-        longer = found + step
-        fits = np.flatnonzero(longer <= most)
-        a, b = left[fits], right[fits]
-        same = T.span_hashes(sums, a, a + longer[fits]) == T.span_hashes(sums, b, b + longer[fits])
-        found[fits[same]] = longer[fits[same]]
-        step >>= 1
-    return found
+    rows = np.flatnonzero(most > 0)
+    while len(rows):
+        apart = eight[left[rows] + found[rows]] ^ eight[right[rows] + found[rows]]
+        lowest = apart & (~apart + np.uint64(1))
+        found[rows] += np.where(apart == 0, 8, np.bitwise_count(lowest - np.uint64(1)).astype(np.int64) >> 3)
+        rows = rows[(apart == 0) & (found[rows] < most[rows])]
+    return np.minimum(found, most)
 
 
 def _induce(queues: Queues, symbol: int, wanted: np.ndarray, text: np.ndarray, own: tuple, behind) -> tuple[np.ndarray, np.ndarray]:

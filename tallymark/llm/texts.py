@@ -115,6 +115,12 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def gram_hashes(sums: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of the `size` bytes from each place on, as span_hashes gives them."""
+    down = powers(pow(BASE, -1, 2**64), len(sums), "down")
+    return mix((sums[size:] - sums[:-size]) * down[: len(sums) - size] + U64(size))
+
+
 def hashes_of(ids: np.ndarray) -> np.ndarray:
     """64-bit hash of integer ids, for bit filters."""
     return mix(ids.astype(np.int64).view(np.uint64))

@@ -80,3 +80,23 @@ def test_overlapping_regions_are_written_small(spark, monkeypatch):
     for name in ("regions", "unique"):
         codecs = {m.row_group(0).column(0).compression for m in written[name] if m.num_row_groups}
         assert codecs == {"ZSTD"}
+
+
+def test_regions_are_answered_in_turns_and_given_back(spark, monkeypatch):
+    """All regions were answered at once, and regions and answers stayed until the end."""
+    written, left, once = [], [], session.written_once
+
+    def kept(df, name, *how):
+        left.append((name, [n for n, files in written if files and all(Path(f.removeprefix("file://")).exists() for f in files)]))
+        out = once(df, name, *how)
+        written.append((name, out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(repeated_bytes, "written_once", kept)
+    text = "".join(f"sentence {i * 7919 % 997} says {i * i} things; " for i in range(60))
+    rows = spark.createDataFrame([(1, text), (2, "x" + text), (3, text[400:1200]), (4, "short")], "doc_id long, text string")
+    removed = {r.doc_id: r.n_removed for r in repeated_bytes.cut_repeats(rows).collect()}
+    assert removed == {1: 0, 2: len(text), 3: 800, 4: 0}
+    assert [n for n, _ in written].count("unique") == repeated_bytes.TURNS > 1
+    assert all(held.count("unique") <= (name in ("crowded", "answers")) for name, held in left)
+    assert [n for n, files in written if any(Path(f.removeprefix("file://")).exists() for f in files)] == ["marks", "crowded", "crowded", "spans"]
