@@ -36,7 +36,8 @@ class Encoder:
     The tokenizers used here never join characters on both sides of the border
     between a character that isn't white space and a following space. A text is cut
     there, and the pieces (a word with the space before it) are encoded by the
-    tokenizer, many joined into one text with a NUL as a word of its own after each. Cut,
+    tokenizer, many joined into one text: as they are where a word's first id shows its space,
+    else with a NUL as a word of its own after each. Cut,
     told apart and looked up as Arrow strings, a piece costs no Python object unless it
     is new. A full stop or comma after an ASCII letter is cut off a new piece, and case is
     dropped, where a tokenizer shows that it allows it. Pieces of at most SHORT bytes are kept for later texts, up to KEPT_BYTES;
@@ -48,6 +49,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
         self.separator = self._full(" " + NUL)
+        self.spaced = self._spaced()
         letters = " ".join(["", *ascii_uppercase, "'S", "A\u0301"])
         self.same_case = self._full(letters) == self._full(letters.translate(ASCII_LOWER))
         ends = [self._full(mark) for mark in ".,"]
@@ -59,6 +61,14 @@ class Encoder:
     def _full(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _spaced(self) -> np.ndarray | None:
+        """Which ids begin with a space, of a byte-level vocabulary that keeps it in a word's first id."""
+        vocabulary = self.tokenizer.get_vocab()
+        found = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        found[[i for token, i in vocabulary.items() if token.startswith(BYTE_CHARACTERS[0x20])]] = True
+        shown = [self._full(text) for text in (" ab", " ab ab", " ab .b")]
+        return found if [int(found[ids].sum()) for ids in shown] == [1, 2, 2] and all(found[ids[0]] for ids in shown) else None
+
     def _forget(self) -> None:
         self.keys = pa.array([], pa.large_string())
         self.ids = np.zeros(0, np.uint32)
@@ -88,9 +98,15 @@ class Encoder:
 
     def _joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that follow a space, and their sizes; by one call for TOGETHER pieces."""
-        mark, n = f" {NUL} ", len(pieces)
+        mark, n = " " if self.spaced is not None else f" {NUL} ", len(pieces)
         cuts = pa.array(np.append(np.arange(0, n, TOGETHER), n), pa.int32())
         rows = pc.binary_join(pa.ListArray.from_arrays(cuts, pieces), pa.scalar(mark, pa.large_string())).to_pylist()
+        if self.spaced is not None:
+            ids, _ = self._each([" " + row for row in rows])
+            begins = np.flatnonzero(self.spaced[ids])
+            if len(begins) == n:
+                return ids, np.diff(begins, append=len(ids))
+            return self._each([" " + p for p in pieces.to_pylist()])
         ids, _ = self._each([" " + row + mark[:2] for row in rows])
         ends = np.flatnonzero(ids == self.separator[-1]) if self.separator else []
         if len(ends) != n:  # not a tokenizer that keeps a NUL apart

@@ -39,3 +39,27 @@ def test_a_tokenizer_without_the_shortcuts_gives_the_same_ids():
     ids, offsets = encoder.encode(ODD)
     assert np.array_equal(ids, np.concatenate([np.array(encoder._full(t), np.int64) for t in ODD]))
     assert len(offsets) == len(ODD) + 1
+
+
+@pytest.mark.parametrize("name,between", [(BYTE_BPE, False), (WORD_BPE, True)])
+def test_new_pieces_are_joined_without_a_mark_where_ids_show_the_space(name, between, monkeypatch):
+    """A mark after each piece doubled what the byte-level tokenizer had to read."""
+    encoder, given = Encoder(path(name)), []
+    each = encoder._each
+    monkeypatch.setattr(encoder, "_each", lambda texts: given.extend(texts) or each(texts))
+    texts = ["here one two three words, 17 of them. É\tb \"c\" d's .e", "f words g"] + ODD
+    ids, offsets = encoder.encode(texts)
+    for text, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+        assert ids[a:b].tolist() == encoder._full(text), text
+    joined = [t for t in given if " one two three " in t.replace(f" {tokens.NUL} ", " ")]
+    assert joined and all((tokens.NUL in t) == between for t in joined)
+
+
+def test_pieces_whose_ids_do_not_show_the_space_are_encoded_one_by_one():
+    encoder = Encoder(path(BYTE_BPE))
+    encoder.spaced = np.zeros_like(encoder.spaced)
+    ids, _ = encoder.encode(ODD)
+    assert np.array_equal(ids, np.concatenate([np.array(encoder._full(t), np.int64) for t in ODD]))
+    encoder = Encoder(path(BYTE_BPE))
+    encoder.spaced, encoder.separator = None, []
+    assert np.array_equal(encoder.encode(ODD)[0], ids)
