@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from string import ascii_lowercase, ascii_uppercase
 
@@ -17,6 +18,7 @@ WORD_BPE = "word_bpe_49k.json"
 KEPT_BYTES, SHORT = 16 << 20, 64  # of kept pieces with their ids, and of one piece
 ENCODED_BYTES = 2 << 20  # of texts encoded at once
 TOGETHER = 64  # pieces joined into one text
+AT_ONCE = 64  # texts whose tokens the tokenizer holds at once, with far more than their ids
 BEFORE_SPACE = re.compile(r" (?<=\s )")  # looks back from spaces, which are quick to find
 # In place of a first piece's missing space, and of a text that is not cut.
 FIRST, WHOLE, NUL = "\1", "\2", "\0"
@@ -46,6 +48,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task a core, and each thread holds memory of its own
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
         self.separator = self._full(" " + NUL)
@@ -92,9 +95,11 @@ class Encoder:
 
     def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts end to end, and their sizes."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = []
+        for i in range(0, len(texts), AT_ONCE):
+            found += [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts[i : i + AT_ONCE], add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.concatenate([np.zeros(0, np.uint32), *(np.array(ids, np.uint32) for ids in found)]), sizes
+        return np.concatenate([np.zeros(0, np.uint32), *found]), sizes
 
     def _joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that follow a space, and their sizes; by one call for TOGETHER pieces."""
@@ -170,7 +175,8 @@ class Encoder:
         marked = [f"{WHOLE}{i}" if BEFORE_SPACE.search(t) or OWN.search(t) else FIRST + t for i, t in enumerate(texts)]
         marked = pa.array(marked, pa.large_string())
         rows = pc.split_pattern(pc.ascii_lower(marked) if self.same_case else marked, " ")
-        found = rows.flatten().dictionary_encode()
+        found, cuts = rows.flatten().dictionary_encode(), rows.offsets.to_numpy()
+        del marked, rows  # before room is taken for the kept pieces
         at = self._places(found.dictionary, texts)[found.indices.to_numpy()]
         self.times += np.bincount(at, minlength=len(self.times))
         ids, sizes = self._ids(at)
@@ -178,8 +184,8 @@ class Encoder:
         stay = pc.less_equal(pc.binary_length(keys), SHORT).to_numpy(zero_copy_only=False) & ~pc.starts_with(keys, WHOLE).to_numpy(zero_copy_only=False)
         if not stay.all():
             self._keep(stay)
-        offsets = np.concatenate([[0], np.cumsum(sizes)])[rows.offsets.to_numpy()]
-        del marked, rows, found, keys
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[cuts]
+        del found, keys
         pa.default_memory_pool().release_unused()  # some 60 MB a block, which a worker would hold on to
         return ids, offsets
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import subprocess
 import sys
 import time
@@ -12,7 +13,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from tallymark import session
-from tallymark.llm import repeated_bytes, token_files
+from tallymark.llm import repeated_bytes, token_files, tokens
 
 LEFT = """
 import pyarrow as pa, sys
@@ -28,6 +29,16 @@ pa.default_memory_pool().release_unused()
 print(before - held())
 """
 
+SPENT = """
+import sys, time
+sys.path.insert(0, sys.argv[1])
+from tallymark.llm.tokens import WORD_BPE, encoder, path
+e = encoder(path(WORD_BPE))
+whole, own = time.process_time(), time.thread_time()
+e.encode([" ".join(f"{i * 7919 + j * 104729:x}" for i in range(300)) for j in range(900)])
+print((time.thread_time() - own) / (time.process_time() - whole))
+"""
+
 
 def shard(ids):
     first, rules, row = token_files.compress(ids)
@@ -63,6 +74,36 @@ def test_an_encoder_gives_memory_back():
     assert float(subprocess.run([sys.executable, "-c", LEFT, root], capture_output=True, text=True, check=True).stdout) < 25
 
 
+def test_an_encoder_works_in_its_task_alone():
+    """Threads of the tokenizer's own, one a CPU, kept some 50 MB more in every worker."""
+    root, env = str(Path(__file__).resolve().parents[2]), {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    assert float(subprocess.run([sys.executable, "-c", SPENT, root], capture_output=True, text=True, check=True, env=env).stdout) > 0.8
+
+
+def test_an_encoder_holds_few_tokenized_texts(monkeypatch):
+    """The tokenizer's own results, far larger than the ids, were held for a whole block."""
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.most = tokenizer, 0
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **how):
+            self.most = max(self.most, len(texts))
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+    texts = [" ".join(f"{i * 7919 + j * 104729:x}" for i in range(300)) for j in range(60)] + ["two  spaces", "", "end "]
+    monkeypatch.setattr(tokens, "TOGETHER", 2)
+    made = tokens.Encoder(tokens.path(tokens.WORD_BPE))
+    made.tokenizer = counted = Counted(made.tokenizer)
+    ids, offsets = made.encode(texts)
+    plain = [counted.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == plain
+    assert 1 < counted.most <= 64
+
+
 def test_overlapping_regions_are_written_small(spark, monkeypatch):
     written, once = {}, session.written_once
 
