@@ -59,28 +59,33 @@ def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
         pairs = row[:-1].astype(np.uint64) << np.uint64(32) | row[1:]
         if nonterminal <= 1 << 16:  # sorts faster
             pairs = row[:-1] << np.uint32(16) | row[1:]
-        distinct, times = np.unique(pairs, return_counts=True)
-        frequent = np.flatnonzero(times >= LEAST)
-        frequent = frequent[np.lexsort((frequent, -times[frequent]))][:RULES]
+        pairs.sort()
+        distinct = np.unique(pairs[: 1 - LEAST][pairs[: 1 - LEAST] == pairs[LEAST - 1 :]])  # those that occur LEAST times
+        times = np.searchsorted(pairs, distinct, "right") - np.searchsorted(pairs, distinct)
+        frequent = np.lexsort((distinct, -times))[:RULES]
         if not len(frequent):
             break
         half = np.uint64(32) if pairs.dtype == np.uint64 else np.uint32(16)
         made = distinct[frequent]
         made = np.stack([made >> half, made & ((made.dtype.type(1) << half) - made.dtype.type(1))], 1).astype(np.uint32)
         # a table of the rules' ranks, by first and second symbol; 0 stands for symbols of no rule
-        begins, ends = np.zeros((2, nonterminal), np.int64)
+        begins, ends = np.zeros((2, nonterminal), np.int32)
         firsts, seconds = np.unique(made[:, 0]), np.unique(made[:, 1])
         begins[firsts] = np.arange(1, len(firsts) + 1) * (len(seconds) + 1)
         ends[seconds] = np.arange(1, len(seconds) + 1)
         worst = np.int32(len(made))
         table = np.full((len(firsts) + 1) * (len(seconds) + 1), worst)
         table[begins[made[:, 0]] + ends[made[:, 1]]] = np.arange(len(made))
-        ranks = table[begins[row[:-1]] + ends[row[1:]]]
-        left, right = np.append(worst, ranks[:-1]), np.append(ranks[1:], worst)
-        take = np.flatnonzero((ranks < worst) & (ranks < left) & (ranks <= right))
+        at = row.astype(np.intp)
+        around = np.full(len(row) + 1, worst)  # ranks, with one that loses on either side
+        around[1:-1] = table.take(begins.take(at[:-1]) + ends.take(at[1:]))
+        ranks = around[1:-1]
+        take = np.flatnonzero((ranks < around[:-2]) & (ranks <= around[2:]) & (ranks < worst))
         rules.append(made)
         row[take] = nonterminal + ranks[take].astype(np.uint32)
-        row = np.delete(row, take + 1)
+        stay = np.ones(len(row), bool)
+        stay[take + 1] = False
+        row = row[stay]
         nonterminal += len(frequent)
     return first, np.concatenate(rules), row
 
@@ -157,7 +162,7 @@ def _shards(tokenizer: str, end: int):
             return T.arrow(schema, [[v] for v in values])
 
         for batch in batches:
-            for block in T.blocks(batch, most=ENCODED_BYTES):
+            for block in T.blocks(batch, most=2 * ENCODED_BYTES):  # a block looks all kept pieces up anew
                 found, offsets = with_end(*encode([t.decode() for t in block.texts()]), end)
                 ids.append(found)
                 doc_ids += batch.column("doc_id")[block.rows.start : block.rows.stop].to_pylist()

@@ -24,6 +24,10 @@ BEFORE_SPACE = re.compile(r" (?<=\s )")  # looks back from spaces, which are qui
 FIRST, WHOLE, NUL = "\1", "\2", "\0"
 ASCII_LOWER = str.maketrans(ascii_uppercase, ascii_lowercase)
 OWN = re.compile(f"[{FIRST}{WHOLE}]")
+# By byte: 3 the two marks, 2 the space, 1 other last bytes of white space, and of other characters beyond ASCII.
+ENDS_SPACE = np.zeros(256, np.uint8)
+ENDS_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x20), *range(0x80, 0xC0)]] = 1
+ENDS_SPACE[[0x20, *map(ord, FIRST + WHOLE)]] = 2, 3, 3
 # Byte-level vocabularies write each byte as one character: printable ones as they are,
 # the others in order from 256 on.
 _printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -172,7 +176,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and offsets."""
         self._make_room()
-        marked = [f"{WHOLE}{i}" if BEFORE_SPACE.search(t) or OWN.search(t) else FIRST + t for i, t in enumerate(texts)]
+        doubtful = _doubtful(texts)
+        marked = [f"{WHOLE}{i}" if doubtful[i] and (BEFORE_SPACE.search(t) or OWN.search(t)) else FIRST + t for i, t in enumerate(texts)]
         marked = pa.array(marked, pa.large_string())
         rows = pc.split_pattern(pc.ascii_lower(marked) if self.same_case else marked, " ")
         found, cuts = rows.flatten().dictionary_encode(), rows.offsets.to_numpy()
@@ -190,6 +195,18 @@ class Encoder:
         return ids, offsets
 
 
+def _doubtful(texts: list[str]) -> np.ndarray:
+    """Texts that hold a byte of the two marks, or a space after a byte that may end white space; by one pass over all bytes."""
+    given = pa.array(texts, pa.large_string())
+    offsets = np.frombuffer(given.buffers()[1] or bytes(8), np.int64)[: len(texts) + 1]
+    data = given.buffers()[2]
+    kinds = np.frombuffer((data.to_pybytes() if data else b"").translate(ENDS_SPACE.tobytes()), np.uint8)
+    found = kinds > 2
+    found[1:] |= (kinds[1:] == 2) & (kinds[:-1] > 0)
+    places = np.searchsorted(offsets, np.flatnonzero(found), "right") - 1
+    return np.bincount(places, minlength=len(texts)) > 0
+
+
 def encoder(path: str) -> Encoder:
     """The process's encoder for a tokenizer file."""
     if path not in _open:

@@ -55,6 +55,25 @@ def test_any_span_of_a_shard_is_decoded(most):
         assert np.array_equal(read.decode(a, b), ids[a:b])
 
 
+def test_only_frequent_pairs_are_counted(monkeypatch):
+    """All different pairs of a shard were listed with their counts in every round."""
+    listed, unique = [], np.unique
+
+    def kept(values, *how, **named):
+        listed.append(len(values))
+        return unique(values, *how, **named)
+
+    monkeypatch.setattr(token_files.np, "unique", kept)
+    ids = np.concatenate([np.arange(30_000), np.tile([7, 8, 9], 400), [5, 5], np.tile([3, 4], 5)]).astype(np.uint32)
+    row = shard(ids)
+    assert max(listed) < 3000
+    assert np.array_equal(token_files.Shard(row).decode(0, len(ids)), ids)
+    rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
+    assert {(7, 8), (8, 9), (9, 7)} <= {tuple(r) for r in rules.tolist()} and (3, 4) in {tuple(r) for r in rules.tolist()}
+    for few in ([], [1], [1, 1], [1] * 7):
+        assert token_files.Shard(shard(np.array(few, np.uint32))).decode(0, len(few)).tolist() == few
+
+
 def test_decoding_costs_less_than_compressing():
     """Level by level, decoding took over half as long; looked up, a fifth."""
     rng = np.random.default_rng(1)

@@ -63,3 +63,23 @@ def test_pieces_whose_ids_do_not_show_the_space_are_encoded_one_by_one():
     encoder = Encoder(path(BYTE_BPE))
     encoder.spaced, encoder.separator = None, []
     assert np.array_equal(encoder.encode(ODD)[0], ids)
+
+
+def test_only_texts_that_may_hold_space_before_a_space_are_searched(monkeypatch):
+    """Every text was searched space by space."""
+    searched = []
+
+    class Search:
+        def search(self, text, found=tokens.BEFORE_SPACE):
+            searched.append(text)
+            return found.search(text)
+
+    monkeypatch.setattr(tokens, "BEFORE_SPACE", Search())
+    spaces = [f"a{chr(c)} b" for c in range(0x110000) if chr(c).isspace()] + ["x\x01", "\x02"]
+    plain = ["two words\n and É é.", "", "ends ", " begins", "one\nline"]
+    encoder = Encoder(path(BYTE_BPE))
+    texts = [t for pair in zip(spaces, plain * len(spaces), strict=False) for t in pair] + ODD
+    ids, offsets = encoder.encode(texts)
+    for text, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+        assert ids[a:b].tolist() == encoder._full(text), text
+    assert set(spaces) <= set(searched) and not set(searched) & set(plain[1:])
