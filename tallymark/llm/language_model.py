@@ -27,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +38,7 @@ from tallymark.session import written_once
 
 CHUNK, RANGE, WORDS = 1 << 21, 1 << 21, 2048
 CUTS = (0, 1 / 16, 1 / 4, 1 / 2, 1)
+PART = 1 << 18  # tokens whose values are held at once
 PIECE = 256  # rows of weights that travel together
 WEIGHTS = "name string, at int, uses binary, values binary"
 END = np.uint64(0x5EED0F0E4D)
@@ -53,36 +53,58 @@ def tokens(block: T.Block) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(hashes, words.first[1:], END), words.first + np.arange(len(words.first))
 
 
+def _values(column: pa.Array, i: int, kind: str) -> np.ndarray:
+    """A binary value of a batch, read where it lies."""
+    return np.frombuffer(column[i].as_buffer(), kind)
+
+
+def _value(values: np.ndarray) -> pa.Array:
+    """A binary column of one row, over the values where they lie."""
+    return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, values.nbytes], np.int32)), pa.py_buffer(values)])
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per chunk: its documents, its distinct words with training counts, its tokens' places among them."""
+    """A row per chunk: its documents, its distinct words with training counts, its tokens' places among them.
+
+    A block's tokens are held as places among its own words; only words are merged for the chunk.
+    """
     schema = pa.schema(
         [("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("learn", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("n_words", pa.int64())]
         + [(n, pa.binary()) for n in ("words", "counts", "places")]
     )
     part, number = TaskContext.get().partitionId() << 32, 0
-    hashes: list[np.ndarray] = []
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     doc_ids, learn, sizes = [], [], []
 
     def row() -> pa.RecordBatch:
-        words, places = np.unique(np.concatenate(hashes), return_inverse=True)
-        counts = np.bincount(places, np.repeat(learn, sizes), len(words)).astype("<i8")
-        values = [part + number, doc_ids, learn, sizes, len(words), words.astype("<u8").tobytes(), counts.tobytes(), places.astype("<u4").tobytes()]
-        return T.arrow(schema, [[v] for v in values])
+        words = np.unique(np.concatenate([w for w, _, _ in found])).astype("<u8")
+        counts, places, at = np.zeros(len(words), "<i8"), np.empty(sum(sizes), "<u4"), 0
+        for own, learned, where in found:
+            among = np.searchsorted(words, own)
+            counts[among] += learned
+            places[at : at + len(where)] = among[where]
+            at += len(where)
+        return T.arrow(schema, [[part + number], [doc_ids], [learn], [sizes], [len(words)], *map(_value, (words, counts, places))])
 
     for batch in batches:
         for block in T.blocks(batch):
-            found, offsets = tokens(block)
-            hashes.append(found)
+            hashes, offsets = tokens(block)
             rows = slice(block.rows.start, block.rows.stop)
+            teaches, own = batch.column("learn")[rows].to_pylist(), np.diff(offsets)
+            words, places = np.unique(hashes, return_inverse=True)
+            found.append((words, np.bincount(places, np.repeat(teaches, own), len(words)).astype(np.int64), places.astype(np.uint32)))
             doc_ids += batch.column("doc_id")[rows].to_pylist()
-            learn += batch.column("learn")[rows].to_pylist()
-            sizes += np.diff(offsets).tolist()
-            if sum(map(len, hashes)) >= CHUNK:
+            learn += teaches
+            sizes += own.tolist()
+            if sum(len(where) for _, _, where in found) >= CHUNK:
                 yield row()
                 number += 1
-                hashes, doc_ids, learn, sizes = [], [], [], []
+                found, doc_ids, learn, sizes = [], [], [], []
+                T.give_back()
     if sizes:
         yield row()
+    found = []
+    T.give_back()
 
 
 def _requests(ranges: int):
@@ -92,35 +114,42 @@ def _requests(ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, words, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk", "words", "counts")), strict=True):
+            for i in range(batch.num_rows):
+                chunk, words, counts = (batch.column(c)[i].as_py() for c in ("chunk", "words", "counts"))
                 cuts = np.concatenate([[0], np.searchsorted(np.frombuffer(words, "<u8"), borders), [len(words) // 8]])
                 full = np.flatnonzero(np.diff(cuts))
                 spans = [slice(8 * a, 8 * b) for a, b in zip(cuts[full], cuts[full + 1], strict=True)]
                 yield T.arrow(schema, [full, [chunk] * len(full), [words[s] for s in spans], [counts[s] for s in spans]])
+                T.give_back()
 
     return run
 
 
-def _replies(rows: pd.DataFrame) -> pd.DataFrame:
+def _replies(rows: pa.Table) -> pa.Table:
     """Total training counts for every chunk's words; one row more with the range's sums and its top words."""
-    words = np.concatenate([np.frombuffer(w, "<u8") for w in rows["words"]])
-    counts = np.concatenate([np.frombuffer(c, "<i8") for c in rows["counts"]])
-    distinct, at = np.unique(words, return_inverse=True)
-    total = np.bincount(at, counts, len(distinct)).astype(np.int64)
-    cuts = np.cumsum([len(w) // 8 for w in rows["words"]])[:-1]
+    T.give_back()  # of the range before
+    schema = pa.schema(
+        [(n, pa.int64()) for n in ("range", "chunk")] + [("counts", pa.binary())] + [(n, pa.int64()) for n in ("n", "v")] + [(n, pa.list_(pa.int64())) for n in ("top_words", "top_counts")]
+    )
+    batches = [b for b in rows.to_batches() if b.num_rows]
+    each = [(_values(b.column("words"), i, "<u8"), _values(b.column("counts"), i, "<i8")) for b in batches for i in range(b.num_rows)]
+    distinct = np.unique(np.concatenate([words for words, _ in each]))
+    total = np.zeros(len(distinct), np.int64)
+    for words, counts in each:
+        total[np.searchsorted(distinct, words)] += counts  # a chunk's words are distinct
     top = np.lexsort((distinct, -total))[:WORDS]
     top = top[total[top] > 0]
-    return pd.DataFrame(
-        {
-            "range": rows["range"].iloc[0],
-            "chunk": [*rows["chunk"], -1],
-            "counts": [*(c.astype("<i8").tobytes() for c in np.split(total[at], cuts)), None],
-            "n": [0] * len(rows) + [int(total.sum())],
-            "v": [0] * len(rows) + [int((total > 0).sum())],
-            "top_words": [None] * len(rows) + [distinct[top].view(np.int64)],
-            "top_counts": [None] * len(rows) + [total[top]],
-        }
-    )
+    of_range, n = rows.column("range")[0].as_py(), len(each)
+    columns = [
+        [of_range] * (n + 1),
+        [*rows.column("chunk").to_pylist(), -1],
+        [*(total[np.searchsorted(distinct, words)].astype("<i8").tobytes() for words, _ in each), None],
+        [0] * n + [int(total.sum())],
+        [0] * n + [int((total > 0).sum())],
+        [None] * n + [distinct[top].view(np.int64)],
+        [None] * n + [total[top]],
+    ]
+    return pa.Table.from_batches([T.arrow(schema, columns)])
 
 
 def _weights(rows: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -139,15 +168,18 @@ def _trained(shared, low: float, high: float, epoch: int):
         tokens = np.zeros(len(words) + 1, np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                sizes, hashes, places = np.array(row["sizes"]), np.frombuffer(row["words"], "<u8"), np.frombuffer(row["places"], "<u4")
-                share = T.hashes_of(row["chunk"] + np.arange(len(sizes)) * (1 << 40)) / 2.0**64
-                known, ends = symbols(hashes, words, order), np.cumsum(sizes)
-                chosen = np.flatnonzero(np.array(row["learn"]) & (share >= low) & ((share < high) | (high == 1)))
-                docs = [known[places[ends[d] - sizes[d] : ends[d]]].astype(np.int32) for d in chosen]
+                row = {c: batch.column(c) for c in batch.schema.names}
+                sizes, learn = (row[c][i].values.to_numpy(zero_copy_only=False) for c in ("sizes", "learn"))
+                hashes, places = _values(row["words"], i, "<u8"), _values(row["places"], i, "<u4")
+                share = T.hashes_of(row["chunk"][i].as_py() + np.arange(len(sizes)) * (1 << 40)) / 2.0**64
+                known, ends = symbols(hashes, words, order).astype(np.int32), np.cumsum(sizes)
+                chosen = np.flatnonzero(learn & (share >= low) & ((share < high) | (high == 1)))
+                docs = [known[places[ends[d] - sizes[d] : ends[d]]] for d in chosen]
                 network.train(docs, epoch, memory)
                 for doc in docs:
                     tokens += np.bincount(doc, minlength=len(tokens))
+                del docs, known, hashes, places
+                T.give_back()
         if memory.rounds:
             uses = network.uses(tokens)
             yield _weights({(n, at): (uses[n][at : at + PIECE], w[at : at + PIECE]) for n, w in network.weights.items() for at in range(0, len(w), PIECE)})
@@ -202,41 +234,53 @@ def symbols(hashes: np.ndarray, words: np.ndarray, order: np.ndarray) -> np.ndar
 
 def _scores(shared):
     names = ["doc_id", "learn", "n_tokens", "n_known", "base_score", "score"]
+    kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network, words, n, v, n_other, v_other = shared.value
         order = np.argsort(words)
         for batch in batches:
-            for row in batch.to_pylist():
-                counts = np.concatenate([np.frombuffer(c, "<i8") for c in row["counts"]])
-                hashes, places = np.frombuffer(row["words"], "<u8"), np.frombuffer(row["places"], "<u4")
-                offsets = np.concatenate([[0], np.cumsum(row["sizes"])])
-                each = lambda values: np.add.reduceat(values[places], offsets[:-1])  # noqa: B023, E731
-                known = symbols(hashes, words, order)
+            row = {c: batch.column(c) for c in batch.schema.names}
+            for i in range(batch.num_rows):
+                replies, sizes = row["counts"][i].values, row["sizes"][i].values.to_numpy()
+                counts = np.concatenate([_values(replies, j, "<i8") for j in range(len(replies))])
+                hashes, places = _values(row["words"], i, "<u8"), _values(row["places"], i, "<u4")
+                offsets = np.concatenate([[0], np.cumsum(sizes)])
+                each = lambda values: _sums(values, places, offsets)  # noqa: B023, E731
+                known = symbols(hashes, words, order).astype(np.int32)
                 base = np.log10((counts + ADD) / (n + ADD * (v + 1)))
                 if len(words):
                     within = np.where(known < len(words), 0.0, np.log10((counts + ADD) / (n_other + ADD * (v_other + 1))))
                     score = network.score(known[places], offsets) / np.log(10) + each(within)
                 else:
                     score = each(base)
-                columns = [row["doc_ids"], row["learn"], row["sizes"], each((counts > 0).astype(np.int64)), each(base), score]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)], names=names
-                )
+                columns = [row["doc_ids"][i].values, row["learn"][i].values, sizes, each((counts > 0).astype(np.int64)), each(base), score]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+                T.give_back()
 
     return run
 
 
+def _sums(values: np.ndarray, places: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of the tokens' values of each document; documents of about PART tokens at once."""
+    out = np.empty(len(offsets) - 1, values.dtype)
+    cuts = np.unique(np.append(np.searchsorted(offsets[:-1], np.arange(0, offsets[-1], PART)), len(out)))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        out[a:b] = np.add.reduceat(values[places[offsets[a] : offsets[b]]], offsets[a:b] - offsets[a])
+    return out
+
+
 def language_model_scores(docs: DataFrame, learn: Column) -> DataFrame:
     """(doc_id, learn, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
+    T.small_batches(spark)
     docs = docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("learn"))
     shape = "chunk long, doc_ids array<long>, learn array<boolean>, sizes array<long>, n_words long, words binary, counts binary, places binary"
-    chunks = written_once(docs.mapInArrow(_chunks, shape), "chunks")
+    chunks = written_once(docs.mapInArrow(_chunks, shape), "chunks", "zstd")  # read in every round
     ranges = max(1, -(-(chunks.agg(F.sum("n_words")).first()[0] or 0) // RANGE))
     requests = chunks.select("chunk", "words", "counts").mapInArrow(_requests(ranges), "range long, chunk long, words binary, counts binary")
     shape = "range long, chunk long, counts binary, n long, v long, top_words array<long>, top_counts array<long>"
-    replies = written_once(requests.groupBy("range").applyInPandas(_replies, shape), "replies")
+    replies = written_once(requests.groupBy("range").applyInArrow(_replies, shape), "replies")
     heads = replies.filter("chunk = -1")
     n, v = (int(x or 0) for x in heads.agg(F.sum("n"), F.sum("v")).first())
     top = heads.select(F.explode(F.arrays_zip("top_words", "top_counts")).alias("t")).select("t.*")

@@ -12,6 +12,7 @@ import numpy as np
 HIDDEN, CLASS_WORDS, WINDOW = 32, 64, 32
 STREAMS, EPOCHS, RATE, CLIP = 32, 2, 0.01, 1.0
 TOGETHER = 512  # documents scored together
+AHEAD = 64  # windows of training laid out at once
 
 
 SAFE = 80.0  # exp of less is finite in single precision
@@ -30,6 +31,11 @@ def _exponents(x: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
     return x, x.sum(0)
 
 
+def _flow(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Documents end to end, and where each begins."""
+    return np.concatenate(docs), np.cumsum([0, *map(len, docs[:-1])])
+
+
 class Memory:
     """Running moments of the slopes, of one task's training, and room for a window."""
 
@@ -169,23 +175,15 @@ class Network:
             load[at] += len(doc)
         longest = np.argsort(-load, kind="stable")  # first, so that a window has the first streams only
         load = load[longest]
-        steps = -(-int(load[0]) // WINDOW) * WINDOW
-        targets = np.full((steps, len(streams)), self.words, np.int32)
-        inputs = np.full((steps, len(streams)), self.words + 1, np.int32)
-        real = np.zeros((steps, len(streams)), bool)
-        for s, parts in enumerate(streams[i] for i in longest):
-            at = 0
-            for doc in parts:
-                targets[at : at + len(doc), s] = doc
-                inputs[at + 1 : at + len(doc), s] = doc[:-1]
-                real[at : at + len(doc), s] = True
-                at += len(doc)
+        flows = [_flow(streams[i]) for i in longest]
         h = np.zeros((HIDDEN, len(streams)), np.float32)
-        for at in range(0, steps, WINDOW):
+        for at in range(0, int(load[0]), WINDOW):
             memory.rounds += 1
             active = int(np.searchsorted(-load, -at, "left"))
-            span = np.s_[at : at + WINDOW, :active]
-            h, slopes = self._window(h[:, :active], inputs[span], targets[span], real[span], memory)
+            if at % (AHEAD * WINDOW) == 0:
+                laid = self._laid_out(flows[:active], at)
+            step = at % (AHEAD * WINDOW)
+            h, slopes = self._window(h[:, :active], *(a[step : step + WINDOW, :active] for a in laid), memory)
             norm = np.sqrt(sum(float(np.vdot(s, s)) for s in slopes.values()))
             clip = min(1.0, CLIP / (norm + 1e-9))
             for k, slope in slopes.items():
@@ -204,6 +202,19 @@ class Network:
                 self.weights[k] -= change
         self.weights["word_bias"][self.words :] = -1e4
 
+    def _laid_out(self, flows: list[tuple[np.ndarray, np.ndarray]], at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, targets and which are real of streams, by step, for AHEAD windows: room for few steps, however long a stream is."""
+        ends = [min(at + AHEAD * WINDOW, len(symbols)) for symbols, _ in flows]
+        shape = -(-(max(ends) - at) // WINDOW) * WINDOW, len(flows)
+        inputs, targets = np.full(shape, self.words + 1, np.int32), np.full(shape, self.words, np.int32)
+        real, skip = np.zeros(shape, bool), int(at == 0)
+        for s, ((symbols, begins), end) in enumerate(zip(flows, ends, strict=True)):
+            targets[: end - at, s] = symbols[at:end]
+            inputs[skip : end - at, s] = symbols[at - 1 + skip : end - 1]
+            inputs[begins[slice(*np.searchsorted(begins, (at, end)))] - at, s] = self.words + 1
+            real[: end - at, s] = True
+        return inputs, targets, real
+
     def uses(self, tokens: np.ndarray) -> dict[str, np.ndarray]:
         """How many of the tokens, counted by symbol, each row of the weights learned from."""
         kinds = np.append(np.add.reduceat(tokens[: self.words], np.arange(0, self.words, CLASS_WORDS)), tokens[self.words])
